@@ -1,8 +1,20 @@
 """Generated by tools/oracle_check.py --refresh-doubles: double-typed output columns per query key."""
 
 DOUBLE_COLUMNS: dict[str, list[str]] = {
+    'alias_lookup': ['elo_rating'],
+    'elo_asof': ['elo_rating'],
+    'elo_latest': ['elo_rating'],
+    'elo_ratings': ['elo_home_before', 'elo_away_before', 'elo_home_after', 'elo_away_after', 'elo_diff', 'we_home', 'we_away'],
+    'elo_snapshot': ['elo_rating'],
+    'frames_of': ['loc_x', 'loc_y'],
     'match_timeline': ['loc_x', 'loc_y', 'end_x', 'end_y', 'shot_xg', 'duration', 'pass_end_x', 'pass_end_y', 'carry_end_x', 'carry_end_y', 'pass_length', 'distance_to_goal', 'angle_to_goal'],
     'player_match_stats': ['xg_total', 'xg_per_shot', 'avg_shot_distance', 'avg_shot_angle', 'xa_total', 'avg_pass_length', 'pass_completion_pct', 'pressure_high_pct', 'carry_distance_total', 'duel_win_pct'],
+    'report_over': ['xg_expected', 'goals_above_xg'],
+    'report_technique': ['xg_mean', 'xg_total', 'avg_distance', 'conversion_pct'],
+    'report_zone': ['xg_mean', 'xg_total', 'conversion_pct'],
+    'shot_defenders': ['def_x', 'def_y', 'def_dist'],
+    'shot_frame_measures': ['distance_nearest_defender', 'gk_distance_to_shooter', 'gk_distance_to_goalline'],
+    'shot_map': ['loc_x', 'loc_y', 'shot_xg', 'distance_to_goal', 'angle_to_goal', 'distance_nearest_defender', 'gk_distance_to_shooter', 'gk_distance_to_goalline'],
     'shots_only': ['shot_xg', 'distance_to_goal', 'angle_to_goal'],
     'standings': ['xg_for', 'xga_against', 'avg_possession', 'avg_ppda', 'avg_shots', 'xg_diff', 'xg_points', 'luck_index'],
     'team_performance': ['xg', 'xg_per_shot', 'avg_shot_distance', 'xga', 'possession_pct', 'ppda', 'avg_pass_length', 'avg_defensive_line_x'],

@@ -194,9 +194,10 @@ def expand_sround(sql: str) -> str:
         sql = sql[:i] + repl + sql[j:]
 
 
-def with_fixtures(names: list[str], body: str, ctes: str = "") -> str:
+def with_fixtures(names: list[str], body: str, ctes: str = "", recursive: bool = False) -> str:
     """``WITH <fixture CTEs>[, <ctes>] <body>``."""
     parts = [f"{n} AS ({FX[n].strip()})" for n in _closure(names)]
     if ctes.strip():
         parts.append(ctes.strip().rstrip(","))
-    return expand_sround("WITH " + ",\n".join(parts) + "\n" + body.strip())
+    head = "WITH RECURSIVE " if recursive or "RECURSIVE_CTE" in ctes else "WITH "
+    return expand_sround(head + ",\n".join(parts) + "\n" + body.strip())

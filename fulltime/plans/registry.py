@@ -31,4 +31,5 @@ def load_all() -> None:
     """Import every plan module so their ``@query`` registrations run."""
     from fulltime.plans import (  # noqa: F401
         core,
+        shots_ratings,
     )

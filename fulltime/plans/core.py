@@ -167,7 +167,7 @@ def q_team_style(spark, sf):
     return gold.team_style(tp_frame(spark, sf))
 
 
-@query("team_style_overall", with_fixtures(EM, """
+STYLE_OVERALL_SQL = """
 SELECT *, sround((overall_xg_per_game - overall_xga_per_game) * 0.4 + (overall_possession_pct - 50) * 0.02
         + CASE WHEN overall_ppda IS NOT NULL THEN (20 - overall_ppda) * 0.03 ELSE 0 END, 3) AS overall_dominance_score
 FROM (
@@ -176,7 +176,10 @@ FROM (
     sround(avg(possession_pct), 2) AS overall_possession_pct, sround(avg(progressive_passes), 2) AS overall_prog_passes,
     sround(avg(avg_defensive_line_x), 2) AS overall_defensive_line_x, sround(sum(xg) - sum(xga), 3) AS overall_xg_diff,
     list_sort(list(DISTINCT CAST(competition_id AS VARCHAR) || '/' || CAST(season_id AS VARCHAR))) AS competitions_included
-  FROM tp GROUP BY team_id, team_name)""", TIMELINE + "," + TEAM_PERF))
+  FROM tp GROUP BY team_id, team_name)"""
+
+
+@query("team_style_overall", with_fixtures(EM, STYLE_OVERALL_SQL, TIMELINE + "," + TEAM_PERF))
 def q_team_style_overall(spark, sf):
     return gold.team_style_overall(tp_frame(spark, sf))
 

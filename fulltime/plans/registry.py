@@ -32,4 +32,5 @@ def load_all() -> None:
     from fulltime.plans import (  # noqa: F401
         core,
         shots_ratings,
+        squads_features,
     )

@@ -33,4 +33,5 @@ def load_all() -> None:
         core,
         shots_ratings,
         squads_features,
+        scalars,
     )

@@ -1,17 +1,19 @@
 """Match-shaped stand-ins derived from the TPC-H-style test tables.
 
-Each builder reads the given parquet tables and derives, with column expressions only, the
-conformed inputs the analytics expect (events, matches, freeze frames, historical results,
-squad ratings, form, market values, odds and weather). They mirror the SQL views in
-``fulltime.plans.fixture_sql`` row for row, so the DuckDB oracle sees the same inputs.
+Each builder reads the given parquet tables and derives, with Spark SQL expressions
+(``selectExpr``: one call parses a whole projection on the JVM side), the conformed inputs the
+analytics expect: events, matches, freeze frames, historical results, squad ratings, form,
+market values, odds and weather. They produce the same rows as the SQL views in
+``fulltime.plans.fixture_sql``, so the DuckDB oracle sees the same inputs.
 
 Nothing here shuffles except ``fx_match`` (one aggregate by match), ``fx_form`` (a join of
-orders to customers, size-checked by Spark) and ``fx_market`` (a split top-3 per nation).
+orders to customers; Spark picks the strategy from sizes) and ``fx_market`` (a split top-3).
+Built plans are memoised per (session, folder): they are lazy plan objects, not cached data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fulltime.operators.ranking import top_k_per_group
@@ -21,224 +23,208 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+_MEMO: dict[tuple, DataFrame] = {}
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
+def _memo(name: str):
+    def deco(fn):
+        def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+            key = (id(spark), sf_dir.rstrip("/"), name)
+            if key not in _MEMO:
+                _MEMO[key] = fn(spark, sf_dir.rstrip("/"))
+            return _MEMO[key]
+
+        wrapper.__name__ = fn.__name__
+        wrapper.__doc__ = fn.__doc__
+        return wrapper
 
-def _floor_div(c: Column, d: int) -> Column:
-    return F.floor(c / F.lit(d)).cast("bigint")
+    return deco
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _home_away(match_id: Column) -> tuple[Column, Column]:
-    home = match_id % 32
-    away = (match_id % 32 + 1 + (match_id * 7 + _floor_div(match_id, 32)) % 31) % 32
-    return home, away
+HOME = "match_id % 32"
+AWAY = "(match_id % 32 + 1 + (match_id * 7 + CAST(floor(match_id / 32) AS BIGINT)) % 31) % 32"
 
 
+@_memo("fx_event")
 def fx_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conformed event stream: 100 events per match, 20 % shots and passes of all kinds."""
+    """Conformed event stream: 100 events per match; passes, carries, pressures, duels, shots."""
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
-    eid, uid = F.col("event_id"), F.col("user_id")
-    match_id = _floor_div(eid, 100)
-    home, away = _home_away(match_id)
-    tk = (eid * 7 + uid * 3) % 20
-    ok = (eid + uid) % 5
-    b = e.select(
-        "event_id", "user_id", "value",
-        match_id.alias("match_id"), (eid % 100).alias("event_index"),
-        tk.alias("tk"), ok.alias("ok"), home.alias("home_team_id"), away.alias("away_team_id"),
-    )
-    tk, ok = F.col("tk"), F.col("ok")
-    type_name = (
-        F.when(tk < 8, "Pass").when(tk < 12, "Carry").when(tk < 14, "Pressure")
-        .when(tk == 14, "Duel").when(tk == 15, "Interception").when(tk == 16, "Clearance")
-        .when(tk < 19, "Shot").otherwise("Camera On")
+    b = e.selectExpr(
+        "event_id", "user_id", "value", "CAST(floor(event_id / 100) AS BIGINT) AS match_id",
+        "event_id % 100 AS event_index", "(event_id * 7 + user_id * 3) % 20 AS tk", "(event_id + user_id) % 5 AS ok",
+    ).selectExpr("*", f"{HOME} AS home_team_id", f"{AWAY} AS away_team_id")
+    p = b.selectExpr(
+        "*",
+        "CASE WHEN (event_id * 13 + user_id) % 2 = 0 THEN home_team_id ELSE away_team_id END AS team_id",
+        """CASE WHEN tk < 8 THEN 'Pass' WHEN tk < 12 THEN 'Carry' WHEN tk < 14 THEN 'Pressure'
+                WHEN tk = 14 THEN 'Duel' WHEN tk = 15 THEN 'Interception' WHEN tk = 16 THEN 'Clearance'
+                WHEN tk < 19 THEN 'Shot' ELSE 'Camera On' END AS type_name""",
     )
-    team_id = F.when((eid * 13 + uid) % 2 == 0, F.col("home_team_id")).otherwise(F.col("away_team_id"))
-    p = b.select("*", type_name.alias("type_name"), team_id.alias("team_id"))
-    t, idx = F.col("type_name"), F.col("event_index")
-    player_id = F.col("team_id") * 1000 + uid % 11
-    no_loc = (eid * 17) % 50 == 0
-    loc_x = F.when(no_loc, F.lit(None)).otherwise(((eid * 7919 + uid * 104729) % 1201) / F.lit(10.0))
-    loc_y = F.when(no_loc, F.lit(None)).otherwise(((eid * 6101 + uid * 7907) % 801) / F.lit(10.0))
-    end_x = ((eid * 3571 + uid * 2711) % 1201) / F.lit(10.0)
-    end_y = ((eid * 1543 + uid * 3307) % 801) / F.lit(10.0)
-    is_shot, is_pass = t == "Shot", t == "Pass"
-    out = p.select(
+    out = p.selectExpr(
         "event_id", "match_id", "event_index",
-        F.when(idx < 50, 1).otherwise(2).alias("period"),
-        _floor_div(idx * 9, 10).alias("minute"),
-        ((eid * 37) % 60).alias("second"),
-        "type_name", "team_id",
-        F.concat(F.lit("Team "), F.col("team_id").cast("string")).alias("team_name"),
-        player_id.alias("player_id"),
-        F.concat(F.lit("Player "), player_id.cast("string")).alias("player_name"),
-        loc_x.alias("loc_x"), loc_y.alias("loc_y"), end_x.alias("end_x"), end_y.alias("end_y"),
-        (eid % 3 == 0).alias("under_pressure"),
-        (eid % 4 == 0).alias("counterpress"),
-        F.when(is_shot, ((eid * 53 + uid) % 100) / F.lit(100.0)).alias("shot_xg"),
-        F.when(is_shot, F.when(ok == 0, "Goal").when(ok == 1, "Saved").when(ok == 2, "Blocked").otherwise("Off T"))
-        .alias("shot_outcome"),
-        F.when(is_shot, F.when(eid % 11 == 0, "Penalty").otherwise("Open Play")).alias("shot_type"),
-        F.when(is_shot, F.when(eid % 3 == 0, "Head").when(eid % 3 == 1, "Left Foot").otherwise("Right Foot"))
-        .alias("shot_body_part"),
-        F.when(is_pass & ok.isin(3, 4), "Incomplete").alias("pass_outcome"),
-        F.when(is_pass, F.when(eid % 13 == 0, "Corner").when(eid % 13 == 1, "Free Kick")).alias("pass_type"),
-        (is_pass & (eid % 9 == 0)).alias("pass_shot_assist"),
-        (is_pass & (eid % 27 == 0)).alias("pass_goal_assist"),
-        (is_pass & (eid % 7 == 0)).alias("pass_cross"),
-        F.when(t == "Duel", F.when(ok == 0, "Won").when(ok == 1, "Success").otherwise("Lost")).alias("duel_outcome"),
-        F.when(t == "Duel", F.when(eid % 2 == 0, "Tackle").otherwise("Aerial Lost")).alias("duel_type"),
-        F.col("value").alias("duration"),
+        "CASE WHEN event_index < 50 THEN 1 ELSE 2 END AS period",
+        "CAST(floor(event_index * 9 / 10) AS BIGINT) AS minute",
+        "(event_id * 37) % 60 AS second",
+        "type_name", "team_id", "concat('Team ', CAST(team_id AS STRING)) AS team_name",
+        "team_id * 1000 + user_id % 11 AS player_id",
+        "concat('Player ', CAST(team_id * 1000 + user_id % 11 AS STRING)) AS player_name",
+        "CASE WHEN (event_id * 17) % 50 = 0 THEN NULL ELSE ((event_id * 7919 + user_id * 104729) % 1201) / 10.0D END AS loc_x",
+        "CASE WHEN (event_id * 17) % 50 = 0 THEN NULL ELSE ((event_id * 6101 + user_id * 7907) % 801) / 10.0D END AS loc_y",
+        "((event_id * 3571 + user_id * 2711) % 1201) / 10.0D AS end_x",
+        "((event_id * 1543 + user_id * 3307) % 801) / 10.0D AS end_y",
+        "(event_id % 3) = 0 AS under_pressure",
+        "(event_id % 4) = 0 AS counterpress",
+        "CASE WHEN type_name = 'Shot' THEN ((event_id * 53 + user_id) % 100) / 100.0D END AS shot_xg",
+        """CASE WHEN type_name = 'Shot' THEN CASE ok WHEN 0 THEN 'Goal' WHEN 1 THEN 'Saved' WHEN 2 THEN 'Blocked'
+                ELSE 'Off T' END END AS shot_outcome""",
+        "CASE WHEN type_name = 'Shot' THEN CASE WHEN event_id % 11 = 0 THEN 'Penalty' ELSE 'Open Play' END END AS shot_type",
+        """CASE WHEN type_name = 'Shot' THEN CASE event_id % 3 WHEN 0 THEN 'Head' WHEN 1 THEN 'Left Foot'
+                ELSE 'Right Foot' END END AS shot_body_part""",
+        "CASE WHEN type_name = 'Pass' AND ok IN (3, 4) THEN 'Incomplete' END AS pass_outcome",
+        "CASE WHEN type_name = 'Pass' THEN CASE event_id % 13 WHEN 0 THEN 'Corner' WHEN 1 THEN 'Free Kick' END END AS pass_type",
+        "type_name = 'Pass' AND event_id % 9 = 0 AS pass_shot_assist",
+        "type_name = 'Pass' AND event_id % 27 = 0 AS pass_goal_assist",
+        "type_name = 'Pass' AND event_id % 7 = 0 AS pass_cross",
+        "CASE WHEN type_name = 'Duel' THEN CASE ok WHEN 0 THEN 'Won' WHEN 1 THEN 'Success' ELSE 'Lost' END END AS duel_outcome",
+        "CASE WHEN type_name = 'Duel' THEN CASE event_id % 2 WHEN 0 THEN 'Tackle' ELSE 'Aerial Lost' END END AS duel_type",
+        "value AS duration",
     )
     # Type-specific end locations and pass length, as the conformed event table carries them.
-    t = F.col("type_name")
-    return out.select(
+    return out.selectExpr(
         "*",
-        F.when(t == "Pass", F.col("end_x")).alias("pass_end_x"),
-        F.when(t == "Pass", F.col("end_y")).alias("pass_end_y"),
-        F.when(t == "Carry", F.col("end_x")).alias("carry_end_x"),
-        F.when(t == "Carry", F.col("end_y")).alias("carry_end_y"),
-        F.when(t == "Pass", F.sqrt((F.col("end_x") - F.col("loc_x")) ** 2 + (F.col("end_y") - F.col("loc_y")) ** 2))
-        .alias("pass_length"),
+        "CASE WHEN type_name = 'Pass' THEN end_x END AS pass_end_x",
+        "CASE WHEN type_name = 'Pass' THEN end_y END AS pass_end_y",
+        "CASE WHEN type_name = 'Carry' THEN end_x END AS carry_end_x",
+        "CASE WHEN type_name = 'Carry' THEN end_y END AS carry_end_y",
+        "CASE WHEN type_name = 'Pass' THEN sqrt((end_x - loc_x) * (end_x - loc_x) + (end_y - loc_y) * (end_y - loc_y)) END AS pass_length",
     )
 
 
+@_memo("fx_match")
 def fx_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Match dimension: one aggregate of the events by match gives the ids and both final scores."""
-    ev = fx_event(spark, sf_dir)
-    home, away = _home_away(F.col("match_id"))
-    goal = (F.col("type_name") == "Shot") & (F.col("shot_outcome") == "Goal")
+    """Match dimension: ONE aggregate of the events by match gives the ids and both final scores."""
+    goal = "type_name = 'Shot' AND shot_outcome = 'Goal'"
     g = (
-        ev.select("match_id", "team_id", "type_name", "shot_outcome")
+        fx_event(spark, sf_dir).select("match_id", "team_id", "type_name", "shot_outcome")
         .groupBy("match_id")
-        .agg(
-            F.count_if(goal & (F.col("team_id") == home)).alias("home_score"),
-            F.count_if(goal & (F.col("team_id") == away)).alias("away_score"),
-        )
-    )
-    mid = F.col("match_id")
-    stage = _floor_div(mid, 6) % 7
-    return g.select(
-        "match_id",
-        F.date_add(F.lit("2022-01-01").cast("date"), mid.cast("int")).alias("match_date"),
-        F.when(mid % 3 == 0, 43).when(mid % 3 == 1, 55).otherwise(223).alias("competition_id"),
-        F.when(_floor_div(mid, 3) % 2 == 0, 106).otherwise(3).alias("season_id"),
-        F.when(stage == 0, "Group Stage").when(stage == 1, "Round of 32").when(stage == 2, "Round of 16")
-        .when(stage == 3, "Quarter-finals").when(stage == 4, "Semi-finals").when(stage == 5, "3rd Place Final")
-        .otherwise("Final").alias("stage_name"),
-        home.alias("home_team_id"),
-        F.concat(F.lit("Team "), home.cast("string")).alias("home_team_name"),
-        away.alias("away_team_id"),
-        F.concat(F.lit("Team "), away.cast("string")).alias("away_team_name"),
+        .agg(F.expr(f"count_if({goal} AND team_id = {HOME})").alias("home_score"),
+             F.expr(f"count_if({goal} AND team_id = {AWAY})").alias("away_score"))
+    )
+    return g.selectExpr(
+        "match_id", "date_add(DATE '2022-01-01', CAST(match_id AS INT)) AS match_date",
+        "CASE match_id % 3 WHEN 0 THEN 43 WHEN 1 THEN 55 ELSE 223 END AS competition_id",
+        "CASE CAST(floor(match_id / 3) AS BIGINT) % 2 WHEN 0 THEN 106 ELSE 3 END AS season_id",
+        """CASE CAST(floor(match_id / 6) AS BIGINT) % 7
+             WHEN 0 THEN 'Group Stage' WHEN 1 THEN 'Round of 32' WHEN 2 THEN 'Round of 16'
+             WHEN 3 THEN 'Quarter-finals' WHEN 4 THEN 'Semi-finals' WHEN 5 THEN '3rd Place Final' ELSE 'Final' END
+           AS stage_name""",
+        f"{HOME} AS home_team_id", f"concat('Team ', CAST({HOME} AS STRING)) AS home_team_name",
+        f"{AWAY} AS away_team_id", f"concat('Team ', CAST({AWAY} AS STRING)) AS away_team_name",
         "home_score", "away_score",
     )
 
 
+@_memo("fx_frame")
 def fx_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Freeze frames: 11 visible players per shot, generated per row (no join)."""
-    ev = fx_event(spark, sf_dir).filter((F.col("type_name") == "Shot") & (F.col("match_id") % 3 != 2))
-    i, eid = F.col("i"), F.col("event_id")
-    return ev.select("event_id", "match_id", F.explode(F.sequence(F.lit(0), F.lit(10))).alias("i")).select(
+    """Freeze frames: 11 visible players per shot, generated per row (a generator, no join)."""
+    ev = fx_event(spark, sf_dir).filter("type_name = 'Shot' AND match_id % 3 <> 2")
+    return ev.selectExpr("event_id", "match_id", "explode(sequence(0, 10)) AS i").selectExpr(
         "event_id", "match_id",
-        ((eid * 977 + i * 1709) % 1201 / F.lit(10.0)).alias("loc_x"),
-        ((eid * 613 + i * 911) % 801 / F.lit(10.0)).alias("loc_y"),
-        (i <= 4).alias("is_teammate"), (i == 0).alias("is_actor"), i.isin(1, 10).alias("is_keeper"),
+        "((event_id * 977 + i * 1709) % 1201) / 10.0D AS loc_x",
+        "((event_id * 613 + i * 911) % 801) / 10.0D AS loc_y",
+        "i <= 4 AS is_teammate", "i = 0 AS is_actor", "i IN (1, 10) AS is_keeper",
     )
 
 
+@_memo("fx_result")
 def fx_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Historical results: independent pools of 64 matches among 16 teams."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    k, c, p = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
-    r = k % 64
-    return o.select(
-        _floor_div(k, 64).alias("pool_id"), k.alias("match_num"),
-        F.col("o_orderdate").cast("date").alias("match_date"),
-        F.concat(F.lit("T"), (c % 16).cast("string")).alias("home_team"),
-        F.concat(F.lit("T"), ((c % 16 + 1 + _floor_div(c, 16) % 15) % 16).cast("string")).alias("away_team"),
-        (F.floor(p).cast("bigint") % 5).alias("home_score"),
-        (F.floor(p / 7).cast("bigint") % 4).alias("away_score"),
-        F.when(r < 48, "Group A").when(r < 56, "Round of 16").when(r < 60, "Quarter-finals")
-        .when(r < 62, "Semi-finals").when(r == 62, "Match for third place").otherwise("Final").alias("round"),
+    return o.selectExpr(
+        "CAST(floor(o_orderkey / 64) AS BIGINT) AS pool_id", "o_orderkey AS match_num",
+        "CAST(o_orderdate AS DATE) AS match_date",
+        "concat('T', CAST(o_custkey % 16 AS STRING)) AS home_team",
+        "concat('T', CAST((o_custkey % 16 + 1 + CAST(floor(o_custkey / 16) AS BIGINT) % 15) % 16 AS STRING)) AS away_team",
+        "CAST(floor(o_totalprice) AS BIGINT) % 5 AS home_score",
+        "CAST(floor(o_totalprice / 7) AS BIGINT) % 4 AS away_score",
+        """CASE WHEN o_orderkey % 64 < 48 THEN 'Group A' WHEN o_orderkey % 64 < 56 THEN 'Round of 16'
+                WHEN o_orderkey % 64 < 60 THEN 'Quarter-finals' WHEN o_orderkey % 64 < 62 THEN 'Semi-finals'
+                WHEN o_orderkey % 64 = 62 THEN 'Match for third place' ELSE 'Final' END AS round""",
     )
 
 
+@_memo("fx_rating")
 def fx_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Squad player ratings: one row per player (customer), team = nation."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    k = F.col("c_custkey")
-    m = k % 9
-    pos = (
-        F.when(m == 0, "GK").when(m == 1, "CB").when(m == 2, "LB").when(m == 3, "CDM").when(m == 4, "CAM")
-        .when(m == 5, "RW").when(m == 6, "ST").when(m == 7, "FW").otherwise("RWB")
-    )
-    return c.select(
-        k.alias("player_id"), F.col("c_nationkey").alias("team_id"),
-        (55 + (k * 7) % 40).alias("overall"), (55 + (k * 7) % 40 + k % 6).alias("potential"),
-        (17 + (k * 5) % 23).alias("age"), pos.alias("position"),
+    return c.selectExpr(
+        "c_custkey AS player_id", "c_nationkey AS team_id",
+        "55 + (c_custkey * 7) % 40 AS overall", "55 + (c_custkey * 7) % 40 + c_custkey % 6 AS potential",
+        "17 + (c_custkey * 5) % 23 AS age",
+        """CASE c_custkey % 9 WHEN 0 THEN 'GK' WHEN 1 THEN 'CB' WHEN 2 THEN 'LB' WHEN 3 THEN 'CDM' WHEN 4 THEN 'CAM'
+             WHEN 5 THEN 'RW' WHEN 6 THEN 'ST' WHEN 7 THEN 'FW' ELSE 'RWB' END AS position""",
     )
 
 
+@_memo("fx_form")
 def fx_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     """National-team results: orders joined to their customer's nation (shuffle join at scale)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    p = F.col("o_totalprice")
-    g = o.join(c, o.o_custkey == c.c_custkey).select(
-        F.col("c_nationkey").alias("team_id"), F.col("o_orderkey").alias("match_num"),
-        F.col("o_orderdate").cast("date").alias("match_date"),
-        (F.floor(p).cast("bigint") % 5).alias("goals_for"),
-        (F.floor(p / 7).cast("bigint") % 4).alias("goals_against"),
-        ((F.floor(p).cast("bigint") % 400) / F.lit(100.0)).alias("xg_for"),
-        ((F.floor(p / 3).cast("bigint") % 300) / F.lit(100.0)).alias("xg_against"),
+    g = o.join(c, o.o_custkey == c.c_custkey).selectExpr(
+        "c_nationkey AS team_id", "o_orderkey AS match_num", "CAST(o_orderdate AS DATE) AS match_date",
+        "CAST(floor(o_totalprice) AS BIGINT) % 5 AS goals_for",
+        "CAST(floor(o_totalprice / 7) AS BIGINT) % 4 AS goals_against",
+        "(CAST(floor(o_totalprice) AS BIGINT) % 400) / 100.0D AS xg_for",
+        "(CAST(floor(o_totalprice / 3) AS BIGINT) % 300) / 100.0D AS xg_against",
     )
-    gf, ga = F.col("goals_for"), F.col("goals_against")
-    return g.withColumn("result", F.when(gf > ga, "W").when(gf == ga, "D").otherwise("L"))
+    return g.selectExpr(
+        "*", "CASE WHEN goals_for > goals_against THEN 'W' WHEN goals_for = goals_against THEN 'D' ELSE 'L' END AS result")
 
 
+@_memo("fx_market")
 def fx_market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Market values per team: totals in one aggregate, the top-3 sum through a salted top-k."""
-    s = table(spark, sf_dir, "supplier").select(
-        "s_suppkey", F.col("s_nationkey").alias("team_id"),
-        (F.floor(F.col("s_acctbal")).cast("bigint") + 1001).alias("value_m"), "s_acctbal",
-    )
+    """Market values per team: totals in one aggregate, the top-3 sum through a split top-k."""
+    s = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey", "s_nationkey AS team_id", "CAST(floor(s_acctbal) AS BIGINT) + 1001 AS value_m", "s_acctbal")
     totals = s.groupBy("team_id").agg(
-        F.sum("value_m").cast("bigint").alias("total_squad_value_m"),
-        F.count(F.lit(1)).alias("n_players"),
-        F.count_if(F.col("value_m") > 5000).cast("bigint").alias("n_players_over_50m"),
+        F.expr("CAST(sum(value_m) AS BIGINT)").alias("total_squad_value_m"),
+        F.expr("count(1)").alias("n_players"),
+        F.expr("count_if(value_m > 5000)").alias("n_players_over_50m"),
     )
     top3 = (
         top_k_per_group(s, ["team_id"], [F.col("s_acctbal").desc(), F.col("s_suppkey").asc()], 3, "s_suppkey")
-        .groupBy("team_id").agg(F.sum("value_m").cast("bigint").alias("top3_value_m"))
+        .groupBy("team_id").agg(F.expr("CAST(sum(value_m) AS BIGINT)").alias("top3_value_m"))
     )
-    return totals.join(top3, "team_id", "left").select(
-        "team_id", "total_squad_value_m", F.coalesce("top3_value_m", F.lit(0)).cast("bigint").alias("top3_value_m"),
+    return totals.join(top3, "team_id", "left").selectExpr(
+        "team_id", "total_squad_value_m", "CAST(coalesce(top3_value_m, 0) AS BIGINT) AS top3_value_m",
         "n_players", "n_players_over_50m",
     )
 
 
+@_memo("fx_odds")
 def fx_odds(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    eid, uid = F.col("event_id"), F.col("user_id")
-    return e.select(
-        eid.alias("snapshot_id"), _floor_div(eid, 100).alias("match_id"), (eid % 100).alias("minute"),
-        F.col("ts").alias("ingested_at"),
-        (F.lit(1.2) + ((eid * 31 + uid) % 400) / F.lit(100.0)).alias("odd_home"),
-        (F.lit(2.5) + ((eid * 17 + uid) % 200) / F.lit(100.0)).alias("odd_draw"),
-        (F.lit(1.2) + ((eid * 43 + uid) % 500) / F.lit(100.0)).alias("odd_away"),
-        ((eid * 3) % 4).alias("goals_so_far"),
+    return e.selectExpr(
+        "event_id AS snapshot_id", "CAST(floor(event_id / 100) AS BIGINT) AS match_id", "event_id % 100 AS minute",
+        "ts AS ingested_at",
+        "1.2D + ((event_id * 31 + user_id) % 400) / 100.0D AS odd_home",
+        "2.5D + ((event_id * 17 + user_id) % 200) / 100.0D AS odd_draw",
+        "1.2D + ((event_id * 43 + user_id) % 500) / 100.0D AS odd_away",
+        "(event_id * 3) % 4 AS goals_so_far",
     )
 
 
+@_memo("fx_weather")
 def fx_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
-    eid = F.col("event_id")
-    m = eid % 6
-    return e.select(
-        eid.alias("weather_id"), (F.col("user_id") % 15).alias("venue_id"), F.col("ts").alias("collected_at"),
-        F.col("value").alias("wind_speed_kmh"), (((eid * 45) % 1441) / F.lit(4.0)).alias("wind_direction_deg"),
-        F.when(m == 0, 0).when(m == 1, 3).when(m == 2, 45).when(m == 3, 61).when(m == 4, 95).otherwise(12)
-        .alias("weather_code"),
+    return e.selectExpr(
+        "event_id AS weather_id", "user_id % 15 AS venue_id", "ts AS collected_at", "value AS wind_speed_kmh",
+        "((event_id * 45) % 1441) / 4.0D AS wind_direction_deg",
+        """CASE event_id % 6 WHEN 0 THEN 0 WHEN 1 THEN 3 WHEN 2 THEN 45 WHEN 3 THEN 61 WHEN 4 THEN 95 ELSE 12 END
+           AS weather_code""",
     )

@@ -1,0 +1,183 @@
+"""Repeatable Monte Carlo tournament forecast as one distributed table job.
+
+Every simulated draw is a hash of (seed, simulation, purpose, id) mapped to [0, 1), so a run
+repeats exactly and any engine with md5 can reproduce it. Simulations come from ``range``
+(spread over tasks); the bounded fixture list of the tournament (its entrants are a fixed
+number of teams) is attached as one broadcast row and exploded, so no cross join is planned.
+Group tables, qualification and the knockout rounds are grouped aggregates and windows per
+simulation; the knockout is unrolled (one ``groupBy`` per round).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from fulltime.functions import football as fb
+
+ENTRANTS = 32          # teams in the forecast tournament (top by rating)
+GROUP_SIZE = 4
+QUALIFIERS_PER_GROUP = 2
+KNOCKOUT_ROUNDS = 4    # 16 qualifiers -> round of 16, quarter-finals, semi-finals, final
+POISSON_CAP = 10
+DEFAULT_XG = 1.2
+DRAW_GOALS = 1.1
+LOSER_XG_SHARE = 0.7
+
+
+def uniform(seed: int, *parts: Column | str) -> Column:
+    """Deterministic U[0,1) from md5 of 'seed|part|...' (first 32 bits)."""
+    key = F.concat_ws("|", F.lit(str(seed)), *[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+
+
+def with_poisson_cdf(df: DataFrame, lam: str, name: str, cap: int = POISSON_CAP) -> DataFrame:
+    """Add ``name`` = [F(0), ..., F(cap-1)], the Poisson CDF for the rate SQL expression ``lam``.
+
+    Applied to the small entrants table (one rate per team), so each rate's CDF is computed once.
+    """
+    term, cdf, steps = f"exp(-({lam}))", f"exp(-({lam}))", []
+    steps.append(cdf)
+    for i in range(1, cap):
+        term = f"({term} * ({lam}) / {float(i)}D)"
+        cdf = f"({cdf} + {term})"
+        steps.append(cdf)
+    return df.selectExpr("*", f"array({', '.join(steps)}) AS {name}")
+
+
+def poisson_draw(cdf: Column, u: Column) -> Column:
+    """Inverse-CDF Poisson draw clamped to the CDF length: the number of CDF steps below ``u``."""
+    return F.size(F.filter(cdf, lambda c: c < u))
+
+
+def entrants(team_rating: DataFrame, team_style: DataFrame, teams: DataFrame, n: int = ENTRANTS) -> DataFrame:
+    """The ``n`` best-rated teams with group, position in group, rating and attacking xG."""
+    t = (teams.select("team_id", "team_name").distinct()
+         .join(team_rating.select("team_name", "elo_rating"), "team_name", "left")
+         .join(team_style.select("team_name", F.col("overall_xg_per_game").alias("xg_per_game")), "team_name", "left")
+         .withColumn("elo_rating", F.coalesce("elo_rating", F.lit(1000.0))))
+    top = t.orderBy(F.col("elo_rating").desc(), "team_id").limit(n)
+    w = Window.orderBy("team_id")  # at most n rows
+    e = top.withColumn("_i", F.row_number().over(w) - 1).select(
+        "team_id", "team_name", "elo_rating", F.coalesce("xg_per_game", F.lit(DEFAULT_XG)).alias("xg_per_game"),
+        F.floor(F.col("_i") / GROUP_SIZE).cast("int").alias("group_id"), (F.col("_i") % GROUP_SIZE).cast("int").alias("pos"))
+    e = with_poisson_cdf(e, "xg_per_game", "cdf_win")
+    e = with_poisson_cdf(e, f"xg_per_game * {LOSER_XG_SHARE}D", "cdf_lose")
+    return with_poisson_cdf(e, f"{DRAW_GOALS}D", "cdf_draw")
+
+
+def group_fixtures(ent: DataFrame) -> DataFrame:
+    """Round robin inside each group: every team meets the later positions (generated, then one equi-join)."""
+    later = F.when(F.col("pos") < GROUP_SIZE - 1, F.sequence(F.col("pos") + 1, F.lit(GROUP_SIZE - 1)))
+    home = ent.select("group_id", "pos", F.explode(later).alias("opp_pos"),
+                      F.col("team_id").alias("home_id"), F.col("elo_rating").alias("home_elo"),
+                      F.col("cdf_win").alias("home_cdf_win"), F.col("cdf_lose").alias("home_cdf_lose"), "cdf_draw")
+    away = ent.select("group_id", F.col("pos").alias("opp_pos"), F.col("team_id").alias("away_id"),
+                      F.col("elo_rating").alias("away_elo"), F.col("cdf_win").alias("away_cdf_win"),
+                      F.col("cdf_lose").alias("away_cdf_lose"))
+    f = home.join(away, ["group_id", "opp_pos"])
+    return f.withColumn("fixture_id", F.col("group_id") * 16 + F.col("pos") * 4 + F.col("opp_pos"))
+
+
+def simulations(spark, n_sims: int, partitions: int | None = None) -> DataFrame:
+    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.range(0, n_sims, 1, p).withColumnRenamed("id", "sim")
+
+
+def draw_outcomes(fixtures: DataFrame, sims: DataFrame, seed: int) -> DataFrame:
+    """Outcome and score of every group fixture in every simulation."""
+    packed = fixtures.agg(F.collect_list(F.struct(*fixtures.columns)).alias("fx")).withColumn("_one", F.lit(1))
+    rows = (sims.withColumn("_one", F.lit(1)).join(F.broadcast(packed), "_one")
+            .select("sim", F.explode("fx").alias("f")).select("sim", "f.*"))
+    fid = F.col("fixture_id").cast("string")
+    sim = F.col("sim").cast("string")
+    p_h, p_d, _ = fb.elo_wdl("home_elo", "away_elo")
+    # Draws and rates first, as plain columns: the Poisson steps below then refer to columns only.
+    d = rows.select(
+        "sim", "fixture_id", "group_id", "home_id", "away_id", "home_cdf_win", "home_cdf_lose", "away_cdf_win",
+        "away_cdf_lose", "cdf_draw",
+        uniform(seed, sim, "g", fid).alias("u"), p_h.alias("p_h"), p_d.alias("p_d"),
+        uniform(seed, sim, "gh", fid).alias("u_h"), uniform(seed, sim, "ga", fid).alias("u_a"),
+        uniform(seed, sim, "gd", fid).alias("u_d"))
+    u, ph, pd = F.col("u"), F.col("p_h"), F.col("p_d")
+    d = d.withColumn("result", F.when(u < ph, "H").when(u < ph + pd, "D").otherwise("A"))
+    u_h, u_a = F.col("u_h"), F.col("u_a")
+    draw_goals = poisson_draw(F.col("cdf_draw"), F.col("u_d"))
+    gh = (F.when(F.col("result") == "H", F.greatest(F.lit(1), poisson_draw(F.col("home_cdf_win"), u_h)))
+          .when(F.col("result") == "A", poisson_draw(F.col("home_cdf_lose"), u_h)).otherwise(draw_goals))
+    ga = (F.when(F.col("result") == "H", poisson_draw(F.col("away_cdf_lose"), u_a))
+          .when(F.col("result") == "A", F.greatest(F.lit(1), poisson_draw(F.col("away_cdf_win"), u_a)))
+          .otherwise(draw_goals))
+    return d.select("sim", "fixture_id", "group_id", "home_id", "away_id", "result",
+                    gh.alias("home_goals"), ga.alias("away_goals"))
+
+
+def group_tables(outcomes: DataFrame) -> DataFrame:
+    """Points, goals for and against per (simulation, team), and the group rank (points, difference, goals, id)."""
+    def side(home: bool) -> Column:
+        me, gf, ga = ("home_id", "home_goals", "away_goals") if home else ("away_id", "away_goals", "home_goals")
+        win, loss = ("H", "A") if home else ("A", "H")
+        pts = F.when(F.col("result") == win, 3).when(F.col("result") == "D", 1).otherwise(0)
+        return F.struct(F.col(me).alias("team_id"), pts.alias("pts"), F.col(gf).alias("gf"), F.col(ga).alias("ga"))
+
+    s = outcomes.select("sim", "group_id", F.explode(F.array(side(True), side(False))).alias("s")).select(
+        "sim", "group_id", "s.*")
+    t = s.groupBy("sim", "group_id", "team_id").agg(
+        F.sum("pts").alias("points"), F.sum("gf").alias("goals_for"), F.sum("ga").alias("goals_against"))
+    t = t.withColumn("goal_diff", F.col("goals_for") - F.col("goals_against"))
+    w = Window.partitionBy("sim", "group_id").orderBy(
+        F.col("points").desc(), F.col("goal_diff").desc(), F.col("goals_for").desc(), F.col("team_id"))
+    return t.withColumn("group_rank", F.row_number().over(w))
+
+
+def qualifiers(tables: DataFrame, ent: DataFrame, seed: int) -> DataFrame:
+    """Top two of every group, placed in a random knockout slot per simulation."""
+    q = tables.filter(F.col("group_rank") <= QUALIFIERS_PER_GROUP).join(
+        ent.select("team_id", "elo_rating"), "team_id")
+    u = uniform(seed, F.col("sim").cast("string"), "slot", F.col("team_id").cast("string"))
+    w = Window.partitionBy("sim").orderBy(u, F.col("team_id"))
+    return q.select("sim", "team_id", "elo_rating", (F.row_number().over(w) - 1).alias("slot"))
+
+
+def _uniform_sql(seed: int, *parts: str) -> str:
+    key = ", ".join([f"'{seed}'", *parts])
+    return f"(CAST(conv(substr(md5(concat_ws('|', {key})), 1, 8), 16, 10) AS BIGINT) / 4294967296.0D)"
+
+
+def knockout(quals: DataFrame, seed: int, rounds: int = KNOCKOUT_ROUNDS) -> DataFrame:
+    """Knockout per simulation: slots 2m and 2m+1 meet, a drawn tie goes to a 50/50 shoot-out, an
+    unpaired slot advances. The bracket of one simulation (at most 2 x groups teams) is gathered by
+    ONE ``groupBy(sim)`` and played round by round with array functions; the result is one row per
+    (simulation, team) with the number of rounds won."""
+    b = quals.groupBy("sim").agg(
+        F.sort_array(F.collect_list(F.struct("slot", "team_id", "elo_rating"))).alias("t0"))
+    for r in range(1, rounds + 1):
+        prev = f"t{r - 1}"
+        a, bb = f"{prev}[2 * m]", f"{prev}[2 * m + 1]"
+        p = f"(1.0D / (1.0D + pow(10.0D, -({a}.elo_rating - {bb}.elo_rating) / 400.0D)))"
+        d = f"greatest(0.15D, least(0.30D, 0.26D * (1.0D - abs({p} - 0.5D) * 1.5D)))"
+        ph = f"({p} * (1.0D - {d}))"
+        u = _uniform_sql(seed, "CAST(sim AS STRING)", f"'k{r}'", "CAST(m AS STRING)")
+        pens = _uniform_sql(seed, "CAST(sim AS STRING)", f"'p{r}'", "CAST(m AS STRING)")
+        a_wins = f"(2 * m + 1 >= size({prev}) OR {u} < {ph} OR ({u} < {ph} + {d} AND {pens} < 0.5D))"
+        expr = (f"transform(sequence(0, CAST(ceil(size({prev}) / 2.0D) AS INT) - 1), m -> CASE WHEN {a_wins} "
+                f"THEN named_struct('slot', m, 'team_id', {a}.team_id, 'elo_rating', {a}.elo_rating) "
+                f"ELSE named_struct('slot', m, 'team_id', {bb}.team_id, 'elo_rating', {bb}.elo_rating) END) AS t{r}")
+        b = b.selectExpr("*", expr)
+    won = " + ".join(f"CASE WHEN array_contains(transform(t{r}, x -> x.team_id), e.team_id) THEN 1 ELSE 0 END"
+                     for r in range(1, rounds + 1))
+    return b.selectExpr("sim", *[f"t{r}" for r in range(1, rounds + 1)], "explode(t0) AS e") \
+        .selectExpr("sim", "e.team_id AS team_id", f"{won} AS rounds_won")
+
+
+def stage_probabilities(ent: DataFrame, tables: DataFrame, ko: DataFrame, n_sims: int) -> DataFrame:
+    """Per team: % of simulations reaching the round of 16, quarter-finals, semi-finals, final, and winning."""
+    reached = tables.select("sim", "team_id").join(ko, ["sim", "team_id"], "left").select(
+        "team_id", F.coalesce(F.col("rounds_won") + 1, F.lit(0)).alias("stage"))
+    g = reached.groupBy("team_id").agg(
+        *[F.count_if(F.col("stage") >= k).alias(f"_n{k}") for k in range(1, KNOCKOUT_ROUNDS + 2)])
+    names = ["p_round_of_16", "p_quarter_finals", "p_semi_finals", "p_final", "p_champion"]
+    out = g.select("team_id", *[F.round(F.col(f"_n{k}") * 100.0 / n_sims, 2).alias(n)
+                                for k, n in zip(range(1, KNOCKOUT_ROUNDS + 2), names)])
+    return ent.select("team_id", "team_name", "elo_rating", "group_id").join(out, "team_id", "left") \
+        .withColumn("n_simulations", F.lit(n_sims))

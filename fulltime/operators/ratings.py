@@ -2,9 +2,9 @@
 
 The rating update couples the two teams of a match, so matches of one pool (an independent
 competition history) must be folded in date order; pools are independent and run in parallel.
-Each pool is hash-partitioned, sorted inside its partition, and folded by an iterator
-``applyInPandas`` that streams the pool in Arrow batches: memory is O(teams), not O(matches),
-so a pool holding a third of all rows still runs in one bounded task.
+Pools are hash-partitioned, sorted inside their partition, and folded by ``mapInPandas`` that
+streams each partition in Arrow batches: memory is O(teams), not O(matches), so a pool holding
+a third of all rows still runs in one bounded task, and there is no per-pool Python overhead.
 """
 
 from __future__ import annotations
@@ -37,26 +37,32 @@ def _k(round_name: str) -> int:
     return 50
 
 
-def _fold(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Fold one pool's matches (arriving sorted by date, number) into before/after ratings."""
+def _fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Fold the pools of one partition. Rows arrive clustered by pool and sorted by (pool, date,
+    number); the rating state is reset at every pool boundary and the order is checked."""
     ratings: dict[str, float] = {}
-    last = None
+    pool, last = None, None
     for b in batches:
-        out = {c: [] for c in ("elo_home_before", "elo_away_before", "elo_home_after", "elo_away_after", "we_home")}
-        for d, n, h, a, hs, as_, rnd_name in zip(b["match_date"], b["match_num"], b["home_team"], b["away_team"],
-                                                  b["home_score"], b["away_score"], b["round"]):
-            cur = (d, n)
+        n = len(b)
+        out = {c: [0.0] * n for c in ("elo_home_before", "elo_away_before", "elo_home_after", "elo_away_after",
+                                       "we_home")}
+        rows = zip(b["pool_id"].tolist(), b["match_date"].tolist(), b["match_num"].tolist(), b["home_team"].tolist(),
+                   b["away_team"].tolist(), b["home_score"].tolist(), b["away_score"].tolist(), b["round"].tolist())
+        for i, (p, d, num, h, a, hs, as_, rnd_name) in enumerate(rows):
+            cur = (p, d, num)
             if last is not None and cur < last:
-                raise ValueError(f"pool {key}: matches not in (date, number) order")
+                raise ValueError("ratings input is not sorted by (pool, date, number) inside its partition")
             last = cur
+            if p != pool:
+                ratings, pool = {}, p
             rh, ra = ratings.get(h, START_RATING), ratings.get(a, START_RATING)
             we = 1.0 / (1.0 + 10.0 ** ((ra - rh) / 400.0))
             w = 1.0 if hs > as_ else (0.5 if hs == as_ else 0.0)
             k = _k(rnd_name)
             nh, na = rh + k * (w - we), ra + k * ((1.0 - w) - (1.0 - we))
             ratings[h], ratings[a] = nh, na
-            for col, v in zip(out, (rh, ra, nh, na, we)):
-                out[col].append(v)
+            out["elo_home_before"][i], out["elo_away_before"][i] = rh, ra
+            out["elo_home_after"][i], out["elo_away_after"][i], out["we_home"][i] = nh, na, we
         yield b[RESULT_COLUMNS].assign(**out)
 
 
@@ -69,11 +75,11 @@ def elo_ratings(results: DataFrame, partitions: int | None = None) -> DataFrame:
     r = results.select(*[F.col(c).cast(t) for c, t in zip(cols, ("long", "long", "date", "string", "string", "long",
                                                                    "long", "string"))])
     n = partitions or int(r.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Hash by pool, then sort inside partitions: the grouped fold needs (pool) clustering and
-    # (pool) order, which this already satisfies, so Spark adds no exchange or sort that would
-    # lose the (date, number) order.
+    # Every pool lands in one partition (hash by pool), sorted by (pool, date, number); one Python
+    # call per partition streams its pools in Arrow batches with O(teams) state, so a pool holding
+    # a third of all matches is still folded in bounded memory (its time is inherently sequential).
     ordered = r.repartition(n, "pool_id").sortWithinPartitions("pool_id", "match_date", "match_num")
-    out = ordered.groupBy("pool_id").applyInPandas(_fold, RATING_SCHEMA)
+    out = ordered.mapInPandas(_fold_partition, RATING_SCHEMA)
     return out.select(
         *cols,
         rnd("elo_home_before", 1).alias("elo_home_before"), rnd("elo_away_before", 1).alias("elo_away_before"),

@@ -13,14 +13,17 @@ from fulltime.sources import testdata as td
 EM = ["fx_event", "fx_match"]
 
 
+@td.memo_plan("timeline")
 def tl_frame(spark, sf):
     return timeline.match_timeline(td.fx_event(spark, sf), td.fx_match(spark, sf))
 
 
+@td.memo_plan("player_match_stats")
 def pms_frame(spark, sf):
     return players.player_match_stats(tl_frame(spark, sf))
 
 
+@td.memo_plan("team_performance")
 def tp_frame(spark, sf):
     return teams.team_performance(tl_frame(spark, sf), td.fx_match(spark, sf))
 

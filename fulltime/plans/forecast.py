@@ -1,0 +1,217 @@
+"""Monte Carlo forecast keys (SIM-01..05), the forecast view (SNK-08) and titles by confederation (AGG-44)."""
+
+from __future__ import annotations
+
+from functools import cached_property
+
+from pyspark.sql import functions as F
+
+from fulltime.operators import forecast as fc
+from fulltime.operators import gold
+from fulltime.plans.core import EM, STYLE_OVERALL_SQL, tp_frame
+from fulltime.plans.fixture_sql import with_fixtures
+from fulltime.plans.registry import query
+from fulltime.plans.scalars import _CONF_SQL, confederation
+from fulltime.plans.shots_ratings import ELO, q_alias_lookup
+from fulltime.plans.sql_blocks import TEAM_PERF, TIMELINE
+from fulltime.sources import testdata as td
+
+SEED = 42
+N_SIMS = 10_000
+
+
+def _u(*parts: str) -> str:
+    key = ", ".join([f"'{SEED}'"] + list(parts))
+    return f"(CAST(('0x' || substr(md5(concat_ws('|', {key})), 1, 8)) AS BIGINT) / 4294967296.0)"
+
+
+def _poisson(lam: str, u: str, cap: int = fc.POISSON_CAP) -> str:
+    term = f"exp(-({lam}))"
+    cdf = term
+    parts = [f"CASE WHEN {u} > {cdf} THEN 1 ELSE 0 END"]
+    for i in range(1, cap):
+        term = f"({term} * ({lam}) / {float(i)})"
+        cdf = f"({cdf} + {term})"
+        parts.append(f"CASE WHEN {u} > {cdf} THEN 1 ELSE 0 END")
+    return "(" + " + ".join(parts) + ")"
+
+
+def _wdl(h: str, a: str) -> tuple[str, str]:
+    p = f"(1.0 / (1.0 + pow(10.0, -(({h}) - ({a})) / 400.0)))"
+    d = f"greatest(0.15, least(0.30, 0.26 * (1.0 - abs({p} - 0.5) * 1.5)))"
+    return f"({p} * (1.0 - {d}))", d
+
+
+def _sim_sql() -> str:
+    ph, pd = _wdl("home_elo", "away_elo")
+    sim, fid = "CAST(sim AS VARCHAR)", "CAST(fixture_id AS VARCHAR)"
+    u = _u(sim, "'g'", fid)
+    uh, ua, ud = _u(sim, "'gh'", fid), _u(sim, "'ga'", fid), _u(sim, "'gd'", fid)
+    dg = _poisson(str(fc.DRAW_GOALS), ud)
+    parts = [f"""
+ent0 AS (
+  SELECT t.team_id, t.team_name, coalesce(r.elo_rating, 1000.0) AS elo_rating, s.overall_xg_per_game AS xg0
+  FROM (SELECT DISTINCT home_team_id AS team_id, home_team_name AS team_name FROM fx_match
+        UNION SELECT DISTINCT away_team_id, away_team_name FROM fx_match) t
+  LEFT JOIN rating r ON r.team_name = t.team_name LEFT JOIN so s ON s.team_name = t.team_name),
+ent1 AS (SELECT * FROM ent0 ORDER BY elo_rating DESC, team_id LIMIT {fc.ENTRANTS}),
+ent AS (SELECT team_id, team_name, elo_rating, coalesce(xg0, {fc.DEFAULT_XG}) AS xg_per_game,
+               CAST(floor((row_number() OVER (ORDER BY team_id) - 1) / {fc.GROUP_SIZE}) AS INTEGER) AS group_id,
+               CAST((row_number() OVER (ORDER BY team_id) - 1) % {fc.GROUP_SIZE} AS INTEGER) AS pos FROM ent1),
+fxt AS (SELECT h.group_id, h.pos, a.pos AS opp_pos, h.team_id AS home_id, h.elo_rating AS home_elo,
+               h.xg_per_game AS home_xg, a.team_id AS away_id, a.elo_rating AS away_elo, a.xg_per_game AS away_xg,
+               h.group_id * 16 + h.pos * 4 + a.pos AS fixture_id
+        FROM ent h JOIN ent a ON a.group_id = h.group_id AND a.pos > h.pos),
+sims AS (SELECT range AS sim FROM range({N_SIMS})),
+oc0 AS (SELECT s.sim, f.*, CASE WHEN {u} < {ph} THEN 'H' WHEN {u} < {ph} + {pd} THEN 'D' ELSE 'A' END AS result
+        FROM sims s, fxt f),
+oc AS (
+  SELECT sim, fixture_id, group_id, home_id, away_id, result,
+    CASE WHEN result = 'H' THEN greatest(1, {_poisson('home_xg', uh)})
+         WHEN result = 'A' THEN {_poisson(f'home_xg * {fc.LOSER_XG_SHARE}', uh)} ELSE {dg} END AS home_goals,
+    CASE WHEN result = 'H' THEN {_poisson(f'away_xg * {fc.LOSER_XG_SHARE}', ua)}
+         WHEN result = 'A' THEN greatest(1, {_poisson('away_xg', ua)}) ELSE {dg} END AS away_goals
+  FROM oc0),
+sides AS (
+  SELECT sim, group_id, home_id AS team_id, CASE result WHEN 'H' THEN 3 WHEN 'D' THEN 1 ELSE 0 END AS pts,
+         home_goals AS gf, away_goals AS ga FROM oc
+  UNION ALL
+  SELECT sim, group_id, away_id, CASE result WHEN 'A' THEN 3 WHEN 'D' THEN 1 ELSE 0 END, away_goals, home_goals FROM oc),
+gt0 AS (SELECT sim, group_id, team_id, CAST(sum(pts) AS BIGINT) AS points, CAST(sum(gf) AS BIGINT) AS goals_for,
+               CAST(sum(ga) AS BIGINT) AS goals_against FROM sides GROUP BY sim, group_id, team_id),
+gt AS (SELECT *, goals_for - goals_against AS goal_diff,
+              row_number() OVER (PARTITION BY sim, group_id ORDER BY points DESC, goals_for - goals_against DESC,
+                                 goals_for DESC, team_id) AS group_rank FROM gt0),
+q AS (SELECT g.sim, g.team_id, e.elo_rating,
+             row_number() OVER (PARTITION BY g.sim ORDER BY {_u('CAST(g.sim AS VARCHAR)', "'slot'", 'CAST(g.team_id AS VARCHAR)')}, g.team_id) - 1 AS slot
+      FROM gt g JOIN ent e ON e.team_id = g.team_id WHERE g.group_rank <= {fc.QUALIFIERS_PER_GROUP}),
+alive0 AS (SELECT sim, team_id, elo_rating, slot FROM q)"""]
+    for r in range(1, fc.KNOCKOUT_ROUNDS + 1):
+        kh, kd = _wdl("a_elo", "b_elo")
+        mid = "CAST(m AS VARCHAR)"
+        ku, pu = _u("CAST(sim AS VARCHAR)", f"'k{r}'", mid), _u("CAST(sim AS VARCHAR)", f"'p{r}'", mid)
+        parts.append(f"""
+ko{r}p AS (SELECT sim, CAST(floor(slot / 2) AS BIGINT) AS m, arg_min(team_id, slot) AS a_id, arg_min(elo_rating, slot) AS a_elo,
+                  arg_max(team_id, slot) AS b_id, arg_max(elo_rating, slot) AS b_elo, count(*) AS n
+           FROM alive{r - 1} GROUP BY sim, CAST(floor(slot / 2) AS BIGINT)),
+ko{r} AS (SELECT *, (n = 1 OR {ku} < {kh} OR ({ku} < {kh} + {kd} AND {pu} < 0.5)) AS a_wins FROM ko{r}p),
+alive{r} AS (SELECT sim, m AS slot, CASE WHEN a_wins THEN a_id ELSE b_id END AS team_id,
+                    CASE WHEN a_wins THEN a_elo ELSE b_elo END AS elo_rating FROM ko{r}),
+exit{r} AS (SELECT sim, CASE WHEN a_wins THEN b_id ELSE a_id END AS team_id, {r - 1} AS rounds_won FROM ko{r} WHERE n = 2)""")
+    exits = " UNION ALL ".join(f"SELECT * FROM exit{r}" for r in range(1, fc.KNOCKOUT_ROUNDS + 1))
+    parts.append(f"""
+ko AS ({exits} UNION ALL SELECT sim, team_id, {fc.KNOCKOUT_ROUNDS} AS rounds_won FROM alive{fc.KNOCKOUT_ROUNDS}),
+reach AS (SELECT g.team_id, coalesce(k.rounds_won + 1, 0) AS stage FROM gt g LEFT JOIN ko k USING (sim, team_id)),
+probs AS (
+  SELECT e.team_id, e.team_name, e.elo_rating, e.group_id,
+         """ + ",\n         ".join(
+        f"round(count(*) FILTER (WHERE r.stage >= {k}) * 100.0 / {N_SIMS}, 2) AS {n}" for k, n in
+        zip(range(1, fc.KNOCKOUT_ROUNDS + 2), ["p_round_of_16", "p_quarter_finals", "p_semi_finals", "p_final", "p_champion"]))
+                 + f""", {N_SIMS} AS n_simulations
+  FROM ent e LEFT JOIN reach r ON r.team_id = e.team_id GROUP BY e.team_id, e.team_name, e.elo_rating, e.group_id)""")
+    return ",".join(parts)
+
+
+SIM_CTES = TIMELINE + "," + TEAM_PERF + "," + ELO.replace("-- RECURSIVE_CTE\n", "") + """,
+lat AS (SELECT team, rating AS elo_rating FROM (
+  SELECT *, row_number() OVER (PARTITION BY team ORDER BY match_date DESC, match_num DESC, pool_id DESC) AS rn FROM sides)
+  WHERE rn = 1),
+rating AS (
+  SELECT n.team_name, coalesce(v1.elo_rating, v2.elo_rating, 1000.0) AS elo_rating
+  FROM (SELECT DISTINCT home_team_name AS team_name FROM fx_match UNION SELECT DISTINCT away_team_name FROM fx_match) n
+  LEFT JOIN lat v1 ON v1.team = n.team_name
+  LEFT JOIN (SELECT DISTINCT home_team_name AS alias_from, 'T' || CAST(home_team_id AS VARCHAR) AS alias_to
+             FROM fx_match WHERE home_team_id < 16) a ON a.alias_from = n.team_name
+  LEFT JOIN lat v2 ON v2.team = a.alias_to),
+so AS (""" + STYLE_OVERALL_SQL + ")," + _sim_sql().replace("\nsides AS (", "\nsides_mc AS (").replace(
+    "FROM sides GROUP BY sim, group_id, team_id", "FROM sides_mc GROUP BY sim, group_id, team_id")
+
+SIM_FIX = ["fx_event", "fx_match", "fx_result"]
+
+
+def _sim(sql_body: str) -> str:
+    return with_fixtures(SIM_FIX, sql_body, SIM_CTES, recursive=True)
+
+
+class _Run:
+    """The stages of one forecast run, each built on first use."""
+
+    def __init__(self, spark, sf):
+        self.spark, self.sf = spark, sf
+
+    @cached_property
+    def ent(self):
+        spark, sf = self.spark, self.sf
+        m = td.fx_match(spark, sf)
+        teams = m.select(F.col("home_team_id").alias("team_id"), F.col("home_team_name").alias("team_name")).union(
+            m.select("away_team_id", "away_team_name"))
+        return fc.entrants(q_alias_lookup(spark, sf), gold.team_style_overall(tp_frame(spark, sf)), teams)
+
+    @cached_property
+    def outcomes(self):
+        return fc.draw_outcomes(fc.group_fixtures(self.ent), fc.simulations(self.spark, N_SIMS), SEED)
+
+    @cached_property
+    def tables(self):
+        return fc.group_tables(self.outcomes)
+
+    @cached_property
+    def quals(self):
+        return fc.qualifiers(self.tables, self.ent, SEED)
+
+    @cached_property
+    def ko(self):
+        return fc.knockout(self.quals, SEED)
+
+    @cached_property
+    def probs(self):
+        return fc.stage_probabilities(self.ent, self.tables, self.ko, N_SIMS)
+
+
+@query("mc_outcomes", _sim("SELECT sim, fixture_id, group_id, home_id, away_id, result, home_goals, away_goals FROM oc"))
+def q_mc_outcomes(spark, sf):
+    return _Run(spark, sf).outcomes
+
+
+@query("mc_group_tables", _sim("SELECT * FROM gt"))
+def q_mc_group_tables(spark, sf):
+    return _Run(spark, sf).tables
+
+
+@query("mc_qualifiers", _sim("SELECT * FROM q"))
+def q_mc_qualifiers(spark, sf):
+    return _Run(spark, sf).quals
+
+
+@query("mc_knockout", _sim("SELECT * FROM ko"))
+def q_mc_knockout(spark, sf):
+    return _Run(spark, sf).ko
+
+
+@query("mc_stage_probs", _sim("SELECT * FROM probs"))
+def q_mc_stage_probs(spark, sf):
+    return _Run(spark, sf).probs
+
+
+@query("v_forecast", _sim("""
+SELECT team_name, elo_rating, group_id, p_round_of_16 AS pct_round_of_16, p_quarter_finals AS pct_quarter_finals,
+       p_semi_finals AS pct_semi, p_final AS pct_final, p_champion AS pct_champion, n_simulations FROM probs"""))
+def q_v_forecast(spark, sf):
+    p = _Run(spark, sf).probs
+    return p.select("team_name", "elo_rating", "group_id", F.col("p_round_of_16").alias("pct_round_of_16"),
+                    F.col("p_quarter_finals").alias("pct_quarter_finals"), F.col("p_semi_finals").alias("pct_semi"),
+                    F.col("p_final").alias("pct_final"), F.col("p_champion").alias("pct_champion"), "n_simulations")
+
+
+@query("by_confederation", _sim(f"""
+SELECT CASE rg.r_name {_CONF_SQL} ELSE 'OTHER' END AS confederation, round(sum(p.p_champion), 2) AS total_p_champion
+FROM probs p JOIN nation n ON n.n_nationkey = p.team_id % 25 LEFT JOIN region rg ON rg.r_regionkey = n.n_regionkey
+GROUP BY 1"""))
+def q_by_confederation(spark, sf):
+    """Title chances summed by confederation (entrant team id mapped onto a nation of the test data)."""
+    p = _Run(spark, sf).probs
+    n = td.table(spark, sf, "nation")
+    r = td.table(spark, sf, "region")
+    j = p.join(n, n.n_nationkey == p.team_id % 25).join(r, n.n_regionkey == r.r_regionkey, "left")
+    return j.groupBy(confederation(F.col("r_name")).alias("confederation")).agg(
+        F.round(F.sum("p_champion"), 2).alias("total_p_champion"))

@@ -34,4 +34,5 @@ def load_all() -> None:
         shots_ratings,
         squads_features,
         scalars,
+        forecast,
     )

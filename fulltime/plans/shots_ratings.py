@@ -15,6 +15,7 @@ from fulltime.sources import testdata as td
 EMF = ["fx_event", "fx_match", "fx_frame"]
 
 
+@td.memo_plan("shot_map")
 def shot_map_frame(spark, sf):
     return frames.shot_map(tl_frame(spark, sf), td.fx_frame(spark, sf))
 
@@ -153,6 +154,7 @@ sides AS (
 """
 
 
+@td.memo_plan("elo_ratings")
 def elo_frame(spark, sf):
     return ratings.elo_ratings(td.fx_result(spark, sf))
 
@@ -205,6 +207,7 @@ LEFT JOIN lat v2 ON v2.team = a.alias_to""", ELO + """,
 lat AS (SELECT team, rating AS elo_rating FROM (
   SELECT *, row_number() OVER (PARTITION BY team ORDER BY match_date DESC, match_num DESC, pool_id DESC) AS rn FROM sides)
   WHERE rn = 1)"""))
+@td.memo_plan("alias_lookup")
 def q_alias_lookup(spark, sf):
     """Rating per match-table team: by name, else through an alias table, else a default."""
     m = td.fx_match(spark, sf)

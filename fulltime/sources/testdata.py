@@ -41,8 +41,17 @@ def _memo(name: str):
     return deco
 
 
+def memo_plan(name: str):
+    """Memoise a plan builder ``fn(spark, sf_dir)`` per (session, folder). Plans are lazy and
+    immutable, so sharing one object between the queries of a session only saves building time."""
+    return _memo(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = (id(spark), sf_dir.rstrip("/"), f"table:{name}")
+    if key not in _MEMO:
+        _MEMO[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _MEMO[key]
 
 
 HOME = "match_id % 32"

@@ -24,6 +24,9 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'math_fns': ['log_value', 'third_value'],
     'mc_qualifiers': ['elo_rating'],
     'mc_stage_probs': ['elo_rating', 'p_round_of_16', 'p_quarter_finals', 'p_semi_finals', 'p_final', 'p_champion'],
+    'measures_forecast': ['favourite_pct', 'team0_title_pct', 'team0_semi_pct', 'group0_title_pct'],
+    'measures_scorers': ['total_xg', 'goals_above_xg', 'conversion_pct'],
+    'measures_style': ['mean_ppda', 'mean_xg_diff', 'best_xg_diff'],
     'opening_odds': ['odd_home', 'odd_draw', 'odd_away'],
     'over_under': ['p_over', 'odd_over', 'odd_under'],
     'pitch_geometry': ['distance_to_goal', 'angle_to_goal'],
@@ -58,5 +61,7 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'topk_shots': ['shot_xg', 'distance_to_goal'],
     'trailing_form': ['form_xg', 'form_xga', 'form_ppda', 'form_possession', 'form_goals', 'form_goals_ag'],
     'v_forecast': ['elo_rating', 'pct_round_of_16', 'pct_quarter_finals', 'pct_semi', 'pct_final', 'pct_champion'],
+    'v_scorers': ['xg_total', 'goals_above_xg', 'shot_conversion_pct', 'goals_per_90'],
+    'v_styles': ['avg_possession_pct', 'avg_ppda', 'xg_per_game', 'xga_per_game', 'xg_diff_per_game', 'dominance_score', 'win_pct'],
     'xg_summary': ['xg_total', 'xg_mean', 'xg_max'],
 }

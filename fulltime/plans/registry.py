@@ -35,4 +35,5 @@ def load_all() -> None:
         squads_features,
         scalars,
         forecast,
+        serving,
     )

@@ -13,9 +13,13 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'elo_ratings': ['elo_home_before', 'elo_away_before', 'elo_home_after', 'elo_away_after', 'elo_diff', 'we_home', 'we_away'],
     'elo_snapshot': ['elo_rating'],
     'elo_wdl': ['p_home_win', 'p_draw', 'p_away_win'],
+    'encode_cat': ['shot_body_part_enc', 'shot_type_enc', 'pitch_zone_enc'],
+    'feature_importances': ['importance'],
+    'fixture_features': ['elo_home', 'elo_away', 'elo_diff', 'elo_home_win_prob', 'home_xg_per_game', 'away_xg_per_game'],
     'frames_of': ['loc_x', 'loc_y'],
     'goals_by_edition': ['xg'],
     'implied_probs': ['ip_home', 'ip_draw', 'ip_away', 'margin'],
+    'impute_features': ['distance_to_goal', 'angle_to_goal', 'distance_nearest_defender', 'gk_distance_to_goalline'],
     'last_n_shots': ['shot_xg'],
     'market_features': ['squad_value_m', 'squad_value_log', 'avg_player_value_m', 'top3_value_m', 'depth_value_ratio'],
     'match_features': ['elo_home', 'elo_away', 'elo_diff', 'elo_home_win_prob', 'home_xg_per_game', 'home_xga_per_game', 'home_ppda', 'home_possession_pct', 'home_prog_passes', 'home_def_line_x', 'home_dominance_score', 'away_xg_per_game', 'away_xga_per_game', 'away_ppda', 'away_possession_pct', 'away_prog_passes', 'away_def_line_x', 'away_dominance_score', 'xg_diff', 'ppda_diff', 'possession_diff', 'dominance_diff', 'home_form_xg', 'away_form_xg', 'home_form_xga', 'away_form_xga', 'home_form_ppda', 'away_form_ppda', 'home_form_possession', 'away_form_possession', 'form_xg_diff'],
@@ -27,6 +31,7 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'measures_forecast': ['favourite_pct', 'team0_title_pct', 'team0_semi_pct', 'group0_title_pct'],
     'measures_scorers': ['total_xg', 'goals_above_xg', 'conversion_pct'],
     'measures_style': ['mean_ppda', 'mean_xg_diff', 'best_xg_diff'],
+    'measures_xg': ['mean_xg', 'agreement', 'goal_rate'],
     'opening_odds': ['odd_home', 'odd_draw', 'odd_away'],
     'over_under': ['p_over', 'odd_over', 'odd_under'],
     'pitch_geometry': ['distance_to_goal', 'angle_to_goal'],
@@ -37,12 +42,14 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'report_scorers': ['xg', 'goals_minus_xg'],
     'report_technique': ['xg_mean', 'xg_total', 'avg_distance', 'conversion_pct'],
     'report_xg_diff': ['xg_for', 'xg_against', 'xg_diff'],
+    'report_xg_type': ['our_xg_mean', 'provider_xg_mean', 'goal_rate'],
     'report_zone': ['xg_mean', 'xg_total', 'conversion_pct'],
     'results_by_year': ['goals_per_match'],
     'safe_pct': ['conversion_pct', 'prog_carry_pct'],
     'shot_defenders': ['def_x', 'def_y', 'def_dist'],
     'shot_frame_measures': ['distance_nearest_defender', 'gk_distance_to_shooter', 'gk_distance_to_goalline'],
     'shot_map': ['loc_x', 'loc_y', 'shot_xg', 'distance_to_goal', 'angle_to_goal', 'distance_nearest_defender', 'gk_distance_to_shooter', 'gk_distance_to_goalline'],
+    'shot_models': ['auc', 'brier', 'log_loss'],
     'shots_only': ['shot_xg', 'distance_to_goal', 'angle_to_goal'],
     'squad_by_position': ['gk_avg_overall', 'def_avg_overall', 'mid_avg_overall', 'att_avg_overall'],
     'squad_depth': ['squad_top11_overall', 'squad_top11_avg_age', 'squad_bench_overall', 'squad_depth_score'],
@@ -62,6 +69,10 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'trailing_form': ['form_xg', 'form_xga', 'form_ppda', 'form_possession', 'form_goals', 'form_goals_ag'],
     'v_forecast': ['elo_rating', 'pct_round_of_16', 'pct_quarter_finals', 'pct_semi', 'pct_final', 'pct_champion'],
     'v_scorers': ['xg_total', 'goals_above_xg', 'shot_conversion_pct', 'goals_per_90'],
+    'v_shots': ['distance_to_goal', 'angle_to_goal', 'our_xg', 'provider_xg'],
     'v_styles': ['avg_possession_pct', 'avg_ppda', 'xg_per_game', 'xga_per_game', 'xg_diff_per_game', 'dominance_score', 'win_pct'],
+    'xg_agreement': ['mae', 'corr'],
+    'xg_predictions': ['distance_to_goal', 'angle_to_goal', 'shot_xg', 'our_xg'],
+    'xg_provider_metrics': ['auc', 'brier', 'log_loss'],
     'xg_summary': ['xg_total', 'xg_mean', 'xg_max'],
 }

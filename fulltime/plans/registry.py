@@ -36,4 +36,5 @@ def load_all() -> None:
         scalars,
         forecast,
         serving,
+        ml,
     )

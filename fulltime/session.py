@@ -52,3 +52,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     root = ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/{name}-{next(tempfile._get_candidate_names())}"
     return path
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder (reliable, survives executor loss)
+    and continue from the written copy. Used before iterative work (model fits, folds)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -58,6 +58,10 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'squad_ratings': ['squad_avg_overall', 'squad_overall_std', 'squad_avg_potential', 'squad_avg_age', 'gk_avg_overall', 'def_avg_overall', 'mid_avg_overall', 'att_avg_overall', 'squad_top11_overall', 'squad_top11_avg_age', 'squad_bench_overall', 'squad_peak_pct', 'squad_veteran_pct', 'squad_young_pct', 'squad_depth_score'],
     'squad_risk': ['avg_age', 'peak_pct', 'veteran_pct', 'avg_overall', 'form_ppg', 'risk_score'],
     'standings': ['xg_for', 'xga_against', 'avg_possession', 'avg_ppda', 'avg_shots', 'xg_diff', 'xg_points', 'luck_index'],
+    'stream_odds': ['last_odd_home', 'last_odd_draw', 'last_odd_away', 'mean_odd_home'],
+    'stream_parse': ['odd_home', 'odd_draw', 'odd_away'],
+    'stream_upsert': ['odd_home', 'odd_draw', 'odd_away'],
+    'stream_weather': ['mean_wind_kmh', 'max_wind_kmh'],
     'summary_stats': ['mean', 'stddev', 'min', 'p25', 'p50', 'p75', 'max'],
     'team_performance': ['xg', 'xg_per_shot', 'avg_shot_distance', 'xga', 'possession_pct', 'ppda', 'avg_pass_length', 'avg_defensive_line_x'],
     'team_style': ['xg_per_game', 'xg_total', 'shots_per_game', 'shots_on_target_per_game', 'goals_per_game', 'avg_shot_distance', 'xga_per_game', 'xga_total', 'goals_conceded_per_game', 'clearances_per_game', 'avg_defensive_line_x', 'avg_possession_pct', 'progressive_passes_per_game', 'progressive_carries_per_game', 'avg_pass_length', 'crosses_per_game', 'avg_ppda', 'xg_diff_total', 'xg_diff_per_game', 'win_pct', 'dominance_score'],

@@ -37,4 +37,5 @@ def load_all() -> None:
         forecast,
         serving,
         ml,
+        streams,
     )

@@ -38,4 +38,5 @@ def load_all() -> None:
         serving,
         ml,
         streams,
+        io,
     )

@@ -14,6 +14,7 @@ from fulltime.plans.registry import query
 from fulltime.plans.scalars import _CONF_SQL, confederation
 from fulltime.plans.shots_ratings import ELO, q_alias_lookup
 from fulltime.plans.sql_blocks import TEAM_PERF, TIMELINE
+from fulltime.session import materialize
 from fulltime.sources import testdata as td
 
 SEED = 42
@@ -145,7 +146,9 @@ class _Run:
         m = td.fx_match(spark, sf)
         teams = m.select(F.col("home_team_id").alias("team_id"), F.col("home_team_name").alias("team_name")).union(
             m.select("away_team_id", "away_team_name"))
-        return fc.entrants(q_alias_lookup(spark, sf), gold.team_style_overall(tp_frame(spark, sf)), teams)
+        # The entrants (32 rows) feed fixtures, qualifiers and the final table: write them once so the
+        # rating fold and team style upstream run once per forecast.
+        return materialize(fc.entrants(q_alias_lookup(spark, sf), gold.team_style_overall(tp_frame(spark, sf)), teams))
 
     @cached_property
     def outcomes(self):

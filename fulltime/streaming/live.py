@@ -62,18 +62,20 @@ def weather_windows(stream: DataFrame, ts: str = "collected_at", window: str = "
     ).select("venue_id", F.col("w.start").alias("window_start"), "readings", "mean_wind_kmh", "max_wind_kmh")
 
 
-def upsert_batches(layer: Layer, name: str, keys: Sequence[str]):
-    """``foreachBatch`` function applying each micro-batch as a keyed upsert (idempotent on replay)."""
+def upsert_batches(layer: Layer, name: str, keys: Sequence[str], check_unique: bool = True):
+    """``foreachBatch`` function applying each micro-batch as a keyed upsert (idempotent on replay).
+    ``check_unique=False`` for aggregation outputs, whose rows are unique per group key by construction."""
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        layer.upsert(batch, name, keys, check_unique=True)
+        layer.upsert(batch, name, keys, check_unique=check_unique)
 
     return apply
 
 
 def run_to_table(stream: DataFrame, layer: Layer, name: str, keys: Sequence[str], checkpoint: str,
-                 mode: str = "update") -> DataFrame:
-    """Run ``stream`` over all available input (``availableNow``) into a versioned table; return it."""
-    q = (stream.writeStream.outputMode(mode).foreachBatch(upsert_batches(layer, name, keys))
+                 mode: str = "update", aggregated: bool = True) -> DataFrame:
+    """Run ``stream`` over all available input (``availableNow``) into a versioned table; return it.
+    ``aggregated``: the stream is a grouped aggregate keyed by ``keys`` (no duplicate check needed)."""
+    q = (stream.writeStream.outputMode(mode).foreachBatch(upsert_batches(layer, name, keys, not aggregated))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return layer.read(name)

@@ -137,6 +137,10 @@ def fit_match_model(train: DataFrame, cols: Sequence[str], trees: int = 200, dep
         data.unpersist()
 
 
+PREDICTION_SCHEMA = ("match_id long, competition_id int, season_id int, result_home int, p_home_win double, "
+                     "p_draw double, p_away_win double, predicted int, correct int")
+
+
 def predict_matches(model: PipelineModel, df: DataFrame) -> DataFrame:
     p = model.transform(df).withColumn("_p", vector_to_array("probability"))
     return p.select("match_id", "competition_id", "season_id", "result_home",
@@ -159,6 +163,8 @@ def leave_one_group_out(prepared: DataFrame, cols: Sequence[str], groups: Sequen
         if test.limit(min_rows).count() < min_rows:
             continue
         parts.append(predict_matches(fit_match_model(train, cols, trees), test))
+    if not parts:  # every edition below ``min_rows``: no fold to score
+        return prepared.sparkSession.createDataFrame([], PREDICTION_SCHEMA)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -9,15 +9,21 @@ a third of all rows still runs in one bounded task, and there is no per-pool Pyt
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fulltime.functions import football as fb
 from fulltime.functions.common import rnd
 
+# The fold runs in Python workers: ship this module's functions by value with the task, so workers
+# need no installed copy of the package (driver working directory or cluster image).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 START_RATING = 1000.0
 
 RESULT_COLUMNS = ["pool_id", "match_num", "match_date", "home_team", "away_team", "home_score", "away_score", "round"]

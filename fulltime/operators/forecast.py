@@ -127,7 +127,7 @@ def group_tables(outcomes: DataFrame) -> DataFrame:
     t = t.withColumn("goal_diff", F.col("goals_for") - F.col("goals_against"))
     w = Window.partitionBy("sim", "group_id").orderBy(
         F.col("points").desc(), F.col("goal_diff").desc(), F.col("goals_for").desc(), F.col("team_id"))
-    return t.withColumn("group_rank", F.row_number().over(w))
+    return t.withColumn("group_rank", F.row_number().over(w).cast("long"))
 
 
 def qualifiers(tables: DataFrame, ent: DataFrame, seed: int) -> DataFrame:
@@ -136,7 +136,7 @@ def qualifiers(tables: DataFrame, ent: DataFrame, seed: int) -> DataFrame:
         ent.select("team_id", "elo_rating"), "team_id")
     u = uniform(seed, F.col("sim").cast("string"), "slot", F.col("team_id").cast("string"))
     w = Window.partitionBy("sim").orderBy(u, F.col("team_id"))
-    return q.select("sim", "team_id", "elo_rating", (F.row_number().over(w) - 1).alias("slot"))
+    return q.select("sim", "team_id", "elo_rating", (F.row_number().over(w) - 1).cast("long").alias("slot"))
 
 
 def _uniform_sql(seed: int, *parts: str) -> str:

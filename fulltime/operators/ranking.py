@@ -45,4 +45,4 @@ def top_k_per_group(
 
 def rank_within(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "rank") -> DataFrame:
     """SQL ``rank()`` (ties share a rank) inside each group; used on aggregated tables (one row per team)."""
-    return df.withColumn(name, F.rank().over(Window.partitionBy(*by).orderBy(*order)))
+    return df.withColumn(name, F.rank().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))

@@ -202,7 +202,7 @@ def q_read_csv_table(spark, sf):
     path = scratch_dir(spark, "csv-standings")
     s.write.option("header", True).csv(path)
     schema = ("team_id long, team_name string, competition_id int, season_id int, points long, goal_diff long, "
-              "xg_for double, rank_overall int")
+              "xg_for double, rank_overall long")
     return raw.read_csv_table(spark, path, schema)
 
 

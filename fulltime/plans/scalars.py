@@ -217,7 +217,7 @@ def q_array_fns(spark, sf):
 
 
 @query("json_fns", """
-SELECT event_type, sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS k_sum,
+SELECT event_type, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum,
        count(*) FILTER (WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) >= 50) AS k_high,
        min(to_json({'t': event_type})::VARCHAR) AS encoded
 FROM events GROUP BY event_type""")
@@ -247,7 +247,7 @@ FROM events""")
 def q_iso_ts(spark, sf):
     e = td.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
-    return e.select("event_id", iso.alias("iso"), F.to_timestamp(iso, "yyyy-MM-dd'T'HH:mm:ss").alias("parsed"),
+    return e.select("event_id", iso.alias("iso"), F.to_timestamp_ntz(iso, F.lit("yyyy-MM-dd'T'HH:mm:ss")).alias("parsed"),
                     F.to_date("ts").alias("event_date"))
 
 

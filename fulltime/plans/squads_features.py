@@ -129,7 +129,7 @@ def q_top_n_rank(spark, sf):
         F.col("top_n_threshold").isNull() | (F.col("overall") >= F.col("top_n_threshold")))
     # rank among the kept rows equals rank in the squad: every dropped row sorts after them.
     w = Window.partitionBy("team_id").orderBy(F.col("overall").desc())
-    return top.select("team_id", "player_id", "overall", F.rank().over(w).alias("player_rank"))
+    return top.select("team_id", "player_id", "overall", F.rank().over(w).cast("long").alias("player_rank"))
 
 
 @query("recent_form", with_fixtures(["fx_form"], "SELECT * FROM rf", RECENT_FORM))

@@ -45,12 +45,14 @@ def dedup_stream(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) ->
 
 
 def odds_windows(stream: DataFrame, ts: str = "ingested_at", window: str = "1 day", delay: str = "1 hour") -> DataFrame:
-    """Per match and event-time window: snapshots, newest home/draw/away prices, mean home price."""
+    """Per match and event-time window: snapshots, newest home/draw/away prices, mean home price.
+    Window bounds are returned as wall-clock (timestamp_ntz) values, like the feed's own timestamps."""
     return stream.withWatermark(ts, delay).groupBy("match_id", F.window(ts, window).alias("w")).agg(
         F.count(F.lit(1)).alias("snapshots"),
         F.max_by("odd_home", ts).alias("last_odd_home"), F.max_by("odd_draw", ts).alias("last_odd_draw"),
         F.max_by("odd_away", ts).alias("last_odd_away"), F.avg("odd_home").alias("mean_odd_home"),
-    ).select("match_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "snapshots",
+    ).select("match_id", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+             F.col("w.end").cast("timestamp_ntz").alias("window_end"), "snapshots",
              "last_odd_home", "last_odd_draw", "last_odd_away", "mean_odd_home")
 
 
@@ -59,7 +61,8 @@ def weather_windows(stream: DataFrame, ts: str = "collected_at", window: str = "
     return stream.withWatermark(ts, delay).groupBy("venue_id", F.window(ts, window).alias("w")).agg(
         F.count(F.lit(1)).alias("readings"), F.avg("wind_speed_kmh").alias("mean_wind_kmh"),
         F.max("wind_speed_kmh").alias("max_wind_kmh"),
-    ).select("venue_id", F.col("w.start").alias("window_start"), "readings", "mean_wind_kmh", "max_wind_kmh")
+    ).select("venue_id", F.col("w.start").cast("timestamp_ntz").alias("window_start"), "readings", "mean_wind_kmh",
+             "max_wind_kmh")
 
 
 def upsert_batches(layer: Layer, name: str, keys: Sequence[str], check_unique: bool = True):

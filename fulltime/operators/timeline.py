@@ -45,23 +45,39 @@ def attach_match(events: DataFrame, matches: DataFrame) -> DataFrame:
     return ev.join(m, "match_id", "left")
 
 
-def running_score(df: DataFrame, inclusive: bool = True, order: str = "event_index") -> DataFrame:
-    """Score of both sides at every event (window over the match in event order).
+RUNNING_CHUNK = 50_000  # events per chunk of the running-score prefix sum
+
+
+def running_score(df: DataFrame, inclusive: bool = True, order: str = "event_index",
+                  chunk: int = RUNNING_CHUNK) -> DataFrame:
+    """Score of both sides at every event, in event order within the match.
 
     ``inclusive=True`` counts the current event's goal; ``inclusive=False`` gives the state
     before the event (what a model may use without seeing its target).
+
+    A chunked prefix sum, so one very long match is not one window buffer: events are cut into
+    chunks of ``chunk`` consecutive indexes; the running sum inside (match, chunk) is added to the
+    goals of the match's earlier chunks, which come from a small per-chunk aggregate.
     """
     goal = (F.col("type_name") == "Shot") & (F.col("shot_outcome") == "Goal")
-    home_goal = F.when(goal & (F.col("team_id") == F.col("home_team_id")), 1).otherwise(0)
-    away_goal = F.when(goal & ~F.coalesce(F.col("team_id") == F.col("home_team_id"), F.lit(False)), 1).otherwise(0)
+    is_home = F.coalesce(F.col("team_id") == F.col("home_team_id"), F.lit(False))
+    d = df.select("*", F.when(goal & is_home, 1).otherwise(0).alias("_hg"),
+                  F.when(goal & ~is_home, 1).otherwise(0).alias("_ag"),
+                  F.floor(F.col(order) / chunk).alias("_chunk"))
+    totals = d.groupBy("match_id", "_chunk").agg(F.sum("_hg").alias("_ch"), F.sum("_ag").alias("_ca"))
+    before = Window.partitionBy("match_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("match_id", "_chunk", F.coalesce(F.sum("_ch").over(before), F.lit(0)).alias("_oh"),
+                            F.coalesce(F.sum("_ca").over(before), F.lit(0)).alias("_oa"))
     end = Window.currentRow if inclusive else -1
-    w = Window.partitionBy("match_id").orderBy(order).rowsBetween(Window.unboundedPreceding, end)
-    home = F.coalesce(F.sum(home_goal).over(w), F.lit(0)).cast("int")
-    away = F.coalesce(F.sum(away_goal).over(w), F.lit(0)).cast("int")
+    w = Window.partitionBy("match_id", "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, end)
+    j = d.join(offsets, ["match_id", "_chunk"])
+    home = (F.col("_oh") + F.coalesce(F.sum("_hg").over(w), F.lit(0))).cast("int")
+    away = (F.col("_oa") + F.coalesce(F.sum("_ag").over(w), F.lit(0))).cast("int")
     return (
-        df.withColumn("score_home_at_event", home)
+        j.withColumn("score_home_at_event", home)
         .withColumn("score_away_at_event", away)
         .withColumn("score_diff_at_event", F.col("score_home_at_event") - F.col("score_away_at_event"))
+        .drop("_hg", "_ag", "_chunk", "_oh", "_oa")
     )
 
 
@@ -76,10 +92,11 @@ def with_geometry(df: DataFrame) -> DataFrame:
     )
 
 
-def match_timeline(events: DataFrame, matches: DataFrame, inclusive: bool = True) -> DataFrame:
-    """Conformed event timeline: kept types, match context, geometry, home flag, running score."""
+def match_timeline(events: DataFrame, matches: DataFrame, inclusive: bool = True, with_score: bool = True) -> DataFrame:
+    """Conformed event timeline: kept types, match context, geometry, home flag, running score
+    (``with_score=False`` skips the running score for consumers that do not read it)."""
     tl = attach_match(keep_types(events), matches)
     tl = with_geometry(tl).withColumn(
         "is_home_team", F.coalesce(F.col("team_id") == F.col("home_team_id"), F.lit(False))
     )
-    return running_score(tl, inclusive=inclusive)
+    return running_score(tl, inclusive=inclusive) if with_score else tl

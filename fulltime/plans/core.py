@@ -18,14 +18,20 @@ def tl_frame(spark, sf):
     return timeline.match_timeline(td.fx_event(spark, sf), td.fx_match(spark, sf))
 
 
+@td.memo_plan("timeline_base")
+def tl_base(spark, sf):
+    """The timeline without the running score (player and team measures do not read it)."""
+    return timeline.match_timeline(td.fx_event(spark, sf), td.fx_match(spark, sf), with_score=False)
+
+
 @td.memo_plan("player_match_stats")
 def pms_frame(spark, sf):
-    return players.player_match_stats(tl_frame(spark, sf))
+    return players.player_match_stats(tl_base(spark, sf))
 
 
 @td.memo_plan("team_performance")
 def tp_frame(spark, sf):
-    return teams.team_performance(tl_frame(spark, sf), td.fx_match(spark, sf))
+    return teams.team_performance(tl_base(spark, sf), td.fx_match(spark, sf))
 
 
 # ---------------------------------------------------------------- timeline (PRJ-01..03, JN-01, WIN-01)

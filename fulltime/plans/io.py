@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fulltime.operators import gold, players
-from fulltime.plans.core import EM, STANDINGS_SQL, pms_frame, tl_frame, tp_frame
+from fulltime.plans.core import EM, STANDINGS_SQL, pms_frame, tl_base, tl_frame, tp_frame
 from fulltime.plans.fixture_sql import with_fixtures
 from fulltime.plans.registry import query
 from fulltime.plans.sql_blocks import PLAYER_STATS, TEAM_PERF, TIMELINE
@@ -313,5 +313,5 @@ def q_export_table(spark, sf):
 def q_table_stats(spark, sf):
     """Files, bytes and rows of a stored table (from file metadata)."""
     layer = Layer(spark, scratch_dir(spark, "layer-stats"))
-    layer.overwrite(tl_frame(spark, sf), "timeline", ["competition_id"])
+    layer.overwrite(tl_base(spark, sf), "timeline", ["competition_id"])
     return layer.table_stats("timeline")

@@ -9,7 +9,7 @@ from fulltime.functions import markets as mk
 from fulltime.functions.common import pct, slug
 from fulltime.operators import reports, timeline
 from fulltime.operators.ranking import top_k_per_group
-from fulltime.plans.core import EM, TEAM_STYLE_SQL, pms_frame, tl_frame, tp_frame
+from fulltime.plans.core import EM, TEAM_STYLE_SQL, pms_frame, tl_base, tl_frame, tp_frame
 from fulltime.plans.fixture_sql import with_fixtures
 from fulltime.plans.registry import query
 from fulltime.plans.shots_ratings import ELO, elo_frame
@@ -334,7 +334,7 @@ WHERE type_name = 'Shot' AND shot_xg IS NOT NULL
 ORDER BY shot_xg DESC, distance_to_goal ASC NULLS LAST, event_id LIMIT 20""", TIMELINE))
 def q_topk_shots(spark, sf):
     """Top 20 shots by xG, nearest first on ties, event id as the final tie-break (TakeOrderedAndProject)."""
-    s = timeline.shots(tl_frame(spark, sf))
+    s = timeline.shots(tl_base(spark, sf))
     return s.orderBy(F.col("shot_xg").desc(), F.col("distance_to_goal").asc_nulls_last(), "event_id").limit(20) \
         .select("event_id", "match_id", "player_name", "shot_xg", "distance_to_goal")
 
@@ -385,7 +385,7 @@ def q_report_scorers(spark, sf):
 SELECT competition_id, season_id, count(*) FILTER (WHERE type_name = 'Shot' AND shot_outcome = 'Goal') AS goals,
        sum(shot_xg) AS xg FROM tl GROUP BY competition_id, season_id""", TIMELINE))
 def q_goals_by_edition(spark, sf):
-    t = tl_frame(spark, sf)
+    t = tl_base(spark, sf)
     return t.groupBy("competition_id", "season_id").agg(
         F.count_if((F.col("type_name") == "Shot") & (F.col("shot_outcome") == "Goal")).alias("goals"),
         F.sum("shot_xg").alias("xg"))
@@ -423,7 +423,7 @@ def q_report_xg_diff(spark, sf):
 SELECT competition_id, season_id, type_name, count(*) AS n FROM tl GROUP BY competition_id, season_id, type_name""",
                                        TIMELINE))
 def q_profile_counts(spark, sf):
-    return reports.profile_counts(tl_frame(spark, sf), ["competition_id", "season_id", "type_name"])
+    return reports.profile_counts(tl_base(spark, sf), ["competition_id", "season_id", "type_name"])
 
 
 @query("profile_distinct", with_fixtures(EM, """
@@ -431,7 +431,7 @@ SELECT competition_id, season_id, count(DISTINCT player_id) AS distinct_player_i
        count(DISTINCT match_id) AS distinct_match_id, count(DISTINCT team_id) AS distinct_team_id, count(*) AS rows
 FROM tl GROUP BY competition_id, season_id""", TIMELINE))
 def q_profile_distinct(spark, sf):
-    return reports.profile_distinct(tl_frame(spark, sf), ["competition_id", "season_id"],
+    return reports.profile_distinct(tl_base(spark, sf), ["competition_id", "season_id"],
                                     ["player_id", "match_id", "team_id"])
 
 
@@ -497,7 +497,7 @@ SELECT count(*) AS rows, count(*) FILTER (WHERE match_date IS NULL) AS nulls_mat
        count(*) FILTER (WHERE loc_x IS NULL) AS nulls_loc_x, count(*) FILTER (WHERE shot_xg IS NULL) AS nulls_shot_xg
 FROM tl""", TIMELINE))
 def q_null_audit(spark, sf):
-    return reports.null_audit(tl_frame(spark, sf), ["match_date", "home_team_name", "away_team_name", "stage_name",
+    return reports.null_audit(tl_base(spark, sf), ["match_date", "home_team_name", "away_team_name", "stage_name",
                                                     "loc_x", "shot_xg"])
 
 
@@ -509,7 +509,7 @@ JOIN (SELECT competition_id, season_id, sum(home_score + away_score) AS goals FR
       GROUP BY competition_id, season_id) m USING (competition_id, season_id)""", TIMELINE))
 def q_expect_total(spark, sf):
     """Goals counted from the timeline against the totals the match table expects, per edition."""
-    t = tl_frame(spark, sf)
+    t = tl_base(spark, sf)
     g = t.groupBy("competition_id", "season_id").agg(
         F.count_if((F.col("type_name") == "Shot") & (F.col("shot_outcome") == "Goal")).alias("goals"))
     m = td.fx_match(spark, sf).groupBy("competition_id", "season_id").agg(
@@ -524,6 +524,6 @@ SELECT player_id, event_id, shot_xg FROM (
   FROM tl WHERE type_name = 'Shot') WHERE rn <= 3""", TIMELINE))
 def q_last_n_shots(spark, sf):
     """Each player's three latest shots, by the split top-k (a prolific player is sorted by many tasks)."""
-    s = tl_frame(spark, sf).filter(F.col("type_name") == "Shot")
+    s = tl_base(spark, sf).filter(F.col("type_name") == "Shot")
     return top_k_per_group(s, ["player_id"], [F.col("match_id").desc(), F.col("event_index").desc()], 3, "event_id") \
         .select("player_id", "event_id", "shot_xg")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fulltime.operators import frames, ratings
 from fulltime.operators.reports import report_by, report_over_performers
-from fulltime.plans.core import tl_frame
+from fulltime.plans.core import tl_base, tl_frame
 from fulltime.plans.fixture_sql import with_fixtures
 from fulltime.plans.registry import query
 from fulltime.plans.sql_blocks import TIMELINE
@@ -63,7 +63,7 @@ SELECT event_id, match_id, distance_nearest_defender, gk_distance_to_shooter, gk
        defenders_in_cone, teammates_visible, total_players_visible
 FROM smap WHERE total_players_visible > 0""", SHOT_MAP))
 def q_shot_frame_measures(spark, sf):
-    s = frames.shots(tl_frame(spark, sf))
+    s = frames.shots(tl_base(spark, sf))
     return frames.frame_measures(frames.shot_frames(s, td.fx_frame(spark, sf)))
 
 
@@ -71,7 +71,7 @@ def q_shot_frame_measures(spark, sf):
 SELECT event_id, match_id, def_x, def_y, is_keeper, def_dist FROM swd""", SHOT_MAP))
 def q_shot_defenders(spark, sf):
     """Shot x visible opponents (one-to-many left join): every opponent's distance to the shooter."""
-    s = frames.shots(tl_frame(spark, sf)).select("event_id", "match_id", "loc_x", "loc_y")
+    s = frames.shots(tl_base(spark, sf)).select("event_id", "match_id", "loc_x", "loc_y")
     opp = td.fx_frame(spark, sf).filter(~F.col("is_teammate") & ~F.col("is_actor")).select(
         "event_id", "match_id", F.col("loc_x").alias("def_x"), F.col("loc_y").alias("def_y"), "is_keeper")
     j = s.join(opp, ["event_id", "match_id"], "left")
@@ -85,7 +85,7 @@ SELECT f.* FROM fx_frame f SEMI JOIN (
   ORDER BY shot_xg DESC, event_id LIMIT 10) k USING (event_id, match_id)""", TIMELINE))
 def q_frames_of(spark, sf):
     """Frames of the ten highest-xG shots (the limit is the report), by semi join."""
-    top = frames.shots(tl_frame(spark, sf)).orderBy(F.col("shot_xg").desc(), F.col("event_id")).limit(10)
+    top = frames.shots(tl_base(spark, sf)).orderBy(F.col("shot_xg").desc(), F.col("event_id")).limit(10)
     return frames.frames_of(td.fx_frame(spark, sf), top)
 
 

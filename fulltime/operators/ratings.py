@@ -124,24 +124,37 @@ def elo_latest(ratings: DataFrame) -> DataFrame:
         .withColumnRenamed("rating", "elo_rating")
 
 
+ASOF_BUCKET_SECONDS = 30 * 86400  # time buckets of the as-of join (30 days)
+
+
 def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], ts: str, values: Sequence[str],
-              strict: bool = True) -> DataFrame:
+              strict: bool = True, bucket_seconds: int = ASOF_BUCKET_SECONDS) -> DataFrame:
     """For each left row, the ``values`` of the latest right row with the same keys and an earlier ``ts``.
 
-    The right side must be unique per (keys, ts). Both sides are unioned with a tag, and
-    ``last(ignorenulls)`` runs over (keys) in (ts, tag) order: with ``strict`` the left rows
-    sort before right rows of the same instant, so only strictly earlier values are seen.
+    The right side must be unique per (keys, ts); null right values are skipped. Both sides are
+    unioned with a tag and cut into time buckets: ``last(ignorenulls)`` runs inside (keys, bucket)
+    in (ts, tag) order (with ``strict`` left rows sort before right rows of the same instant, so only
+    strictly earlier values count), and a left row with nothing earlier in its bucket takes the
+    value carried in from the key's earlier buckets (per-bucket last values, then a window over
+    buckets). One key with a third of all rows is therefore spread over its buckets.
     """
     lt, rt = (0, 1) if strict else (1, 0)
     lcols = left.columns
+    bucket = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / bucket_seconds)
     l2 = left.select(*[F.col(c) for c in lcols], *[F.lit(None).cast(right.schema[v].dataType).alias(f"_r_{v}") for v in values],
                      F.lit(lt).alias("_tag"), F.lit(True).alias("_is_left"))
     r2 = right.select(*[F.col(k) for k in on], F.col(ts),
                       *[F.col(v).alias(f"_r_{v}") for v in values], F.lit(rt).alias("_tag"), F.lit(False).alias("_is_left"))
-    u = l2.unionByName(r2, allowMissingColumns=True)
-    w = Window.partitionBy(*on).orderBy(F.col(ts), F.col("_tag")).rowsBetween(Window.unboundedPreceding, 0)
-    filled = u.select("*", *[F.last(F.col(f"_r_{v}"), ignorenulls=True).over(w).alias(v) for v in values])
-    return filled.filter(F.col("_is_left")).select(*lcols, *values)
+    u = l2.unionByName(r2, allowMissingColumns=True).withColumn("_bucket", bucket)
+    w = Window.partitionBy(*on, "_bucket").orderBy(F.col(ts), F.col("_tag")).rowsBetween(Window.unboundedPreceding, 0)
+    inside = u.select("*", *[F.last(F.col(f"_r_{v}"), ignorenulls=True).over(w).alias(f"_in_{v}") for v in values])
+    per_bucket = r2.withColumn("_bucket", bucket).groupBy(*on, "_bucket").agg(
+        *[F.max_by(F.col(f"_r_{v}"), F.when(F.col(f"_r_{v}").isNotNull(), F.col(ts))).alias(f"_b_{v}") for v in values])
+    earlier = Window.partitionBy(*on).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select(*on, "_bucket", *[F.last(F.col(f"_b_{v}"), ignorenulls=True).over(earlier).alias(f"_c_{v}")
+                                                for v in values])
+    lefts = inside.filter(F.col("_is_left")).join(carry, [*on, "_bucket"], "left")
+    return lefts.select(*lcols, *[F.coalesce(F.col(f"_in_{v}"), F.col(f"_c_{v}")).alias(v) for v in values])
 
 
 def lookup_with_alias(names: DataFrame, name_col: str, values: DataFrame, key_col: str, value_col: str,

@@ -104,3 +104,28 @@ def test_late_rows_are_dropped_by_watermark(spark, tmp_path):
                             str(tmp_path / "ckpt"))
     got = {str(r["window_start"])[:13]: (r["readings"], r["mean_wind_kmh"]) for r in out.collect()}
     assert got == {"2024-01-01 10": (1, 5.0), "2024-01-03 10": (1, 7.0), "2024-01-03 12": (1, 8.0)}
+
+
+def test_running_score_chunks_agree(spark):
+    """The chunked prefix sum gives the same scores with tiny chunks (many per match) as with one chunk."""
+    from fulltime.operators import timeline
+    from fulltime.sources import testdata as td
+
+    tl = timeline.attach_match(timeline.keep_types(td.fx_event(spark, SF_SMALL)), td.fx_match(spark, SF_SMALL))
+    cols = ["event_id", "score_home_at_event", "score_away_at_event"]
+    small = timeline.running_score(tl, chunk=7).select(*cols)
+    whole = timeline.running_score(tl, chunk=10**9).select(*cols)
+    assert small.exceptAll(whole).count() == 0 and whole.exceptAll(small).count() == 0
+
+
+def test_asof_buckets_agree(spark):
+    """The bucketed as-of join carries values across buckets: 3-day buckets equal one bucket."""
+    from fulltime.operators import ratings
+    from fulltime.plans.shots_ratings import elo_frame
+
+    sides = ratings.team_sides(elo_frame(spark, SF_SMALL))
+    daily = ratings.latest_by(sides, ["pool_id", "team", "match_date"], ["match_num"], ["rating"])
+    left = sides.select("pool_id", "team", "match_date", "match_num")
+    a = ratings.asof_join(left, daily, ["pool_id", "team"], "match_date", ["rating"], bucket_seconds=3 * 86400)
+    b = ratings.asof_join(left, daily, ["pool_id", "team"], "match_date", ["rating"], bucket_seconds=10**12)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

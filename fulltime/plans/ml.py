@@ -67,7 +67,7 @@ _SHOTS: dict = {}
 
 
 def shots_run(spark, sf) -> _Shots:
-    key = (id(spark), sf)
+    key = (*td.session_key(spark), sf)
     if key not in _SHOTS:
         _SHOTS[key] = _Shots(spark, sf)
     return _SHOTS[key]
@@ -214,7 +214,7 @@ _MATCHES: dict = {}
 
 
 def matches_run(spark, sf, v2=False) -> _Matches:
-    key = (id(spark), sf, v2)
+    key = (*td.session_key(spark), sf, v2)
     if key not in _MATCHES:
         _MATCHES[key] = _Matches(spark, sf, v2)
     return _MATCHES[key]

@@ -26,10 +26,15 @@ TABLES = (
 _MEMO: dict[tuple, DataFrame] = {}
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a live session: a new session (or a restarted context) never reuses old plans."""
+    return (id(spark), spark.sparkContext.applicationId)
+
+
 def _memo(name: str):
     def deco(fn):
         def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-            key = (id(spark), sf_dir.rstrip("/"), name)
+            key = (*session_key(spark), sf_dir.rstrip("/"), name)
             if key not in _MEMO:
                 _MEMO[key] = fn(spark, sf_dir.rstrip("/"))
             return _MEMO[key]
@@ -48,7 +53,7 @@ def memo_plan(name: str):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    key = (id(spark), sf_dir.rstrip("/"), f"table:{name}")
+    key = (*session_key(spark), sf_dir.rstrip("/"), f"table:{name}")
     if key not in _MEMO:
         _MEMO[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return _MEMO[key]

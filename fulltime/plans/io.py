@@ -315,3 +315,15 @@ def q_table_stats(spark, sf):
     layer = Layer(spark, scratch_dir(spark, "layer-stats"))
     layer.overwrite(tl_base(spark, sf), "timeline", ["competition_id"])
     return layer.table_stats("timeline")
+
+
+@query("list_tables")
+def q_list_tables(spark, sf):
+    """Serving tables stored, registered as views and listed by a name pattern (catalog listing)."""
+    layer = Layer(spark, scratch_dir(spark, "layer-catalog"))
+    tp = tp_frame(spark, sf)
+    for name, df in (("gold_standings", gold.standings(tp)), ("gold_team_style", gold.team_style(tp)),
+                     ("silver_team_performance", tp)):
+        layer.overwrite(df, name)
+        layer.register(name)
+    return layer.list("gold_*")

@@ -77,6 +77,18 @@ class Layer:
         self._set_current(name, version)
         return version
 
+    # ------------------------------------------------------------ catalog
+    def register(self, name: str, view: str | None = None) -> str:
+        """Expose a stored table to SQL as a temporary view (current version)."""
+        v = view or name
+        self.read(name).createOrReplaceTempView(v)
+        return v
+
+    def list(self, pattern: str) -> DataFrame:
+        """Registered tables whose name matches a SQL LIKE-style pattern (``*`` or ``%`` wildcards)."""
+        names = [t.name for t in self.spark.catalog.listTables(pattern=pattern.replace("%", "*"))]
+        return self.spark.createDataFrame([(n,) for n in sorted(names)], "table_name string")
+
     # ------------------------------------------------------------ export
     def export(self, df: DataFrame, name: str, drop_pattern: str = r"^_") -> str:
         """One snappy Parquet file per serving table, audit columns dropped (small tables only)."""

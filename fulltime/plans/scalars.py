@@ -466,15 +466,15 @@ def q_results_by_year(spark, sf):
 
 @query("summary_stats", with_fixtures(EM, """
 SELECT 'xg' AS "column", count(xg) AS count, avg(xg) AS mean, stddev_samp(xg) AS stddev, min(xg) AS min,
-       quantile_cont(xg, 0.25) AS p25, quantile_cont(xg, 0.5) AS p50, quantile_cont(xg, 0.75) AS p75, max(xg) AS max
+       quantile_disc(xg, 0.25) AS p25, quantile_disc(xg, 0.5) AS p50, quantile_disc(xg, 0.75) AS p75, max(xg) AS max
 FROM tp
 UNION ALL
 SELECT 'possession_pct', count(possession_pct), avg(possession_pct), stddev_samp(possession_pct), min(possession_pct),
-       quantile_cont(possession_pct, 0.25), quantile_cont(possession_pct, 0.5), quantile_cont(possession_pct, 0.75),
+       quantile_disc(possession_pct, 0.25), quantile_disc(possession_pct, 0.5), quantile_disc(possession_pct, 0.75),
        max(possession_pct) FROM tp
 UNION ALL
 SELECT 'shots_total', count(shots_total), avg(shots_total), stddev_samp(shots_total), min(shots_total),
-       quantile_cont(shots_total, 0.25), quantile_cont(shots_total, 0.5), quantile_cont(shots_total, 0.75),
+       quantile_disc(shots_total, 0.25), quantile_disc(shots_total, 0.5), quantile_disc(shots_total, 0.75),
        max(shots_total) FROM tp""", TIMELINE + "," + TEAM_PERF))
 def q_summary_stats(spark, sf):
     return reports.summary_stats(tp_frame(spark, sf), ["xg", "possession_pct", "shots_total"])

@@ -1,9 +1,9 @@
 """Repeatable Monte Carlo tournament forecast as one distributed table job.
 
 Every simulated draw is a hash of (seed, simulation, purpose, id) mapped to [0, 1), so a run
-repeats exactly and any engine with md5 can reproduce it. Simulations come from ``range``
-(spread over tasks); the bounded fixture list of the tournament (its entrants are a fixed
-number of teams) is attached as one broadcast row and exploded, so no cross join is planned.
+repeats exactly and any engine with md5 can reproduce it. Each fixture is exploded over chunks
+of simulations that are spread over tasks, then over the simulations of its chunk (a generator:
+no join is planned).
 Group tables, qualification and the knockout rounds are grouped aggregates and windows per
 simulation; the knockout is unrolled (one ``groupBy`` per round).
 """
@@ -79,16 +79,26 @@ def group_fixtures(ent: DataFrame) -> DataFrame:
     return f.withColumn("fixture_id", F.col("group_id") * 16 + F.col("pos") * 4 + F.col("opp_pos"))
 
 
-def simulations(spark, n_sims: int, partitions: int | None = None) -> DataFrame:
+def simulations(spark, n_sims: int, partitions: int | None = None) -> tuple[int, int]:
+    """(number of simulations, number of chunks they are spread over)."""
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return spark.range(0, n_sims, 1, p).withColumnRenamed("id", "sim")
+    return n_sims, max(1, min(p, n_sims))
 
 
-def draw_outcomes(fixtures: DataFrame, sims: DataFrame, seed: int) -> DataFrame:
-    """Outcome and score of every group fixture in every simulation."""
-    packed = fixtures.agg(F.collect_list(F.struct(*fixtures.columns)).alias("fx")).withColumn("_one", F.lit(1))
-    rows = (sims.withColumn("_one", F.lit(1)).join(F.broadcast(packed), "_one")
-            .select("sim", F.explode("fx").alias("f")).select("sim", "f.*"))
+def draw_outcomes(fixtures: DataFrame, sims: tuple[int, int], seed: int) -> DataFrame:
+    """Outcome and score of every group fixture in every simulation.
+
+    Generated, not joined: each fixture row is exploded over simulation chunks, the chunks are
+    spread over tasks, and each chunk is exploded over its simulations.
+    """
+    n, chunks = sims
+    per = -(-n // chunks)
+    c = F.col("_chunk")
+    lo, hi = c * per, F.least((c + 1) * per, F.lit(n)) - 1
+    rows = (fixtures.select("*", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("_chunk"))
+            .repartition(chunks, "_chunk")
+            .select("*", F.explode(F.when(lo <= hi, F.sequence(lo.cast("long"), hi.cast("long")))).alias("sim"))
+            .drop("_chunk"))
     fid = F.col("fixture_id").cast("string")
     sim = F.col("sim").cast("string")
     p_h, p_d, _ = fb.elo_wdl("home_elo", "away_elo")

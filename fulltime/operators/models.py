@@ -52,11 +52,12 @@ def split_by_group(df: DataFrame, test_editions: Sequence[tuple[int, int]]) -> t
 
 
 def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
-    """Balanced class weights n / (2 n_class), from one aggregate joined back as a single broadcast row."""
-    c = df.agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(label) == 1).alias("_pos")).withColumn("_one", F.lit(1))
-    j = df.withColumn("_one", F.lit(1)).join(F.broadcast(c), "_one")
-    w = F.when(F.col(label) == 1, F.col("_n") / (2.0 * F.col("_pos"))).otherwise(F.col("_n") / (2.0 * (F.col("_n") - F.col("_pos"))))
-    return j.withColumn("weight", w).drop("_one", "_n", "_pos")
+    """Balanced class weights n / (2 n_class): the two class counts come from one aggregate."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("pos")).first()
+    n, pos = int(row["n"]), int(row["pos"])
+    w_pos = n / (2.0 * pos) if pos else 1.0
+    w_neg = n / (2.0 * (n - pos)) if n - pos else 1.0
+    return df.withColumn("weight", F.when(F.col(label) == 1, F.lit(w_pos)).otherwise(F.lit(w_neg)))
 
 
 def fit_shot_model(train: DataFrame, kind: str = "gbt", features: Sequence[str] = FULL_FEATURES,

@@ -23,17 +23,19 @@ def fanout(spark: SparkSession, times: int = 1) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))) * times
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder of ``spark.checkpoint.dir`` and read back: lineage ends there."""
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder of ``spark.checkpoint.dir``."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    path = f"{root.rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: its lineage ends there."""
+    path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:

@@ -83,7 +83,8 @@ class PieceCoder:
                else t.replace(MARK, " ").encode() for i, t in enumerate(texts[:n])]
         self.raw, self.raw_len = np.frombuffer(b"".join(raw), np.uint8), np.array([len(x) for x in raw], np.int64)
         self.raw_at = np.cumsum(self.raw_len) - self.raw_len
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}  # ids of words, and the same as decimals
+        self.decimal: dict[str, str] = {}
 
     def _pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The symbol that each pair makes, -1 if none."""
@@ -198,7 +199,8 @@ class PieceCoder:
         texts = list(map(str, ids.tolist()))
         raw, c = ids.astype("<i4").tobytes(), cut.tolist()
         for k, w in enumerate(words):
-            self.known[w] = raw[4 * c[k]:4 * c[k + 1]], " ".join(texts[c[k]:c[k + 1]])
+            self.known[w] = raw[4 * c[k]:4 * c[k + 1]]
+            self.decimal[w] = " ".join(texts[c[k]:c[k + 1]])
 
     def words(self, text: str) -> list[str]:
         """The words of a text, ready to be encoded each by itself."""
@@ -209,13 +211,14 @@ class PieceCoder:
         split = [self.words(t) for t in texts]
         if len(self.known) > KNOWN:
             self.known.clear()
-        self.learn(list({w for ws in split for w in ws} - self.known.keys()))
+            self.decimal.clear()
+        self.learn(list(set().union(*split).difference(self.known)))
         return split
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, the end id last."""
-        known, end = self.known, np.array([self.end], "<i4").tobytes()
-        return [np.frombuffer(b"".join([known[w][0] for w in ws]) + end, "<i4") for ws in self.split(texts)]
+        split, end = self.split(texts), np.array([self.end], "<i4").tobytes()
+        return [np.frombuffer(b"".join([*map(self.known.__getitem__, ws), end]), "<i4") for ws in split]
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         """Texts of id arrays: control ids say nothing, the mark put before a text goes."""
@@ -271,12 +274,11 @@ def round_trip(df: DataFrame, model: str) -> DataFrame:
         coder = PieceCoder(model)
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for b in slices(batches, "text"):
-            split = coder.split([t or "" for t in b.column("text").to_pylist()])
-            known, end = coder.known, np.array([coder.end], "<i4").tobytes()
-            ids = [np.frombuffer(b"".join([known[w][0] for w in ws]) + end, "<i4") for ws in split]
+            texts = [t or "" for t in b.column("text").to_pylist()]
+            ids, last = coder.encode(texts), str(coder.end)
             yield {
                 "doc_id": b.column("doc_id"), "n_tokens": [len(x) for x in ids],
-                "ids_sha256": [sha(" ".join([*[known[w][1] for w in ws], str(coder.end)])) for ws in split],
+                "ids_sha256": [sha(" ".join([*map(coder.decimal.__getitem__, coder.words(t)), last])) for t in texts],
                 "decoded_sha256": [sha(t) for t in coder.decode(ids)],
             }
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fulltime.llm import pieces
-from fulltime.llm.common import table
+from fulltime.llm import elias_fano, pieces
+from fulltime.llm.common import shared_path, table
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +16,16 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the token ids of all documents as shards in the shared folder and read them back."""
+    path = shared_path(spark, "op8-shards")
+    elias_fano.write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2, path)
+    return elias_fano.read_shards(spark.read.parquet(path))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op8_elias_fano": op8_elias_fano,
 }
 
 #: DuckDB SQL of those that SQL can express.

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fulltime.llm import elias_fano, pieces
+from fulltime.llm import elias_fano, fertility, pieces, ppm_langid
 from fulltime.llm.common import shared_path, table
 
 
@@ -16,6 +17,25 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def _fold(mod: int) -> Column:
+    """crc32 of doc_id as text, modulo; null where doc_id is null."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(mod))
+
+
+def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; the fifth whose fold is 0, and rows of null doc_id, teach nothing."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", F.coalesce(_fold(5) == 0, F.lit(True)))
+    model = ppm_langid.fit(docs.where(~F.col("held_out")))
+    return ppm_langid.predict(docs, model, keep=["doc_id", "held_out"])
+
+
+def op10_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and tokeniser fertility of every document."""
+    return fertility.verdict(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+                             keep=["doc_id"])
+
+
 def op8_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the token ids of all documents as shards in the shared folder and read them back."""
     path = shared_path(spark, "op8-shards")
@@ -25,7 +45,9 @@ def op8_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op7_ppm": op7_ppm,
     "op8_elias_fano": op8_elias_fano,
+    "op10_fertility": op10_fertility,
 }
 
 #: DuckDB SQL of those that SQL can express.

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+import types as python_types
 import uuid
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +41,34 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def per_process(key: str, make: Callable[[], Any]) -> Any:
+    """One object for each Python worker process, made when first asked for.
+
+    Workers outlive tasks; functions shipped by value do not. Used for vocabularies with their tables of
+    words already encoded, which change no result.
+    """
+    store = sys.modules.setdefault("fulltime_llm_process", python_types.ModuleType("fulltime_llm_process")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
+class Generations:
+    """A bounded table of known words: when it is full, only words still in use live on."""
+
+    def __init__(self, most: int):
+        self.most, self.now, self.before = most, {}, {}
+
+    def missing(self, words: list[list]) -> list:
+        """The distinct words not known; afterwards ``now`` has all the others."""
+        if len(self.now) > self.most:
+            self.now, self.before = {}, self.now
+        new = set().union(*words).difference(self.now)
+        old = new.intersection(self.before) if self.before else ()
+        self.now.update((w, self.before[w]) for w in old)
+        return list(new.difference(old))
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` for a generator of column dicts; the batches get the types of ``schema``."""
     arrow = to_arrow_schema(T._parse_datatype_string(schema))

@@ -14,10 +14,13 @@ written by Spark's own writer, so they go to any store that Spark reaches.
 
 from __future__ import annotations
 
+import array
 import string
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +28,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import fanout, map_arrow, slices
+from fulltime.llm.common import Generations, fanout, map_arrow, per_process, slices
 
 LETTERS = frozenset(string.ascii_letters)
+POINTS = frozenset(".,")
 MAGIC = b"EFID"
 SAMPLE = 256
 SHARD_IDS = 2_000_000
-#: Entries of a task's table of known chunks; it is emptied when full (speed only).
-KNOWN = 400_000
+#: Entries of each generation of a process's table of known chunks (speed only).
+KNOWN = 500_000
 
 
 class EliasFano:
@@ -116,8 +120,10 @@ class WordIds:
     """Ids of texts, by chunks between blanks, each distinct chunk encoded once by the library.
 
     The vocabulary's pre-tokenizer never joins characters across a space or line end, so the ids of a
-    text are those of its chunks. A chunk of ASCII characters is encoded in lower case (the
-    vocabulary's own normalisation), and a point or comma after an ASCII letter by itself.
+    text are those of its chunks. A chunk of ASCII characters is taken in lower case (the vocabulary's
+    own normalisation), and a point or comma after an ASCII letter by itself. A chunk of letters that
+    normalisation leaves alone is one word of the library's model, and goes to that model straight;
+    all others go through the library's whole chain, many at a time.
     """
 
     def __init__(self, path: str):
@@ -125,30 +131,45 @@ class WordIds:
 
         self.lib = Tokenizer.from_file(path)
         self.width = 2 if self.lib.get_vocab_size() <= 1 << 16 else 4
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _encode(self, chunks: list[str]) -> None:
-        """Many chunks in one call: joined by blanks, then cut by the places the ids come from."""
-        for k in range(0, len(chunks), 20_000):
-            some = chunks[k:k + 20_000]
+        self.known = Generations(KNOWN)
+        # the byte-level alphabet: printable bytes stand for themselves, the others for 256, 257, ...
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        rest = [b for b in range(256) if b not in shown]
+        self.alphabet = {b: 256 + k for k, b in enumerate(rest)}
+
+    def _encode(self, chunks: list[str]) -> dict[str, bytes]:
+        out, odd, kind, word = {}, [], f"<u{self.width}", self.lib.model.tokenize
+        for c in chunks:
+            if c.isalpha() and c == c.lower() and (c.isascii() or unicodedata.is_normalized("NFC", c)):
+                raw = c if c.isascii() else c.encode().decode("latin-1").translate(self.alphabet)
+                out[c] = array.array("I", [t.id for t in word(raw)])
+            else:
+                odd.append(c)
+        flat = np.array(array.array("I", chain.from_iterable(out.values())), kind).tobytes()
+        at = 0
+        for c, ids in out.items():
+            out[c] = flat[at:(at := at + self.width * len(ids))]
+        for k in range(0, len(odd), 20_000):  # joined by blanks, then cut by the places the ids come from
+            some = odd[k:k + 20_000]
             got = self.lib.encode(" ".join(some), add_special_tokens=False)
             first = np.cumsum([0, *map(len, some[:-1])]) + np.arange(len(some))
             owner = np.searchsorted(first, np.array([a for a, _ in got.offsets], np.int64), "right") - 1
-            raw = np.array(got.ids, f"<u{self.width}").tobytes()
+            raw = np.array(got.ids, kind).tobytes()
             cut = (self.width * np.r_[0, np.cumsum(np.bincount(owner, minlength=len(some)))]).tolist()
-            self.known.update((c, raw[a:z]) for c, a, z in zip(some, cut, cut[1:]))
+            out.update((c, raw[a:z]) for c, a, z in zip(some, cut, cut[1:]))
+        return out
 
     def texts(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > KNOWN:
-            self.known = {"": b""}
-        known = self.known
-        new = list(set().union(*split).difference(known))
-        parts = [(w[:-1], w[-1]) if w[-1] in ".," and w[-2:-1] in LETTERS else (w, "") for w in new]
+        new = self.known.missing(split)
+        known = self.known.now
+        parts = [(w[:-1], w[-1]) if w[-1:] in POINTS and w[-2:-1] in LETTERS else (w, "") for w in new]
         stems = [s.lower() if s.isascii() else s for s, _ in parts]
-        self._encode(list({*stems, ".", ","}.difference(known)))
-        for w, stem, (_, tail) in zip(new, stems, parts):
-            known[w] = known[stem] + known[tail] if tail else known[stem]
+        fresh = self._encode(list({*stems, *POINTS}.difference(known)))
+        get = lambda w: fresh[w] if w in fresh else known[w]
+        tails = {t: get(t) for t in POINTS} | {"": b""}
+        known.update([(w, get(stem) + tails[tail]) for w, stem, (_, tail) in zip(new, stems, parts)])
+        known.update(fresh)
         return [b"".join(map(known.__getitem__, ws)) for ws in split]
 
 
@@ -160,7 +181,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> Non
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        coder, part = WordIds(tokenizer), TaskContext.get().partitionId()
+        coder, part = per_process(f"words {tokenizer}", lambda: WordIds(tokenizer)), TaskContext.get().partitionId()
         end = np.array([end_id], f"<u{coder.width}").tobytes()
         doc_ids, lens, raws, held, seq, before = [], [], [], 0, 0, 0
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fulltime.llm.common import map_arrow, slices
-from fulltime.llm.pieces import PieceCoder
+from fulltime.llm.pieces import piece_coder
 
 #: First and last code points of the scripts told apart.
 SCRIPTS = {
@@ -109,7 +109,7 @@ def measure(docs: DataFrame, model: str, text: str = "text", keep: list[str] | N
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name in keep], SCHEMA])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        coder, (script, names) = PieceCoder(model), _script_table()
+        coder, (script, names) = piece_coder(model), _script_table()
         for b in slices(batches, "__text"):
             texts = [t or "" for t in b.column("__text").to_pylist()]
             words = [t.encode().split() for t in texts]

@@ -28,13 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import map_arrow, slices
+from fulltime.llm.common import Generations, map_arrow, per_process, slices
 
 MARK = "▁"
 #: Words of more symbols than this go through the heap.
 LONG = 2048
-#: Entries of a task's table of known words; it is emptied when full (speed only).
-KNOWN = 300_000
+#: Entries of each generation of a process's table of known words (speed only).
+KNOWN = 400_000
 NONE = np.iinfo(np.int32).max
 
 
@@ -83,8 +83,7 @@ class PieceCoder:
                else t.replace(MARK, " ").encode() for i, t in enumerate(texts[:n])]
         self.raw, self.raw_len = np.frombuffer(b"".join(raw), np.uint8), np.array([len(x) for x in raw], np.int64)
         self.raw_at = np.cumsum(self.raw_len) - self.raw_len
-        self.known: dict[str, bytes] = {}  # ids of words, and the same as decimals
-        self.decimal: dict[str, str] = {}
+        self.table = Generations(KNOWN)
 
     def _pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The symbol that each pair makes, -1 if none."""
@@ -162,7 +161,7 @@ class PieceCoder:
         sym[at] = -1 - char[at]
 
     def learn(self, words: list[str]) -> None:
-        """Encodes words and puts them in ``known``."""
+        """Encodes words and puts them in the table."""
         for w in [w for w in words if len(w) > LONG]:
             cp = np.frombuffer(w.encode("utf-32-le"), np.uint32).astype(np.int64)
             sym = self.char[cp].copy()
@@ -196,29 +195,24 @@ class PieceCoder:
 
     def _keep(self, words: list[str], ids: np.ndarray, width: np.ndarray, cut: np.ndarray | None) -> None:
         cut = np.array([0, len(ids)]) if cut is None else cut
-        texts = list(map(str, ids.tolist()))
         raw, c = ids.astype("<i4").tobytes(), cut.tolist()
         for k, w in enumerate(words):
-            self.known[w] = raw[4 * c[k]:4 * c[k + 1]]
-            self.decimal[w] = " ".join(texts[c[k]:c[k + 1]])
+            self.table.now[w] = raw[4 * c[k]:4 * c[k + 1]]
 
     def words(self, text: str) -> list[str]:
         """The words of a text, ready to be encoded each by itself."""
         return re.findall(f"{MARK}+[^{MARK}]*", MARK + text.replace(" ", MARK)) if text else []
 
     def split(self, texts: list[str]) -> list[list[str]]:
-        """Words of every text, all of them in ``known`` afterwards."""
+        """Words of every text, all of them in the table afterwards."""
         split = [self.words(t) for t in texts]
-        if len(self.known) > KNOWN:
-            self.known.clear()
-            self.decimal.clear()
-        self.learn(list(set().union(*split).difference(self.known)))
+        self.learn(self.table.missing(split))
         return split
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, the end id last."""
         split, end = self.split(texts), np.array([self.end], "<i4").tobytes()
-        return [np.frombuffer(b"".join([*map(self.known.__getitem__, ws), end]), "<i4") for ws in split]
+        return [np.frombuffer(b"".join([*map(self.table.now.__getitem__, ws), end]), "<i4") for ws in split]
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         """Texts of id arrays: control ids say nothing, the mark put before a text goes."""
@@ -233,13 +227,18 @@ class PieceCoder:
                 for a, b in zip(cut, cut[1:])]
 
 
+def piece_coder(model: str) -> PieceCoder:
+    """The process's coder for a model file."""
+    return per_process(f"pieces {model}", lambda: PieceCoder(model))
+
+
 def encode_documents(df: DataFrame, model: str, text: str = "text") -> DataFrame:
     """``df`` (any columns) with ``ids`` array<int> of the whole text, the end id last."""
     keep = [c for c in df.columns if c != "ids"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema) + ", ids array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        coder = PieceCoder(model)
+        coder = piece_coder(model)
         for b in slices(batches, text):
             ids = coder.encode([t or "" for t in b.column(text).to_pylist()])
             at = np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32)
@@ -255,7 +254,7 @@ def decode_documents(df: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema) + ", decoded string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        coder = PieceCoder(model)
+        coder = piece_coder(model)
         for b in batches:
             out = coder.decode([np.array(x or [], np.int64) for x in b.column(ids).to_pylist()])
             yield {c: b.column(c) for c in keep} | {"decoded": out}
@@ -271,14 +270,15 @@ def round_trip(df: DataFrame, model: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        coder = PieceCoder(model)
+        coder = piece_coder(model)
+        decimal = list(map(str, range(coder.size)))
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for b in slices(batches, "text"):
             texts = [t or "" for t in b.column("text").to_pylist()]
-            ids, last = coder.encode(texts), str(coder.end)
+            ids = coder.encode(texts)
             yield {
                 "doc_id": b.column("doc_id"), "n_tokens": [len(x) for x in ids],
-                "ids_sha256": [sha(" ".join([*map(coder.decimal.__getitem__, coder.words(t)), last])) for t in texts],
+                "ids_sha256": [sha(" ".join(map(decimal.__getitem__, x.tolist()))) for x in ids],
                 "decoded_sha256": [sha(t) for t in coder.decode(ids)],
             }
 

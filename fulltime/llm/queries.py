@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulltime.llm import elias_fano, fertility, pieces, ppm_langid
+from fulltime.llm import elias_fano, fertility, jaccard_join, pieces, ppm_langid
 from fulltime.llm.common import shared_path, table
 
 
@@ -17,6 +17,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 5-word shingle sets have a Jaccard similarity of 0.75 or more."""
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def _fold(mod: int) -> Column:
     """crc32 of doc_id as text, modulo; null where doc_id is null."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(mod))
@@ -45,10 +50,30 @@ def op8_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_jaccard": op3_jaccard,
     "op7_ppm": op7_ppm,
     "op8_elias_fano": op8_elias_fano,
     "op10_fertility": op10_fertility,
 }
 
 #: DuckDB SQL of those that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_jaccard": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+linked AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+reach AS (
+  SELECT doc_id AS d, doc_id AS r FROM documents
+  UNION SELECT reach.d, linked.b FROM reach JOIN linked ON linked.a = reach.r)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, min(reach.r) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN reach ON reach.d = w.doc_id GROUP BY w.doc_id, n.n
+""",
+}

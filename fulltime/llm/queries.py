@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulltime.llm import elias_fano, fertility, jaccard_join, pieces, ppm_langid
+from fulltime.llm import elias_fano, fertility, jaccard_join, pieces, ppm_langid, source_mix
 from fulltime.llm.common import shared_path, table
 
 
@@ -22,6 +22,11 @@ def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sources mixed at weights 5, 2, 1 to 150% of all words, none above twice its size."""
+    return source_mix.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).taken()
+
+
 def _fold(mod: int) -> Column:
     """crc32 of doc_id as text, modulo; null where doc_id is null."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(mod))
@@ -51,6 +56,7 @@ def op8_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_jaccard": op3_jaccard,
+    "op4_mixing": op4_mixing,
     "op7_ppm": op7_ppm,
     "op8_elias_fano": op8_elias_fano,
     "op10_fertility": op10_fertility,

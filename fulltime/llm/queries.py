@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulltime.llm import elias_fano, fertility, jaccard_join, pieces, ppm_langid, source_mix
+from fulltime.llm import elias_fano, fertility, jaccard_join, pieces, ppm_langid, source_mix, vector_forest
 from fulltime.llm.common import shared_path, table
 
 
@@ -17,6 +17,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found for each vector whose id 20 divides."""
+    return vector_forest.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose 5-word shingle sets have a Jaccard similarity of 0.75 or more."""
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
@@ -55,6 +60,7 @@ def op8_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_forest": op2_forest,
     "op3_jaccard": op3_jaccard,
     "op4_mixing": op4_mixing,
     "op7_ppm": op7_ppm,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 import types as python_types
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pyarrow as pa
@@ -59,14 +59,22 @@ class Generations:
     def __init__(self, most: int):
         self.most, self.now, self.before = most, {}, {}
 
-    def missing(self, words: list[list]) -> list:
-        """The distinct words not known; afterwards ``now`` has all the others."""
+    def of(self, words: list[list], learn: Callable[[list], Iterable[tuple]]) -> dict:
+        """Values of all words of some lists; ``learn`` gives (word, value) pairs of those not known."""
         if len(self.now) > self.most:
             self.now, self.before = {}, self.now
-        new = set().union(*words).difference(self.now)
-        old = new.intersection(self.before) if self.before else ()
-        self.now.update((w, self.before[w]) for w in old)
-        return list(new.difference(old))
+        distinct = set().union(*words)
+        out = dict(zip(distinct, map(self.now.get, distinct)))
+        new = [w for w, v in out.items() if v is None]
+        if self.before:
+            got = [(w, v) for w, v in zip(new, map(self.before.get, new)) if v is not None]
+            out.update(got)
+            self.now.update(got)
+            new = [w for w in new if out[w] is None]
+        got = list(learn(new))
+        out.update(got)
+        self.now.update(got)
+        return out
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:

@@ -159,17 +159,16 @@ class WordIds:
             out.update((c, raw[a:z]) for c, a, z in zip(some, cut, cut[1:]))
         return out
 
-    def texts(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = self.known.missing(split)
-        known = self.known.now
+    def _learn(self, new: list[str]) -> Iterator[tuple[str, bytes]]:
         parts = [(w[:-1], w[-1]) if w[-1:] in POINTS and w[-2:-1] in LETTERS else (w, "") for w in new]
         stems = [s.lower() if s.isascii() else s for s, _ in parts]
-        fresh = self._encode(list({*stems, *POINTS}.difference(known)))
-        get = lambda w: fresh[w] if w in fresh else known[w]
-        tails = {t: get(t) for t in POINTS} | {"": b""}
-        known.update([(w, get(stem) + tails[tail]) for w, stem, (_, tail) in zip(new, stems, parts)])
-        known.update(fresh)
+        fresh = self._encode(list({*stems, *POINTS}))
+        tails = {t: fresh[t] for t in POINTS} | {"": b""}
+        return ((w, fresh[stem] + tails[tail]) for w, stem, (_, tail) in zip(new, stems, parts))
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        known = self.known.of(split, self._learn)
         return [b"".join(map(known.__getitem__, ws)) for ws in split]
 
 

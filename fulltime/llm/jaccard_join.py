@@ -58,9 +58,7 @@ class Shingler:
 
     def sets(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.encode().lower().split() for t in texts]  # bytes: A-Z and ASCII blanks only
-        new = self.table.missing(split)
-        known = self.table.now
-        known.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
+        known = self.table.of(split, lambda new: ((w, xxhash.xxh3_64_intdigest(w)) for w in new))
         lens, k = [len(w) for w in split], self.words
         flat = np.fromiter((h for ws in split for h in map(known.__getitem__, ws)), np.uint64, sum(lens))
         n = max(0, len(flat) - k + 1)

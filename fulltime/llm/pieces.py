@@ -156,28 +156,25 @@ class PieceCoder:
             offer(i)
         return [s for s, on in zip(sym, alive) if on]
 
-    def _spell(self, sym: np.ndarray, char: np.ndarray, at: np.ndarray) -> None:
-        """Marks symbols outside the vocabulary by their code point: -1 - code point."""
-        sym[at] = -1 - char[at]
-
-    def learn(self, words: list[str]) -> None:
-        """Encodes words and puts them in the table."""
+    def _symbols(self, text: str) -> np.ndarray:
+        """One symbol a character; those outside the vocabulary by their code point: -1 - code point."""
+        cp = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+        sym = self.char[cp]
+        odd = np.flatnonzero(sym < 0)
+        sym[odd] = -1 - cp[odd]
+        return sym
+
+    def learn(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Each word with its ids, little-endian four bytes each."""
         for w in [w for w in words if len(w) > LONG]:
-            cp = np.frombuffer(w.encode("utf-32-le"), np.uint32).astype(np.int64)
-            sym = self.char[cp].copy()
-            self._spell(sym, cp, np.flatnonzero(sym < 0))
-            self._keep([w], *self._bytes(np.array(self._heap(sym.tolist()), np.int64)), None)
+            yield w, self._bytes(np.array(self._heap(self._symbols(w).tolist()), np.int64))[0].astype("<i4").tobytes()
         words = [w for w in words if len(w) <= LONG]
         if not words:
             return
-        cp = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
-        sym = self.char[cp].copy()
-        self._spell(sym, cp, np.flatnonzero(sym < 0))
-        sym, lens = self._rounds(sym, np.array([len(w) for w in words]))
+        sym, lens = self._rounds(self._symbols("".join(words)), np.array([len(w) for w in words]))
         ids, width = self._bytes(sym.astype(np.int64))
-        ends = np.cumsum(lens)
-        total = np.r_[0, np.cumsum(width)]
-        self._keep(words, ids, width, np.r_[0, total[ends]])
+        raw, cut = ids.astype("<i4").tobytes(), (4 * np.r_[0, np.r_[0, np.cumsum(width)][np.cumsum(lens)]]).tolist()
+        yield from ((w, raw[a:z]) for w, a, z in zip(words, cut, cut[1:]))
 
     def _bytes(self, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of symbols, those outside the vocabulary as byte pieces; and the number of ids of each symbol."""
@@ -193,26 +190,19 @@ class PieceCoder:
         ids[slot] = self.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
         return ids, width
 
-    def _keep(self, words: list[str], ids: np.ndarray, width: np.ndarray, cut: np.ndarray | None) -> None:
-        cut = np.array([0, len(ids)]) if cut is None else cut
-        raw, c = ids.astype("<i4").tobytes(), cut.tolist()
-        for k, w in enumerate(words):
-            self.table.now[w] = raw[4 * c[k]:4 * c[k + 1]]
-
     def words(self, text: str) -> list[str]:
         """The words of a text, ready to be encoded each by itself."""
-        return re.findall(f"{MARK}+[^{MARK}]*", MARK + text.replace(" ", MARK)) if text else []
-
-    def split(self, texts: list[str]) -> list[list[str]]:
-        """Words of every text, all of them in the table afterwards."""
-        split = [self.words(t) for t in texts]
-        self.learn(self.table.missing(split))
-        return split
+        if not text:
+            return []
+        if "  " in text or MARK in text or text[0] == " " or text[-1] == " ":
+            return re.findall(f"{MARK}+[^{MARK}]*", MARK + text.replace(" ", MARK))
+        return [MARK + w for w in text.split(" ")]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, the end id last."""
-        split, end = self.split(texts), np.array([self.end], "<i4").tobytes()
-        return [np.frombuffer(b"".join([*map(self.table.now.__getitem__, ws), end]), "<i4") for ws in split]
+        split, end = [self.words(t) for t in texts], np.array([self.end], "<i4").tobytes()
+        known = self.table.of(split, self.learn)
+        return [np.frombuffer(b"".join([*map(known.__getitem__, ws), end]), "<i4") for ws in split]
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         """Texts of id arrays: control ids say nothing, the mark put before a text goes."""

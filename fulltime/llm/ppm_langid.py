@@ -28,7 +28,7 @@ from fulltime.operators.ranking import top_k_per_group
 
 UNKNOWN = "und"
 #: Most cells of the table of code lengths (4 bytes each).
-CELLS = 1 << 25
+CELLS = 3 << 22
 
 
 class PpmModel:
@@ -86,7 +86,7 @@ def fit(train: DataFrame, per_language: int = 300, train_bytes: int = 65_536) ->
     """The model of (doc_id, text, lang) rows; rows of null text or lang teach nothing."""
     ok = train.where(F.col("lang").isNotNull() & (F.octet_length("text") <= train_bytes))
     ids = ok.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"))
-    picked = top_k_per_group(ids, ["lang"], [F.col("h"), F.col("doc_id")], per_language, "doc_id").select("doc_id").collect()
+    picked = top_k_per_group(ids, ["lang"], [F.col("h"), F.col("doc_id")], per_language, "doc_id", salts=256).select("doc_id").collect()
     wanted = [r[0] for r in picked]
     rows = ok.where(F.col("doc_id").isin(wanted)).select("lang", "doc_id", "text").collect() if wanted else []
     samples: dict[str, list[bytes]] = {}

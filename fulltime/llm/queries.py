@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulltime.llm import elias_fano, fertility, jaccard_join, pieces, ppm_langid, source_mix, vector_forest
+from fulltime.llm import elias_fano, fertility, jaccard_join, pieces, ppm_langid, source_mix, style_tree, vector_forest
 from fulltime.llm.common import shared_path, table
 
 
@@ -58,6 +58,11 @@ def op8_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
     return elias_fano.read_shards(spark.read.parquet(path))
 
 
+def op9_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return style_tree.main_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_forest": op2_forest,
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op7_ppm": op7_ppm,
     "op8_elias_fano": op8_elias_fano,
+    "op9_style_tree": op9_style_tree,
     "op10_fertility": op10_fertility,
 }
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulltime.llm import elias_fano, fertility, jaccard_join, pieces, ppm_langid, source_mix, style_tree, vector_forest
+from fulltime.llm import elias_fano, fertility, jaccard_join, pieces, pitman_yor, ppm_langid, source_mix, style_tree, vector_forest
 from fulltime.llm.common import shared_path, table
 
 
@@ -33,14 +33,20 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fold(mod: int) -> Column:
-    """crc32 of doc_id as text, modulo; null where doc_id is null."""
-    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(mod))
+    """crc32 of doc_id as text, modulo; a null doc_id counts as the empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(mod))
+
+
+def op6_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document; the seventh whose fold is 2 teaches nothing."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("train", _fold(7) != 2)
+    return pitman_yor.score(docs).withColumn("held_out", ~F.col("trained")).drop("trained")
 
 
 def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Language of every document; the fifth whose fold is 0, and rows of null doc_id, teach nothing."""
+    """Language of every document; the fifth whose fold is 0 teaches nothing."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    docs = docs.withColumn("held_out", F.coalesce(_fold(5) == 0, F.lit(True)))
+    docs = docs.withColumn("held_out", _fold(5) == 0)
     model = ppm_langid.fit(docs.where(~F.col("held_out")))
     return ppm_langid.predict(docs, model, keep=["doc_id", "held_out"])
 
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_forest": op2_forest,
     "op3_jaccard": op3_jaccard,
     "op4_mixing": op4_mixing,
+    "op6_pitman_yor": op6_pitman_yor,
     "op7_ppm": op7_ppm,
     "op8_elias_fano": op8_elias_fano,
     "op9_style_tree": op9_style_tree,

@@ -1,23 +1,27 @@
-"""Scoring texts with a hierarchical Pitman-Yor model of words and their spelling.
+"""Scoring texts with a hierarchical Pitman-Yor model of words in context and their spelling.
 
-Words sit in one restaurant. Its parent spells words: byte contexts of three, two, one and no bytes are
-restaurants of their own, each the parent of the longer ones that end in it, over a uniform base. A table
-of the word restaurant is a customer of every context its spelling runs through; a table there is a
-customer of the context one byte shorter. So a word never met still has the probability of its spelling,
-and the probabilities of all words add up to one.
+Each word is the context of a restaurant whose dishes are the words after it. All of these share a parent,
+the restaurant of single words, whose own parent spells: byte contexts of three, two, one and no bytes are
+restaurants too, each the parent of the longer ones that end in it, over a uniform base. A table is a
+customer of the same dish one level down, a table of the word restaurant one of every context its spelling
+runs through. So a word never met still has the probability of its spelling, and the probabilities of all
+words in a context add up to one.
 
 Seating follows the Chinese restaurant process and is sampled by Gibbs: in each sweep the customers of
 every dish get up and sit down again, given the tables of all others and the parents' probabilities of the
 sweep before (a customer opens a table with weight (strength + discount * tables) * parent probability,
 and joins one with weight customers - discount * tables of the dish). After ``burn`` sweeps the predictive
-probabilities of ``samples`` sweeps are averaged. A word's own number of tables enters the average by its
-expectation under the sampled rest. Discounts come from the counts of ones and twos at each level.
+probabilities of ``samples`` sweeps are averaged; they are linear in a dish's own tables, so a mean number
+of tables stands for the samples there. Discounts come from the counts of ones and twos at each level.
+Word contexts are sampled in the cells of a grid (by context and by dish): a cell takes the parent's and
+the rest of its contexts' state from its own share of them, as in other distributed samplers.
 
 How the corpus flows: texts are packed into chunks (compressed rows of the shared folder). A chunk sends
-each distinct word once to the word's bucket, with its training count; a bucket adds up, answers each
-chunk with the totals of its words in order, and writes its part of the vocabulary. So a word that makes
-up a third of all text is one entry a chunk, and nothing but the spelling counts (a fixed number of cells)
-and totals reach the driver.
+each distinct pair of words once to the pair's cell, with its training count; the cell adds up, seats, and
+answers each chunk in its order. Words go the same way, and meet what the cells found out about each
+context and dish. So a word or pair that makes up a third of all text is one entry a chunk, and nothing
+but the spelling counts (a fixed number of cells) and totals reach the driver. Pairs travel under hashed
+names: 28 bits of the context (contexts of one name share a restaurant), 32 bits of the dish.
 
 Defined results: null text counts as empty; an empty text is the end token alone; a null doc_id counts as
 the empty text for its fold; repeated rows are scored, and learned from, one by one; where nothing is
@@ -26,13 +30,12 @@ learned from, the model is the uniform spelling.
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -165,18 +168,23 @@ class Spelling:
 
 
 class WordModel:
-    """What scoring needs: totals, the averaged spelling, and expected tables by count and weight."""
+    """What scoring needs: totals, the averaged spelling, and expected tables by count and weight.
 
-    def __init__(self, tokens: int, types: int, discount: float, tables: float, spelling: Spelling):
-        self.tokens, self.types, self.discount, self.tables = tokens, types, discount, tables
+    tokens and types are those of the training texts; customers, discount and tables those of the
+    restaurant of single words; pair_discount that of the contexts.
+    """
+
+    def __init__(self, tokens: int, types: int, customers: int, discount: float, tables: float, spelling: Spelling):
+        self.tokens, self.types, self.customers, self.discount, self.tables = tokens, types, customers, discount, tables
+        self.pair_discount = 0.5
         self.spelling, self.table = spelling, spelling.log_table()
         spelling.sums = spelling.prob = spelling.parts = None  # scoring needs the table only
-        self.counts = np.unique(np.floor(np.logspace(0, max(1.0, np.log10(max(tokens, 10))), 60)))
+        self.counts = np.unique(np.floor(np.logspace(0, max(1.0, np.log10(max(customers, 10))), 60)))
         self.weights = np.logspace(-12, 8, 81)
         self.expected = np.array([np.log(seat(self.counts, np.full(len(self.counts), w), discount, None)) for w in self.weights])
 
-    def scores(self, words: list[bytes], count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Base and model log10 probability of each word, given its training count."""
+    def single(self, words: list[bytes], count: np.ndarray) -> np.ndarray:
+        """Probability of each word without context, given its customers."""
         spelled = self.spelling.of(words, self.table)
         fresh = (STRENGTH + self.discount * self.tables) * 10.0 ** np.maximum(spelled, -290.0)
         x = np.interp(np.log(np.maximum(count, 1)), np.log(self.counts), np.arange(len(self.counts)))
@@ -186,8 +194,17 @@ class WordModel:
         e = self.expected
         t = np.exp((1 - v) * ((1 - u) * e[j, i] + u * e[j, i + 1]) + v * ((1 - u) * e[j + 1, i] + u * e[j + 1, i + 1]))
         t = np.where(count > 0, np.minimum(t, count), 0.0)
-        p = (count - self.discount * t + fresh) / (STRENGTH + self.tokens)
-        return np.log10((count + 1) / (self.tokens + self.types + 1)), np.log10(np.maximum(p, 1e-300))
+        return np.maximum((count - self.discount * t + fresh) / (STRENGTH + self.customers), 1e-300)
+
+    def base(self, count: np.ndarray) -> np.ndarray:
+        """Log10 of add-one word probabilities."""
+        return np.log10((count + 1) / (self.tokens + self.types + 1))
+
+    def paired(self, single: np.ndarray, count: np.ndarray, tables: np.ndarray, in_context: np.ndarray,
+               context_tables: np.ndarray) -> np.ndarray:
+        """Log10 probability of words after their contexts."""
+        d = self.pair_discount
+        return np.log10((np.maximum(count - d * tables, 0.0) + (STRENGTH + d * context_tables) * single) / (STRENGTH + in_context))
 
 
 def _words(text: str) -> list[bytes]:
@@ -222,62 +239,195 @@ def pack(docs: DataFrame, train: str) -> DataFrame:
     return map_arrow(rows, run, "chunk long, blob binary")
 
 
-def unpack(blob: bytes) -> pa.Table:
-    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob)).read_all()
+class Chunk:
+    """Rows of a chunk, their words as numbers, and its distinct words in order of their first places."""
+
+    def __init__(self, blob: bytes):
+        rows = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob)).read_all()
+        self.doc_id, self.train = rows.column("doc_id").combine_chunks(), rows.column("train").combine_chunks()
+        split = [_words(t) for t in rows.column("text").to_pylist()]
+        place = {w: i for i, w in enumerate(dict.fromkeys(w for ws in split for w in ws))}
+        self.words = list(place)
+        self.lens = np.array([len(ws) for ws in split])
+        self.first = np.cumsum(self.lens) - self.lens
+        self.token = np.fromiter((i for ws in split for i in map(place.__getitem__, ws)), np.int64, int(self.lens.sum()))
+        self.learns = np.repeat(np.array(self.train.to_pylist(), np.int64), self.lens)
+        self.name = np.fromiter((xxhash.xxh3_64_intdigest(w) & 0xFFFFFFFF for w in self.words), np.int64, len(self.words))
+        self.end = place[b""]
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (context, word) pairs as context * words + word, sorted, and which of them each token is."""
+        before = np.r_[self.end, self.token[:-1]]
+        before[self.first] = self.end
+        return np.unique(before * len(self.words) + self.token, return_inverse=True)
+
+    def keys(self, pairs: np.ndarray) -> np.ndarray:
+        context, dish = self.name[pairs // len(self.words)], self.name[pairs % len(self.words)]
+        return (context & CONTEXT) << 32 | dish
+
+
+#: The bits of a word's 32-bit name that name its context.
+CONTEXT = (1 << 28) - 1
+
+
+def squeeze(x: np.ndarray) -> bytes:
+    """Numbers as bytes, first bytes first, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes())
+
+
+def unsqueeze(raw: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, -1).T).view(kind).ravel() if len(planes) else np.zeros(0, kind)
+
 
+def _cuts(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, list[int]]:
+    """A stable order by bucket, and where each bucket begins in it (and the end)."""
+    order = np.argsort(bucket, kind="stable")
+    return order, np.r_[0, np.cumsum(np.bincount(bucket, minlength=buckets))].tolist()
 
-def _by_bucket(words: list[bytes], buckets: int) -> list[list[int]]:
-    """Numbers of words by bucket, in order."""
-    out: list[list[int]] = [[] for _ in range(buckets)]
-    for i, w in enumerate(words):
-        out[zlib.crc32(w) % buckets].append(i)
-    return out
 
+def _cell(key: np.ndarray, side: int) -> np.ndarray:
+    return (key >> 32) % side * side + (key & 0xFFFFFFFF) % side
 
-def _chunk_words(blob: bytes) -> tuple[pa.Table, list[list[bytes]], dict[bytes, int]]:
-    """A chunk's rows, their words, and its distinct words in order of their first places."""
-    rows = unpack(blob)
-    split = [_words(t) for t in rows.column("text").to_pylist()]
-    return rows, split, {w: i for i, w in enumerate(dict.fromkeys(w for ws in split for w in ws))}
 
+def _sum_by(key: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    own, at = np.unique(key, return_inverse=True)
+    return [own, *[np.bincount(at, v, minlength=len(own)) for v in values]]
 
-def vocabulary(chunks: DataFrame, buckets: int) -> DataFrame:
-    """Answers to chunks (kind 0: chunk, bucket, counts) and the training vocabulary (kind 1: words, counts)."""
+
+def seat_contexts(key: np.ndarray, count: np.ndarray, side: int, burn: int, samples: int, rng: np.random.Generator) -> np.ndarray:
+    """Mean tables of the dishes of a grid cell (all counts at least one), by Gibbs."""
+    tables = np.ones(len(key))
+    more = np.flatnonzero(count > 1)
+    if not len(more):
+        return tables
+    d = discount_of(count)
+    context = np.unique(key >> 32, return_inverse=True)[1]
+    dish = np.unique(key & 0xFFFFFFFF, return_inverse=True)[1]
+    mean = np.zeros(len(more))
+    for turn in range(burn + samples):
+        in_context = side * np.bincount(context, tables)  # a cell holds one of ``side`` parts of its contexts' dishes
+        parent = np.bincount(dish, tables)
+        parent /= side * parent.sum()  # and one part of all dishes
+        weight = (STRENGTH + d * in_context[context[more]]) * parent[dish[more]]
+        tables[more] = seat(count[more], weight, d, rng)
+        if turn >= burn:
+            mean += tables[more]
+    tables[more] = mean / samples
+    return tables
+
+
+PAIR_ROWS = "kind int, bucket int, chunk long, a binary, b binary, c binary, one long, two long"
+
+
+def pair_tables(chunks: DataFrame, side: int, buckets: int, burn: int = 2, samples: int = 3, seed: int = 5) -> DataFrame:
+    """Rows of three kinds: answers to chunks (0: a counts, b tables of counts above one), what each context
+    (2: a names, b tables, c customers) and each dish (3: a names, b tables) has in a cell, dealt to word buckets."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for b in batches:
+            for number, blob in zip(b.column("chunk").to_pylist(), b.column("blob").to_pylist()):
+                chunk = Chunk(blob)
+                pairs, at = chunk.pairs()
+                key = chunk.keys(pairs)
+                count = np.bincount(at, chunk.learns, minlength=len(pairs)).astype("<u4")
+                order = np.argsort(key, kind="stable")
+                by, cut = _cuts(_cell(key[order], side), side * side)
+                order = order[by]
+                for k, (a, z) in enumerate(zip(cut, cut[1:])):
+                    if a < z:
+                        own = order[a:z]
+                        yield {"cell": [k], "chunk": [number], "keys": [squeeze(np.diff(key[own], prepend=0))],
+                               "counts": [squeeze(count[own])]}
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        keys = [np.cumsum(unsqueeze(k, "<i8")) for k in rows["keys"]]
+        key, at = np.unique(np.concatenate(keys), return_inverse=True)
+        count = np.bincount(at, np.concatenate([unsqueeze(c, "<u4") for c in rows["counts"]]), minlength=len(key)).astype(np.int64)
+        cell, met = int(rows["cell"].iloc[0]), count > 0
+        tables = np.zeros(len(key))
+        tables[met] = seat_contexts(key[met], count[met], side, burn, samples, np.random.default_rng([seed, cell]))
+        cut, out = np.cumsum([0, *map(len, keys)]).tolist(), []
+        for number, a, z in zip(rows["chunk"], cut, cut[1:]):
+            c, t = count[at[a:z]], tables[at[a:z]]
+            out.append((0, cell, number, squeeze(c.astype("<u4")), squeeze(t[c > 1].astype("<f4")), b"", 0, 0))
+        names, t, c = _sum_by(key[met] >> 32, tables[met], count[met])
+        by, cut = _cuts(names % buckets, buckets)
+        ones, twos = int((count == 1).sum()), int((count == 2).sum())
+        for k, (a, z) in enumerate(zip(cut, cut[1:])):
+            if a < z or k == 0:
+                own = by[a:z]
+                out.append((2, k, -1, squeeze(names[own].astype("<u4")), squeeze(t[own].astype("<f4")), squeeze(c[own].astype("<i8")),
+                            ones if k == 0 else 0, twos if k == 0 else 0))
+        names, t = _sum_by(key[met] & 0xFFFFFFFF, tables[met])
+        by, cut = _cuts((names & CONTEXT) % buckets, buckets)
+        out += [(3, k, -1, squeeze(names[by[a:z]].astype("<u4")), squeeze(t[by[a:z]].astype("<f4")), b"", 0, 0)
+                for k, (a, z) in enumerate(zip(cut, cut[1:])) if a < z]
+        return pd.DataFrame(out, columns=["kind", "bucket", "chunk", "a", "b", "c", "one", "two"])
+
+    sent = map_arrow(chunks, send, "cell int, chunk long, keys binary, counts binary")
+    return sent.groupBy("cell").applyInPandas(add, PAIR_ROWS)
+
+
+def vocabulary(chunks: DataFrame, found: DataFrame, buckets: int) -> DataFrame:
+    """Answers to chunks (kind 0: a counts, b customers as a word, c tables and customers as a context) and the
+    training vocabulary (kind 1: words, counts of customers); ``found`` are the rows of ``pair_tables``."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         coder = zstandard.ZstdCompressor(level=1)
         for b in batches:
-            for chunk, blob in zip(b.column("chunk").to_pylist(), b.column("blob").to_pylist()):
-                rows, split, place = _chunk_words(blob)
-                got: Counter[bytes] = Counter()
-                for ws, train in zip(split, rows.column("train").to_pylist()):
-                    if train:
-                        got.update(ws)
-                words = list(place)
-                for k, at in enumerate(_by_bucket(words, buckets)):
-                    if at:
-                        own = [words[i] for i in at]
-                        yield {"bucket": [k], "chunk": [chunk], "words": [coder.compress(b"\n".join(own))],
-                               "counts": [np.array([got[w] for w in own], "<u4").tobytes()]}
+            for number, blob in zip(b.column("chunk").to_pylist(), b.column("blob").to_pylist()):
+                chunk = Chunk(blob)
+                count = np.bincount(chunk.token, chunk.learns, minlength=len(chunk.words)).astype("<u4")
+                by, cut = _cuts((chunk.name & CONTEXT) % buckets, buckets)
+                for k, (a, z) in enumerate(zip(cut, cut[1:])):
+                    if a < z:
+                        own = by[a:z]
+                        yield {"kind": [1], "bucket": [k], "chunk": [number], "a": [coder.compress(b"\n".join([chunk.words[i] for i in own]))],
+                               "b": [squeeze(count[own])], "c": [b""], "one": [0], "two": [0]}
+
+    def gather(rows: pd.DataFrame, kinds: list[str]) -> list[np.ndarray]:
+        parts = [[unsqueeze(x, k) for x in rows[c]] for c, k in zip("abc", kinds)]
+        return _sum_by(*[np.concatenate(p) for p in parts]) if len(rows) else [np.zeros(0)] * len(kinds)
+
+    def look(names: np.ndarray, table: list[np.ndarray]) -> list[np.ndarray]:
+        own, values = table[0], table[1:]
+        if not len(own):
+            return [np.zeros(len(names)) for _ in values]
+        at = np.minimum(np.searchsorted(own, names), len(own) - 1)
+        return [np.where(own[at] == names, v[at], 0.0) for v in values]
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        pack, unpack_ = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
-        split = [unpack_.decompress(w).split(b"\n") for w in rows["words"]]
+        pack_, unpack_ = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+        contexts = gather(rows[rows["kind"] == 2], ["<u4", "<f4", "<i8"])
+        dishes = gather(rows[rows["kind"] == 3], ["<u4", "<f4"])
+        asked = rows[rows["kind"] == 1]
+        split = [unpack_.decompress(w).split(b"\n") for w in asked["a"]]
         total: dict[bytes, int] = {}
-        for ws, raw in zip(split, rows["counts"]):
-            for w, n in zip(ws, np.frombuffer(raw, "<u4").tolist()):
+        for ws, raw in zip(split, asked["b"]):
+            for w, n in zip(ws, unsqueeze(raw, "<u4").tolist()):
                 total[w] = total.get(w, 0) + n
-        known = {w: n for w, n in total.items() if n}
-        bucket, count = int(rows["bucket"].iloc[0]), np.array(list(known.values()), "<i8")
-        out = [(0, int(c), bucket, b"", pack.compress(np.array([total[w] for w in ws], "<i8").tobytes()), 0, 0)
-               for c, ws in zip(rows["chunk"], split)]
-        if known:
-            out.append((1, -1, bucket, pack.compress(b"\n".join(known)), pack.compress(count.tobytes()), int(count.sum()), len(known)))
-        return pd.DataFrame(out, columns=["kind", "chunk", "bucket", "words", "counts", "tokens", "types"])
-
-    sent = map_arrow(chunks, send, "bucket int, chunk long, words binary, counts binary")
+        place = {w: i for i, w in enumerate(total)}
+        words, count = list(total), np.array(list(total.values()), "<i8")
+        name = np.fromiter((xxhash.xxh3_64_intdigest(w) & 0xFFFFFFFF for w in words), np.int64, len(words))
+        tables, customers = look(name & CONTEXT, contexts)
+        own = np.where(count > 0, np.maximum(1, np.rint(look(name, dishes)[0])), 0).astype("<i8")
+        bucket, out = int(rows["bucket"].iloc[0]), []
+        for number, ws in zip(asked["chunk"], split):
+            at = np.fromiter(map(place.__getitem__, ws), np.int64, len(ws))
+            out.append((0, int(number), bucket, squeeze(count[at]), squeeze(own[at]),
+                        squeeze(np.c_[tables[at], customers[at]].astype("<f8").ravel()), 0, 0, 0))
+        known = np.flatnonzero(count)
+        if len(known):
+            out.append((1, -1, bucket, pack_.compress(b"\n".join([words[i] for i in known])), pack_.compress(own[known].tobytes()), b"",
+                        int(count.sum()), len(known), int(own.sum())))
+        return pd.DataFrame(out, columns=["kind", "chunk", "bucket", "a", "b", "c", "tokens", "types", "customers"])
+
+    schema = PAIR_ROWS
+    sent = map_arrow(chunks, send, schema).unionByName(found.where("kind > 0"))
     return sent.groupBy("bucket").applyInPandas(
-        add, "kind int, chunk long, bucket int, words binary, counts binary, tokens long, types long")
+        add, "kind int, chunk long, bucket int, a binary, b binary, c binary, tokens long, types long, customers long")
 
 
 def _types(row_words: bytes, row_counts: bytes) -> tuple[list[bytes], np.ndarray]:
@@ -288,12 +438,11 @@ def _types(row_words: bytes, row_counts: bytes) -> tuple[list[bytes], np.ndarray
 def learn(types: DataFrame, burn: int = 2, samples: int = 3, seed: int = 5) -> WordModel:
     """The model of a training vocabulary (rows of words and counts), by Gibbs sweeps."""
     spark = types.sparkSession
-    tokens, kinds = types.agg(F.sum("tokens"), F.sum("types")).first()
-    tokens, kinds = int(tokens or 0), int(kinds or 0)
+    tokens, kinds, customers = (int(x or 0) for x in types.agg(F.sum("tokens"), F.sum("types"), F.sum("customers")).first())
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for b in batches:
-            for w, c in zip(b.column("words").to_pylist(), b.column("counts").to_pylist()):
+            for w, c in zip(b.column("a").to_pylist(), b.column("b").to_pylist()):
                 words, count = _types(w, c)
                 n = np.bincount(np.frombuffer(b"".join(words), np.uint8), minlength=256)
                 yield {"what": [*range(256), 256, 257], "n": [*n.tolist(), int((count == 1).sum()), int((count == 2).sum())]}
@@ -302,7 +451,7 @@ def learn(types: DataFrame, burn: int = 2, samples: int = 3, seed: int = 5) -> W
     spelling = Spelling([b for b in sorted(range(256), key=lambda b: (-seen.get(b, 0), b)) if seen.get(b, 0)])
     discount = float(np.clip(seen.get(256, 0) / max(1, seen.get(256, 0) + 2 * seen.get(257, 0)), 0.05, 0.95))
     if not kinds:
-        return WordModel(0, 0, discount, 0.0, spelling)
+        return WordModel(0, 0, 0, discount, 0.0, spelling)
     rng, tables, taken = np.random.default_rng(seed), float(kinds), []
     for turn in range(burn + samples):
         shared = spark.sparkContext.broadcast((spelling.symbol, spelling.rest, None if turn == 0 else spelling.log_table()))
@@ -313,7 +462,7 @@ def learn(types: DataFrame, burn: int = 2, samples: int = 3, seed: int = 5) -> W
             own = Spelling([])
             own.symbol, own.rest = symbol, rest
             for b in batches:
-                for w, c, bucket in zip(b.column("words").to_pylist(), b.column("counts").to_pylist(), b.column("bucket").to_pylist()):
+                for w, c, bucket in zip(b.column("a").to_pylist(), b.column("b").to_pylist(), b.column("bucket").to_pylist()):
                     words, count = _types(w, c)
                     if table is None:
                         t = np.ones(len(words))  # the first seating: one table a word
@@ -333,7 +482,7 @@ def learn(types: DataFrame, burn: int = 2, samples: int = 3, seed: int = 5) -> W
         if turn >= burn:
             spelling.take()
             taken.append(tables)
-    return WordModel(tokens, kinds, discount, float(np.mean(taken)), spelling)
+    return WordModel(tokens, kinds, customers, discount, float(np.mean(taken)), spelling)
 
 
 def score(docs: DataFrame, train: str = "train", buckets: int | None = None) -> DataFrame:
@@ -343,29 +492,49 @@ def score(docs: DataFrame, train: str = "train", buckets: int | None = None) ->
     """
     spark = docs.sparkSession
     buckets = buckets or fanout(spark)
+    side = max(1, round(buckets ** 0.5))
     chunks = stored(pack(docs, train), "chunks")
-    found = stored(vocabulary(chunks, buckets), "vocabulary")
-    model = learn(found.where("kind = 1").select("bucket", "words", "counts", "tokens", "types"))
+    pairs = stored(pair_tables(chunks, side, buckets), "pairs")
+    found = stored(vocabulary(chunks, pairs, buckets), "vocabulary")
+    model = learn(found.where("kind = 1").select("bucket", "a", "b", "tokens", "types", "customers"))
+    ones, twos = (int(x or 0) for x in pairs.where("kind = 2").agg(F.sum("one"), F.sum("two")).first())
+    model.pair_discount = float(np.clip(ones / max(1, ones + 2 * twos), 0.05, 0.95))
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        unzip = zstandard.ZstdDecompressor()
+        m = shared.value
         for b in batches:
-            for blob, answers in zip(b.column("blob").to_pylist(), b.column("answers").to_pylist()):
-                rows, split, place = _chunk_words(blob)
-                words, count = list(place), np.zeros(len(place), np.int64)
-                by = _by_bucket(words, buckets)
-                for a in answers:
-                    count[by[a["bucket"]]] = np.frombuffer(unzip.decompress(a["counts"]), "<i8")
-                base, own = shared.value.scores(words, count)
-                lens = np.array([len(ws) for ws in split])
-                at = np.fromiter((i for ws in split for i in map(place.__getitem__, ws)), np.int64, int(lens.sum()))
-                first = np.cumsum(lens) - lens
-                yield {"doc_id": rows.column("doc_id").combine_chunks(), "trained": rows.column("train").combine_chunks(), "n_tokens": lens,
-                       "n_known": np.add.reduceat((count[at] > 0).astype(np.int64), first),
-                       "train_tokens": np.full(len(lens), shared.value.tokens, np.int64),
-                       "base_score": np.add.reduceat(base[at], first), "score": np.add.reduceat(own[at], first)}
-
-    answers = (found.where("kind = 0").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "counts")).alias("answers")))
-    return map_arrow(chunks.join(answers, "chunk").select("blob", "answers"), run,
+            for blob, words, cells in zip(*(b.column(c).to_pylist() for c in ("blob", "words", "cells"))):
+                chunk = Chunk(blob)
+                n = len(chunk.words)
+                count, own, context = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros((n, 2))
+                by, cut = _cuts((chunk.name & CONTEXT) % buckets, buckets)
+                for a in words:
+                    at = by[cut[a["bucket"]]:cut[a["bucket"] + 1]]
+                    count[at], own[at] = unsqueeze(a["a"], "<i8"), unsqueeze(a["b"], "<i8")
+                    context[at] = unsqueeze(a["c"], "<f8").reshape(-1, 2)
+                pairs_, token_pair = chunk.pairs()
+                key = chunk.keys(pairs_)
+                order = np.argsort(key, kind="stable")
+                by, cut = _cuts(_cell(key[order], side), side * side)
+                order = order[by]
+                met, tables = np.zeros(len(key)), np.zeros(len(key))
+                for a in cells:
+                    at = order[cut[a["bucket"]]:cut[a["bucket"] + 1]]
+                    c = unsqueeze(a["a"], "<u4").astype(np.float64)
+                    t = np.minimum(c, 1.0)
+                    t[c > 1] = unsqueeze(a["b"], "<f4")
+                    met[at], tables[at] = c, t
+                single = m.single(chunk.words, own)
+                u, w = pairs_ // n, pairs_ % n
+                score = m.paired(single[w], met, tables, context[u, 1], context[u, 0])
+                add = lambda x: np.add.reduceat(x, chunk.first)
+                yield {"doc_id": chunk.doc_id, "trained": chunk.train, "n_tokens": chunk.lens,
+                       "n_known": add((count > 0).astype(np.int64)[chunk.token]), "train_tokens": np.full(len(chunk.lens), m.tokens, np.int64),
+                       "base_score": add(m.base(count)[chunk.token]), "score": add(score[token_pair])}
+
+    answers = lambda rows, name: (rows.where("kind = 0").groupBy("chunk")
+                                  .agg(F.collect_list(F.struct("bucket", "a", "b", *(["c"] if name == "words" else []))).alias(name)))
+    met = chunks.join(answers(found, "words"), "chunk").join(answers(pairs, "cells"), "chunk")
+    return map_arrow(met.select("blob", "words", "cells"), run,
                      "doc_id long, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

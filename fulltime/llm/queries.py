@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulltime.llm import elias_fano, fertility, jaccard_join, pieces, pitman_yor, ppm_langid, source_mix, style_tree, vector_forest
+from fulltime.llm import elias_fano, fertility, jaccard_join, pieces, pii_boost, pitman_yor, ppm_langid, source_mix, style_tree, vector_forest
 from fulltime.llm.common import shared_path, table
 
 
@@ -37,6 +37,12 @@ def _fold(mod: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(mod))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii_boost.digest(docs, pii_boost.fit(docs))
+
+
 def op6_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model score of every document; the seventh whose fold is 2 teaches nothing."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("train", _fold(7) != 2)
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_forest": op2_forest,
     "op3_jaccard": op3_jaccard,
     "op4_mixing": op4_mixing,
+    "op5_pii": op5_pii,
     "op6_pitman_yor": op6_pitman_yor,
     "op7_ppm": op7_ppm,
     "op8_elias_fano": op8_elias_fano,

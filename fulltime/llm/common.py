@@ -5,10 +5,12 @@ from __future__ import annotations
 import sys
 import types as python_types
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -53,29 +55,66 @@ def per_process(key: str, make: Callable[[], Any]) -> Any:
     return store[key]
 
 
+class Split:
+    """Words of texts as numbers: ``distinct`` words in order of their first places, ``at`` of every word, ``lens`` by text."""
+
+    def __init__(self, lists: pa.ListArray, drop: str | None = None):
+        coded = lists.flatten().dictionary_encode()
+        self.distinct: pa.Array = coded.dictionary
+        self.at = coded.indices.to_numpy().astype(np.int64)
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        if drop is not None and (gone := self.distinct.index(drop).as_py()) >= 0:
+            stay = self.at != gone
+            offsets = np.r_[0, np.cumsum(stay)][offsets]
+            self.at = self.at[stay]
+        self.lens = np.diff(offsets)
+
+
+def blank_split(texts: pa.Array, lower: bool = False) -> Split:
+    """Words between ASCII blanks (``WORD``), A-Z in lower case if asked; the empty string is no word."""
+    return Split(pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts), "")
+
+
+def filled(texts: pa.Array) -> pa.Array:
+    """Strings with empty ones for nulls, from any offset of a batch."""
+    return pc.fill_null(pa.concat_arrays([texts]), "")
+
+
+def gather(flat: np.ndarray, lens: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The parts ``at`` of a flat array cut into parts of ``lens``, one after another; and their lengths."""
+    n = lens[at]
+    first = np.cumsum(lens) - lens
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(first[at] - (ends - n), n) + np.arange(total)], n
+
+
 class Generations:
     """A bounded table of known words: when it is full, only words still in use live on."""
 
     def __init__(self, most: int):
         self.most, self.now, self.before = most, {}, {}
 
-    def of(self, words: list[list], learn: Callable[[list], Iterable[tuple]]) -> dict:
-        """Values of all words of some lists; ``learn`` gives (word, value) pairs of those not known."""
+    def of(self, words: list, learn: Callable[[list], list]) -> list:
+        """Values of distinct words; ``learn`` gives those of words not known, in order."""
         if len(self.now) > self.most:
             self.now, self.before = {}, self.now
-        distinct = set().union(*words)
-        out = dict(zip(distinct, map(self.now.get, distinct)))
-        new = [w for w, v in out.items() if v is None]
+        out = list(map(self.now.get, words))
+        new = [i for i, v in enumerate(out) if v is None]
         if self.before:
-            got = [(w, v) for w, v in zip(new, map(self.before.get, new)) if v is not None]
-            out.update(got)
-            self.now.update(got)
-            new = [w for w in new if out[w] is None]
-        got = list(learn(new))
-        out.update(got)
-        self.now.update(got)
+            old = list(map(self.before.get, [words[i] for i in new]))
+            self._set(out, words, [i for i, v in zip(new, old) if v is not None], [v for v in old if v is not None])
+            new = [i for i, v in zip(new, old) if v is None]
+        if new:
+            self._set(out, words, new, learn([words[i] for i in new]))
         return out
 
+    def _set(self, out: list, words: list, at: list[int], values: list) -> None:
+        self.now.update(zip([words[i] for i in at], values))
+        for i, v in zip(at, values):
+            out[i] = v
+
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` for a generator of column dicts; the batches get the types of ``schema``."""
@@ -95,7 +134,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, chars: int = 2_000_000)
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch.column(text)).fill_null(0).to_pylist()
         at = held = 0
         for i, n in enumerate(sizes):
             if i > at and held + n > chars:

@@ -14,8 +14,6 @@ written by Spark's own writer, so they go to any store that Spark reaches.
 
 from __future__ import annotations
 
-import array
-import string
 import struct
 import unicodedata
 import zlib
@@ -24,14 +22,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import Generations, fanout, map_arrow, per_process, slices
+from fulltime.llm.common import Generations, Split, fanout, filled, gather, map_arrow, per_process, slices
 
-LETTERS = frozenset(string.ascii_letters)
-POINTS = frozenset(".,")
 MAGIC = b"EFID"
 SAMPLE = 256
 SHARD_IDS = 2_000_000
@@ -137,39 +134,55 @@ class WordIds:
         rest = [b for b in range(256) if b not in shown]
         self.alphabet = {b: 256 + k for k, b in enumerate(rest)}
 
-    def _encode(self, chunks: list[str]) -> dict[str, bytes]:
-        out, odd, kind, word = {}, [], f"<u{self.width}", self.lib.model.tokenize
-        for c in chunks:
-            if c.isalpha() and c == c.lower() and (c.isascii() or unicodedata.is_normalized("NFC", c)):
-                raw = c if c.isascii() else c.encode().decode("latin-1").translate(self.alphabet)
-                out[c] = array.array("I", [t.id for t in word(raw)])
+    def _encode(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct chunks, one after another, and their number by chunk."""
+        plain = pc.and_(pc.string_is_ascii(chunks), pc.and_(pc.ascii_is_alpha(chunks), pc.ascii_is_lower(chunks))).to_pylist()
+        texts, word = chunks.to_pylist(), self.lib.model.tokenize
+        out: list = [None] * len(texts)
+        odd = []
+        for i, (c, p) in enumerate(zip(texts, plain)):
+            if p:
+                out[i] = [t.id for t in word(c)]
+            elif c.isalpha() and c == c.lower() and unicodedata.is_normalized("NFC", c):
+                out[i] = [t.id for t in word(c.encode().decode("latin-1").translate(self.alphabet))]
             else:
-                odd.append(c)
-        flat = np.array(array.array("I", chain.from_iterable(out.values())), kind).tobytes()
-        at = 0
-        for c, ids in out.items():
-            out[c] = flat[at:(at := at + self.width * len(ids))]
+                odd.append(i)
         for k in range(0, len(odd), 20_000):  # joined by blanks, then cut by the places the ids come from
-            some = odd[k:k + 20_000]
+            some = [texts[i] for i in odd[k:k + 20_000]]
             got = self.lib.encode(" ".join(some), add_special_tokens=False)
             first = np.cumsum([0, *map(len, some[:-1])]) + np.arange(len(some))
             owner = np.searchsorted(first, np.array([a for a, _ in got.offsets], np.int64), "right") - 1
-            raw = np.array(got.ids, kind).tobytes()
-            cut = (self.width * np.r_[0, np.cumsum(np.bincount(owner, minlength=len(some)))]).tolist()
-            out.update((c, raw[a:z]) for c, a, z in zip(some, cut, cut[1:]))
-        return out
-
-    def _learn(self, new: list[str]) -> Iterator[tuple[str, bytes]]:
-        parts = [(w[:-1], w[-1]) if w[-1:] in POINTS and w[-2:-1] in LETTERS else (w, "") for w in new]
-        stems = [s.lower() if s.isascii() else s for s, _ in parts]
-        fresh = self._encode(list({*stems, *POINTS}))
-        tails = {t: fresh[t] for t in POINTS} | {"": b""}
-        return ((w, fresh[stem] + tails[tail]) for w, stem, (_, tail) in zip(new, stems, parts))
-
-    def texts(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known.of(split, self._learn)
-        return [b"".join(map(known.__getitem__, ws)) for ws in split]
+            cut = np.r_[0, np.cumsum(np.bincount(owner, minlength=len(some)))].tolist()
+            ids = got.ids
+            for i, a, z in zip(odd[k:k + 20_000], cut, cut[1:]):
+                out[i] = ids[a:z]
+        lens = np.fromiter(map(len, out), np.int64, len(out))
+        return np.fromiter(chain.from_iterable(out), np.dtype(f"<u{self.width}"), int(lens.sum())), lens
+
+    def _learn(self, new: list[str]) -> list[bytes]:
+        words = pa.array(new, pa.string())
+        tailed = pc.match_substring_regex(words, r"[A-Za-z][.,]\z")
+        stems = pc.if_else(tailed, pc.utf8_slice_codeunits(words, 0, -1), words)
+        stems = pc.if_else(pc.string_is_ascii(stems), pc.ascii_lower(stems), stems)
+        coded = pa.concat_arrays([pa.array([".", ","]), stems]).dictionary_encode()
+        at = coded.indices.to_numpy().astype(np.int64)
+        ids, lens = self._encode(coded.dictionary)
+        tail = np.where(tailed.to_numpy(zero_copy_only=False), np.where(pc.ends_with(words, ".").to_numpy(zero_copy_only=False), 0, 1), -1)
+        parts = np.c_[at[2:], np.where(tail >= 0, at[np.maximum(tail, 0)], -1)].ravel()
+        flat, n = gather(ids, lens, parts[parts >= 0])
+        width = np.zeros(len(parts), np.int64)
+        width[parts >= 0] = n
+        raw, cut = flat.tobytes(), (self.width * np.r_[0, np.cumsum(width.reshape(-1, 2).sum(1))]).tolist()
+        return [raw[a:z] for a, z in zip(cut, cut[1:])]
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another; and their number by text."""
+        split = Split(pc.split_pattern(pc.replace_substring(texts, "\n", " "), " "))
+        values = self.known.of(split.distinct.to_pylist(), self._learn)
+        lens = np.fromiter(map(len, values), np.int64, len(values)) // self.width
+        ids, n = gather(np.frombuffer(b"".join(values), f"<u{self.width}"), lens, split.at)
+        cut = np.r_[0, np.cumsum(n)][np.r_[0, np.cumsum(split.lens)]]
+        return ids, np.diff(cut)
 
 
 def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> None:
@@ -188,11 +201,13 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> Non
             return {"part": [part], "seq": [seq], "before": [before], "n_docs": [len(doc_ids)], "n_ids": [held],
                     "shard": [pack_shard(doc_ids, lens, b"".join(raws), coder.width)]}
 
-        for b in slices(batches, "text"):
-            for d, raw in zip(b.column("doc_id").to_pylist(), coder.texts([t or "" for t in b.column("text").to_pylist()])):
+        for b in slices(batches, "text", 8_000_000):
+            ids, n = coder.texts(filled(b.column("text")))
+            raw, cut = ids.tobytes(), (coder.width * np.r_[0, np.cumsum(n)]).tolist()
+            for d, a, z in zip(b.column("doc_id").to_pylist(), cut, cut[1:]):
                 doc_ids.append(d)
-                raws.append(raw + end)
-                lens.append(len(raws[-1]) // coder.width)
+                raws += [raw[a:z], end]
+                lens.append((z - a) // coder.width + 1)
                 held += lens[-1]
                 if held >= SHARD_IDS:
                     yield flush()

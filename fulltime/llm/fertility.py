@@ -18,14 +18,13 @@ base rule on words. Rows are judged one by one, so repeated rows and null ids ne
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import map_arrow, slices
+from fulltime.llm.common import blank_split, filled, map_arrow, slices
 from fulltime.llm.pieces import piece_coder
 
 #: First and last code points of the scripts told apart.
@@ -59,14 +58,14 @@ SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
-def _repeated(words: list[list[bytes]]) -> np.ndarray:
-    """Words of each text that stand in a 3-word window found twice or more in it (64-bit window keys)."""
-    lens = np.array([len(w) for w in words])
-    out, total = np.zeros(len(words), np.int64), int(lens.sum())
+def _repeated(word: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Words (by number) of each text that stand in a 3-word window found twice or more in it (64-bit window keys)."""
+    out, total = np.zeros(len(lens), np.int64), len(word)
     if total < 3:
         return out
-    h = np.fromiter(map(hash, chain.from_iterable(words)), np.int64, total).astype(np.uint64)
-    doc = np.repeat(np.arange(len(words)), lens)
+    h = word.astype(np.uint64) * MIX[3]
+    h ^= h >> np.uint64(31)
+    doc = np.repeat(np.arange(len(lens)), lens)
     key = (h[:-2] * MIX[0] + h[1:-1] * MIX[1] + h[2:]) * MIX[2] + doc[:-2].astype(np.uint64) * MIX[3]
     at = np.flatnonzero(doc[:-2] == doc[2:])
     key = key[at]
@@ -77,18 +76,17 @@ def _repeated(words: list[list[bytes]]) -> np.ndarray:
         seen = np.zeros(total, bool)
         for k in range(3):
             seen[hit + k] = True
-        out += np.bincount(doc[seen], minlength=len(words))
+        out += np.bincount(doc[seen], minlength=len(lens))
     return out
 
 
-def _entropy(ids: list[np.ndarray], size: int) -> np.ndarray:
-    lens = np.array([len(x) for x in ids])
-    key = np.repeat(np.arange(len(ids)) * size, lens) + (np.concatenate(ids) if ids else np.zeros(0, np.int64))
+def _entropy(ids: np.ndarray, lens: np.ndarray, size: int) -> np.ndarray:
+    key = np.repeat(np.arange(len(lens)) * size, lens) + ids
     key.sort()
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
     n, doc = np.diff(np.r_[first, len(key)]), key[first] // size
     total = np.maximum(lens, 1)
-    return np.log2(total) - np.bincount(doc, n * np.log2(n), minlength=len(ids)) / total
+    return np.log2(total) - np.bincount(doc, n * np.log2(n), minlength=len(lens)) / total
 
 
 def _script_table() -> tuple[np.ndarray, list[str]]:
@@ -110,27 +108,28 @@ def measure(docs: DataFrame, model: str, text: str = "text", keep: list[str] | N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         coder, (script, names) = piece_coder(model), _script_table()
-        for b in slices(batches, "__text"):
-            texts = [t or "" for t in b.column("__text").to_pylist()]
-            words = [t.encode().split() for t in texts]
-            ids = [x[:-1].astype(np.int64) for x in coder.encode(texts)]
-            n = np.array([len(x) for x in ids])
-            some = np.maximum(n, 1)
+        for b in slices(batches, "__text", 8_000_000):
+            column = filled(b.column("__text"))
+            texts, words = column.to_pylist(), blank_split(column)
+            ids, n = coder.encode_flat(column)
+            some, doc = np.maximum(n, 1), np.repeat(np.arange(len(n)), n)
+            raw = np.zeros(coder.size, bool)
+            raw[coder.byte_id] = True
             lines = [[x for x in t.split("\n") if x.strip(BLANKS)] for t in texts]
             main = []
             for t in texts:
                 found = np.bincount(script[np.frombuffer(t.encode("utf-32-le"), np.uint32)], minlength=len(names))
                 main.append(names[1 + int(found[1:].argmax())] if found[1:].any() else names[0])
             yield {c: b.column(c) for c in keep} | {
-                "n_words": [len(w) for w in words],
+                "n_words": words.lens,
                 "word_chars": [len(t) - sum(map(t.count, BLANKS)) for t in texts],
                 "n_symbols": [sum(map(t.count, SYMBOLS)) for t in texts],
                 "n_dup_lines": [len(x) - len(set(x)) for x in lines],
-                "n_repeat_words": _repeated(words),
+                "n_repeat_words": _repeated(words.at, words.lens),
                 "n_tokens": n,
                 "chars_per_token": np.array([len(t) for t in texts]) / some,
-                "byte_share": np.array([int(np.isin(x, coder.byte_id).sum()) for x in ids]) / some,
-                "token_entropy": _entropy(ids, coder.size),
+                "byte_share": np.bincount(doc[raw[ids]], minlength=len(n)) / some,
+                "token_entropy": _entropy(ids, n, coder.size),
                 "script": main,
             }
 

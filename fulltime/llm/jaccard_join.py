@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import Generations, map_arrow, per_process, slices, stored
+from fulltime.llm.common import Generations, blank_split, filled, map_arrow, per_process, slices, stored
 from fulltime.llm.components import components
 
 #: Entries of each generation of a process's table of known words (speed only), shingles counted together for the report,
@@ -56,11 +56,10 @@ class Shingler:
         self.words = words
         self.table = Generations(KNOWN)
 
-    def sets(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.encode().lower().split() for t in texts]  # bytes: A-Z and ASCII blanks only
-        known = self.table.of(split, lambda new: ((w, xxhash.xxh3_64_intdigest(w)) for w in new))
-        lens, k = [len(w) for w in split], self.words
-        flat = np.fromiter((h for ws in split for h in map(known.__getitem__, ws)), np.uint64, sum(lens))
+    def sets(self, texts: pa.Array) -> list[np.ndarray]:
+        split, k = blank_split(texts, lower=True), self.words
+        known = self.table.of(split.distinct.cast(pa.binary()).to_pylist(), lambda new: list(map(xxhash.xxh3_64_intdigest, new)))
+        flat = np.array(known, np.uint64)[split.at] if len(known) else np.zeros(0, np.uint64)
         n = max(0, len(flat) - k + 1)
         key = np.zeros(n, np.uint64)
         for j in range(k):
@@ -69,11 +68,11 @@ class Shingler:
         key *= np.uint64(MIX[-1])
         key ^= key >> np.uint64(32)
         out, at = [], 0
-        for ws, m in zip(split, lens):
+        for m in split.lens.tolist():
             if m >= k:
                 out.append(np.unique(key[at:at + m - k + 1]))
             else:
-                out.append(np.array([xxhash.xxh3_64_intdigest(b" ".join(ws), seed=1)] if ws else [], np.uint64))
+                out.append(np.array([xxhash.xxh3_64_intdigest(flat[at:at + m].tobytes(), seed=1)] if m else [], np.uint64))
             at += m
         return out
 
@@ -119,8 +118,8 @@ def scan(docs: DataFrame, words: int) -> DataFrame:
             return {"kind": np.ones(len(s), np.int32), "doc_id": [None] * len(s), "n": n.astype(np.int64),
                     "set_id": s.view(np.int64), "bits": [None] * len(s)}
 
-        for b in slices(batches, "text"):
-            sets = shingler.sets([t or "" for t in b.column("text").to_pylist()])
+        for b in slices(batches, "text", 8_000_000):
+            sets = shingler.sets(filled(b.column("text")))
             ids = [set_id(s) if len(s) else None for s in sets]
             for i, s in zip(ids, sets):
                 if i is not None and i not in met:
@@ -146,9 +145,9 @@ def postings(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         shingler, met = shingler_of(words), set()
         names, place = shared.value
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", 8_000_000):
             parts, ids, sizes = [], [], []
-            for s in shingler.sets([t or "" for t in b.column("text").to_pylist()]):
+            for s in shingler.sets(filled(b.column("text"))):
                 if not len(s) or (i := set_id(s)) in met:
                     continue
                 met.add(i)
@@ -210,7 +209,7 @@ def _arrays(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             s = b.column("s").to_numpy()
             b = b.filter(pa.array((on[s // 32] >> (s % 32).astype(np.uint32) & 1).astype(bool)))
             for t in slices(iter([b]), "text"):
-                sets = [x for x in shingler.sets([t or "" for t in t.column("text").to_pylist()]) if len(x)]
+                sets = [x for x in shingler.sets(filled(t.column("text"))) if len(x)]
                 yield {"set_id": [set_id(x) for x in sets], "hashes": [x.tobytes() for x in sets]}
 
     found = map_arrow(docs.select("text", slot("doc_id").alias("s")), run, "set_id long, hashes binary")

@@ -25,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import Generations, map_arrow, per_process, slices
+from fulltime.llm.common import Generations, Split, filled, gather, map_arrow, per_process, slices
 
 MARK = "▁"
 #: Words of more symbols than this go through the heap.
@@ -121,7 +122,9 @@ class PieceCoder:
             new = np.cumsum(stay) - 1
             at = new[at]
             sym, word, made = sym[stay], word[stay], made[stay]
-            redo = np.unique(np.r_[at, np.maximum(at - 1, 0)])
+            near = np.zeros(len(sym), bool)
+            near[at] = near[np.maximum(at - 1, 0)] = True
+            redo = np.flatnonzero(near)
             nxt = np.minimum(redo + 1, len(sym) - 1)
             same = (word[redo] == word[nxt]) & (nxt > redo)
             made[redo] = np.where(same, self._pairs(sym[redo], sym[nxt]), -1)
@@ -164,17 +167,19 @@ class PieceCoder:
         sym[odd] = -1 - cp[odd]
         return sym
 
-    def learn(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Each word with its ids, little-endian four bytes each."""
-        for w in [w for w in words if len(w) > LONG]:
-            yield w, self._bytes(np.array(self._heap(self._symbols(w).tolist()), np.int64))[0].astype("<i4").tobytes()
-        words = [w for w in words if len(w) <= LONG]
+    def learn(self, words: list[str]) -> list[bytes]:
+        """Ids of each word (given without the mark before it), little-endian four bytes each."""
+        if any(len(w) > LONG for w in words):
+            long = {w: self._bytes(np.array(self._heap(self._symbols(MARK + w).tolist()), np.int64))[0].astype("<i4").tobytes()
+                    for w in words if len(w) > LONG}
+            rest = iter(self.learn([w for w in words if len(w) <= LONG]))
+            return [long[w] if w in long else next(rest) for w in words]
         if not words:
-            return
-        sym, lens = self._rounds(self._symbols("".join(words)), np.array([len(w) for w in words]))
+            return []
+        sym, lens = self._rounds(self._symbols(MARK + MARK.join(words)), np.array([len(w) for w in words]) + 1)
         ids, width = self._bytes(sym.astype(np.int64))
         raw, cut = ids.astype("<i4").tobytes(), (4 * np.r_[0, np.r_[0, np.cumsum(width)][np.cumsum(lens)]]).tolist()
-        yield from ((w, raw[a:z]) for w, a, z in zip(words, cut, cut[1:]))
+        return [raw[a:z] for a, z in zip(cut, cut[1:])]
 
     def _bytes(self, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of symbols, those outside the vocabulary as byte pieces; and the number of ids of each symbol."""
@@ -190,19 +195,33 @@ class PieceCoder:
         ids[slot] = self.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
         return ids, width
 
-    def words(self, text: str) -> list[str]:
-        """The words of a text, ready to be encoded each by itself."""
-        if not text:
-            return []
-        if "  " in text or MARK in text or text[0] == " " or text[-1] == " ":
-            return re.findall(f"{MARK}+[^{MARK}]*", MARK + text.replace(" ", MARK))
-        return [MARK + w for w in text.split(" ")]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def _joined(self, text: str) -> str:
+        """A text whose words stand between single blanks, the mark before each left out."""
+        if "  " in text or MARK in text or text[:1] == " " or text[-1:] == " ":
+            found = re.findall(f"{MARK}+[^{MARK}]*", MARK + text.replace(" ", MARK))
+            return " ".join([w[1:] for w in found])
+        return text
+
+    def encode_flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, without end ids; and their number by text."""
+        odd = pc.or_(pc.match_substring_regex(texts, f"  |{MARK}|^ | $|^ "), pc.or_(pc.starts_with(texts, " "), pc.ends_with(texts, " ")))
+        if pc.any(odd).as_py():
+            texts = pa.array([self._joined(t) for t in texts.to_pylist()], pa.string())
+        split = Split(pc.split_pattern(texts, " "))
+        values = self.table.of(split.distinct.to_pylist(), self.learn)
+        lens = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        ids, n = gather(np.frombuffer(b"".join(values), "<i4"), lens, split.at)
+        n = np.diff(np.r_[0, np.cumsum(n)][np.r_[0, np.cumsum(split.lens)]])
+        empty = pc.equal(texts, "").to_numpy(zero_copy_only=False)
+        return (ids[np.repeat(~empty, n)], np.where(empty, 0, n)) if empty.any() else (ids, n)
+
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
         """Ids of each text, the end id last."""
-        split, end = [self.words(t) for t in texts], np.array([self.end], "<i4").tobytes()
-        known = self.table.of(split, self.learn)
-        return [np.frombuffer(b"".join([*map(known.__getitem__, ws), end]), "<i4") for ws in split]
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        ids, n = self.encode_flat(texts)
+        cut = np.r_[0, np.cumsum(n)]
+        ids = np.insert(ids, cut[1:], self.end)
+        return np.split(ids, (cut[1:] + np.arange(1, len(n) + 1))[:-1]) if len(n) else []
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         """Texts of id arrays: control ids say nothing, the mark put before a text goes."""
@@ -229,8 +248,8 @@ def encode_documents(df: DataFrame, model: str, text: str = "text") -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         coder = piece_coder(model)
-        for b in slices(batches, text):
-            ids = coder.encode([t or "" for t in b.column(text).to_pylist()])
+        for b in slices(batches, text, 8_000_000):
+            ids = coder.encode(filled(b.column(text)))
             at = np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32)
             yield {c: b.column(c) for c in keep} | {
                 "ids": pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(ids), pa.int32()))}
@@ -263,9 +282,8 @@ def round_trip(df: DataFrame, model: str) -> DataFrame:
         coder = piece_coder(model)
         decimal = list(map(str, range(coder.size)))
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-        for b in slices(batches, "text"):
-            texts = [t or "" for t in b.column("text").to_pylist()]
-            ids = coder.encode(texts)
+        for b in slices(batches, "text", 8_000_000):
+            ids = coder.encode(filled(b.column("text")))
             yield {
                 "doc_id": b.column("doc_id"), "n_tokens": [len(x) for x in ids],
                 "ids_sha256": [sha(" ".join(map(decimal.__getitem__, x.tolist()))) for x in ids],

@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import fanout, map_arrow, slices, stored
+from fulltime.llm.common import blank_split, fanout, filled, map_arrow, slices, stored
 
 #: Symbols of spellings: the most frequent bytes, all others, and the end (which also stands before a word).
 SYMBOLS = 40
@@ -207,11 +207,6 @@ class WordModel:
         return np.log10((np.maximum(count - d * tables, 0.0) + (STRENGTH + d * context_tables) * single) / (STRENGTH + in_context))
 
 
-def _words(text: str) -> list[bytes]:
-    """Words of a text in lower case (A-Z), then the end token, which is the empty word."""
-    return [*text.encode().lower().split(), b""]
-
-
 def pack(docs: DataFrame, train: str) -> DataFrame:
     """Chunks of (doc_id, text, train flag) rows, compressed: chunk, blob."""
 
@@ -245,15 +240,17 @@ class Chunk:
     def __init__(self, blob: bytes):
         rows = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob)).read_all()
         self.doc_id, self.train = rows.column("doc_id").combine_chunks(), rows.column("train").combine_chunks()
-        split = [_words(t) for t in rows.column("text").to_pylist()]
-        place = {w: i for i, w in enumerate(dict.fromkeys(w for ws in split for w in ws))}
-        self.words = list(place)
-        self.lens = np.array([len(ws) for ws in split])
+        split = blank_split(filled(rows.column("text").combine_chunks()), lower=True)
+        # the end token, which is the empty word, comes after the words of each text
+        self.words, self.end = [*split.distinct.cast(pa.binary()).to_pylist(), b""], len(split.distinct)
+        if b"" in self.words[:-1]:
+            self.words.pop()
+            self.end = self.words.index(b"")
+        self.lens = split.lens + 1
         self.first = np.cumsum(self.lens) - self.lens
-        self.token = np.fromiter((i for ws in split for i in map(place.__getitem__, ws)), np.int64, int(self.lens.sum()))
+        self.token = np.insert(split.at, np.cumsum(split.lens), self.end)
         self.learns = np.repeat(np.array(self.train.to_pylist(), np.int64), self.lens)
         self.name = np.fromiter((xxhash.xxh3_64_intdigest(w) & 0xFFFFFFFF for w in self.words), np.int64, len(self.words))
-        self.end = place[b""]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (context, word) pairs as context * words + word, sorted, and which of them each token is."""

@@ -9,8 +9,8 @@ different sets is lost, and sets never meet unless they share a rare shingle:
 2. ``postings``: each node is dealt out under the first n - ceil(percent/100 * n) + 1 shingles of its
    set in a fixed order (the reported common shingles last, else by hash). Two linked sets share one of
    those. Only shingles that two nodes share stay.
-3. Stars: each node is held against the least node of each shingle, which finds the body of every
-   large group in a number of pairs that grows with the rows.
+3. Stars: the least node under a shingle is its hub; each node is held against the few hubs that it
+   shares most shingles with, which finds the body of every large group in pairs that grow with the rows.
 4. Tiles: nodes under a shingle whose nodes are not all of one group yet are dealt to tiles by size band
    (a band spans 100/percent; linked sets lie in the same or the next band). In a tile pairs are made
    between different groups only.
@@ -44,6 +44,8 @@ KNOWN = 300_000
 COUNTED = 4_000_000
 COMMON = 1 << 20
 SLOTS = 1 << 20
+#: Hubs a node is held against in the first step; all other pairs are left to the tiles.
+HUBS = 3
 #: Odd multipliers that mix a shingle's words into one key.
 MIX = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
        0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3]
@@ -256,13 +258,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
 
     by = Window.partitionBy("shingle")
     dealt = postings(docs, words, percent, np.array([r[0] for r in common][::-1], np.int64))
-    met = (dealt.dropDuplicates(["shingle", "set_id"]).withColumn("many", F.count(F.lit(1)).over(by))
-           .withColumn("hub", F.min("set_id").over(by)).withColumn("hub_n", F.min(F.struct("set_id", "n")).over(by)["n"])
-           .where("many > 1").select("shingle", "set_id", "n", "hub", "hub_n"))
-    met = stored(met, "postings")
+    met = (dealt.withColumn("hub", F.min("set_id").over(by)).withColumn("last", F.max("set_id").over(by))
+           .withColumn("hub_n", F.min(F.struct("set_id", "n")).over(by)["n"]).where("hub < last").drop("last"))
+    met = stored(met.dropDuplicates(["shingle", "set_id"]), "postings")
 
+    # of the hubs of its shingles, a node is held against those it shares most shingles with
     stars = (met.where((F.col("hub") != F.col("set_id")) & _sizes_fit("n", "hub_n", percent))
-             .select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct())
+             .groupBy("set_id", "hub").agg(F.count(F.lit(1)).alias("times"))
+             .withColumn("nth", F.row_number().over(Window.partitionBy("set_id").orderBy(F.desc("times"), "hub")))
+             .where(F.col("nth") <= HUBS).select(F.col("hub").alias("a"), F.col("set_id").alias("b")))
     links = stored(_verified(stars, nodes, docs, words, percent), "links")
     labels = components(links)
 

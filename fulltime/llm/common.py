@@ -116,9 +116,14 @@ class Generations:
             out[i] = v
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
+def extended(df: DataFrame, keep: list[str], more: str) -> T.StructType:
+    """The schema of the columns ``keep`` of ``df``, then those of a schema string."""
+    return T.StructType([*[df.schema[c] for c in keep], *T._parse_datatype_string(more).fields])
+
+
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` for a generator of column dicts; the batches get the types of ``schema``."""
-    arrow = to_arrow_schema(T._parse_datatype_string(schema))
+    arrow = to_arrow_schema(T._parse_datatype_string(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cols in fn(batches):

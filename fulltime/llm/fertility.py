@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import blank_split, filled, map_arrow, slices
+from fulltime.llm.common import blank_split, extended, filled, map_arrow, slices
 from fulltime.llm.pieces import piece_coder
 
 #: First and last code points of the scripts told apart.
@@ -104,7 +104,6 @@ def measure(docs: DataFrame, model: str, text: str = "text", keep: list[str] | N
     clash = {c.split()[0] for c in SCHEMA.split(", ")}
     keep = [c for c in (docs.columns if keep is None else keep) if c not in clash]
     src = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("__text"))
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name in keep], SCHEMA])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         coder, (script, names) = piece_coder(model), _script_table()
@@ -133,7 +132,7 @@ def measure(docs: DataFrame, model: str, text: str = "text", keep: list[str] | N
                 "script": main,
             }
 
-    return map_arrow(src, run, schema)
+    return map_arrow(src, run, extended(src, keep, SCHEMA))
 
 
 def base_failed() -> Column:

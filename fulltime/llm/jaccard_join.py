@@ -109,7 +109,10 @@ def overlap_bound(n: int, a: np.ndarray, m: int, b: np.ndarray) -> int:
 
 
 def scan(docs: DataFrame, words: int) -> DataFrame:
-    """Rows of documents (kind 0) and of shingles common in a task (kind 1: set_id is the shingle, n how often)."""
+    """Rows of documents (kind 0) and of shingles common in a task (kind 1: set_id is the shingle, n how often).
+
+    ``docs`` are (doc_id, text, tag); tag is a number carried along.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         shingler, met, held, size = shingler_of(words), set(), [], 0
@@ -117,7 +120,7 @@ def scan(docs: DataFrame, words: int) -> DataFrame:
         def common() -> dict:
             s, n = np.unique(np.concatenate(held), return_counts=True)
             s, n = s[n > 1], n[n > 1]
-            return {"kind": np.ones(len(s), np.int32), "doc_id": [None] * len(s), "n": n.astype(np.int64),
+            return {"kind": np.ones(len(s), np.int32), "doc_id": [None] * len(s), "tag": [None] * len(s), "n": n.astype(np.int64),
                     "set_id": s.view(np.int64), "bits": [None] * len(s)}
 
         for b in slices(batches, "text", 8_000_000):
@@ -131,12 +134,12 @@ def scan(docs: DataFrame, words: int) -> DataFrame:
             if size > COUNTED:
                 yield common()
                 met, held, size = set(), [], 0
-            yield {"kind": np.zeros(len(sets), np.int32), "doc_id": b.column("doc_id"), "n": [len(s) for s in sets],
+            yield {"kind": np.zeros(len(sets), np.int32), "doc_id": b.column("doc_id"), "tag": b.column("tag"), "n": [len(s) for s in sets],
                    "set_id": ids, "bits": [bitmap(s) if len(s) else None for s in sets]}
         if held:
             yield common()
 
-    return map_arrow(docs, run, "kind int, doc_id long, n long, set_id long, bits binary")
+    return map_arrow(docs, run, "kind int, doc_id long, tag long, n long, set_id long, bits binary")
 
 
 def postings(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> DataFrame:
@@ -246,10 +249,32 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
 
     component_id is the least doc_id reachable by links, the row's own included.
     """
-    spark = docs.sparkSession
+    return _grouped(docs, words, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
+    """``docs``, any columns, with one document of each group: that of the least doc_id, ties by the text's hash.
+
+    Rows of the same doc_id and text count as one document. Documents without words stay.
+    """
+    groups = _grouped(docs, words, percent)
+    first = groups.where("set_id is not null").groupBy("label").agg(F.min(F.struct("doc_id", "tag")).alias("k")).select("k.doc_id", "k.tag")
+    keep = first.union(groups.where("set_id is null").select("doc_id", "tag")).distinct()
+    keep = keep.select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"))
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    tagged = docs.withColumn("__own_id", F.col("doc_id").cast("long")).withColumn("__own_tag", F.xxhash64(F.col("text").cast("string")))
+    # nulls of doc_id sort before all numbers: a null is the least of its group
+    met = tagged.join(keep, tagged["__own_id"].eqNullSafe(keep["__id"]) & (tagged["__own_tag"] == keep["__tag"]), "left_semi")
+    return met.dropDuplicates(["__own_id", "__own_tag"]).select(*cols)
+
+
+def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, tag, n, set_id, label, component_id) by row; tag is the text's hash, label names the group."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = stored(scan(docs, words), "sets")
-    rows = found.where("kind = 0").select("doc_id", "n", "set_id")
+    found = stored(scan(docs.withColumn("tag", F.xxhash64("text")), words), "sets")
+    rows = found.where("kind = 0").select("doc_id", "tag", "n", "set_id")
     common = (found.where("kind = 1").groupBy("set_id").agg(F.sum("n").alias("times")).where("times >= 8")
               .orderBy(F.desc("times"), "set_id").limit(COMMON).select("set_id").collect())
     nodes = (found.where("kind = 0 and set_id is not null").groupBy("set_id")
@@ -290,7 +315,4 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
     named = nodes.select("set_id", "rep").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
     named = named.withColumn("label", F.coalesce("label", "set_id"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    groups = named.join(least, "label").select("set_id", "component_id")
-    return (rows.join(groups, "set_id", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    return rows.join(named.join(least, "label").select("set_id", "label", "component_id"), "set_id", "left")

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import Generations, Split, filled, gather, map_arrow, per_process, slices
+from fulltime.llm.common import Generations, Split, extended, filled, gather, map_arrow, per_process, slices
 
 MARK = "▁"
 #: Words of more symbols than this go through the heap.
@@ -244,7 +244,6 @@ def piece_coder(model: str) -> PieceCoder:
 def encode_documents(df: DataFrame, model: str, text: str = "text") -> DataFrame:
     """``df`` (any columns) with ``ids`` array<int> of the whole text, the end id last."""
     keep = [c for c in df.columns if c != "ids"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema) + ", ids array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         coder = piece_coder(model)
@@ -254,13 +253,12 @@ def encode_documents(df: DataFrame, model: str, text: str = "text") -> DataFrame
             yield {c: b.column(c) for c in keep} | {
                 "ids": pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(ids), pa.int32()))}
 
-    return map_arrow(df.select(*keep), run, schema)
+    return map_arrow(df.select(*[F.col(f"`{c}`") for c in keep]), run, extended(df, keep, "ids array<int>"))
 
 
 def decode_documents(df: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     """``df`` with ``decoded`` string, the text of the id arrays (null: empty)."""
     keep = [c for c in df.columns if c != "decoded"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema) + ", decoded string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         coder = piece_coder(model)
@@ -268,14 +266,14 @@ def decode_documents(df: DataFrame, model: str, ids: str = "ids") -> DataFrame:
             out = coder.decode([np.array(x or [], np.int64) for x in b.column(ids).to_pylist()])
             yield {c: b.column(c) for c in keep} | {"decoded": out}
 
-    return map_arrow(df.select(*keep), run, schema)
+    return map_arrow(df.select(*[F.col(f"`{c}`") for c in keep]), run, extended(df, keep, "decoded string"))
 
 
-def round_trip(df: DataFrame, model: str) -> DataFrame:
+def round_trip(df: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
     """Digest of encoding, then decoding every text: one row per document of (doc_id, text).
 
     doc_id, n_tokens (all ids, the end id too), ids_sha256 (decimal ids joined by a space),
-    decoded_sha256 (the decoded text in UTF-8).
+    decoded_sha256 (the decoded text in UTF-8); the ids themselves too, if asked.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -288,7 +286,8 @@ def round_trip(df: DataFrame, model: str) -> DataFrame:
                 "doc_id": b.column("doc_id"), "n_tokens": [len(x) for x in ids],
                 "ids_sha256": [sha(" ".join(map(decimal.__getitem__, x.tolist()))) for x in ids],
                 "decoded_sha256": [sha(t) for t in coder.decode(ids)],
-            }
+            } | ({"ids": pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32),
+                                                  np.concatenate(ids).astype(np.int32))} if with_ids else {})
 
     return map_arrow(df.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
-                     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

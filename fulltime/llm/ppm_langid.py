@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import map_arrow, slices
+from fulltime.llm.common import extended, map_arrow, slices
 from fulltime.operators.ranking import top_k_per_group
 
 UNKNOWN = "und"
@@ -102,8 +102,6 @@ def predict(docs: DataFrame, model: PpmModel, text: str = "text", keep: list[str
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     src = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("__text"))
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name in keep],
-                        "lang_pred string", "score double"])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -121,4 +119,4 @@ def predict(docs: DataFrame, model: PpmModel, text: str = "text", keep: list[str
                 scores.append(float(1 / np.exp2(np.maximum(bits[k] - bits, -1000)).sum()))
             yield {c: b.column(c) for c in keep} | {"lang_pred": names, "score": scores}
 
-    return map_arrow(src, run, schema)
+    return map_arrow(src, run, extended(src, keep, "lang_pred string, score double"))

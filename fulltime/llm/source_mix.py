@@ -178,7 +178,6 @@ class Mix:
         docs = docs.select([F.col(f"`{c}`").alias(f"d_{i}") for i, c in enumerate(cols)] + ["__id", "__hash"])
         met = docs.join(lists, docs["__id"].eqNullSafe(lists["__id"]) & (docs["__hash"] == lists["__hash"]))
         src = met.select(*[f"d_{i}" for i in range(len(cols))], "size", "parts")
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.docs.schema)
         text, chars = cols.index("text"), cols.index("n_chars") if "n_chars" in cols else -1
         word = re.compile(WORD)
 
@@ -201,7 +200,7 @@ class Mix:
                     out = {c: b.column(f"d_{i}").take(pa.array(at, pa.int32())) for i, c in enumerate(cols)} | {"text": texts}
                     yield out | ({"n_chars": [len(t) for t in texts]} if chars >= 0 else {})
 
-        return map_arrow(src, run, schema)
+        return map_arrow(src, run, self.docs.schema)
 
 
 def mix(docs: DataFrame, weights: list[float] | None = None, **options) -> Mix:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import map_arrow, slices, stored
+from fulltime.llm.common import extended, map_arrow, slices, stored
 
 GAMMA, KEEP, PAGES = 0.9, 0.25, 5
 #: Most characters of all hosts' lists that are broadcast.
@@ -235,7 +235,6 @@ def main_text(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     src = pages.select(*[F.col(f"`{c}`") for c in keep], F.col("html").cast("string").alias("__html"), _host(F.col("url")).alias("__host"))
     lists = lists.withColumnRenamed("host", "__host").withColumnRenamed("low", "__low")
     met = src.join(F.broadcast(lists) if size <= BROADCAST else lists, "__host", "left")
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name in keep], "text string, n_chars long"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for b in slices(batches, "__html"):
@@ -243,4 +242,4 @@ def main_text(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
                      for h, low in zip(b.column("__html").to_pylist(), b.column("__low").to_pylist())]
             yield {c: b.column(c) for c in keep} | {"text": texts, "n_chars": np.array([len(t) for t in texts], np.int64)}
 
-    return map_arrow(met.select(*[F.col(f"`{c}`") for c in keep], "__html", "__low"), run, schema)
+    return map_arrow(met.select(*[F.col(f"`{c}`") for c in keep], "__html", "__low"), run, extended(src, keep, "text string, n_chars long"))

@@ -8,12 +8,13 @@ task; every node is put in its leaf of every tree.
 
 A query walks all trees through one priority queue: the place with the widest least margin on its way
 comes first, whichever tree it is in, until the leaves it has met hold ``search`` times as many entries
-as there are nodes (a node counts once in each tree). Queries meet the nodes of their leaves in blocks of
-bounded size; each block returns a query's best ones, scored again with a sum that does not hang on the
-block. The best of all blocks are the answer.
+as there are nodes (a node counts once in each tree). Leaves stand together in blocks of bounded size; a
+block returns a query's best nodes among the leaves it asked for, scored again with a sum that does not
+hang on the block. The best of all blocks are the answer.
 
 Where vectors show no structure, as random ones don't, no index spares much: recall of 0.9 takes about
-half of the rows there, and ``search`` is set for that case.
+half of the rows there, and ``search`` is set for that case. Where they do, a bound on the entries looked
+at (``most_rows``) keeps a query's cost the same at any size.
 
 Defined results: rows of null id, and vectors null, empty, zero, or holding null or non-finite components
 take no part, nor do vectors of another length than the most common one (ties: the shorter); rows that
@@ -34,9 +35,9 @@ from pyspark.sql import functions as F
 from fulltime.llm.common import map_arrow, stored
 from fulltime.operators.ranking import top_k_per_group
 
-TREES = 8
-#: Entries a leaf should have, most levels of a tree, sample points a leaf, most rows of a block.
-LEAF, LEVELS, POINTS, BLOCK = 512, 12, 64, 2048
+TREES = 4
+#: Entries a leaf should have, most levels of a tree, sample points a leaf, rows a block should have.
+LEAF, LEVELS, POINTS, BLOCK = 512, 12, 64, 8192
 
 
 class Forest:
@@ -119,7 +120,7 @@ def _usable(rows: DataFrame, vec_id: str, embedding: str) -> DataFrame:
 
 
 def nearest(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, search: float = 1.6,
-            vec_id: str = "vec_id", embedding: str = "embedding", sample: int = 1 << 15) -> DataFrame:
+            most_rows: int | None = None, vec_id: str = "vec_id", embedding: str = "embedding", sample: int = 1 << 15) -> DataFrame:
     """The ``k`` nearest found for each row whose id ``every`` divides: query_id, rank, vec_id, score."""
     spark = rows.sparkSession
     ids = stored(_usable(rows, vec_id, embedding), "vectors")
@@ -137,7 +138,8 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, s
     levels = int(min(LEVELS, max(1, np.ceil(np.log2(total / LEAF)))))
     points = min(sample, POINTS << levels)
     fit = np.array([r[0] for r in nodes.orderBy(F.xxhash64("node"), "node").limit(points).select("v").collect()], np.float32)
-    forest = Forest(fit, float(np.sqrt(top2)), levels, trees)
+    top = float(np.sqrt(top2))
+    forest = Forest(fit, top, levels, trees)
     shared = spark.sparkContext.broadcast(forest)
 
     def vectors(b: pa.RecordBatch) -> np.ndarray:
@@ -157,6 +159,9 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, s
     size = np.zeros((trees, 1 << levels), np.int64)
     for t, leaf, n in placed.groupBy("tree", "leaf").count().collect():
         size[t, leaf] = n
+    enough = min(search * total, most_rows or np.inf)
+    together = max(1, BLOCK * (1 << levels) // int(total))  # leaves of a block
+    groups = -(-(1 << levels) // together)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for whole in batches:
@@ -165,45 +170,60 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, s
                 x = vectors(b)
                 m = shared.value.margins(np.c_[x, np.zeros(len(x), np.float32)])
                 for q, raw, own in zip(b.column("node").to_pylist(), x, m):
-                    met = np.array(shared.value.probes(own, size, search * total), np.int32).reshape(-1, 2)
-                    yield {"tree": met[:, 0], "leaf": met[:, 1], "query": [q] * len(met), "x": [raw.tobytes()] * len(met)}
-
-    asked = map_arrow(nodes.where("asks").select("node", "v"), ask, "tree int, leaf int, query long, x binary")
-    asked = stored(asked, "probes")
-    # blocks: of a leaf's nodes, and of the queries that look into it, BLOCK rows each at most on average
-    most = asked.groupBy("tree", "leaf").count().agg(F.max("count")).first()[0] or 0
-    q_parts = max(1, -(-int(most) // BLOCK))
-    n_parts = max(1, -(-int(size.max()) // BLOCK))
+                    met: dict[int, list[int]] = {}
+                    for t, leaf in shared.value.probes(own, size, enough):
+                        met.setdefault(t * groups + leaf // together, []).append(leaf)
+                    yield {"block": list(met), "query": [q] * len(met), "leaves": list(met.values()), "x": [raw.tobytes()] * len(met)}
+
+    asked = stored(map_arrow(nodes.where("asks").select("node", "v"), ask, "block int, query long, leaves array<int>, x binary"), "probes")
+    # a block with more rows than meant, or asked by more queries, is split
+    most = asked.groupBy("block").count().agg(F.max("count")).first()[0] or 0
+    per_block = np.add.reduceat(size, np.arange(0, 1 << levels, together), axis=1).max()
+    q_parts, n_parts = max(1, -(-int(most) // BLOCK)), max(1, -(-int(per_block) // (2 * BLOCK)))
     deal = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    all_of = lambda n: F.explode(F.array(*[F.lit(i) for i in range(n)])) if n <= 64 else F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = asked.withColumn("qp", deal("query", q_parts)).withColumn("np", all_of(n_parts))
-    right = placed.withColumn("np", deal("node", n_parts)).withColumn("qp", all_of(q_parts))
+    block = (F.col("tree") * groups + F.floor(F.col("leaf") / together)).cast("int")
+    right = placed.withColumn("block", block).withColumn("np", deal("node", n_parts)).withColumn("qp", all_of(q_parts))
 
     def meet(qs: pd.DataFrame, ns: pd.DataFrame) -> pd.DataFrame:
-        out = {"query": [], "nodes": [], "scores": []}
+        query, nodes_, scores = [], [], []
         if len(qs) and len(ns):
-            x = np.frombuffer(b"".join(ns["x"]), np.float32).reshape(len(ns), -1).astype(np.float64)
-            q = np.frombuffer(b"".join(qs["x"]), np.float32).reshape(len(qs), -1).astype(np.float64)
-            node = ns["node"].to_numpy()
-            near = q @ x.T
-            want = min(k + 1, len(ns))
-            for i, query in enumerate(qs["query"]):
-                edge = np.partition(near[i], len(ns) - want)[len(ns) - want]
-                at = np.flatnonzero(near[i] >= edge - 1e-9 * (1 + abs(edge)))
-                score = _exact(x[at], q[i])
-                order = np.lexsort((node[at], -score))[:want]
-                out["query"].append(query)
-                out["nodes"].append(node[at][order].tolist())
-                out["scores"].append(score[order].tolist())
-        return pd.DataFrame(out)
-
-    keys = ["tree", "leaf", "np", "qp"]
-    found = left.groupBy(*keys).cogroup(right.select(*keys, "node", "x").groupBy(*keys)).applyInPandas(
+            ns = ns.sort_values(["leaf", "node"])
+            x = np.frombuffer(b"".join(ns["x"]), np.float32).reshape(len(ns), -1)
+            node, leaf = ns["node"].to_numpy(), ns["leaf"].to_numpy()
+            for at in range(0, len(qs), 256):
+                some = qs.iloc[at:at + 256]
+                q = np.frombuffer(b"".join(some["x"]), np.float32).reshape(len(some), -1)
+                near = q @ x.T
+                for i, (name, leaves) in enumerate(zip(some["query"], some["leaves"])):
+                    own = np.flatnonzero(np.isin(leaf, leaves)) if len(leaves) < together else np.arange(len(leaf))
+                    if not len(own):
+                        continue
+                    got, want = near[i, own], min(k + 1, len(own))
+                    edge = np.partition(got, len(own) - want)[len(own) - want]
+                    own = own[got >= edge - 1e-5 * top * float(np.linalg.norm(q[i]))]  # single precision picks, double precision ranks
+                    score = _exact(x[own], q[i].astype(np.float64))
+                    order = np.lexsort((node[own], -score))[:want]
+                    query.append(name)
+                    nodes_.append(node[own][order].tolist())
+                    scores.append(score[order].tolist())
+        return pd.DataFrame({"query": pd.Series(query, dtype="int64"), "nodes": pd.Series(nodes_, dtype=object),
+                             "scores": pd.Series(scores, dtype=object)})
+
+    keys = ["block", "np", "qp"]
+    found = left.groupBy(*keys).cogroup(right.select(*keys, "leaf", "node", "x").groupBy(*keys)).applyInPandas(
         meet, "query long, nodes array<long>, scores array<double>")
-    best = found.select("query", F.explode(F.arrays_zip("nodes", "scores")).alias("p")).select(
-        "query", F.col("p.nodes").alias("node"), F.col("p.scores").alias("score")).dropDuplicates(["query", "node"])
-    best = top_k_per_group(best, ["query"], [F.desc("score"), F.col("node")], k + 1, "node", salts=1)
-    lists = (best.join(nodes.select("node", "ids"), "node").groupBy("query")
+    found = found.groupBy("query").agg(F.collect_list(F.struct("nodes", "scores")).alias("parts"))
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for b in batches:
+            for q, parts in zip(b.column("query").to_pylist(), b.column("parts").to_pylist()):
+                all_ = {n: s for p in parts for n, s in zip(p["nodes"], p["scores"])}
+                rows = sorted((-s, n) for n, s in all_.items())[:k + 1]
+                yield {"query": [q] * len(rows), "node": [n for _, n in rows], "score": [-s for s, _ in rows]}
+
+    lists = (map_arrow(found, best, "query long, node long, score double").join(nodes.select("node", "ids"), "node").groupBy("query")
              .agg(F.collect_list(F.struct("score", "ids")).alias("found")))
     asks = ids.where(F.pmod("id", F.lit(every)) == 0).join(nodes.where("asks").select("v", "node"), "v").select("id", "node")
     met = asks.join(lists, asks.node == lists["query"]).select("id", "found")

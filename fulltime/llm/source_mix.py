@@ -100,7 +100,8 @@ class Mix:
         spark = docs.sparkSession
         self.docs, self.block = docs, block
         size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-        rows = docs.select("doc_id", "source", size.alias("size"), F.xxhash64(*docs.columns).alias("row_hash"))
+        rows = docs.select("doc_id", "source", size.alias("size"), F.xxhash64("doc_id", "text").alias("text_hash"),
+                           F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_hash"))
         rows = stored(rows, "sizes")
         found = rows.groupBy("source").agg(F.sum("size").alias("n")).collect()
         self.sources = sorted(((r["source"], int(r["n"])) for r in found), key=lambda r: (r[0] is None, (r[0] or "").encode()))
@@ -114,14 +115,14 @@ class Mix:
             [(i, s, n, float(t)) for i, ((s, n), t) in enumerate(zip(self.sources, self.targets))],
             "src int, name string, source_size long, target double")
         rows = rows.join(names, rows.source.eqNullSafe(names.name)).drop("name")
-        rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "row_hash"), F.lit(BUCKETS)))
+        rows = rows.withColumn("bucket", F.pmod(F.col("text_hash"), F.lit(BUCKETS)))
         sums = rows.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
         before = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
         sums = sums.withColumn("base", F.coalesce(F.sum("words").over(before), F.lit(0))).drop("words")
-        within = Window.partitionBy("src", "bucket").orderBy("doc_id", "row_hash").rowsBetween(Window.unboundedPreceding, -1)
+        within = Window.partitionBy("src", "bucket").orderBy("doc_id", "text_hash", "row_hash").rowsBetween(Window.unboundedPreceding, -1)
         placed = rows.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
         self.placed = stored(placed.join(sums, ["src", "bucket"]).withColumn("start", F.col("base") + F.col("inner"))
-                             .drop("base", "inner", "bucket"), "placed")
+                             .drop("base", "inner", "bucket", "text_hash"), "placed")
 
     def slots(self) -> DataFrame:
         """(shard, slot, src, block): what stands in every slot of the mix."""
@@ -174,7 +175,7 @@ class Mix:
         lists = (self.placed.where("size > 0").select("src", "start", "size", "doc_id", "row_hash").join(lists, ["src", "start"])
                  .select(F.col("doc_id").alias("__id"), F.col("row_hash").alias("__hash"), "size", "parts"))
         # identical rows have one text and a list each; the text is met once
-        docs = self.docs.withColumn("__id", F.col("doc_id")).withColumn("__hash", F.xxhash64(*cols)).dropDuplicates(["__id", "__hash"])
+        docs = self.docs.withColumn("__id", F.col("doc_id")).withColumn("__hash", F.xxhash64(*[F.col(f"`{c}`") for c in cols])).dropDuplicates(["__id", "__hash"])
         docs = docs.select([F.col(f"`{c}`").alias(f"d_{i}") for i, c in enumerate(cols)] + ["__id", "__hash"])
         met = docs.join(lists, docs["__id"].eqNullSafe(lists["__id"]) & (docs["__hash"] == lists["__hash"]))
         src = met.select(*[f"d_{i}" for i in range(len(cols))], "size", "parts")

@@ -47,6 +47,7 @@ BANDS = {
     "latin": (1.75, 5.0, 0.10, 5.0),
     "greek": (0.9, 3.0, 0.20, 4.5),
     "cyrillic": (1.5, 4.5, 0.15, 5.0),
+    "none": (0.5, 5.0, 0.5, 3.0),  # digits and signs, or characters of no script
     "other": (0.2, 5.0, 1.0, 4.0),
 }
 

@@ -269,7 +269,7 @@ CONTEXT = (1 << 28) - 1
 
 def squeeze(x: np.ndarray) -> bytes:
     """Numbers as bytes, first bytes first, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes())
 
 
 def unsqueeze(raw: bytes, kind: str) -> np.ndarray:

@@ -11,6 +11,8 @@ different sets is lost, and sets never meet unless they share a rare shingle:
    those. Only shingles that two nodes share stay.
 3. Stars: the least node under a shingle is its hub; each node is held against the few hubs that it
    shares most shingles with, which finds the body of every large group in pairs that grow with the rows.
+   Groups found so are held against the least group under a shingle by their closest nodes, until that
+   joins no more of them.
 4. Tiles: nodes under a shingle whose nodes are not all of one group yet are dealt to tiles by size band
    (a band spans 100/percent; linked sets lie in the same or the next band). In a tile pairs are made
    between different groups only.
@@ -178,6 +180,13 @@ def postings(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> D
     return map_arrow(docs.select("text"), run, "shingle long, set_id long, n int")
 
 
+def _most_shared(rows: DataFrame, of: list[str], a: str, b: str) -> DataFrame:
+    """(a, b): for each group ``of`` the few pairs that stand in most rows."""
+    nth = F.row_number().over(Window.partitionBy(*of).orderBy(F.desc("times"), a, b))
+    return (rows.groupBy(*dict.fromkeys([*of, a, b])).agg(F.count(F.lit(1)).alias("times")).withColumn("nth", nth)
+            .where(F.col("nth") <= HUBS).select(F.col(a).alias("a"), F.col(b).alias("b")).distinct())
+
+
 def _sizes_fit(n: str, m: str, percent: int):
     return (100 * F.least(n, m) >= percent * F.greatest(n, m))
 
@@ -197,37 +206,54 @@ def _signature_gate(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFra
     return map_arrow(pairs.join(one, "a").join(two, "b"), run, "a long, b long")
 
 
-def _arrays(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(set_id, hashes) of the wanted (set_id, rep): texts are read again behind a filter of fixed size."""
-    spark = docs.sparkSession
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
-    got = (wanted.select(slot("rep").alias("s")).groupBy((F.col("s") / 32).cast("int").alias("w"))
+def _slots(keys: DataFrame, key: str) -> np.ndarray:
+    """Bits of a filter of fixed size over a column's hashes."""
+    got = (keys.select(_slot(key).alias("s")).groupBy((F.col("s") / 32).cast("int").alias("w"))
            .agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 32 as int))")).alias("v")).collect())
     bits = np.zeros(SLOTS // 32, np.uint32)
     for w, v in got:
         bits[w] = v
-    shared = spark.sparkContext.broadcast(bits)
+    return bits
+
+
+def _slot(key: str):
+    return F.pmod(F.xxhash64(key), F.lit(SLOTS))
+
+
+def _passing(b: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch:
+    s = b.column("s").to_numpy()
+    return b.filter(pa.array((bits[s // 32] >> (s % 32).astype(np.uint32) & 1).astype(bool)))
+
+
+def _arrays(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(set_id, hashes) of the wanted (set_id, rep): texts are read again behind a filter of fixed size."""
+    shared = docs.sparkSession.sparkContext.broadcast(_slots(wanted, "rep"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        shingler, on = shingler_of(words), shared.value
+        shingler = shingler_of(words)
         for b in batches:
-            s = b.column("s").to_numpy()
-            b = b.filter(pa.array((on[s // 32] >> (s % 32).astype(np.uint32) & 1).astype(bool)))
-            for t in slices(iter([b]), "text"):
+            for t in slices(iter([_passing(b, shared.value)]), "text", 8_000_000):
                 sets = [x for x in shingler.sets(filled(t.column("text"))) if len(x)]
                 yield {"set_id": [set_id(x) for x in sets], "hashes": [x.tobytes() for x in sets]}
 
-    found = map_arrow(docs.select("text", slot("doc_id").alias("s")), run, "set_id long, hashes binary")
+    found = map_arrow(docs.select("text", _slot("doc_id").alias("s")), run, "set_id long, hashes binary")
     return found.join(wanted.select("set_id"), "set_id", "left_semi").dropDuplicates(["set_id"])
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The linked pairs (a, b) among candidates."""
+def _verified(pairs: DataFrame, nodes: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+    """The linked pairs (a, b) among candidates, stored."""
     pairs = stored(_signature_gate(pairs, nodes, percent), "pairs")
-    ends = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    arrays = stored(_arrays(docs, nodes.select("set_id", "rep").join(ends, "set_id", "left_semi"), words), "arrays")
-    one = arrays.select(F.col("set_id").alias("a"), F.col("hashes").alias("x"))
-    two = arrays.select(F.col("set_id").alias("b"), F.col("hashes").alias("y"))
+    ends = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b"))
+    shared = pairs.sparkSession.sparkContext.broadcast(_slots(ends, "set_id"))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for b in batches:
+            b = _passing(b, shared.value)
+            yield {"set_id": b.column("set_id"), "hashes": b.column("hashes")}
+
+    some = map_arrow(arrays.withColumn("s", _slot("set_id")), pick, "set_id long, hashes binary")
+    one = some.select(F.col("set_id").alias("a"), F.col("hashes").alias("x"))
+    two = some.select(F.col("set_id").alias("b"), F.col("hashes").alias("y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for t in batches:
@@ -241,7 +267,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, p
             t = t.filter(pa.array(keep, pa.bool_()))
             yield {"a": t.column("a"), "b": t.column("b")}
 
-    return map_arrow(pairs.join(one, "a").join(two, "b"), run, "a long, b long")
+    return stored(map_arrow(pairs.join(one, "a").join(two, "b"), run, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
@@ -287,20 +313,28 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
            .withColumn("hub_n", F.min(F.struct("set_id", "n")).over(by)["n"]).where("hub < last").drop("last"))
     met = stored(met.dropDuplicates(["shingle", "set_id"]), "postings")
 
+    arrays = _arrays(docs, nodes.select("set_id", "rep").join(met.select("set_id").distinct(), "set_id", "left_semi"), words)
+    arrays = stored(arrays, "arrays")
+
     # of the hubs of its shingles, a node is held against those it shares most shingles with
-    stars = (met.where((F.col("hub") != F.col("set_id")) & _sizes_fit("n", "hub_n", percent))
-             .groupBy("set_id", "hub").agg(F.count(F.lit(1)).alias("times"))
-             .withColumn("nth", F.row_number().over(Window.partitionBy("set_id").orderBy(F.desc("times"), "hub")))
-             .where(F.col("nth") <= HUBS).select(F.col("hub").alias("a"), F.col("set_id").alias("b")))
-    links = stored(_verified(stars, nodes, docs, words, percent), "links")
+    stars = met.where((F.col("hub") != F.col("set_id")) & _sizes_fit("n", "hub_n", percent))
+    links = _verified(_most_shared(stars, ["set_id"], "hub", "set_id"), nodes, arrays, percent)
     labels = components(links)
+    while True:
+        # the same between groups: each against the least one under its shingles, by their closest nodes
+        named = met.select("shingle", "set_id", "n").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
+        named = named.withColumn("label", F.coalesce("label", "set_id")).withColumn("first", F.min(F.struct("label", "set_id", "n")).over(by))
+        mixed = stored(named.withColumn("last", F.max("label").over(by)).where("first.label < last").drop("last"), "mixed")
+        far = mixed.where("label <> first.label").select("label", F.col("first.label").alias("other"), F.col("first.set_id").alias("hub"),
+                                                         F.col("first.n").alias("hub_n"), "set_id", "n").where(_sizes_fit("n", "hub_n", percent))
+        joined = _verified(_most_shared(far, ["label", "other"], "hub", "set_id"), nodes, arrays, percent)
+        if joined.isEmpty():
+            break
+        links = links.union(joined)
+        labels = components(links)
 
-    named = met.select("shingle", "set_id", "n").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-    named = named.withColumn("label", F.coalesce("label", "set_id"))
-    mixed = (named.withColumn("low", F.min("label").over(by)).withColumn("high", F.max("label").over(by))
-             .where("low < high").drop("low", "high"))
     band = F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("int")
-    home = stored(mixed.withColumn("tile", band), "tiles")
+    home = stored(mixed.drop("first").withColumn("tile", band), "tiles")
     guest = home.withColumn("own", F.col("tile")).withColumn("tile", F.explode(F.array(F.col("tile"), F.col("tile") + 1)))
     others = home.select("shingle", "tile", F.col("label").alias("other")).distinct()
     met_by = guest.join(others, ["shingle", "tile"]).where("label <> other")
@@ -308,7 +342,7 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     pairs = (met_by.join(host, ["shingle", "tile", "other"])
              .where(((F.col("own") < F.col("tile")) | (F.col("set_id") < F.col("set_b"))) & _sizes_fit("n", "n_b", percent))
              .select(F.least("set_id", "set_b").alias("a"), F.greatest("set_id", "set_b").alias("b")).distinct())
-    more = stored(_verified(pairs, nodes, docs, words, percent), "links")
+    more = _verified(pairs, nodes, arrays, percent)
     if not more.isEmpty():
         labels = components(links.union(more))
 

@@ -33,18 +33,6 @@ def measures_style(style: DataFrame) -> DataFrame:
     )
 
 
-def measures_forecast(probs: DataFrame, focus_team: str, focus_group: int) -> DataFrame:
-    """Favourite's title %, its name (top-1 row), one team's title and semi-final %, one group's summed title %."""
-    me = F.col("team_name") == focus_team
-    return probs.agg(
-        F.max("p_champion").alias("favourite_pct"),
-        F.max_by("team_name", F.struct("p_champion", (-F.col("team_id")).alias("t"))).alias("favourite_name"),
-        F.max(F.when(me, F.col("p_champion"))).alias("team0_title_pct"),
-        F.max(F.when(me, F.col("p_semi_finals"))).alias("team0_semi_pct"),
-        F.sum(F.when(F.col("group_id") == focus_group, F.col("p_champion"))).alias("group0_title_pct"),
-    )
-
-
 def measures_xg(predictions: DataFrame, own: str = "our_xg", provider: str = "shot_xg") -> DataFrame:
     """Shots, mean own xG, agreement 1 - MAE with the provider, observed goal rate."""
     return predictions.agg(

@@ -3,6 +3,7 @@ only metrics and feature importances (a handful of numbers) reach the driver."""
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -30,12 +31,12 @@ def encode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return Pipeline(stages=idx).fit(filled).transform(filled)
 
 
-def prepare_shots(shot_map: DataFrame, exact_median: bool = False) -> DataFrame:
+def prepare_shots(shot_map: DataFrame) -> DataFrame:
     """Model frame: encoded categories, flags as 0/1, numeric gaps filled with the median, label."""
     d = encode(shot_map, SHOT_CATEGORICAL)
     d = d.select("*", *[F.coalesce(F.col(c), F.lit(False)).cast("int").alias(f"{c}_int") for c in SHOT_FLAGS],
                  F.col("is_goal").cast("double").alias("label"))
-    return fill_median(d, list(SHOT_NUMERIC + SHOT_FRAME_NUMERIC), exact=exact_median)
+    return fill_median(d, list(SHOT_NUMERIC + SHOT_FRAME_NUMERIC))
 
 
 BASE_FEATURES = ["distance_to_goal", "angle_to_goal", "shot_body_part_enc", "shot_type_enc", "under_pressure_int",
@@ -108,20 +109,40 @@ def feature_importances(model: PipelineModel, features: Sequence[str]) -> list[t
 
 # ---------------------------------------------------------------- match outcome model
 
+# The feature sets of the outcome models.
 MATCH_FEATURES = [
-    "elo_home", "elo_away", "elo_diff", "elo_home_win_prob", "stage_ordinal",
-    "home_xg_per_game", "home_xga_per_game", "home_ppda", "home_possession_pct", "home_prog_passes",
-    "home_def_line_x", "home_dominance_score", "away_xg_per_game", "away_xga_per_game", "away_ppda",
-    "away_possession_pct", "away_prog_passes", "away_def_line_x", "away_dominance_score",
+    "elo_diff", "elo_home_win_prob", "elo_home", "elo_away",
     "xg_diff", "ppda_diff", "possession_diff", "dominance_diff",
-    "home_form_xg", "home_form_xga", "home_form_ppda", "home_form_possession", "home_form_wins",
-    "away_form_xg", "away_form_xga", "away_form_ppda",
+    "home_xg_per_game", "home_xga_per_game", "home_ppda", "home_possession_pct", "home_prog_passes", "home_dominance_score",
+    "away_xg_per_game", "away_xga_per_game", "away_ppda", "away_possession_pct", "away_prog_passes", "away_dominance_score",
+    "home_form_xg", "home_form_xga", "home_form_ppda", "home_form_wins",
+    "away_form_xg", "away_form_xga", "away_form_ppda", "away_form_wins",
+    "form_xg_diff", "form_wins_diff", "stage_ordinal",
+]
+
+MATCH_FEATURES_V2 = [
+    "elo_diff", "elo_home_win_prob", "elo_home", "elo_away",
+    "xg_diff", "ppda_diff", "possession_diff", "dominance_diff",
+    "home_xg_per_game", "home_xga_per_game", "home_ppda", "home_possession_pct", "home_dominance_score",
+    "away_xg_per_game", "away_xga_per_game", "away_ppda", "away_possession_pct", "away_dominance_score",
+    "home_form_xg", "home_form_xga", "home_form_wins", "away_form_xg", "away_form_xga", "away_form_wins",
+    "form_xg_diff", "form_wins_diff", "stage_ordinal",
+    "overall_diff", "top11_overall_diff", "att_overall_diff", "def_overall_diff", "gk_overall_diff",
+    "home_squad_avg_overall", "away_squad_avg_overall", "home_att_best_overall", "away_att_best_overall",
+    "home_gk_best_overall", "away_gk_best_overall",
+    "age_diff", "peak_pct_diff", "veteran_pct_diff", "home_squad_avg_age", "away_squad_avg_age",
+    "home_squad_peak_pct", "away_squad_peak_pct",
+    "recent_form_ppg_diff", "recent_xg_diff_diff", "home_form_ppg", "away_form_ppg", "home_form_xg_diff", "away_form_xg_diff",
+    "home_form_win_rate", "away_form_win_rate", "home_form_clean_sheet_pct",
+    "squad_value_diff", "depth_score_diff", "home_squad_value_log", "away_squad_value_log",
+    "squad_risk_diff", "home_squad_risk_score", "away_squad_risk_score",
 ]
 
 
 def prepare_matches(features: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Label 0/1/2 for away win/draw/home win; numeric gaps filled with medians."""
-    d = features.withColumn("label", (F.col("result_home") + 1).cast("double"))
+    """Label 0/1/2 for away win/draw/home win (matches without a result teach nothing); gaps filled with medians."""
+    d = features.where(F.col("result_home").isNotNull())
+    d = d.withColumn("label", (F.col("result_home") + 1).cast("double"))
     d = d.select("*", *[F.col(c).cast("double").alias(f"_f_{c}") for c in cols])
     return fill_median(d, [f"_f_{c}" for c in cols])
 
@@ -155,15 +176,18 @@ def leave_one_group_out(prepared: DataFrame, cols: Sequence[str], groups: Sequen
     """Out-of-fold predictions: each edition is scored by a model trained on all other editions.
 
     The loop runs over the few editions on the driver; every fit and every scoring is distributed.
-    Editions with fewer than ``min_rows`` matches are skipped.
+    Editions with fewer than ``min_rows`` matches are skipped, and named in a warning.
     """
-    parts = []
+    parts, skipped = [], []
     for comp, season in groups:
         test = prepared.filter((F.col("competition_id") == comp) & (F.col("season_id") == season))
         train = prepared.filter(~((F.col("competition_id") == comp) & (F.col("season_id") == season)))
         if test.limit(min_rows).count() < min_rows:
+            skipped.append((comp, season))
             continue
         parts.append(predict_matches(fit_match_model(train, cols, trees), test))
+    if skipped:
+        warnings.warn(f"editions of fewer than {min_rows} matches are not scored: {skipped}", stacklevel=2)
     if not parts:  # every edition below ``min_rows``: no fold to score
         return prepared.sparkSession.createDataFrame([], PREDICTION_SCHEMA)
     out = parts[0]

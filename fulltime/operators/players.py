@@ -134,7 +134,10 @@ def attach_lineup(stats: DataFrame, lineups: DataFrame) -> DataFrame:
 
 def attach_club_stats(stats: DataFrame, club: DataFrame, name_col: str = "player_name",
                       fold_accents: bool = False) -> DataFrame:
-    """Best-effort name join to club season stats; the club row kept per name is the one with most minutes."""
+    """Best-effort name join to club season stats; the club row kept per name is the one with most minutes.
+
+    Ties go by club, league, spelling and all other columns in turn, so the row doesn't hang on the input's order.
+    A name with very many rows is split over all of these."""
     from fulltime.operators.ranking import top_k_per_group
 
     def norm(col: Column) -> Column:
@@ -144,7 +147,9 @@ def attach_club_stats(stats: DataFrame, club: DataFrame, name_col: str = "player
         return x
 
     order = [F.col("minutes").desc_nulls_last()] if "minutes" in club.columns else []
+    first = [c for c in ("club", "league", name_col) if c in club.columns]
+    rest = first + [c for c in club.columns if c not in (*first, "minutes")]
     c2 = club.withColumn("_name_key", norm(F.col(name_col)))
-    best = top_k_per_group(c2, ["_name_key"], order + [F.col(name_col)], 1, [name_col] + (["club"] if "club" in club.columns else []))
+    best = top_k_per_group(c2, ["_name_key"], order + [F.col(c).asc_nulls_last() for c in rest], 1, rest + ["minutes"] * bool(order))
     best = best.drop(name_col)
     return stats.withColumn("_name_key", norm(F.col("player_name"))).join(best, "_name_key", "left").drop("_name_key")

@@ -14,7 +14,7 @@ from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fulltime.functions import football as fb
@@ -29,57 +29,47 @@ START_RATING = 1000.0
 RESULT_COLUMNS = ["pool_id", "match_num", "match_date", "home_team", "away_team", "home_score", "away_score", "round"]
 RATING_SCHEMA = (
     "pool_id long, match_num long, match_date date, home_team string, away_team string, home_score long, "
-    "away_score long, round string, elo_home_before double, elo_away_before double, "
+    "away_score long, round string, k_factor int, elo_home_before double, elo_away_before double, "
     "elo_home_after double, elo_away_after double, we_home double"
 )
 
 
-def _k(round_name: str) -> int:
-    r = (round_name or "").lower()
-    if any(x in r for x in ("final", "semi", "third", "quarter")):
-        return 60
-    if any(x in r for x in ("round of 16", "round of 32", "last 16")):
-        return 55
-    return 50
-
-
 def _fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Fold the pools of one partition. Rows arrive clustered by pool and sorted by (pool, date,
-    number); the rating state is reset at every pool boundary and the order is checked."""
+    """Fold the pools of one partition. Rows arrive clustered by pool and sorted by (pool, date, number),
+    nulls first; the ratings start anew at every pool, and the order is checked."""
     ratings: dict[str, float] = {}
     pool, last = None, None
     for b in batches:
         n = len(b)
-        out = {c: [0.0] * n for c in ("elo_home_before", "elo_away_before", "elo_home_after", "elo_away_after",
-                                       "we_home")}
-        rows = zip(b["pool_id"].tolist(), b["match_date"].tolist(), b["match_num"].tolist(), b["home_team"].tolist(),
-                   b["away_team"].tolist(), b["home_score"].tolist(), b["away_score"].tolist(), b["round"].tolist())
-        for i, (p, d, num, h, a, hs, as_, rnd_name) in enumerate(rows):
-            cur = (p, d, num)
-            if last is not None and cur < last:
+        out = {c: [0.0] * n for c in ("elo_home_before", "elo_away_before", "elo_home_after", "elo_away_after", "we_home")}
+        known = [(None if p != p else p, None if d is None or d != d else d, m) for p, d, m in zip(b["pool_id"], b["match_date"], b["match_num"])]
+        rows = zip(known, b["home_team"], b["away_team"], b["home_score"], b["away_score"], b["k_factor"])
+        for i, (key, home, away, scored, conceded, k) in enumerate(rows):
+            at = tuple((x is not None, x or 0) for x in key)  # an unknown value comes before all known ones
+            if last is not None and at < last:
                 raise ValueError("ratings input is not sorted by (pool, date, number) inside its partition")
-            last = cur
-            if p != pool:
-                ratings, pool = {}, p
-            rh, ra = ratings.get(h, START_RATING), ratings.get(a, START_RATING)
-            we = 1.0 / (1.0 + 10.0 ** ((ra - rh) / 400.0))
-            w = 1.0 if hs > as_ else (0.5 if hs == as_ else 0.0)
-            k = _k(rnd_name)
-            nh, na = rh + k * (w - we), ra + k * ((1.0 - w) - (1.0 - we))
-            ratings[h], ratings[a] = nh, na
-            out["elo_home_before"][i], out["elo_away_before"][i] = rh, ra
-            out["elo_home_after"][i], out["elo_away_after"][i], out["we_home"][i] = nh, na, we
-        yield b[RESULT_COLUMNS].assign(**out)
+            if last is None or key[0] != pool:
+                ratings, pool = {}, key[0]
+            last = at
+            rh, ra = ratings.get(home, START_RATING), ratings.get(away, START_RATING)
+            expected = 1.0 / (1.0 + 10.0 ** ((ra - rh) / 400.0))
+            gain = k * ((scored > conceded) + 0.5 * (scored == conceded) - expected)
+            ratings[home], ratings[away] = rh + gain, ra - gain
+            for c, v in zip(out, (rh, ra, rh + gain, ra - gain, expected)):
+                out[c][i] = v
+        yield b.assign(**out)
 
 
 def elo_ratings(results: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Before/after ratings of every match, folded per ``pool_id`` in (match_date, match_num) order.
+    """Before/after ratings of every scored match, folded per ``pool_id`` in (match_date, match_num) order.
 
     ``results`` needs pool_id, match_num, match_date, home_team, away_team, home_score, away_score, round.
+    Matches without both scores are not rated and not returned. Rows of null pool are a pool of their own,
+    matches of null date come before the dated ones.
     """
-    cols = RESULT_COLUMNS
-    r = results.select(*[F.col(c).cast(t) for c, t in zip(cols, ("long", "long", "date", "string", "string", "long",
-                                                                   "long", "string"))])
+    types = ("long", "long", "date", "string", "string", "long", "long", "string")
+    r = results.where(F.col("home_score").isNotNull() & F.col("away_score").isNotNull())
+    r = r.select(*[F.col(c).cast(t) for c, t in zip(RESULT_COLUMNS, types)], fb.k_factor("round").alias("k_factor"))
     n = partitions or int(r.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Every pool lands in one partition (hash by pool), sorted by (pool, date, number); one Python
     # call per partition streams its pools in Arrow batches with O(teams) state, so a pool holding
@@ -87,12 +77,9 @@ def elo_ratings(results: DataFrame, partitions: int | None = None) -> DataFrame:
     ordered = r.repartition(n, "pool_id").sortWithinPartitions("pool_id", "match_date", "match_num")
     out = ordered.mapInPandas(_fold_partition, RATING_SCHEMA)
     return out.select(
-        *cols,
-        rnd("elo_home_before", 1).alias("elo_home_before"), rnd("elo_away_before", 1).alias("elo_away_before"),
-        rnd("elo_home_after", 1).alias("elo_home_after"), rnd("elo_away_after", 1).alias("elo_away_after"),
+        *RESULT_COLUMNS, *[rnd(f"elo_{s}_{t}", 1).alias(f"elo_{s}_{t}") for t in ("before", "after") for s in ("home", "away")],
         rnd(F.col("elo_home_before") - F.col("elo_away_before"), 1).alias("elo_diff"),
-        rnd("we_home", 4).alias("we_home"), rnd(F.lit(1.0) - F.col("we_home"), 4).alias("we_away"),
-        fb.k_factor("round").alias("k_factor"),
+        rnd("we_home", 4).alias("we_home"), rnd(F.lit(1.0) - F.col("we_home"), 4).alias("we_away"), "k_factor",
     )
 
 
@@ -158,13 +145,13 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], ts: str, val
 
 
 def lookup_with_alias(names: DataFrame, name_col: str, values: DataFrame, key_col: str, value_col: str,
-                      aliases: DataFrame, alias_from: str, alias_to: str, default: float | Column) -> DataFrame:
-    """Value by name, else by the name's alias, else ``default`` (two left joins + coalesce)."""
+                      aliases: DataFrame, alias_from: str, alias_to: str, default: float | None = None) -> DataFrame:
+    """Value by name, else by the name's alias, else ``default`` (null, if None): two left joins + coalesce."""
     v1 = values.select(F.col(key_col).alias("_k1"), F.col(value_col).alias("_v1"))
     v2 = values.select(F.col(key_col).alias("_k2"), F.col(value_col).alias("_v2"))
     a = aliases.select(F.col(alias_from).alias("_af"), F.col(alias_to).alias("_k2"))
     j = (names.join(v1, names[name_col] == v1["_k1"], "left")
          .join(a, names[name_col] == a["_af"], "left")
          .join(v2, "_k2", "left"))
-    d = default if isinstance(default, Column) else F.lit(default)
-    return j.select(*names.columns, F.coalesce("_v1", "_v2", d).alias(value_col))
+    found = [F.col("_v1"), F.col("_v2"), *([F.lit(default)] if default is not None else [])]
+    return j.select(*names.columns, F.coalesce(*found).alias(value_col))

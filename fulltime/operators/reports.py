@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fulltime.functions.common import rnd
+from fulltime.operators.quantiles import exact_quantiles
 
 
 def report_by(shot_map: DataFrame, key: str, min_shots: int = 0, with_distance: bool = False) -> DataFrame:
@@ -52,20 +53,13 @@ def null_audit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                   *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in cols])
 
 
-def summary_stats(df: DataFrame, cols: Sequence[str], accuracy: int = 10000) -> DataFrame:
-    """count, mean, stddev, min, quartiles and max per column, one row per column (single pass).
-
-    Quartiles come from the bounded-memory quantile sketch (``percentile_approx``; exact while a
-    column has fewer values than ``accuracy``), never from collecting all values in one task."""
-    parts = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        parts.append(F.struct(
-            F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"),
-            F.min(x).alias("min"), F.percentile_approx(x, 0.25, accuracy).alias("p25"),
-            F.percentile_approx(x, 0.5, accuracy).alias("p50"), F.percentile_approx(x, 0.75, accuracy).alias("p75"),
-            F.max(x).alias("max")))
-    return df.agg(F.array(*parts).alias("s")).select(F.explode("s").alias("s")).select("s.*")
+def summary_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """count, mean, stddev, min, quartiles and max per column, one row per column; quartiles are exact."""
+    x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    quartiles = exact_quantiles(x, {c: (0.25, 0.5, 0.75) for c in cols})
+    parts = [F.struct(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("stddev"), F.min(c).alias("min"),
+                      *[F.lit(quartiles[c, q]).cast("double").alias(f"p{100 * q:.0f}") for q in (0.25, 0.5, 0.75)], F.max(c).alias("max")) for c in cols]
+    return x.agg(F.array(*parts).alias("s")).select(F.explode("s").alias("s")).select("s.*")
 
 
 def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -32,3 +32,9 @@ def stack_sides(df: DataFrame, keys: Sequence[str], columns: dict[str, tuple[str
 def distinct_keys(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Distinct union of the key columns of every frame (one shuffle, after map-side distinct)."""
     return union_by_name([f.select(*keys) for f in frames]).distinct()
+
+
+def editions(df: DataFrame) -> list[tuple[int, int]]:
+    """The (competition, season) pairs that a table has, in order: a short list, read from the data."""
+    return sorted((r[0], r[1]) for r in df.select("competition_id", "season_id").where(
+        "competition_id IS NOT NULL AND season_id IS NOT NULL").distinct().collect())

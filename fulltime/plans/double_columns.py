@@ -4,7 +4,6 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'alias_lookup': ['elo_rating'],
     'array_fns': ['mean_x', 'mean_y'],
     'avg_visible': ['avg_visible'],
-    'by_confederation': ['total_p_champion'],
     'club_stats': ['goals', 'shots', 'xg', 'minutes', 'total_cmp', 'total_att'],
     'compass': ['wind_direction_deg'],
     'concat_sources': ['xg_for', 'xg_against'],
@@ -18,7 +17,6 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'encode_cat': ['shot_body_part_enc', 'shot_type_enc', 'pitch_zone_enc'],
     'export_table': ['xg_for', 'xga_against', 'avg_possession', 'avg_ppda', 'avg_shots', 'xg_diff', 'xg_points', 'luck_index'],
     'feature_importances': ['importance'],
-    'fixture_features': ['elo_home', 'elo_away', 'elo_diff', 'elo_home_win_prob', 'home_xg_per_game', 'away_xg_per_game'],
     'frames_of': ['loc_x', 'loc_y'],
     'goals_by_edition': ['xg'],
     'implied_probs': ['ip_home', 'ip_draw', 'ip_away', 'margin'],
@@ -32,9 +30,6 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'match_features_v2': ['elo_home', 'elo_away', 'elo_diff', 'elo_home_win_prob', 'home_xg_per_game', 'home_xga_per_game', 'home_ppda', 'home_possession_pct', 'home_prog_passes', 'home_def_line_x', 'home_dominance_score', 'away_xg_per_game', 'away_xga_per_game', 'away_ppda', 'away_possession_pct', 'away_prog_passes', 'away_def_line_x', 'away_dominance_score', 'xg_diff', 'ppda_diff', 'possession_diff', 'dominance_diff', 'home_form_xg', 'away_form_xg', 'home_form_xga', 'away_form_xga', 'home_form_ppda', 'away_form_ppda', 'home_form_possession', 'away_form_possession', 'form_xg_diff', 'home_squad_avg_overall', 'home_squad_top11_overall', 'home_squad_avg_potential', 'home_squad_depth_score', 'home_squad_overall_std', 'home_def_avg_overall', 'home_mid_avg_overall', 'home_att_avg_overall', 'home_squad_avg_age', 'home_squad_top11_avg_age', 'home_squad_peak_pct', 'home_squad_veteran_pct', 'home_squad_young_pct', 'home_form_ppg', 'home_form_xg_per_game', 'home_form_xga_per_game', 'home_form_xg_diff', 'home_form_win_rate', 'home_form_clean_sheet_pct', 'home_squad_value_m', 'home_squad_value_log', 'home_avg_player_value_m', 'home_top3_value_m', 'home_depth_value_ratio', 'away_squad_avg_overall', 'away_squad_top11_overall', 'away_squad_avg_potential', 'away_squad_depth_score', 'away_squad_overall_std', 'away_def_avg_overall', 'away_mid_avg_overall', 'away_att_avg_overall', 'away_squad_avg_age', 'away_squad_top11_avg_age', 'away_squad_peak_pct', 'away_squad_veteran_pct', 'away_squad_young_pct', 'away_form_ppg', 'away_form_xg_per_game', 'away_form_xga_per_game', 'away_form_xg_diff', 'away_form_win_rate', 'away_form_clean_sheet_pct', 'away_squad_value_m', 'away_squad_value_log', 'away_avg_player_value_m', 'away_top3_value_m', 'away_depth_value_ratio', 'overall_diff', 'top11_overall_diff', 'def_overall_diff', 'age_diff', 'peak_pct_diff', 'veteran_pct_diff', 'recent_form_ppg_diff', 'recent_xg_diff_diff', 'squad_value_diff', 'depth_score_diff', 'home_squad_risk_score', 'away_squad_risk_score', 'squad_risk_diff'],
     'match_timeline': ['loc_x', 'loc_y', 'end_x', 'end_y', 'shot_xg', 'duration', 'pass_end_x', 'pass_end_y', 'carry_end_x', 'carry_end_y', 'pass_length', 'distance_to_goal', 'angle_to_goal'],
     'math_fns': ['log_value', 'third_value'],
-    'mc_qualifiers': ['elo_rating'],
-    'mc_stage_probs': ['elo_rating', 'p_round_of_16', 'p_quarter_finals', 'p_semi_finals', 'p_final', 'p_champion'],
-    'measures_forecast': ['favourite_pct', 'team0_title_pct', 'team0_semi_pct', 'group0_title_pct'],
     'measures_scorers': ['total_xg', 'goals_above_xg', 'conversion_pct'],
     'measures_style': ['mean_ppda', 'mean_xg_diff', 'best_xg_diff'],
     'measures_xg': ['mean_xg', 'agreement', 'goal_rate'],
@@ -80,7 +75,6 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'topk_shots': ['shot_xg', 'distance_to_goal'],
     'trailing_form': ['form_xg', 'form_xga', 'form_ppda', 'form_possession', 'form_goals', 'form_goals_ag'],
     'upsert_timeline': ['loc_x', 'loc_y', 'end_x', 'end_y', 'shot_xg', 'duration', 'pass_end_x', 'pass_end_y', 'carry_end_x', 'carry_end_y', 'pass_length', 'distance_to_goal', 'angle_to_goal'],
-    'v_forecast': ['elo_rating', 'pct_round_of_16', 'pct_quarter_finals', 'pct_semi', 'pct_final', 'pct_champion'],
     'v_scorers': ['xg_total', 'goals_above_xg', 'shot_conversion_pct', 'goals_per_90'],
     'v_shots': ['distance_to_goal', 'angle_to_goal', 'our_xg', 'provider_xg'],
     'v_styles': ['avg_possession_pct', 'avg_ppda', 'xg_per_game', 'xga_per_game', 'xg_diff_per_game', 'dominance_score', 'win_pct'],
@@ -88,4 +82,11 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'xg_predictions': ['distance_to_goal', 'angle_to_goal', 'shot_xg', 'our_xg'],
     'xg_provider_metrics': ['auc', 'brier', 'log_loss'],
     'xg_summary': ['xg_total', 'xg_mean', 'xg_max'],
+    'stream_odds_sliding': ['last_odd_home', 'last_odd_draw', 'last_odd_away', 'mean_odd_home'],
+    'stream_parse_weather': ['speed_kmh', 'direction_deg'],
+    'fixture_features': ['elo_diff', 'elo_home_win_prob', 'elo_home', 'elo_away', 'xg_diff', 'ppda_diff', 'possession_diff', 'dominance_diff',
+                         'home_xg_per_game', 'home_xga_per_game', 'home_ppda', 'home_possession_pct', 'home_prog_passes', 'home_dominance_score',
+                         'away_xg_per_game', 'away_xga_per_game', 'away_ppda', 'away_possession_pct', 'away_prog_passes', 'away_dominance_score',
+                         'home_form_xg', 'home_form_xga', 'home_form_ppda', 'home_form_wins', 'away_form_xg', 'away_form_xga', 'away_form_ppda',
+                         'away_form_wins', 'form_xg_diff', 'form_wins_diff'],
 }

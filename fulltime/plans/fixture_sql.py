@@ -102,8 +102,8 @@ SELECT CAST(floor(o_orderkey / 64) AS BIGINT) AS pool_id, o_orderkey AS match_nu
        CAST(o_orderdate AS DATE) AS match_date,
        concat('T', CAST(o_custkey % 16 AS STRING)) AS home_team,
        concat('T', CAST((o_custkey % 16 + 1 + CAST(floor(o_custkey / 16) AS BIGINT) % 15) % 16 AS STRING)) AS away_team,
-       CAST(floor(o_totalprice) AS BIGINT) % 5 AS home_score,
-       CAST(floor(o_totalprice / 7) AS BIGINT) % 4 AS away_score,
+       CASE WHEN o_orderkey % 41 <> 0 THEN CAST(floor(o_totalprice) AS BIGINT) % 5 END AS home_score,
+       CASE WHEN o_orderkey % 41 <> 0 THEN CAST(floor(o_totalprice / 7) AS BIGINT) % 4 END AS away_score,
        CASE WHEN o_orderkey % 64 < 48 THEN 'Group A' WHEN o_orderkey % 64 < 56 THEN 'Round of 16'
             WHEN o_orderkey % 64 < 60 THEN 'Quarter-finals' WHEN o_orderkey % 64 < 62 THEN 'Semi-finals'
             WHEN o_orderkey % 64 = 62 THEN 'Match for third place' ELSE 'Final' END AS round

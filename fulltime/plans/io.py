@@ -145,8 +145,8 @@ def _stage_results(spark, sf):
 SELECT 'Pool ' || CAST(pool_id AS VARCHAR) AS edition, round, match_num, match_date, home_team, away_team,
        home_score, away_score, CAST(floor(home_score / 2) AS BIGINT) AS home_score_ht,
        CAST(floor(away_score / 2) AS BIGINT) AS away_score_ht,
-       CASE WHEN home_score > away_score THEN 'H' WHEN home_score = away_score THEN 'D' ELSE 'A' END AS result,
-       CAST(home_score + away_score AS INTEGER) AS n_goals
+       CASE WHEN home_score > away_score THEN 'H' WHEN home_score = away_score THEN 'D' WHEN home_score < away_score THEN 'A' END AS result,
+       CAST(coalesce(home_score + away_score, 0) AS INTEGER) AS n_goals
 FROM fx_result"""))
 def q_historical_results(spark, sf):
     """Edition documents (rounds of matches with score arrays) flattened to one row per match."""
@@ -158,7 +158,7 @@ SELECT match_num, 'P' || CAST(k AS VARCHAR) AS scorer, CASE WHEN k <= home_score
        CAST((match_num * 7 + k * 13) % 90 AS INTEGER) AS minute
 FROM fx_result, range(1, home_score + away_score + 1) t(k)
 UNION ALL
-SELECT match_num, NULL, NULL, NULL FROM fx_result WHERE home_score + away_score = 0"""))
+SELECT match_num, NULL, NULL, NULL FROM fx_result WHERE coalesce(home_score + away_score, 0) = 0"""))
 def q_goal_rows(spark, sf):
     """The goals stored as JSON per match exploded to one row per goal (goalless matches kept once)."""
     return raw.explode_goals(raw.flatten_results(_stage_results(spark, sf)))
@@ -166,7 +166,7 @@ def q_goal_rows(spark, sf):
 
 @query("regroup_results", with_fixtures(["fx_result"], """
 SELECT match_num AS num, CASE WHEN round LIKE 'Group%' THEN round ELSE round END AS round_label,
-       CAST(home_score + away_score AS INTEGER) AS n_goals FROM fx_result"""))
+       CAST(coalesce(home_score + away_score, 0) AS INTEGER) AS n_goals FROM fx_result"""))
 def q_regroup_results(spark, sf):
     """Upstream match lists (group or round label, goals per side) regrouped into the stored form."""
     r = td.fx_result(spark, sf)
@@ -288,6 +288,48 @@ def q_upsert_timeline(spark, sf):
     return layer.read("timeline")
 
 
+def _halves(spark, sf):
+    """First and second half of the timeline's rows by event id, the second with a column of its own."""
+    tl = tl_frame(spark, sf)
+    return tl, tl.filter(F.col("event_id") % 2 == 0), tl.filter(F.col("event_id") % 2 == 1)
+
+
+@query("append_merge", with_fixtures(EM, """
+SELECT event_id, match_id, type_name, period, CASE WHEN event_id % 2 = 1 THEN 'late' END AS batch FROM tl""", TIMELINE))
+def q_append_merge(spark, sf):
+    """Rows appended with a new column: earlier rows read it as null (schema merge)."""
+    _, even, odd = _halves(spark, sf)
+    cols = ["event_id", "match_id", "type_name", "period"]
+    layer = Layer(spark, scratch_dir(spark, "layer-append"))
+    layer.append(even.select(*cols), "events")
+    layer.append(odd.select(*cols, F.lit("late").alias("batch")), "events")
+    return layer.read("events", merge_schema=True)
+
+
+@query("upsert_after_overwrite", with_fixtures(EM, """
+SELECT event_id, match_id, type_name, CASE WHEN event_id % 2 = 1 THEN -1 ELSE period END AS period FROM tl""", TIMELINE))
+def q_upsert_after_overwrite(spark, sf):
+    """A plain table that is upserted keeps the rows the source doesn't name."""
+    tl, _, odd = _halves(spark, sf)
+    cols = ["event_id", "match_id", "type_name", "period"]
+    layer = Layer(spark, scratch_dir(spark, "layer-over"))
+    layer.overwrite(tl.select(*cols), "events")
+    layer.upsert(odd.select(*cols).withColumn("period", F.lit(-1).cast(tl.schema["period"].dataType)), "events", ["event_id", "match_id"])
+    return layer.read("events")
+
+
+@query("upsert_then_append", with_fixtures(EM, "SELECT event_id, match_id, type_name, period FROM tl", TIMELINE))
+def q_upsert_then_append(spark, sf):
+    """Rows appended to a keyed table are read with the others, and matched by the next upsert."""
+    _, even, odd = _halves(spark, sf)
+    cols = ["event_id", "match_id", "type_name", "period"]
+    layer = Layer(spark, scratch_dir(spark, "layer-then"))
+    layer.upsert(even.select(*cols), "events", ["event_id", "match_id"])
+    layer.append(odd.select(*cols), "events")
+    layer.upsert(odd.select(*cols), "events", ["event_id", "match_id"])
+    return layer.read("events")
+
+
 @query("layer_roundtrip", with_fixtures(EM, "SELECT * FROM tp", TIMELINE + "," + TEAM_PERF))
 def q_layer_roundtrip(spark, sf):
     """Overwrite partitioned by edition, replace one season's partitions (dynamic), read back."""

@@ -11,14 +11,14 @@ from functools import cached_property
 from pyspark.sql import functions as F
 
 from fulltime.operators import models
-from fulltime.operators.features import match_features_v2
+from fulltime.operators.features import fixture_features, match_features_v2
 from fulltime.operators.measures import measures_predictor, measures_xg
-from fulltime.plans.core import EM
+from fulltime.operators.sets import editions
+from fulltime.plans.core import tp_frame
 from fulltime.plans.fixture_sql import with_fixtures
-from fulltime.plans.forecast import _Run, _sim
 from fulltime.plans.registry import query
-from fulltime.plans.shots_ratings import SHOT_MAP, shot_map_frame
-from fulltime.plans.squads_features import mf_v1_frame
+from fulltime.plans.shots_ratings import SHOT_MAP, shot_map_frame, team_ratings
+from fulltime.plans.squads_features import MF_V1, mf_v1_frame
 from fulltime.session import materialize
 from fulltime.sources import testdata as td
 
@@ -67,7 +67,7 @@ _SHOTS: dict = {}
 
 
 def shots_run(spark, sf) -> _Shots:
-    key = (*td.session_key(spark), sf)
+    key = (*td.session_key(spark), sf, td.contents(spark, sf))
     if key not in _SHOTS:
         _SHOTS[key] = _Shots(spark, sf)
     return _SHOTS[key]
@@ -186,12 +186,7 @@ class _Matches:
 
     @cached_property
     def cols(self):
-        if not self.v2:
-            return models.MATCH_FEATURES
-        from fulltime.operators.features import SQUAD_COLS, SQUAD_DIFFS
-
-        return models.MATCH_FEATURES + [f"{s}_{c}" for s in ("home", "away") for c in SQUAD_COLS] + list(SQUAD_DIFFS) \
-            + ["home_squad_risk_score", "away_squad_risk_score", "squad_risk_diff"]
+        return models.MATCH_FEATURES_V2 if self.v2 else models.MATCH_FEATURES
 
     @cached_property
     def prepared(self):
@@ -206,15 +201,18 @@ class _Matches:
 
     @cached_property
     def oof(self):
-        editions = [(c, s) for c in (43, 55, 223) for s in (106, 3)]
-        return models.leave_one_group_out(self.prepared, self.cols, editions)
+        return materialize(models.leave_one_group_out(self.prepared, self.cols, editions(self.prepared)))
+
+    @cached_property
+    def fitted(self):
+        return models.fit_match_model(self.prepared, self.cols)
 
 
 _MATCHES: dict = {}
 
 
 def matches_run(spark, sf, v2=False) -> _Matches:
-    key = (*td.session_key(spark), sf, v2)
+    key = (*td.session_key(spark), sf, td.contents(spark, sf), v2)
     if key not in _MATCHES:
         _MATCHES[key] = _Matches(spark, sf, v2)
     return _MATCHES[key]
@@ -243,10 +241,16 @@ def q_report_accuracy(spark, sf):
 
 @query("report_upsets")
 def q_report_upsets(spark, sf):
-    """Matches the model gave to one side with p > 0.65 that the other side did not lose."""
+    """Matches the home side lost although the model gave it more than 0.65."""
     p = matches_run(spark, sf).oof
-    return p.filter(((F.col("p_home_win") > 0.65) & (F.col("result_home") != 1))
-                    | ((F.col("p_away_win") > 0.65) & (F.col("result_home") != -1)))
+    return p.filter((F.col("p_home_win") > 0.65) & (F.col("result_home") == -1))
+
+
+@query("match_importances")
+def q_match_importances(spark, sf):
+    """Importance of every feature in the outcome model fitted on all matches."""
+    run = matches_run(spark, sf)
+    return spark.createDataFrame([(f, float(v)) for f, v in models.feature_importances(run.fitted, run.cols)], "feature string, importance double")
 
 
 @query("measures_predictor")
@@ -254,29 +258,37 @@ def q_measures_predictor(spark, sf):
     return measures_predictor(matches_run(spark, sf).oof)
 
 
-@query("fixture_features", _sim("""
-SELECT f.fixture_id, f.home_id, f.away_id, h.team_name AS home_team_name, a.team_name AS away_team_name,
-       sround(f.home_elo, 1) AS elo_home, sround(f.away_elo, 1) AS elo_away, sround(f.home_elo - f.away_elo, 1) AS elo_diff,
-       sround(1.0 / (1.0 + pow(10.0, -(f.home_elo - f.away_elo) / 400)), 4) AS elo_home_win_prob,
-       f.home_xg AS home_xg_per_game, f.away_xg AS away_xg_per_game, 1 AS stage_ordinal
-FROM fxt f JOIN ent h ON h.team_id = f.home_id JOIN ent a ON a.team_id = f.away_id"""))
+def _fixture_sql() -> str:
+    from fulltime.operators.features import FIXTURE_DEFAULTS
+
+    style = {"xg_per_game": "overall_xg_per_game", "xga_per_game": "overall_xga_per_game", "ppda": "overall_ppda",
+             "possession_pct": "overall_possession_pct", "prog_passes": "overall_prog_passes", "dominance_score": "overall_dominance_score"}
+    side = ", ".join(f"coalesce(s{x}.{c}, CAST({FIXTURE_DEFAULTS[n]} AS DOUBLE)) AS {p}_{n}"
+                     for x, p in (("h", "home"), ("a", "away")) for n, c in style.items())
+    return f"""
+SELECT fixture_id, home_team_name, away_team_name, elo_home - elo_away AS elo_diff,
+       1.0 / (1.0 + pow(10.0, -(elo_home - elo_away) / 400)) AS elo_home_win_prob, elo_home, elo_away,
+       home_xg_per_game - away_xg_per_game AS xg_diff, home_ppda - away_ppda AS ppda_diff,
+       home_possession_pct - away_possession_pct AS possession_diff, home_dominance_score - away_dominance_score AS dominance_diff,
+       {', '.join(f'{p}_{n}' for p in ('home', 'away') for n in style)},
+       {', '.join(f'{p}_{n} AS {p}_form_{f}, 0.0 AS {p}_form_wins' if f == 'ppda' else f'{p}_{n} AS {p}_form_{f}'
+                  for p in ('home', 'away') for n, f in (('xg_per_game', 'xg'), ('xga_per_game', 'xga'), ('ppda', 'ppda')))},
+       home_xg_per_game - away_xg_per_game AS form_xg_diff, 0.0 AS form_wins_diff, stage_ordinal
+FROM (
+  SELECT m.match_id AS fixture_id, m.away_team_name AS home_team_name, m.home_team_name AS away_team_name,
+         coalesce(rh.elo_rating, 1050.0) AS elo_home, coalesce(ra.elo_rating, 1050.0) AS elo_away, {side}, mf.stage_ordinal
+  FROM fx_match m JOIN mf ON mf.match_id = m.match_id
+  LEFT JOIN rating rh ON rh.team_name = m.away_team_name LEFT JOIN rating ra ON ra.team_name = m.home_team_name
+  LEFT JOIN so sh ON sh.team_name = m.away_team_name LEFT JOIN so sa ON sa.team_name = m.home_team_name)"""
+
+
+@query("fixture_features", with_fixtures(["fx_event", "fx_match", "fx_result"], _fixture_sql(), MF_V1, recursive=True))
 def q_fixture_features(spark, sf):
-    """Feature rows for the hypothetical group fixtures of the forecast (ratings and style with defaults)."""
-    from fulltime.functions.common import rnd
-    from fulltime.operators import forecast as fc
-
-    run = _Run(spark, sf)
-    ent = run.ent
-    fx = fc.group_fixtures(ent)
-    names = ent.select("team_id", "team_name", "xg_per_game")
-    h = names.select(F.col("team_id").alias("home_id"), F.col("team_name").alias("home_team_name"),
-                     F.col("xg_per_game").alias("home_xg_per_game"))
-    a = names.select(F.col("team_id").alias("away_id"), F.col("team_name").alias("away_team_name"),
-                     F.col("xg_per_game").alias("away_xg_per_game"))
-    j = fx.join(h, "home_id").join(a, "away_id")
-    diff = F.col("home_elo") - F.col("away_elo")
-    return j.select("fixture_id", "home_id", "away_id", "home_team_name", "away_team_name",
-                    rnd("home_elo", 1).alias("elo_home"), rnd("away_elo", 1).alias("elo_away"),
-                    rnd(diff, 1).alias("elo_diff"),
-                    rnd(F.lit(1.0) / (F.lit(1.0) + F.pow(F.lit(10.0), -diff / 400)), 4).alias("elo_home_win_prob"),
-                    "home_xg_per_game", "away_xg_per_game", F.lit(1).alias("stage_ordinal"))
+    """Feature rows for fixtures not played yet: the return match of every match, from ratings and overall style."""
+    from fulltime.functions import football as fb
+    from fulltime.operators import gold
+
+    m = td.fx_match(spark, sf)
+    fixtures = m.select(F.col("match_id").alias("fixture_id"), F.col("away_team_name").alias("home_team_name"),
+                        F.col("home_team_name").alias("away_team_name"), fb.stage_ordinal("stage_name").alias("stage_ordinal"))
+    return fixture_features(fixtures, team_ratings(spark, sf), gold.team_style_overall(tp_frame(spark, sf)))

@@ -34,7 +34,6 @@ def load_all() -> None:
         shots_ratings,
         squads_features,
         scalars,
-        forecast,
         serving,
         ml,
         streams,

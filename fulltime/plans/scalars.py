@@ -286,11 +286,11 @@ def q_team_history(spark, sf):
 SELECT match_id, competition_id, season_id, home_team_id, away_team_id FROM fx_match"""))
 def q_union_editions(spark, sf):
     """One frame per edition, put back together by name (columns in different orders)."""
-    from fulltime.operators.sets import union_by_name
+    from fulltime.operators.sets import editions, union_by_name
 
     m = td.fx_match(spark, sf)
     parts = []
-    for i, (comp, season) in enumerate([(43, 106), (43, 3), (55, 106), (55, 3), (223, 106), (223, 3)]):
+    for i, (comp, season) in enumerate(editions(m)):
         cols = ["match_id", "competition_id", "season_id", "home_team_id", "away_team_id"]
         part = m.filter((F.col("competition_id") == comp) & (F.col("season_id") == season))
         parts.append(part.select(*(cols if i % 2 == 0 else list(reversed(cols)))))

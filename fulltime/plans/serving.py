@@ -6,10 +6,9 @@ from pyspark.sql import functions as F
 
 from fulltime.functions.common import rnd
 from fulltime.operators import gold
-from fulltime.operators.measures import measures_forecast, measures_scorers, measures_style
+from fulltime.operators.measures import measures_scorers, measures_style
 from fulltime.plans.core import EM, TEAM_STYLE_SQL, TOP_SCORERS_SQL, pms_frame, tp_frame
 from fulltime.plans.fixture_sql import with_fixtures
-from fulltime.plans.forecast import _Run, _sim
 from fulltime.plans.registry import query
 from fulltime.plans.sql_blocks import PLAYER_STATS, TEAM_PERF, TIMELINE
 
@@ -59,13 +58,3 @@ SELECT avg(avg_ppda) AS mean_ppda,
 FROM st""", STYLE))
 def q_measures_style(spark, sf):
     return measures_style(gold.team_style(tp_frame(spark, sf)))
-
-
-@query("measures_forecast", _sim("""
-SELECT max(p_champion) AS favourite_pct, arg_max(team_name, (p_champion, -team_id)) AS favourite_name,
-       max(p_champion) FILTER (WHERE team_name = 'Team 0') AS team0_title_pct,
-       max(p_semi_finals) FILTER (WHERE team_name = 'Team 0') AS team0_semi_pct,
-       sum(p_champion) FILTER (WHERE group_id = 0) AS group0_title_pct
-FROM probs"""))
-def q_measures_forecast(spark, sf):
-    return measures_forecast(_Run(spark, sf).probs, focus_team="Team 0", focus_group=0)

@@ -123,7 +123,8 @@ def q_report_over(spark, sf):
 
 ELO = """
 -- RECURSIVE_CTE
-seq AS (SELECT *, row_number() OVER (PARTITION BY pool_id ORDER BY match_date, match_num) AS sq FROM fx_result),
+seq AS (SELECT *, row_number() OVER (PARTITION BY pool_id ORDER BY match_date, match_num) AS sq FROM fx_result
+        WHERE home_score IS NOT NULL AND away_score IS NOT NULL),
 rec AS (
   SELECT pool_id, CAST(0 AS BIGINT) AS sq, CAST(MAP([], []) AS MAP(VARCHAR, DOUBLE)) AS r,
          CAST(NULL AS BIGINT) AS match_num, CAST(NULL AS DOUBLE) AS rh, CAST(NULL AS DOUBLE) AS ra,
@@ -198,7 +199,7 @@ def q_elo_asof(spark, sf):
 
 
 @query("alias_lookup", with_fixtures(["fx_result", "fx_event", "fx_match"], """
-SELECT n.team_name, coalesce(v1.elo_rating, v2.elo_rating, 1000.0) AS elo_rating
+SELECT n.team_name, coalesce(v1.elo_rating, v2.elo_rating, 1050.0) AS elo_rating
 FROM (SELECT DISTINCT home_team_name AS team_name FROM fx_match UNION SELECT DISTINCT away_team_name FROM fx_match) n
 LEFT JOIN lat v1 ON v1.team = n.team_name
 LEFT JOIN (SELECT DISTINCT home_team_name AS alias_from, 'T' || CAST(home_team_id AS VARCHAR) AS alias_to
@@ -207,9 +208,17 @@ LEFT JOIN lat v2 ON v2.team = a.alias_to""", ELO + """,
 lat AS (SELECT team, rating AS elo_rating FROM (
   SELECT *, row_number() OVER (PARTITION BY team ORDER BY match_date DESC, match_num DESC, pool_id DESC) AS rn FROM sides)
   WHERE rn = 1)"""))
-@td.memo_plan("alias_lookup")
 def q_alias_lookup(spark, sf):
-    """Rating per match-table team: by name, else through an alias table, else a default."""
+    """Rating per match-table team: by name, else through an alias table, else the default of the lookup."""
+    return team_ratings(spark, sf, UNRATED)
+
+
+#: Rating taken for a team without history where a rating must be given.
+UNRATED = 1050.0
+
+
+def team_ratings(spark, sf, default: float | None = None):
+    """Rating per match-table team: by name, else through an alias table, else ``default``."""
     m = td.fx_match(spark, sf)
     names = m.select(F.col("home_team_name").alias("team_name")).union(
         m.select(F.col("away_team_name").alias("team_name"))).distinct()
@@ -218,4 +227,4 @@ def q_alias_lookup(spark, sf):
         F.concat(F.lit("T"), F.col("home_team_id").cast("string")).alias("alias_to")).distinct()
     latest = ratings.elo_latest(elo_frame(spark, sf))
     return ratings.lookup_with_alias(names, "team_name", latest, "team", "elo_rating", aliases, "alias_from",
-                                     "alias_to", 1000.0)
+                                     "alias_to", default)

@@ -6,7 +6,7 @@ from fulltime.operators import features, gold, ratings, squads
 from fulltime.plans.core import EM, STYLE_OVERALL_SQL, tp_frame
 from fulltime.plans.fixture_sql import with_fixtures
 from fulltime.plans.registry import query
-from fulltime.plans.shots_ratings import ELO, q_alias_lookup
+from fulltime.plans.shots_ratings import ELO, team_ratings
 from fulltime.plans.sql_blocks import TEAM_PERF, TIMELINE
 from fulltime.sources import testdata as td
 
@@ -194,7 +194,7 @@ lat AS (SELECT team, rating AS elo_rating FROM (
   SELECT *, row_number() OVER (PARTITION BY team ORDER BY match_date DESC, match_num DESC, pool_id DESC) AS rn FROM sides)
   WHERE rn = 1),
 rating AS (
-  SELECT n.team_name, coalesce(v1.elo_rating, v2.elo_rating, 1000.0) AS elo_rating
+  SELECT n.team_name, coalesce(v1.elo_rating, v2.elo_rating) AS elo_rating
   FROM (SELECT DISTINCT home_team_name AS team_name FROM fx_match UNION SELECT DISTINCT away_team_name FROM fx_match) n
   LEFT JOIN lat v1 ON v1.team = n.team_name
   LEFT JOIN (SELECT DISTINCT home_team_name AS alias_from, 'T' || CAST(home_team_id AS VARCHAR) AS alias_to
@@ -242,7 +242,7 @@ MF_FIX = ["fx_event", "fx_match", "fx_result"]
 
 def mf_v1_frame(spark, sf):
     tp = tp_frame(spark, sf)
-    return features.match_features(td.fx_match(spark, sf), q_alias_lookup(spark, sf), gold.team_style_overall(tp), tp)
+    return features.match_features(td.fx_match(spark, sf), team_ratings(spark, sf), gold.team_style_overall(tp), tp)
 
 
 @query("match_features", with_fixtures(MF_FIX, "SELECT * FROM mf", MF_V1, recursive=True))

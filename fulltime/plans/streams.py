@@ -1,12 +1,12 @@
-"""Streaming keys (STR-01..06). Each stages its input from the test tables as time-ordered files in
-the shared checkpoint folder, runs the stream with ``availableNow`` and returns the sink table;
-the oracle is the equivalent batch query (nothing is late: files arrive in event-time order)."""
+"""Streaming keys (STR-01..06). Each replays its input from the test tables in order of event time through
+the shared checkpoint folder (a few deliveries, the stream run after each) and returns the sink table;
+the oracle is the equivalent batch query (nothing is late: deliveries follow event time)."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DoubleType, LongType, StringType, StructField, StructType,
-                               TimestampType)
+from pyspark.sql.types import StructType
 
 from fulltime.plans.fixture_sql import with_fixtures
 from fulltime.plans.registry import query
@@ -15,47 +15,87 @@ from fulltime.sources import testdata as td
 from fulltime.sources.layer import Layer
 from fulltime.streaming import live
 
-WEEK = "CAST(floor((dayofmonth(ts) - 1) / 7) AS INT)"
-PARTS = range(5)
+# Payload layouts of the feeds.
+ODDS_SCHEMA = StructType.fromDDL(
+    "snapshot_id bigint, match_id bigint, minute bigint, ingested_at timestamp, "
+    "market_1x2 struct<odd_home: double, odd_draw: double, odd_away: double>, goals_so_far bigint")
+WEATHER_SCHEMA = StructType.fromDDL(
+    "weather_id bigint, venue_id bigint, collected_at timestamp, wind struct<speed_kmh: double, direction_deg: double>, weather_code int")
+EVENT_SCHEMA = StructType.fromDDL(
+    "delivery bigint, match_id bigint, event_type string, minute bigint, player struct<id: bigint>, ts timestamp")
 
 
-def _stage(spark, sf, name, df, ts_col="ts"):
-    """Stage ``df`` (which carries ``ts_col``) as five weekly file sets; return (folder, schema)."""
-    path = scratch_dir(spark, f"stream-src-{name}")
-    staged = df.withColumn("_part", F.expr(WEEK.replace("ts", ts_col)))
-    live.stage_files(staged, path, "_part", PARTS)
-    return path, staged.drop("_part").schema
+def _odds(spark, sf):
+    return td.fx_odds(spark, sf).withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
 
 
-def _odds(spark, sf):
-    o = td.fx_odds(spark, sf).withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
-    return o
+def _weather(spark, sf):
+    return td.fx_weather(spark, sf).withColumn("collected_at", F.col("collected_at").cast("timestamp"))
+
+
+def _parsed(spark, payloads: DataFrame, schema: StructType, name: str, *columns) -> DataFrame:
+    """Replays payloads (value, ts) through the parser; typed rows and rejects in one table."""
+    root = scratch_dir(spark, f"stream-{name}")
+
+    def run(source: DataFrame):
+        flat = live.parse_with_rejects(source, schema).select(*columns, F.col("_reject").alias("reject"))
+        return live.to_files(flat, f"{root}/sink", f"{root}/checkpoint")
 
+    live.replay(payloads, "ts", root, run)
+    return spark.read.parquet(f"{root}/sink")
 
-ODDS_SCHEMA = StructType([
-    StructField("snapshot_id", LongType()), StructField("match_id", LongType()), StructField("minute", LongType()),
-    StructField("ingested_at", TimestampType()),
-    StructField("market_1x2", StructType([StructField("odd_home", DoubleType()), StructField("odd_draw", DoubleType()),
-                                          StructField("odd_away", DoubleType())])),
-    StructField("goals_so_far", LongType()),
-])
+
+def _damaged(payload, key: str, every: int):
+    """The payload, cut off in every ``every``-th row: the feed's damaged deliveries."""
+    return F.when(F.col(key) % every == 0, F.substring(payload, 1, 20)).otherwise(payload)
 
 
 @query("stream_parse", with_fixtures(["fx_odds"], """
-SELECT snapshot_id, match_id, minute, odd_home, odd_draw, odd_away, goals_so_far FROM fx_odds
-WHERE snapshot_id % 97 <> 0"""))
+SELECT CASE WHEN ok THEN snapshot_id END AS snapshot_id, CASE WHEN ok THEN match_id END AS match_id, CASE WHEN ok THEN minute END AS minute,
+       CASE WHEN ok THEN odd_home END AS odd_home, CASE WHEN ok THEN odd_draw END AS odd_draw, CASE WHEN ok THEN odd_away END AS odd_away,
+       CASE WHEN ok THEN goals_so_far END AS goals_so_far,
+       CASE WHEN NOT ok THEN substr('{"snapshot_id":' || snapshot_id || ',"match_id":' || match_id, 1, 20) END AS reject
+FROM (SELECT *, snapshot_id % 97 <> 0 AS ok FROM fx_odds)"""))
 def q_stream_parse(spark, sf):
-    """Odds payloads (JSON) parsed on a stream; every 97th payload arrives truncated and is rejected."""
-    o = _odds(spark, sf)
+    """Odds payloads (JSON) parsed on a stream; damaged ones are kept as rejects."""
     payload = F.to_json(F.struct("snapshot_id", "match_id", "minute", "ingested_at",
                                  F.struct("odd_home", "odd_draw", "odd_away").alias("market_1x2"), "goals_so_far"))
-    value = F.when(F.col("snapshot_id") % 97 == 0, F.substring(payload, 1, 20)).otherwise(payload)
-    raw = o.select(value.alias("value"), F.col("ingested_at").alias("ts"))
-    path, schema = _stage(spark, sf, "parse", raw)
-    good, _bad = live.parse_topic(live.file_stream(spark, path, schema), ODDS_SCHEMA)
-    flat = good.select("snapshot_id", "match_id", "minute", "market_1x2.odd_home", "market_1x2.odd_draw",
-                       "market_1x2.odd_away", "goals_so_far")
-    return live.run_append(flat, scratch_dir(spark, "stream-sink-parse"), scratch_dir(spark, "stream-ckpt-parse"))
+    raw = _odds(spark, sf).select(_damaged(payload, "snapshot_id", 97).alias("value"), F.col("ingested_at").alias("ts"))
+    return _parsed(spark, raw, ODDS_SCHEMA, "parse", "snapshot_id", "match_id", "minute", "market_1x2.odd_home", "market_1x2.odd_draw",
+                  "market_1x2.odd_away", "goals_so_far")
+
+
+@query("stream_parse_weather", with_fixtures(["fx_weather"], """
+SELECT CASE WHEN ok THEN weather_id END AS weather_id, CASE WHEN ok THEN venue_id END AS venue_id,
+       CASE WHEN ok THEN wind_speed_kmh END AS speed_kmh, CASE WHEN ok THEN wind_direction_deg END AS direction_deg,
+       CASE WHEN ok THEN weather_code END AS weather_code,
+       CASE WHEN NOT ok THEN substr('{"weather_id":' || weather_id || ',"venue_id":' || venue_id, 1, 20) END AS reject
+FROM (SELECT *, weather_id % 89 <> 0 AS ok FROM fx_weather)"""))
+def q_stream_parse_weather(spark, sf):
+    """Weather payloads parsed on a stream, damaged ones kept as rejects."""
+    payload = F.to_json(F.struct("weather_id", "venue_id", "collected_at", F.struct(
+        F.col("wind_speed_kmh").alias("speed_kmh"), F.col("wind_direction_deg").alias("direction_deg")).alias("wind"), "weather_code"))
+    raw = _weather(spark, sf).select(_damaged(payload, "weather_id", 89).alias("value"), F.col("collected_at").alias("ts"))
+    return _parsed(spark, raw, WEATHER_SCHEMA, "parse-weather", "weather_id", "venue_id", "wind.speed_kmh", "wind.direction_deg", "weather_code")
+
+
+def _live_events(spark, sf):
+    return td.table(spark, sf, "events").selectExpr(
+        "event_id AS delivery", "CAST(floor(event_id / 100) AS BIGINT) AS match_id", "event_type",
+        "CAST(floor((event_id % 100) / 10) AS BIGINT) AS minute", "user_id % 11 AS player_id", "CAST(ts AS TIMESTAMP) AS ts")
+
+
+@query("stream_parse_events", """
+SELECT CASE WHEN ok THEN event_id END AS delivery, CASE WHEN ok THEN CAST(floor(event_id / 100) AS BIGINT) END AS match_id,
+       CASE WHEN ok THEN event_type END AS event_type, CASE WHEN ok THEN CAST(floor((event_id % 100) / 10) AS BIGINT) END AS minute,
+       CASE WHEN ok THEN user_id % 11 END AS player_id,
+       CASE WHEN NOT ok THEN substr('{"delivery":' || event_id || ',"match_id":' || CAST(floor(event_id / 100) AS BIGINT), 1, 20) END AS reject
+FROM (SELECT *, event_id % 83 <> 0 AS ok FROM events)""")
+def q_stream_parse_events(spark, sf):
+    """Live match-event payloads parsed on a stream, damaged ones kept as rejects."""
+    payload = F.to_json(F.struct("delivery", "match_id", "event_type", "minute", F.struct(F.col("player_id").alias("id")).alias("player"), "ts"))
+    raw = _live_events(spark, sf).select(_damaged(payload, "delivery", 83).alias("value"), "ts")
+    return _parsed(spark, raw, EVENT_SCHEMA, "parse-events", "delivery", "match_id", "event_type", "minute", F.col("player.id").alias("player_id"))
 
 
 @query("stream_dedup", """
@@ -63,16 +103,27 @@ SELECT DISTINCT CAST(floor(event_id / 100) AS BIGINT) AS match_id, event_type, C
        user_id % 11 AS player_id
 FROM events""")
 def q_stream_dedup(spark, sf):
-    """Live events re-delivered under fresh ids: one row per natural key (match, type, minute, player)."""
-    e = td.table(spark, sf, "events").selectExpr(
-        "uuid() AS delivery_id", "CAST(floor(event_id / 100) AS BIGINT) AS match_id", "event_type",
-        "CAST(floor((event_id % 100) / 10) AS BIGINT) AS minute", "user_id % 11 AS player_id",
-        "CAST(ts AS TIMESTAMP) AS ts")
-    path, schema = _stage(spark, sf, "dedup", e)
-    s = live.dedup_stream(live.file_stream(spark, path, schema), ["match_id", "event_type", "minute", "player_id"],
-                          "ts", "40 days")
-    return live.run_append(s.select("match_id", "event_type", "minute", "player_id"),
-                           scratch_dir(spark, "stream-sink-dedup"), scratch_dir(spark, "stream-ckpt-dedup"))
+    """Live events re-delivered under fresh ids: one row per natural key (match, type, minute, player).
+
+    The delay of the watermark is the time within which a re-delivery may come: that of the whole replay."""
+    e = _live_events(spark, sf).drop("delivery").withColumn("delivery_id", F.expr("uuid()"))
+    low, high = e.agg(F.min("ts").cast("timestamp").cast("double"), F.max("ts").cast("timestamp").cast("double")).first()
+    days = int(((high or 0.0) - (low or 0.0)) // 86400) + 1
+    root = scratch_dir(spark, "stream-dedup")
+
+    def run(source: DataFrame):
+        s = live.dedup_stream(source, ["match_id", "event_type", "minute", "player_id"], "ts", f"{days} days")
+        return live.to_files(s.select("match_id", "event_type", "minute", "player_id"), f"{root}/sink", f"{root}/checkpoint")
+
+    live.replay(e, "ts", root, run)
+    return spark.read.parquet(f"{root}/sink")
+
+
+def _windows(spark, df: DataFrame, ts: str, name: str, keys: list[str], windows) -> DataFrame:
+    root = scratch_dir(spark, f"stream-{name}")
+    layer = Layer(spark, f"{root}/sink")
+    live.replay(df, ts, root, lambda source: live.to_table(windows(source), layer, name, keys, f"{root}/checkpoint"))
+    return layer.read(name)
 
 
 @query("stream_odds", with_fixtures(["fx_odds"], """
@@ -82,11 +133,20 @@ SELECT match_id, CAST(date_trunc('day', ingested_at) AS TIMESTAMP) AS window_sta
        arg_max(odd_away, ingested_at) AS last_odd_away, avg(odd_home) AS mean_odd_home
 FROM fx_odds GROUP BY 1, 2, 3"""))
 def q_stream_odds(spark, sf):
-    o = _odds(spark, sf)
-    path, schema = _stage(spark, sf, "odds", o, "ingested_at")
-    w = live.odds_windows(live.file_stream(spark, path, schema))
-    return live.run_to_table(w, Layer(spark, scratch_dir(spark, "stream-sink-odds")), "odds_windows",
-                             ["match_id", "window_start"], scratch_dir(spark, "stream-ckpt-odds"))
+    return _windows(spark, _odds(spark, sf), "ingested_at", "odds_windows", ["match_id", "window_start"], live.odds_windows)
+
+
+@query("stream_odds_sliding", with_fixtures(["fx_odds"], """
+SELECT match_id, w AS window_start, CAST(w + INTERVAL 2 DAY AS TIMESTAMP) AS window_end, count(*) AS snapshots,
+       arg_max(odd_home, ingested_at) AS last_odd_home, arg_max(odd_draw, ingested_at) AS last_odd_draw,
+       arg_max(odd_away, ingested_at) AS last_odd_away, avg(odd_home) AS mean_odd_home
+FROM (SELECT *, CAST(date_trunc('day', ingested_at) - CAST(k AS INTEGER) * INTERVAL 1 DAY AS TIMESTAMP) AS w
+      FROM fx_odds, (VALUES (0), (1)) v(k))
+GROUP BY 1, 2, 3"""))
+def q_stream_odds_sliding(spark, sf):
+    """Odds per match in windows of two days, a new one every day."""
+    return _windows(spark, _odds(spark, sf), "ingested_at", "odds_sliding", ["match_id", "window_start"],
+                    lambda s: live.odds_windows(s, window="2 days", slide="1 day"))
 
 
 @query("stream_weather", with_fixtures(["fx_weather"], """
@@ -94,11 +154,7 @@ SELECT venue_id, CAST(date_trunc('hour', collected_at) AS TIMESTAMP) AS window_s
        avg(wind_speed_kmh) AS mean_wind_kmh, max(wind_speed_kmh) AS max_wind_kmh
 FROM fx_weather GROUP BY 1, 2"""))
 def q_stream_weather(spark, sf):
-    w = td.fx_weather(spark, sf).withColumn("collected_at", F.col("collected_at").cast("timestamp"))
-    path, schema = _stage(spark, sf, "weather", w, "collected_at")
-    out = live.weather_windows(live.file_stream(spark, path, schema))
-    return live.run_to_table(out, Layer(spark, scratch_dir(spark, "stream-sink-weather")), "weather_hourly",
-                             ["venue_id", "window_start"], scratch_dir(spark, "stream-ckpt-weather"))
+    return _windows(spark, _weather(spark, sf), "collected_at", "weather_hourly", ["venue_id", "window_start"], live.weather_windows)
 
 
 @query("stream_score", with_fixtures(["fx_event"], """
@@ -109,10 +165,8 @@ def q_stream_score(spark, sf):
     ts = td.table(spark, sf, "events").selectExpr("event_id", "CAST(ts AS TIMESTAMP) AS ts")
     goals = td.fx_event(spark, sf).filter("type_name = 'Shot' AND shot_outcome = 'Goal'") \
         .select("event_id", "match_id", "team_id").join(ts, "event_id")
-    path, schema = _stage(spark, sf, "score", goals)
-    s = live.file_stream(spark, path, schema).groupBy("match_id", "team_id").agg(F.count(F.lit(1)).alias("goals"))
-    return live.run_to_table(s, Layer(spark, scratch_dir(spark, "stream-sink-score")), "scoreboard",
-                             ["match_id", "team_id"], scratch_dir(spark, "stream-ckpt-score"))
+    return _windows(spark, goals, "ts", "scoreboard", ["match_id", "team_id"],
+                    lambda s: s.groupBy("match_id", "team_id").agg(F.count(F.lit(1)).alias("goals")))
 
 
 @query("stream_upsert", with_fixtures(["fx_odds"], """
@@ -122,28 +176,21 @@ SELECT match_id, arg_max(snapshot_id, ingested_at) AS snapshot_id, max(ingested_
 FROM fx_odds GROUP BY match_id"""))
 def q_stream_upsert(spark, sf):
     """Newest odds per match kept in a stored table by upserting every micro-batch (foreachBatch)."""
-    o = _odds(spark, sf).select("snapshot_id", "match_id", "ingested_at", "odd_home", "odd_draw", "odd_away")
-    path, schema = _stage(spark, sf, "upsert", o, "ingested_at")
-    layer = Layer(spark, scratch_dir(spark, "stream-sink-upsert"))
-    name, keys = "latest_odds", ["match_id"]
-
-    def apply(batch, epoch_id):
-        o_ = F.col("ingested_at")
-        latest = batch.groupBy("match_id").agg(*[F.max_by(c, o_).alias(c) for c in ("snapshot_id", "odd_home",
-                                                                                   "odd_draw", "odd_away")],
-                                               F.max(o_).alias("ingested_at"))
-        if layer._current(name) is not None:
-            cur = layer.read(name).join(latest.select("match_id"), "match_id", "left_semi")
-            both = cur.unionByName(latest)
-            latest = both.groupBy("match_id").agg(*[F.max_by(c, o_).alias(c) for c in ("snapshot_id", "odd_home",
-                                                                                      "odd_draw", "odd_away")],
-                                                  F.max(o_).alias("ingested_at"))
-        layer.upsert(latest, name, keys)
-
-    q = (live.file_stream(spark, path, schema).writeStream.foreachBatch(apply)
-         .option("checkpointLocation", scratch_dir(spark, "stream-ckpt-upsert")).trigger(availableNow=True).start())
-    q.awaitTermination()
+    odds = _odds(spark, sf).select("snapshot_id", "match_id", "ingested_at", "odd_home", "odd_draw", "odd_away")
+    root = scratch_dir(spark, "stream-upsert")
+    layer, name, keys = Layer(spark, f"{root}/sink"), "latest_odds", ["match_id"]
+
+    def newest(rows: DataFrame) -> DataFrame:
+        at = F.col("ingested_at")
+        return rows.groupBy("match_id").agg(*[F.max_by(c, at).alias(c) for c in ("snapshot_id", "odd_home", "odd_draw", "odd_away")],
+                                            F.max(at).alias("ingested_at"))
+
+    def apply(batch: DataFrame, epoch_id: int) -> None:
+        latest = newest(batch)
+        if layer.exists(name):
+            latest = newest(layer.read(name).join(latest.select("match_id"), "match_id", "left_semi").unionByName(latest))
+        layer.upsert(latest, name, keys, parts=8)
+
+    live.replay(odds, "ingested_at", root,
+                lambda source: source.writeStream.foreachBatch(apply).option("checkpointLocation", f"{root}/checkpoint"))
     return layer.read(name)
-
-
-_ = (BooleanType, StringType)

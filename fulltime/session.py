@@ -1,19 +1,21 @@
-"""Session helpers: a local session for tests and benches, and the shared checkpoint folder."""
+"""Session helpers: a local session for tests and benches, the shared checkpoint folder, scratch folders."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "fulltime") -> SparkSession:
     """Local session used by tests, bench and the oracle check.
 
-    AQE stays on so shuffle partitions coalesce and skewed joins split at run time; the UI stays off.
+    AQE stays on so shuffle partitions coalesce and skewed joins split at run time; the UI stays off. A
+    checkpoint folder is made only where the configuration names none: a local session shares it with itself.
     """
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -27,34 +29,48 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # Skip per-call origin capture in PySpark (several JVM round trips per column function).
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "16g")
-        .getOrCreate()
     )
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if not _configured(spark):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fulltime-ckpt-", dir=os.environ.get("FULLTIME_SCRATCH")))
     return spark
 
 
+def _configured(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder; create a scratch one only when none is set (tests)."""
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="fulltime-ckpt-", dir=os.environ.get("FULLTIME_SCRATCH", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    """The cluster's shared checkpoint folder; it must be named, as no local folder is shared with executors."""
+    root = _configured(spark)
+    if not root:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(root)
+    return root
+
+
+_MADE: dict[str, list[str]] = {}
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediate tables and stream state."""
-    root = ensure_checkpoint_dir(spark)
-    path = f"{root.rstrip('/')}/{name}-{next(tempfile._get_candidate_names())}"
+    """A new sub-folder of the shared checkpoint folder for written intermediate tables and stream state."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
 
-def materialize(df):
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this application made (results read from them end with it); their number."""
+    made = _MADE.pop(spark.sparkContext.applicationId, [])
+    for path in made:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(made)
+
+
+def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage: write ``df`` to the shared checkpoint folder (reliable, survives executor loss)
     and continue from the written copy. Used before iterative work (model fits, folds)."""
     ensure_checkpoint_dir(df.sparkSession)

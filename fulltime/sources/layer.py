@@ -1,18 +1,27 @@
 """Stored tables on Parquet: overwrite, append, dynamic partition replace, keyed upsert, export.
 
-A table is a folder ``<root>/<name>``. Upserts never overwrite the folder being read: each
-upsert writes a new version folder ``<name>/v=<n>`` and then moves a one-line pointer table
-``<name>/_current`` to it, so readers always see a complete version and a failed job leaves
-the previous version in place.
+A table is a folder of Parquet files. A keyed table is partitioned by a hash of its keys; the partition
+column is named after them (``_by64__event_id__match_id``), so the folder itself says how it is laid out.
+An upsert rewrites only the partitions that its source touches: the new partitions are staged in full
+first, then put in place by one dynamic partition overwrite. A plain table that is upserted becomes a
+keyed one with all its rows. A table that can't be read is an error, never an empty table.
+
+One writer at a time works on a table; readers that start after a write see all of it.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Partitions of a keyed table, unless its first upsert asks for another number.
+PARTS = 64
+KEYED = re.compile(r"^_by(\d+)__(.+)$")
+
 
 class Layer:
     def __init__(self, spark: SparkSession, root: str):
@@ -21,65 +30,85 @@ class Layer:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    # ------------------------------------------------------------ plain tables
+    def exists(self, name: str) -> bool:
+        """Whether the table's folder exists; any failure to find out is raised."""
+        jvm = self.spark._jvm
+        where = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
+
+    # ------------------------------------------------------------ layout
+    def _raw(self, name: str, merge_schema: bool = False) -> DataFrame:
+        return self.spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(self.path(name))
+
+    @staticmethod
+    def _layout(df: DataFrame) -> tuple[str, int, list[str]] | None:
+        """Partition column, partitions and keys of a keyed table; None for a plain one."""
+        for c in df.columns:
+            if m := KEYED.match(c):
+                return c, int(m[1]), m[2].split("__")
+        return None
+
+    @staticmethod
+    def _dealt(df: DataFrame, parts: int, keys: Sequence[str]) -> DataFrame:
+        # keys by their text: 7 as int and as long fall in the same partition
+        return df.withColumn(f"_by{parts}__{'__'.join(keys)}", F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(parts)).cast("int"))
+
+    # ------------------------------------------------------------ whole tables
     def overwrite(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(self.path(name))
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
 
     def append(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-        w = df.write.mode("append")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(self.path(name))
+        """Adds rows; new columns are seen by ``read(merge_schema=True)``. A keyed table stays one."""
+        if self.exists(name) and (layout := self._layout(self._raw(name))):
+            column, parts, keys = layout
+            df, partition_by = self._dealt(df, parts, keys), [column]
+        df.write.mode("append").partitionBy(*partition_by).parquet(self.path(name))
 
     def replace_partitions(self, df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
         """Idempotent reload: only the partitions present in ``df`` are replaced."""
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by) \
-            .parquet(self.path(name))
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(self.path(name))
 
     def read(self, name: str, merge_schema: bool = False) -> DataFrame:
-        version = self._current(name)
-        p = f"{self.path(name)}/v={version}" if version is not None else self.path(name)
-        return self.spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(p)
-
-    # ------------------------------------------------------------ versioned upsert
-    def _current(self, name: str) -> int | None:
-        try:
-            row = self.spark.read.text(f"{self.path(name)}/_current").first()
-        except Exception:  # noqa: BLE001 - no pointer yet: plain or new table
-            return None
-        return int(row[0]) if row else None
-
-    def _set_current(self, name: str, version: int) -> None:
-        self.spark.createDataFrame([(str(version),)], "value string").coalesce(1).write.mode("overwrite") \
-            .text(f"{self.path(name)}/_current")
-
-    def upsert(self, source: DataFrame, name: str, keys: Sequence[str], check_unique: bool = True) -> int:
+        df = self._raw(name, merge_schema)
+        layout = self._layout(df)
+        return df.drop(layout[0]) if layout else df
+
+    # ------------------------------------------------------------ upsert
+    def _staged(self, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+        """``df`` written once to a place of its own, and read back: what follows doesn't compute it again."""
+        path = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        df.write.partitionBy(*partition_by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def upsert(self, source: DataFrame, name: str, keys: Sequence[str], check_unique: bool = True, parts: int = PARTS) -> None:
         """Matched keys take the source row, others are inserted; creates the table when absent.
 
-        Returns the new version number. Duplicate source keys are rejected (they would make
-        the result depend on row order).
+        Source rows of the same keys are rejected (the result would hang on their order).
         """
-        if check_unique:
-            dup = source.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
-            if dup:
-                raise ValueError(f"upsert source has duplicate keys {list(keys)}")
-        current = self._current(name)
-        if current is None:
-            merged, version = source, 1
+        target = self._raw(name, merge_schema=True) if self.exists(name) else None
+        layout = self._layout(target) if target is not None else None
+        if layout and layout[2] != list(keys):
+            raise ValueError(f"{name} is keyed by {layout[2]}, not by {list(keys)}")
+        column, parts = (layout[0], layout[1]) if layout else (f"_by{parts}__{'__'.join(keys)}", parts)
+        new = self._staged(self._dealt(source, parts, keys), [column])
+        if check_unique and not new.groupBy(*keys).count().where("count > 1").isEmpty():
+            raise ValueError(f"upsert source has duplicate keys {list(keys)}")
+        if target is None:
+            new.write.mode("overwrite").partitionBy(column).parquet(self.path(name))
+            return
+        if layout:
+            touched = [r[0] for r in new.select(column).distinct().collect()]  # ``parts`` numbers at most
+            old = target.where(F.col(column).isin(touched))
         else:
-            target = self.read(name)
-            kept = target.join(source.select(*keys), list(keys), "left_anti")
-            merged, version = kept.unionByName(source, allowMissingColumns=True), current + 1
-        merged.write.mode("overwrite").parquet(f"{self.path(name)}/v={version}")
-        self._set_current(name, version)
-        return version
+            old = self._dealt(target, parts, keys)
+        kept = old.join(new.select(*keys), list(keys), "left_anti")
+        merged = self._staged(kept.unionByName(new, allowMissingColumns=True), [column])
+        mode = "dynamic" if layout else "static"
+        merged.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(column).parquet(self.path(name))
 
     # ------------------------------------------------------------ catalog
     def register(self, name: str, view: str | None = None) -> str:
-        """Expose a stored table to SQL as a temporary view (current version)."""
+        """Expose a stored table to SQL as a temporary view."""
         v = view or name
         self.read(name).createOrReplaceTempView(v)
         return v
@@ -91,13 +120,10 @@ class Layer:
 
     # ------------------------------------------------------------ export
     def export(self, df: DataFrame, name: str, drop_pattern: str = r"^_") -> str:
-        """One snappy Parquet file per serving table, audit columns dropped (small tables only)."""
-        import re
-
+        """Snappy Parquet files per serving table, audit columns dropped; as many files as the rows need."""
         rx = re.compile(drop_pattern)
-        out = df.drop(*[c for c in df.columns if rx.search(c)])
         path = self.path(f"export/{name}")
-        out.coalesce(1).write.mode("overwrite").option("compression", "snappy").parquet(path)
+        df.drop(*[c for c in df.columns if rx.search(c)]).hint("rebalance").write.mode("overwrite").option("compression", "snappy").parquet(path)
         return path
 
     def load_export(self, name: str) -> DataFrame:
@@ -107,10 +133,9 @@ class Layer:
 
     def table_stats(self, name: str) -> DataFrame:
         """Files, bytes and rows of a stored table, from the file metadata (one pass)."""
-        df = self.read(name)
-        return df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")).groupBy("f") \
-            .agg(F.first("s").alias("bytes"), F.count(F.lit(1)).alias("rows")) \
-            .agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
+        per_file = self._raw(name).select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
+        return per_file.groupBy("f").agg(F.first("s").alias("bytes"), F.count(F.lit(1)).alias("rows")).agg(
+            F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
 
 
 def with_audit(df: DataFrame, source: str, label: str | None = None) -> DataFrame:

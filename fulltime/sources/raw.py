@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fulltime.functions.common import sanitise_name
 
@@ -17,9 +17,10 @@ from fulltime.functions.common import sanitise_name
 def read_json_docs(spark: SparkSession, path: str, schema: StructType | str, multiline: bool = False,
                    keep_corrupt: bool = True) -> DataFrame:
     """JSON files with an explicit schema (no inference pass); malformed records are kept in
-    ``_corrupt_record`` instead of failing the job. ``multiline`` reads one document (or array) per file."""
+    ``_corrupt_record``, or fail the job where ``keep_corrupt`` is off. ``multiline`` reads one document (or array) per file."""
     s = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    r = spark.read.schema(s.add("_corrupt_record", "string") if keep_corrupt else s).option("mode", "PERMISSIVE")
+    s = StructType([*s.fields, StructField("_corrupt_record", StringType())] if keep_corrupt else s.fields)
+    r = spark.read.schema(s).option("mode", "PERMISSIVE" if keep_corrupt else "FAILFAST")
     if keep_corrupt:
         r = r.option("columnNameOfCorruptRecord", "_corrupt_record")
     return r.option("multiLine", multiline).json(path)
@@ -144,7 +145,7 @@ def flatten_results(docs: DataFrame) -> DataFrame:
         F.to_date("m.date").alias("match_date"), F.col("m.team1.name").alias("home_team"),
         F.col("m.team2.name").alias("away_team"), h.alias("home_score"), a.alias("away_score"),
         F.get("m.score.ht", 0).alias("home_score_ht"), F.get("m.score.ht", 1).alias("away_score_ht"),
-        F.when(h > a, "H").when(h == a, "D").otherwise("A").alias("result"),
+        F.when(h > a, "H").when(h == a, "D").when(h < a, "A").alias("result"),
         F.size("m.goals").alias("n_goals"), F.to_json("m.goals").alias("goals_json"))
 
 
@@ -170,15 +171,11 @@ def regroup_results(flat: DataFrame) -> DataFrame:
 
 
 def read_categories(spark: SparkSession, paths: dict[str, str], optional: bool = False) -> dict[str, DataFrame]:
-    """Category files by name; a missing file fails unless ``optional``."""
-    out = {}
-    for name, path in paths.items():
-        try:
-            out[name] = spark.read.parquet(path)
-        except Exception:
-            if not optional:
-                raise
-    return out
+    """Category files by name; a missing path fails unless ``optional``, any other failure always does."""
+    from fulltime.sources.layer import Layer
+
+    there = {name: path for name, path in paths.items() if not optional or Layer(spark, path.rpartition("/")[0]).exists(path.rpartition("/")[2])}
+    return {name: spark.read.parquet(path) for name, path in there.items()}
 
 
 def resolve_col(df: DataFrame, candidates: Sequence[str], alias: str, dtype: str = "double") -> Column:

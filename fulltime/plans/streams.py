@@ -16,12 +16,12 @@ from fulltime.sources.layer import Layer
 from fulltime.streaming import live
 
 # Payload layouts of the feeds.
-ODDS_SCHEMA = StructType.fromDDL(
+ODDS_SCHEMA = (
     "snapshot_id bigint, match_id bigint, minute bigint, ingested_at timestamp, "
     "market_1x2 struct<odd_home: double, odd_draw: double, odd_away: double>, goals_so_far bigint")
-WEATHER_SCHEMA = StructType.fromDDL(
+WEATHER_SCHEMA = (
     "weather_id bigint, venue_id bigint, collected_at timestamp, wind struct<speed_kmh: double, direction_deg: double>, weather_code int")
-EVENT_SCHEMA = StructType.fromDDL(
+EVENT_SCHEMA = (
     "delivery bigint, match_id bigint, event_type string, minute bigint, player struct<id: bigint>, ts timestamp")
 
 
@@ -33,12 +33,12 @@ def _weather(spark, sf):
     return td.fx_weather(spark, sf).withColumn("collected_at", F.col("collected_at").cast("timestamp"))
 
 
-def _parsed(spark, payloads: DataFrame, schema: StructType, name: str, *columns) -> DataFrame:
+def _parsed(spark, payloads: DataFrame, schema: str, name: str, *columns) -> DataFrame:
     """Replays payloads (value, ts) through the parser; typed rows and rejects in one table."""
     root = scratch_dir(spark, f"stream-{name}")
 
     def run(source: DataFrame):
-        flat = live.parse_with_rejects(source, schema).select(*columns, F.col("_reject").alias("reject"))
+        flat = live.parse_with_rejects(source, StructType.fromDDL(schema)).select(*columns, F.col("_reject").alias("reject"))
         return live.to_files(flat, f"{root}/sink", f"{root}/checkpoint")
 
     live.replay(payloads, "ts", root, run)

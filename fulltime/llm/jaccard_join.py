@@ -11,8 +11,7 @@ different sets is lost, and sets never meet unless they share a rare shingle:
    those. Only shingles that two nodes share stay.
 3. Stars: the least node under a shingle is its hub; each node is held against the few hubs that it
    shares most shingles with, which finds the body of every large group in pairs that grow with the rows.
-   Groups found so are held against the least group under a shingle by their closest nodes, until that
-   joins no more of them.
+   Groups found so are held once more against the least group under a shingle, by their closest nodes.
 4. Tiles: nodes under a shingle whose nodes are not all of one group yet are dealt to tiles by size band
    (a band spans 100/percent; linked sets lie in the same or the next band). In a tile pairs are made
    between different groups only.
@@ -42,8 +41,8 @@ from fulltime.llm.components import components
 
 #: Entries of each generation of a process's table of known words (speed only), shingles counted together for the report,
 #: most common shingles kept (they only order a set's shingles), slots of the filter on texts read again.
-KNOWN = 300_000
-COUNTED = 4_000_000
+KNOWN = 150_000
+COUNTED = 2_000_000
 COMMON = 1 << 20
 SLOTS = 1 << 20
 #: Hubs a node is held against in the first step; all other pairs are left to the tiles.
@@ -125,7 +124,7 @@ def scan(docs: DataFrame, words: int) -> DataFrame:
             return {"kind": np.ones(len(s), np.int32), "doc_id": [None] * len(s), "tag": [None] * len(s), "n": n.astype(np.int64),
                     "set_id": s.view(np.int64), "bits": [None] * len(s)}
 
-        for b in slices(batches, "text", 8_000_000):
+        for b in slices(batches, "text", 4_000_000):
             sets = shingler.sets(filled(b.column("text")))
             ids = [set_id(s) if len(s) else None for s in sets]
             for i, s in zip(ids, sets):
@@ -152,7 +151,7 @@ def postings(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         shingler, met = shingler_of(words), set()
         names, place = shared.value
-        for b in slices(batches, "text", 8_000_000):
+        for b in slices(batches, "text", 4_000_000):
             parts, ids, sizes = [], [], []
             for s in shingler.sets(filled(b.column("text"))):
                 if not len(s) or (i := set_id(s)) in met:
@@ -180,6 +179,14 @@ def postings(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> D
     return map_arrow(docs.select("text"), run, "shingle long, set_id long, n int")
 
 
+def _mixed(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """(set_id, shingle, n, label, first) of shingles whose nodes are of several groups; first: of the least group."""
+    by = Window.partitionBy("shingle")
+    named = met.select("shingle", "set_id", "n").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
+    named = named.withColumn("label", F.coalesce("label", "set_id")).withColumn("first", F.min(F.struct("label", "set_id", "n")).over(by))
+    return named.withColumn("last", F.max("label").over(by)).where("first.label < last").drop("last")
+
+
 def _most_shared(rows: DataFrame, of: list[str], a: str, b: str) -> DataFrame:
     """(a, b): for each group ``of`` the few pairs that stand in most rows."""
     nth = F.row_number().over(Window.partitionBy(*of).orderBy(F.desc("times"), a, b))
@@ -232,7 +239,7 @@ def _arrays(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         shingler = shingler_of(words)
         for b in batches:
-            for t in slices(iter([_passing(b, shared.value)]), "text", 8_000_000):
+            for t in slices(iter([_passing(b, shared.value)]), "text", 4_000_000):
                 sets = [x for x in shingler.sets(filled(t.column("text"))) if len(x)]
                 yield {"set_id": [set_id(x) for x in sets], "hashes": [x.tobytes() for x in sets]}
 
@@ -320,21 +327,16 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     stars = met.where((F.col("hub") != F.col("set_id")) & _sizes_fit("n", "hub_n", percent))
     links = _verified(_most_shared(stars, ["set_id"], "hub", "set_id"), nodes, arrays, percent)
     labels = components(links)
-    while True:
-        # the same between groups: each against the least one under its shingles, by their closest nodes
-        named = met.select("shingle", "set_id", "n").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-        named = named.withColumn("label", F.coalesce("label", "set_id")).withColumn("first", F.min(F.struct("label", "set_id", "n")).over(by))
-        mixed = stored(named.withColumn("last", F.max("label").over(by)).where("first.label < last").drop("last"), "mixed")
-        far = mixed.where("label <> first.label").select("label", F.col("first.label").alias("other"), F.col("first.set_id").alias("hub"),
-                                                         F.col("first.n").alias("hub_n"), "set_id", "n").where(_sizes_fit("n", "hub_n", percent))
-        joined = _verified(_most_shared(far, ["label", "other"], "hub", "set_id"), nodes, arrays, percent)
-        if joined.isEmpty():
-            break
+    # the same between groups: each against the least one under its shingles, by their closest nodes
+    far = (_mixed(met, labels).where("label <> first.label").select("label", F.col("first.label").alias("other"), F.col("first.set_id").alias("hub"),
+                                                                  F.col("first.n").alias("hub_n"), "set_id", "n").where(_sizes_fit("n", "hub_n", percent)))
+    joined = _verified(_most_shared(far, ["label", "other"], "hub", "set_id"), nodes, arrays, percent)
+    if not joined.isEmpty():
         links = links.union(joined)
         labels = components(links)
 
     band = F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("int")
-    home = stored(mixed.drop("first").withColumn("tile", band), "tiles")
+    home = stored(_mixed(met, labels).drop("first").withColumn("tile", band), "tiles")
     guest = home.withColumn("own", F.col("tile")).withColumn("tile", F.explode(F.array(F.col("tile"), F.col("tile") + 1)))
     others = home.select("shingle", "tile", F.col("label").alias("other")).distinct()
     met_by = guest.join(others, ["shingle", "tile"]).where("label <> other")

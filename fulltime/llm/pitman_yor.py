@@ -50,7 +50,7 @@ ORDER = 3
 CELLS = SYMBOLS ** (ORDER + 1)
 STRENGTH = 1.0
 #: Text bytes of a chunk.
-CHUNK = 8_000_000
+CHUNK = 4_000_000
 
 
 def seat(count: np.ndarray, weight: np.ndarray, discount: float, rng: np.random.Generator | None) -> np.ndarray:
@@ -489,7 +489,7 @@ def score(docs: DataFrame, train: str = "train", buckets: int | None = None) ->
     """
     spark = docs.sparkSession
     buckets = buckets or fanout(spark)
-    side = max(1, round(buckets ** 0.5))
+    side = max(1, round((2 * buckets) ** 0.5))
     chunks = stored(pack(docs, train), "chunks")
     pairs = stored(pair_tables(chunks, side, buckets), "pairs")
     found = stored(vocabulary(chunks, pairs, buckets), "vocabulary")

@@ -16,7 +16,8 @@ from fulltime.operators.timeline import shots
 SHOT_KEY = ["event_id", "match_id"]
 SHOT_COLUMNS = (
     "event_id", "match_id", "minute", "second", "period", "player_id", "player_name", "team_id", "team_name",
-    "loc_x", "loc_y", "shot_xg", "shot_outcome", "shot_body_part", "shot_type", "distance_to_goal",
+    "loc_x", "loc_y", "shot_xg", "shot_outcome", "shot_technique", "shot_body_part", "shot_type", "shot_first_time",
+    "shot_one_on_one", "distance_to_goal",
     "angle_to_goal", "pitch_zone", "under_pressure", "score_home_at_event", "score_away_at_event",
     "score_diff_at_event", "is_home_team", "match_date", "stage_name", "competition_id", "season_id",
 )

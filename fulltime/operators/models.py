@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from fulltime.operators.squads import fill_median
 
-SHOT_CATEGORICAL = ("shot_body_part", "shot_type", "pitch_zone")
-SHOT_FLAGS = ("under_pressure", "has_360_data")
+# The shot models' features.
+SHOT_CATEGORICAL = ("shot_body_part", "shot_technique", "shot_type", "pitch_zone")
+SHOT_FLAGS = ("shot_first_time", "shot_one_on_one", "under_pressure", "has_360_data")
 SHOT_NUMERIC = ("distance_to_goal", "angle_to_goal", "score_diff_at_event", "period", "minute")
 SHOT_FRAME_NUMERIC = ("defenders_in_cone", "distance_nearest_defender", "gk_distance_to_goalline")
 LOG_LOSS_EPS = 1e-15
@@ -39,8 +40,8 @@ def prepare_shots(shot_map: DataFrame) -> DataFrame:
     return fill_median(d, list(SHOT_NUMERIC + SHOT_FRAME_NUMERIC))
 
 
-BASE_FEATURES = ["distance_to_goal", "angle_to_goal", "shot_body_part_enc", "shot_type_enc", "under_pressure_int",
-                 "period", "score_diff_at_event", "pitch_zone_enc"]
+BASE_FEATURES = ["distance_to_goal", "angle_to_goal", "shot_body_part_enc", "shot_technique_enc", "shot_type_enc", "shot_first_time_int",
+                 "shot_one_on_one_int", "under_pressure_int", "period", "score_diff_at_event", "pitch_zone_enc"]
 FULL_FEATURES = BASE_FEATURES + list(SHOT_FRAME_NUMERIC)
 
 

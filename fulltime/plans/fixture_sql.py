@@ -7,6 +7,8 @@ written as ``name AS (...), ... SELECT``; pass those through ``ctes=``.
 
 from __future__ import annotations
 
+from fulltime.sources.event_columns import EXTRA, RARE_TYPE_SQL
+
 FX = {}
 DEPS = {
     "fx_event": [], "fx_match": ["fx_event"], "fx_frame": ["fx_event"], "fx_result": [], "fx_rating": [],
@@ -29,7 +31,7 @@ WITH b AS (
   SELECT *, CASE WHEN (event_id * 13 + user_id) % 2 = 0 THEN home_team_id ELSE away_team_id END AS team_id,
          CASE WHEN tk < 8 THEN 'Pass' WHEN tk < 12 THEN 'Carry' WHEN tk < 14 THEN 'Pressure'
               WHEN tk = 14 THEN 'Duel' WHEN tk = 15 THEN 'Interception' WHEN tk = 16 THEN 'Clearance'
-              WHEN tk < 19 THEN 'Shot' ELSE 'Camera On' END AS type_name
+              WHEN tk < 19 THEN 'Shot' ELSE """ + RARE_TYPE_SQL + """ END AS type_name
   FROM t
 ), e AS (
 SELECT event_id, match_id, event_index,
@@ -63,7 +65,8 @@ SELECT *,
        CASE WHEN type_name = 'Pass' THEN end_y END AS pass_end_y,
        CASE WHEN type_name = 'Carry' THEN end_x END AS carry_end_x,
        CASE WHEN type_name = 'Carry' THEN end_y END AS carry_end_y,
-       CASE WHEN type_name = 'Pass' THEN sqrt((end_x - loc_x) * (end_x - loc_x) + (end_y - loc_y) * (end_y - loc_y)) END AS pass_length
+       CASE WHEN type_name = 'Pass' THEN sqrt((end_x - loc_x) * (end_x - loc_x) + (end_y - loc_y) * (end_y - loc_y)) END AS pass_length,
+       """ + ", ".join(f"{c.sql} AS {c.name}" for c in EXTRA) + """
 FROM e
 """
 

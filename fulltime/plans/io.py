@@ -14,47 +14,51 @@ from fulltime.plans.sql_blocks import PLAYER_STATS, TEAM_PERF, TIMELINE
 from fulltime.session import scratch_dir
 from fulltime.sources import raw
 from fulltime.sources import testdata as td
+from fulltime.sources.event_columns import FAMILIES
 from fulltime.sources.layer import Layer, with_audit
 
 
-def _struct_if(cond, *cols):
-    return F.when(cond, F.struct(*cols))
+#: Event family that each part of a provider event belongs to; other parts stand in every event.
+PARTS = FAMILIES | {"carry": "Carry", "duel": "Duel"}
+
+
+def _provider_event(e) -> list:
+    """The flat event columns nested as a provider file has them."""
+    tree: dict = {}
+    for name, _, path in raw.EVENT_FIELDS:
+        field, _, place = path.partition("[")
+        *parts, last = field.split(".")
+        at = tree
+        for p in parts:
+            at = at.setdefault(p, {})
+        if place:
+            at.setdefault(last, []).append(name)
+        else:
+            at[last] = name
+
+    def column(node):
+        if isinstance(node, str):
+            return F.col(node)
+        if isinstance(node, list):
+            return F.when(F.col(node[0]).isNotNull(), F.array(*node))
+        return F.struct(*[column(v).alias(k) for k, v in node.items()])
+
+    return [(F.when(F.col("type_name") == PARTS[k], column(v)) if k in PARTS else column(v)).alias(k) for k, v in tree.items()]
 
 
 def _stage_events(spark, sf):
     e = td.fx_event(spark, sf)
-    t = F.col("type_name")
-    nm = lambda c: F.struct(F.col(c).alias("name"))
-    docs = e.select(
-        "match_id", F.col("event_id").alias("id"), F.col("event_index").alias("index"), "period", "minute", "second",
-        "duration", nm("type_name").alias("type"),
-        F.struct(F.col("team_id").alias("id"), F.col("team_name").alias("name")).alias("team"),
-        F.struct(F.col("player_id").alias("id"), F.col("player_name").alias("name")).alias("player"),
-        F.when(F.col("loc_x").isNotNull(), F.array("loc_x", "loc_y")).alias("location"), "under_pressure", "counterpress",
-        _struct_if(t == "Shot", F.col("shot_xg").alias("statsbomb_xg"), nm("shot_outcome").alias("outcome"),
-                   nm("shot_type").alias("type"), nm("shot_body_part").alias("body_part")).alias("shot"),
-        _struct_if(t == "Pass", F.when(F.col("pass_outcome").isNotNull(), nm("pass_outcome")).alias("outcome"),
-                   F.when(F.col("pass_type").isNotNull(), nm("pass_type")).alias("type"),
-                   F.array("pass_end_x", "pass_end_y").alias("end_location"), F.col("pass_cross").alias("cross"),
-                   F.col("pass_shot_assist").alias("shot_assist"), F.col("pass_goal_assist").alias("goal_assist"),
-                   F.col("pass_length").alias("length")).alias("pass"),
-        _struct_if(t == "Carry", F.array("carry_end_x", "carry_end_y").alias("end_location")).alias("carry"),
-        _struct_if(t == "Duel", nm("duel_type").alias("type"), nm("duel_outcome").alias("outcome")).alias("duel"),
-    )
     path = scratch_dir(spark, "raw-events")
-    docs.write.partitionBy("match_id").json(path)
+    e.select("match_id", *_provider_event(e)).write.partitionBy("match_id").json(path)
     return path
 
 
-@query("ingest_events", with_fixtures(["fx_event"], """
-SELECT event_id, match_id, event_index, period, minute, second, type_name, team_id, team_name, player_id, player_name,
-       loc_x, loc_y, under_pressure, counterpress, shot_xg, shot_outcome, shot_type, shot_body_part,
-       CASE WHEN type_name = 'Pass' THEN pass_outcome END AS pass_outcome, pass_type,
-       CASE WHEN type_name = 'Pass' THEN pass_shot_assist END AS pass_shot_assist,
-       CASE WHEN type_name = 'Pass' THEN pass_goal_assist END AS pass_goal_assist,
-       CASE WHEN type_name = 'Pass' THEN pass_cross END AS pass_cross, duel_outcome, duel_type, duration,
-       pass_end_x, pass_end_y, carry_end_x, carry_end_y, pass_length
-FROM fx_event"""))
+_INGESTED = ", ".join(
+    f"CASE WHEN type_name = '{PARTS[path.partition('.')[0]]}' THEN {name} END AS {name}" if path.partition(".")[0] in PARTS else name
+    for name, _, path in raw.EVENT_FIELDS)
+
+
+@query("ingest_events", with_fixtures(["fx_event"], f"SELECT match_id, {_INGESTED} FROM fx_event"))
 def q_ingest_events(spark, sf):
     """Per-match provider event files (type-nested JSON) read with an explicit schema and conformed;
     the match id comes from the file path."""
@@ -63,12 +67,12 @@ def q_ingest_events(spark, sf):
     return raw.conform_events(docs, raw.key_from_path(r"match_id=(\d+)").cast("bigint"))
 
 
-@query("ingest_frames", with_fixtures(["fx_event", "fx_frame"], "SELECT * FROM fx_frame"))
+@query("ingest_frames", with_fixtures(["fx_event", "fx_frame"], "SELECT *, [loc_x, loc_y, 120.0e0, 80.0e0] AS visible_area FROM fx_frame"))
 def q_ingest_frames(spark, sf):
     f = td.fx_frame(spark, sf).select(
         F.col("event_id").alias("event_uuid"), "match_id", F.array("loc_x", "loc_y").alias("location"),
         F.col("is_teammate").alias("teammate"), F.col("is_actor").alias("actor"),
-        F.when(F.col("is_keeper"), F.lit(True)).alias("keeper"))
+        F.when(F.col("is_keeper"), F.lit(True)).alias("keeper"), F.array("loc_x", "loc_y", F.lit(120.0), F.lit(80.0)).alias("visible_area"))
     path = scratch_dir(spark, "raw-frames")
     f.write.json(path)
     return raw.conform_frames(raw.read_json_docs(spark, path, raw.FRAME_SCHEMA, keep_corrupt=False))
@@ -101,23 +105,56 @@ def q_conform_matches(spark, sf):
     return flat.unionByName(nested)
 
 
-@query("explode_lineups", with_fixtures(["fx_event"], """
-SELECT DISTINCT match_id, team_name, player_id, player_name, CAST(player_id % 100 AS INTEGER) AS jersey_number,
-       'P' || CAST(player_id % 11 AS VARCHAR) AS position_name, 1 AS n_positions
-FROM fx_event WHERE player_id IS NOT NULL"""))
-def q_explode_lineups(spark, sf):
-    """Line-up files (one object per match, keyed by team name) -> (match, team, player) rows."""
+def _lineups(spark, sf):
+    """Line-up files (one object per match, keyed by team name), read and exploded."""
     e = td.fx_event(spark, sf).select("match_id", "team_name", "player_id", "player_name").distinct()
-    player = F.struct("player_id", "player_name", (F.col("player_id") % 100).cast("int").alias("jersey_number"),
-                      F.array(F.struct(F.concat(F.lit("P"), (F.col("player_id") % 11).cast("string")).alias("position"),
-                                       F.lit("00:00").alias("from"))).alias("positions"))
+    n = F.col("player_id")
+    at = lambda k: F.concat(F.lit("P"), ((n + k) % 11).cast("string"))
+    position = lambda k, start, end: F.struct(((n + k) % 11).cast("int").alias("position_id"), at(k).alias("position"), F.lit(start).alias("from"),
+                                              F.lit(end).alias("to"))
+    cards = F.when(n % 6 == 0, F.array(F.struct(F.lit("30:00").alias("time"), F.lit("Yellow Card").alias("card_type")))).otherwise(F.array())
+    player = F.struct(
+        "player_id", "player_name", F.when(n % 2 == 0, F.concat(F.lit("Nick "), n.cast("string"))).alias("player_nickname"),
+        (n % 100).cast("int").alias("jersey_number"),
+        F.struct((n % 25).alias("id"), F.concat(F.lit("Country "), (n % 25).cast("string")).alias("name")).alias("country"), cards.alias("cards"),
+        F.when(n % 4 == 0, F.array(position(0, "00:00", "60:00"), position(1, "60:00", None)))
+        .otherwise(F.array(position(0, "00:00", None))).alias("positions"))
     per_team = e.groupBy("match_id", "team_name").agg(F.collect_list(player).alias("players"))
-    docs = per_team.groupBy("match_id").agg(
-        F.to_json(F.map_from_entries(F.collect_list(F.struct("team_name", "players")))).alias("value"))
+    docs = per_team.groupBy("match_id").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("team_name", "players")))).alias("value"))
     path = scratch_dir(spark, "raw-lineups")
     docs.write.partitionBy("match_id").text(path)
-    text = spark.read.text(path)
-    return raw.explode_lineups(text, raw.key_from_path(r"match_id=(\d+)").cast("bigint"))
+    return raw.explode_lineups(spark.read.text(path), raw.key_from_path(r"match_id=(\d+)").cast("bigint"))
+
+
+LINEUP_SQL = """
+lu AS (
+  SELECT DISTINCT match_id, team_name, player_id, player_name,
+         CASE WHEN player_id % 2 = 0 THEN 'Nick ' || CAST(player_id AS VARCHAR) END AS player_nickname,
+         CAST(player_id % 100 AS INTEGER) AS jersey_number, player_id % 25 AS country_id, 'Country ' || CAST(player_id % 25 AS VARCHAR) AS country_name,
+         CAST(player_id % 11 AS INTEGER) AS position_id, 'P' || CAST(player_id % 11 AS VARCHAR) AS position_name, '00:00' AS position_from,
+         CASE WHEN player_id % 4 = 0 THEN '60:00' END AS position_to, CASE WHEN player_id % 4 = 0 THEN 2 ELSE 1 END AS n_positions,
+         CASE WHEN player_id % 6 = 0 THEN 1 ELSE 0 END AS n_cards
+  FROM fx_event WHERE player_id IS NOT NULL)"""
+
+
+@query("explode_lineups", with_fixtures(["fx_event"], """
+SELECT *, CASE WHEN player_id % 4 = 0 THEN '[{"position_id":' || position_id || ',"position":"' || position_name || '","from":"00:00","to":"60:00"},'
+              || '{"position_id":' || (player_id + 1) % 11 || ',"position":"P' || (player_id + 1) % 11 || '","from":"60:00"}]'
+            ELSE '[{"position_id":' || position_id || ',"position":"' || position_name || '","from":"00:00"}]' END AS positions_json,
+       CASE WHEN n_cards = 1 THEN '[{"time":"30:00","card_type":"Yellow Card"}]' ELSE '[]' END AS cards_json
+FROM lu""", LINEUP_SQL))
+def q_explode_lineups(spark, sf):
+    """Line-up files -> (match, team, player) rows."""
+    return _lineups(spark, sf)
+
+
+@query("attach_lineup", with_fixtures(EM, """
+SELECT p.match_id, p.player_id, p.player_name, p.goals, l.position_name, l.jersey_number, l.country_name
+FROM pms p LEFT JOIN lu l ON l.match_id = p.match_id AND l.player_id = p.player_id""", TIMELINE + "," + PLAYER_STATS + "," + LINEUP_SQL))
+def q_attach_lineup(spark, sf):
+    """Player statistics with position, shirt number and country from the line-ups."""
+    stats = pms_frame(spark, sf).select("match_id", "player_id", "player_name", "goals")
+    return players.attach_lineup(stats, _lineups(spark, sf))
 
 
 def _stage_results(spark, sf):

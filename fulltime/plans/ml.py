@@ -76,6 +76,7 @@ def shots_run(spark, sf) -> _Shots:
 _ENC = """
 SELECT event_id,
   CAST(dense_rank() OVER (ORDER BY coalesce(shot_body_part, 'Unknown')) - 1 AS DOUBLE) AS shot_body_part_enc,
+  CAST(dense_rank() OVER (ORDER BY coalesce(shot_technique, 'Unknown')) - 1 AS DOUBLE) AS shot_technique_enc,
   CAST(dense_rank() OVER (ORDER BY coalesce(shot_type, 'Unknown')) - 1 AS DOUBLE) AS shot_type_enc,
   CAST(dense_rank() OVER (ORDER BY coalesce(pitch_zone, 'Unknown')) - 1 AS DOUBLE) AS pitch_zone_enc
 FROM smap"""
@@ -83,7 +84,7 @@ FROM smap"""
 
 @query("encode_cat", with_fixtures(EMF, _ENC, SHOT_MAP))
 def q_encode_cat(spark, sf):
-    return shots_run(spark, sf).prepared.select("event_id", "shot_body_part_enc", "shot_type_enc", "pitch_zone_enc")
+    return shots_run(spark, sf).prepared.select("event_id", "shot_body_part_enc", "shot_technique_enc", "shot_type_enc", "pitch_zone_enc")
 
 
 _NUM = list(models.SHOT_NUMERIC + models.SHOT_FRAME_NUMERIC)
@@ -91,10 +92,9 @@ _NUM = list(models.SHOT_NUMERIC + models.SHOT_FRAME_NUMERIC)
 
 @query("impute_features", with_fixtures(EMF, "SELECT event_id, " + ", ".join(
     f"coalesce({c}, (SELECT quantile_disc({c}, 0.5) FROM smap)) AS {c}" for c in _NUM)
-    + ", CAST(coalesce(under_pressure, false) AS INTEGER) AS under_pressure_int,"
-      " CAST(coalesce(has_360_data, false) AS INTEGER) AS has_360_data_int FROM smap", SHOT_MAP))
+    + "".join(f", CAST(coalesce({c}, false) AS INTEGER) AS {c}_int" for c in models.SHOT_FLAGS) + " FROM smap", SHOT_MAP))
 def q_impute_features(spark, sf):
-    return shots_run(spark, sf).prepared.select("event_id", *_NUM, "under_pressure_int", "has_360_data_int")
+    return shots_run(spark, sf).prepared.select("event_id", *_NUM, *[f"{c}_int" for c in models.SHOT_FLAGS])
 
 
 @query("split_by_group", with_fixtures(EMF, """

@@ -23,7 +23,7 @@ def shot_map_frame(spark, sf):
 SHOT_MAP = TIMELINE + """,
 sh AS (
   SELECT event_id, match_id, minute, second, period, player_id, player_name, team_id, team_name, loc_x, loc_y,
-         shot_xg, shot_outcome, shot_body_part, shot_type, distance_to_goal, angle_to_goal, pitch_zone,
+         shot_xg, shot_outcome, shot_technique, shot_body_part, shot_type, shot_first_time, shot_one_on_one, distance_to_goal, angle_to_goal, pitch_zone,
          under_pressure, score_home_at_event, score_away_at_event, score_diff_at_event, is_home_team, match_date,
          stage_name, competition_id, season_id
   FROM tl WHERE type_name = 'Shot' AND shot_xg IS NOT NULL),
@@ -99,14 +99,14 @@ def q_report_zone(spark, sf):
 
 
 @query("report_technique", with_fixtures(EMF, """
-SELECT shot_body_part, count(*) AS shots, CAST(sum(CAST(is_goal AS INTEGER)) AS BIGINT) AS goals,
+SELECT shot_technique, count(*) AS shots, CAST(sum(CAST(is_goal AS INTEGER)) AS BIGINT) AS goals,
        avg(shot_xg) AS xg_mean, sum(shot_xg) AS xg_total,
        sround(CAST(sum(CAST(is_goal AS INTEGER)) AS DOUBLE) / count(*) * 100, 1) AS conversion_pct,
        avg(distance_to_goal) AS avg_distance
-FROM smap GROUP BY shot_body_part HAVING count(*) >= 20""", SHOT_MAP))
+FROM smap GROUP BY shot_technique HAVING count(*) >= 20""", SHOT_MAP))
 def q_report_technique(spark, sf):
-    """xG against goals by shot technique; the stand-in events carry the body part as technique."""
-    return report_by(shot_map_frame(spark, sf), "shot_body_part", min_shots=20, with_distance=True)
+    """xG against goals by shot technique."""
+    return report_by(shot_map_frame(spark, sf), "shot_technique", min_shots=20, with_distance=True)
 
 
 @query("report_over", with_fixtures(EMF, """

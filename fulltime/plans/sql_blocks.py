@@ -47,7 +47,7 @@ psh AS (
          count(*) FILTER (WHERE shot_outcome = 'Goal') AS goals,
          count(*) FILTER (WHERE shot_outcome IN ('Goal', 'Saved')) AS shots_on_target,
          sum(shot_xg) AS xg_total, avg(shot_xg) AS xg_per_shot,
-         CAST(0 AS BIGINT) AS shots_first_time, CAST(0 AS BIGINT) AS shots_one_on_one,
+         count(*) FILTER (WHERE shot_first_time) AS shots_first_time, count(*) FILTER (WHERE shot_one_on_one) AS shots_one_on_one,
          count(*) FILTER (WHERE shot_body_part = 'Head') AS headed_shots,
          count(*) FILTER (WHERE shot_type = 'Penalty') AS penalties_taken,
          count(*) FILTER (WHERE shot_type = 'Penalty' AND shot_outcome = 'Goal') AS penalties_scored,
@@ -56,11 +56,11 @@ psh AS (
 ppa AS (
   SELECT match_id, player_id, count(*) AS passes_total,
          count(*) FILTER (WHERE pass_outcome IS NULL) AS passes_complete,
-         CAST(NULL AS DOUBLE) AS xa_total,
+         sum(pass_xa) AS xa_total,
          count(*) FILTER (WHERE pass_shot_assist) AS key_passes,
          count(*) FILTER (WHERE pass_goal_assist) AS assists,
          count(*) FILTER (WHERE pass_cross) AS crosses,
-         CAST(0 AS BIGINT) AS switches, CAST(0 AS BIGINT) AS through_balls,
+         count(*) FILTER (WHERE pass_switch) AS switches, count(*) FILTER (WHERE pass_through_ball) AS through_balls,
          count(*) FILTER (WHERE pass_type = 'Corner') AS corners,
          count(*) FILTER (WHERE pass_type = 'Free Kick') AS free_kicks,
          count(*) FILTER (WHERE pass_end_x - loc_x >= 10 AND pass_end_x > 60) AS progressive_passes,
@@ -86,7 +86,8 @@ pmi AS (
          count(*) FILTER (WHERE type_name = 'Interception') AS interceptions,
          count(*) FILTER (WHERE type_name = 'Foul Committed') AS fouls_committed,
          count(*) FILTER (WHERE type_name = 'Foul Won') AS fouls_won,
-         CAST(0 AS BIGINT) AS yellow_cards, CAST(0 AS BIGINT) AS red_cards
+         count(*) FILTER (WHERE foul_card = 'Yellow Card') AS yellow_cards,
+         count(*) FILTER (WHERE foul_card IN ('Red Card', 'Second Yellow')) AS red_cards
   FROM tl WHERE type_name IN ('Interception', 'Foul Committed', 'Foul Won') GROUP BY match_id, player_id),
 pmin AS (SELECT match_id, player_id, max(minute) AS last_minute_seen FROM tl WHERE player_id IS NOT NULL GROUP BY match_id, player_id),
 pms AS (

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from fulltime.functions.common import sanitise_name
+from fulltime.sources.event_columns import EXTRA
 
 
 def read_json_docs(spark: SparkSession, path: str, schema: StructType | str, multiline: bool = False,
@@ -70,62 +71,89 @@ def conform_matches(df: DataFrame) -> DataFrame:
                      "away_team_name", F.col("home_score").cast("bigint"), F.col("away_score").cast("bigint"))
 
 
-RAW_EVENT_SCHEMA = (
-    "id long, index long, period int, minute long, second long, duration double, "
-    "type struct<name: string>, team struct<id: long, name: string>, player struct<id: long, name: string>, "
-    "location array<double>, under_pressure boolean, counterpress boolean, "
-    "shot struct<statsbomb_xg: double, outcome: struct<name: string>, type: struct<name: string>, "
-    "body_part: struct<name: string>, end_location: array<double>>, "
-    "pass struct<outcome: struct<name: string>, type: struct<name: string>, end_location: array<double>, "
-    "cross: boolean, shot_assist: boolean, goal_assist: boolean, length: double>, "
-    "carry struct<end_location: array<double>>, duel struct<type: struct<name: string>, outcome: struct<name: string>>"
+#: Core fields of a provider event: column, type, path.
+CORE_EVENT = (
+    ("event_id", "bigint", "id"), ("event_index", "bigint", "index"), ("period", "int", "period"), ("minute", "bigint", "minute"),
+    ("second", "bigint", "second"), ("duration", "double", "duration"), ("type_name", "string", "type.name"), ("team_id", "bigint", "team.id"),
+    ("team_name", "string", "team.name"), ("player_id", "bigint", "player.id"), ("player_name", "string", "player.name"),
+    ("loc_x", "double", "location[0]"), ("loc_y", "double", "location[1]"), ("under_pressure", "boolean", "under_pressure"),
+    ("counterpress", "boolean", "counterpress"), ("shot_xg", "double", "shot.statsbomb_xg"), ("shot_outcome", "string", "shot.outcome.name"),
+    ("shot_type", "string", "shot.type.name"), ("shot_body_part", "string", "shot.body_part.name"), ("pass_outcome", "string", "pass.outcome.name"),
+    ("pass_type", "string", "pass.type.name"), ("pass_shot_assist", "boolean", "pass.shot_assist"), ("pass_goal_assist", "boolean", "pass.goal_assist"),
+    ("pass_cross", "boolean", "pass.cross"), ("duel_outcome", "string", "duel.outcome.name"), ("duel_type", "string", "duel.type.name"),
+    ("pass_end_x", "double", "pass.end_location[0]"), ("pass_end_y", "double", "pass.end_location[1]"),
+    ("carry_end_x", "double", "carry.end_location[0]"), ("carry_end_y", "double", "carry.end_location[1]"), ("pass_length", "double", "pass.length"),
 )
 
+EVENT_FIELDS = (*CORE_EVENT, *[(c.name, c.type, c.path) for c in EXTRA])
+
+
+def _tree(fields) -> dict:
+    """Nested fields by path; a leaf is its type, a place in an array makes an array of doubles."""
+    out: dict = {}
+    for _, kind, path in fields:
+        *parts, last = path.split(".")
+        at = out
+        for p in parts:
+            at = at.setdefault(p, {})
+        at[last.partition("[")[0]] = "array<double>" if "[" in last else kind
+    return out
+
+
+def _ddl(tree: dict) -> str:
+    return ", ".join(f"`{k}`: {v if isinstance(v, str) else f'struct<{_ddl(v)}>'}" for k, v in tree.items())
+
+
+#: Schema of a provider event file: the fields that are read, nested as the provider nests them.
+RAW_EVENT_SCHEMA = _ddl(_tree(EVENT_FIELDS))
+
 
 def conform_events(raw: DataFrame, match_id: Column) -> DataFrame:
-    """Type-nested provider events -> the flat event table (arrays to x/y, nested names to columns)."""
-    loc = F.col("location")
-    return raw.select(
-        F.col("id").alias("event_id"), match_id.alias("match_id"), F.col("index").alias("event_index"), "period",
-        "minute", "second", F.col("type.name").alias("type_name"), F.col("team.id").alias("team_id"),
-        F.col("team.name").alias("team_name"), F.col("player.id").alias("player_id"),
-        F.col("player.name").alias("player_name"), F.get(loc, 0).alias("loc_x"), F.get(loc, 1).alias("loc_y"),
-        F.col("under_pressure"), F.col("counterpress"), F.col("shot.statsbomb_xg").alias("shot_xg"),
-        F.col("shot.outcome.name").alias("shot_outcome"), F.col("shot.type.name").alias("shot_type"),
-        F.col("shot.body_part.name").alias("shot_body_part"), F.col("pass.outcome.name").alias("pass_outcome"),
-        F.col("pass.type.name").alias("pass_type"), F.col("pass.shot_assist").alias("pass_shot_assist"),
-        F.col("pass.goal_assist").alias("pass_goal_assist"), F.col("pass.cross").alias("pass_cross"),
-        F.col("duel.outcome.name").alias("duel_outcome"), F.col("duel.type.name").alias("duel_type"), "duration",
-        F.get("pass.end_location", 0).alias("pass_end_x"), F.get("pass.end_location", 1).alias("pass_end_y"),
-        F.get("carry.end_location", 0).alias("carry_end_x"), F.get("carry.end_location", 1).alias("carry_end_y"),
-        F.col("pass.length").alias("pass_length"),
-    )
-
-
-LINEUP_TYPE = "map<string, array<struct<player_id: long, player_name: string, jersey_number: int, " \
-              "positions: array<struct<position: string, from: string>>>>>"
+    """Type-nested provider events -> the flat event table (arrays to x/y, nested names to columns).
+
+    Fields that a file doesn't have are typed nulls.
+    """
+    def column(kind: str, path: str) -> Column:
+        field, _, place = path.partition("[")
+        return F.get(col_or_null(raw, field, "array<double>"), int(place[:-1])) if place else col_or_null(raw, field, kind)
+
+    return raw.select(match_id.alias("match_id"), *[column(kind, path).alias(name) for name, kind, path in EVENT_FIELDS])
+
+
+LINEUP_TYPE = (
+    "map<string, array<struct<player_id: long, player_name: string, player_nickname: string, jersey_number: int, "
+    "country: struct<id: long, name: string>, cards: array<struct<time: string, card_type: string, reason: string>>, "
+    "positions: array<struct<position_id: int, position: string, from: string, to: string, start_reason: string, end_reason: string>>>>>"
+)
 
 
 def explode_lineups(text: DataFrame, match_id: Column) -> DataFrame:
-    """Line-up documents keyed by team name -> one row per (match, team, player), first position kept."""
+    """Line-up documents keyed by team name -> one row per (match, team, player): first position with its times,
+    country, numbers of positions and cards, and both lists as JSON."""
     doc = text.select(match_id.alias("match_id"), F.from_json("value", LINEUP_TYPE).alias("doc"))
     teams = doc.select("match_id", F.explode("doc").alias("team_name", "players"))
     p = teams.select("match_id", "team_name", F.explode("players").alias("p"))
-    return p.select("match_id", "team_name", "p.player_id", "p.player_name", "p.jersey_number",
-                    F.get("p.positions", 0).getField("position").alias("position_name"),
-                    F.size("p.positions").alias("n_positions"))
+    first = F.get("p.positions", 0)
+    return p.select(
+        "match_id", "team_name", "p.player_id", "p.player_name", "p.player_nickname", "p.jersey_number",
+        F.col("p.country.id").alias("country_id"), F.col("p.country.name").alias("country_name"),
+        first.getField("position_id").alias("position_id"), first.getField("position").alias("position_name"),
+        first.getField("from").alias("position_from"), first.getField("to").alias("position_to"),
+        F.size("p.positions").alias("n_positions"), F.coalesce(F.size("p.cards"), F.lit(0)).alias("n_cards"),
+        F.to_json("p.positions").alias("positions_json"), F.to_json("p.cards").alias("cards_json"))
 
 
-FRAME_SCHEMA = "event_uuid long, match_id long, location array<double>, teammate boolean, actor boolean, keeper boolean"
+FRAME_SCHEMA = ("event_uuid long, match_id long, location array<double>, teammate boolean, actor boolean, keeper boolean, "
+                "visible_area array<double>")
 
 
 def conform_frames(raw: DataFrame) -> DataFrame:
-    """Freeze-frame rows: location array to x/y, flags to booleans (absent = false)."""
+    """Freeze-frame rows: location array to x/y, flags to booleans (absent = false), the visible area as it is."""
     return raw.select(F.col("event_uuid").alias("event_id"), "match_id",
                       F.get("location", 0).cast("double").alias("loc_x"), F.get("location", 1).cast("double").alias("loc_y"),
                       F.coalesce("teammate", F.lit(False)).alias("is_teammate"),
                       F.coalesce("actor", F.lit(False)).alias("is_actor"),
-                      F.coalesce("keeper", F.lit(False)).alias("is_keeper"))
+                      F.coalesce("keeper", F.lit(False)).alias("is_keeper"), "visible_area")
 
 
 RESULTS_SCHEMA = (

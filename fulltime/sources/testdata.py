@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fulltime.operators.ranking import top_k_per_group
+from fulltime.sources.event_columns import EXTRA, RARE_TYPE_SQL
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -77,7 +78,7 @@ AWAY = "(match_id % 32 + 1 + (match_id * 7 + CAST(floor(match_id / 32) AS BIGINT
 
 @_memo("fx_event")
 def fx_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conformed event stream: 100 events per match; passes, carries, pressures, duels, shots."""
+    """Conformed event stream: 100 events per match; passes, carries, pressures, duels, shots and all other types."""
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
     b = e.selectExpr(
         "event_id", "user_id", "value", "CAST(floor(event_id / 100) AS BIGINT) AS match_id",
@@ -88,7 +89,7 @@ def fx_event(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN (event_id * 13 + user_id) % 2 = 0 THEN home_team_id ELSE away_team_id END AS team_id",
         """CASE WHEN tk < 8 THEN 'Pass' WHEN tk < 12 THEN 'Carry' WHEN tk < 14 THEN 'Pressure'
                 WHEN tk = 14 THEN 'Duel' WHEN tk = 15 THEN 'Interception' WHEN tk = 16 THEN 'Clearance'
-                WHEN tk < 19 THEN 'Shot' ELSE 'Camera On' END AS type_name""",
+                WHEN tk < 19 THEN 'Shot' ELSE """ + RARE_TYPE_SQL + " END AS type_name",
     )
     out = p.selectExpr(
         "event_id", "match_id", "event_index",
@@ -127,6 +128,7 @@ def fx_event(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN type_name = 'Carry' THEN end_x END AS carry_end_x",
         "CASE WHEN type_name = 'Carry' THEN end_y END AS carry_end_y",
         "CASE WHEN type_name = 'Pass' THEN sqrt((end_x - loc_x) * (end_x - loc_x) + (end_y - loc_y) * (end_y - loc_y)) END AS pass_length",
+        *[f"{c.sql} AS {c.name}" for c in EXTRA],
     )
 
 

@@ -6,6 +6,7 @@ import sys
 import types as python_types
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import numpy as np
@@ -43,6 +44,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within this, batches to and from Python workers have ``rows`` rows at most: for rows that are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def per_process(key: str, make: Callable[[], Any]) -> Any:
     """One object for each Python worker process, made when first asked for.
 

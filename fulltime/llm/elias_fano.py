@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import Generations, Split, fanout, filled, gather, map_arrow, per_process, slices
+from fulltime.llm.common import Generations, Split, arrow_rows, fanout, filled, gather, map_arrow, per_process, slices
 
 MAGIC = b"EFID"
 SAMPLE = 256
@@ -217,7 +217,8 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> Non
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     dealt = rows.repartitionByRange(fanout(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
-    map_arrow(dealt, run, "part int, seq int, before long, n_docs long, n_ids long, shard binary").write.parquet(path)
+    with arrow_rows(docs.sparkSession, 1000):
+        map_arrow(dealt, run, "part int, seq int, before long, n_docs long, n_ids long, shard binary").write.parquet(path)
 
 
 def read_shards(shards: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import Generations, blank_split, filled, map_arrow, per_process, slices, stored
+from fulltime.llm.common import Generations, arrow_rows, blank_split, filled, map_arrow, per_process, slices, stored
 from fulltime.llm.components import components
 
 #: Entries of each generation of a process's table of known words (speed only), shingles counted together for the report,
@@ -305,6 +305,16 @@ def one_of_each_group(docs: DataFrame, words: int = 5, percent: int = 75) -> Dat
 
 def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(doc_id, tag, n, set_id, label, component_id) by row; tag is the text's hash, label names the group."""
+    with arrow_rows(docs.sparkSession, 500):  # rows with whole texts or two sets
+        rows, nodes, labels = _linked(docs, words, percent)
+    named = nodes.select("set_id", "rep").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
+    named = named.withColumn("label", F.coalesce("label", "set_id"))
+    least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
+    return rows.join(named.join(least, "label").select("set_id", "label", "component_id"), "set_id", "left")
+
+
+def _linked(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, tag, n, set_id), nodes (set_id, rep, n, bits), and labels (node, label) of linked nodes."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     found = stored(scan(docs.withColumn("tag", F.xxhash64("text")), words), "sets")
     rows = found.where("kind = 0").select("doc_id", "tag", "n", "set_id")
@@ -348,7 +358,4 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     if not more.isEmpty():
         labels = components(links.union(more))
 
-    named = nodes.select("set_id", "rep").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-    named = named.withColumn("label", F.coalesce("label", "set_id"))
-    least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    return rows.join(named.join(least, "label").select("set_id", "label", "component_id"), "set_id", "left")
+    return rows, nodes, labels

@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import blank_split, fanout, filled, map_arrow, slices, stored
+from fulltime.llm.common import arrow_rows, blank_split, fanout, filled, map_arrow, slices, stored
 
 #: Symbols of spellings: the most frequent bytes, all others, and the end (which also stands before a word).
 SYMBOLS = 40
@@ -487,10 +487,15 @@ def score(docs: DataFrame, train: str = "train", buckets: int | None = None) ->
 
     doc_id, trained, n_tokens, n_known, train_tokens, base_score (add-one word counts), score (the model).
     """
-    spark = docs.sparkSession
-    buckets = buckets or fanout(spark)
+    with arrow_rows(docs.sparkSession, 1000):  # rows with whole texts
+        chunks = stored(pack(docs, train), "chunks")
+    with arrow_rows(docs.sparkSession, 4):  # rows with a chunk each
+        return stored(_scored(chunks, buckets or fanout(docs.sparkSession)), "scores")
+
+
+def _scored(chunks: DataFrame, buckets: int) -> DataFrame:
+    spark = chunks.sparkSession
     side = max(1, round((2 * buckets) ** 0.5))
-    chunks = stored(pack(docs, train), "chunks")
     pairs = stored(pair_tables(chunks, side, buckets), "pairs")
     found = stored(vocabulary(chunks, pairs, buckets), "vocabulary")
     model = learn(found.where("kind = 1").select("bucket", "a", "b", "tokens", "types", "customers"))

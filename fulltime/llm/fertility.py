@@ -108,7 +108,7 @@ def measure(docs: DataFrame, model: str, text: str = "text", keep: list[str] | N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         coder, (script, names) = piece_coder(model), _script_table()
-        for b in slices(batches, "__text", 8_000_000):
+        for b in slices(batches, "__text", 3_000_000):
             column = filled(b.column("__text"))
             texts, words = column.to_pylist(), blank_split(column)
             ids, n = coder.encode_flat(column)

@@ -73,7 +73,8 @@ class Shingler:
         out, at = [], 0
         for m in split.lens.tolist():
             if m >= k:
-                out.append(np.unique(key[at:at + m - k + 1]))
+                own = np.sort(key[at:at + m - k + 1])
+                out.append(own[np.r_[True, own[1:] != own[:-1]]])
             else:
                 out.append(np.array([xxhash.xxh3_64_intdigest(flat[at:at + m].tobytes(), seed=1)] if m else [], np.uint64))
             at += m
@@ -119,12 +120,14 @@ def scan(docs: DataFrame, words: int) -> DataFrame:
         shingler, met, held, size = shingler_of(words), set(), [], 0
 
         def common() -> dict:
-            s, n = np.unique(np.concatenate(held), return_counts=True)
-            s, n = s[n > 1], n[n > 1]
+            own = np.sort(np.concatenate(held))
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            n = np.diff(np.r_[first, len(own)])
+            s, n = own[first][n > 1], n[n > 1]
             return {"kind": np.ones(len(s), np.int32), "doc_id": [None] * len(s), "tag": [None] * len(s), "n": n.astype(np.int64),
                     "set_id": s.view(np.int64), "bits": [None] * len(s)}
 
-        for b in slices(batches, "text", 4_000_000):
+        for b in slices(batches, "text", 2_000_000):
             sets = shingler.sets(filled(b.column("text")))
             ids = [set_id(s) if len(s) else None for s in sets]
             for i, s in zip(ids, sets):
@@ -151,7 +154,7 @@ def postings(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         shingler, met = shingler_of(words), set()
         names, place = shared.value
-        for b in slices(batches, "text", 4_000_000):
+        for b in slices(batches, "text", 2_000_000):
             parts, ids, sizes = [], [], []
             for s in shingler.sets(filled(b.column("text"))):
                 if not len(s) or (i := set_id(s)) in met:
@@ -213,54 +216,32 @@ def _signature_gate(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFra
     return map_arrow(pairs.join(one, "a").join(two, "b"), run, "a long, b long")
 
 
-def _slots(keys: DataFrame, key: str) -> np.ndarray:
-    """Bits of a filter of fixed size over a column's hashes."""
-    got = (keys.select(_slot(key).alias("s")).groupBy((F.col("s") / 32).cast("int").alias("w"))
-           .agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 32 as int))")).alias("v")).collect())
-    bits = np.zeros(SLOTS // 32, np.uint32)
-    for w, v in got:
-        bits[w] = v
-    return bits
-
-
 def _slot(key: str):
     return F.pmod(F.xxhash64(key), F.lit(SLOTS))
 
 
-def _passing(b: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch:
-    s = b.column("s").to_numpy()
-    return b.filter(pa.array((bits[s // 32] >> (s % 32).astype(np.uint32) & 1).astype(bool)))
-
-
 def _arrays(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(set_id, hashes) of the wanted (set_id, rep): texts are read again behind a filter of fixed size."""
-    shared = docs.sparkSession.sparkContext.broadcast(_slots(wanted, "rep"))
+    slots = wanted.select(_slot("rep").alias("s")).distinct()  # SLOTS numbers at most, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         shingler = shingler_of(words)
-        for b in batches:
-            for t in slices(iter([_passing(b, shared.value)]), "text", 4_000_000):
-                sets = [x for x in shingler.sets(filled(t.column("text"))) if len(x)]
-                yield {"set_id": [set_id(x) for x in sets], "hashes": [x.tobytes() for x in sets]}
+        for t in slices(batches, "text", 2_000_000):
+            sets = [x for x in shingler.sets(filled(t.column("text"))) if len(x)]
+            yield {"set_id": [set_id(x) for x in sets], "hashes": [x.tobytes() for x in sets]}
 
-    found = map_arrow(docs.select("text", _slot("doc_id").alias("s")), run, "set_id long, hashes binary")
+    some = docs.withColumn("s", _slot("doc_id")).join(F.broadcast(slots), "s", "left_semi").select("text")
+    found = map_arrow(some, run, "set_id long, hashes binary")
     return found.join(wanted.select("set_id"), "set_id", "left_semi").dropDuplicates(["set_id"])
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The linked pairs (a, b) among candidates, stored."""
     pairs = stored(_signature_gate(pairs, nodes, percent), "pairs")
-    ends = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b"))
-    shared = pairs.sparkSession.sparkContext.broadcast(_slots(ends, "set_id"))
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for b in batches:
-            b = _passing(b, shared.value)
-            yield {"set_id": b.column("set_id"), "hashes": b.column("hashes")}
-
-    some = map_arrow(arrays.withColumn("s", _slot("set_id")), pick, "set_id long, hashes binary")
-    one = some.select(F.col("set_id").alias("a"), F.col("hashes").alias("x"))
-    two = some.select(F.col("set_id").alias("b"), F.col("hashes").alias("y"))
+    ends = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+    arrays = stored(_arrays(docs, nodes.select("set_id", "rep").join(ends, "set_id", "left_semi"), words), "arrays")
+    one = arrays.select(F.col("set_id").alias("a"), F.col("hashes").alias("x"))
+    two = arrays.select(F.col("set_id").alias("b"), F.col("hashes").alias("y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for t in batches:
@@ -330,17 +311,14 @@ def _linked(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataF
            .withColumn("hub_n", F.min(F.struct("set_id", "n")).over(by)["n"]).where("hub < last").drop("last"))
     met = stored(met.dropDuplicates(["shingle", "set_id"]), "postings")
 
-    arrays = _arrays(docs, nodes.select("set_id", "rep").join(met.select("set_id").distinct(), "set_id", "left_semi"), words)
-    arrays = stored(arrays, "arrays")
-
     # of the hubs of its shingles, a node is held against those it shares most shingles with
     stars = met.where((F.col("hub") != F.col("set_id")) & _sizes_fit("n", "hub_n", percent))
-    links = _verified(_most_shared(stars, ["set_id"], "hub", "set_id"), nodes, arrays, percent)
+    links = _verified(_most_shared(stars, ["set_id"], "hub", "set_id"), nodes, docs, words, percent)
     labels = components(links)
     # the same between groups: each against the least one under its shingles, by their closest nodes
     far = (_mixed(met, labels).where("label <> first.label").select("label", F.col("first.label").alias("other"), F.col("first.set_id").alias("hub"),
                                                                   F.col("first.n").alias("hub_n"), "set_id", "n").where(_sizes_fit("n", "hub_n", percent)))
-    joined = _verified(_most_shared(far, ["label", "other"], "hub", "set_id"), nodes, arrays, percent)
+    joined = _verified(_most_shared(far, ["label", "other"], "hub", "set_id"), nodes, docs, words, percent)
     if not joined.isEmpty():
         links = links.union(joined)
         labels = components(links)
@@ -354,7 +332,7 @@ def _linked(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataF
     pairs = (met_by.join(host, ["shingle", "tile", "other"])
              .where(((F.col("own") < F.col("tile")) | (F.col("set_id") < F.col("set_b"))) & _sizes_fit("n", "n_b", percent))
              .select(F.least("set_id", "set_b").alias("a"), F.greatest("set_id", "set_b").alias("b")).distinct())
-    more = _verified(pairs, nodes, arrays, percent)
+    more = _verified(pairs, nodes, docs, words, percent)
     if not more.isEmpty():
         labels = components(links.union(more))
 

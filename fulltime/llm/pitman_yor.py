@@ -50,7 +50,7 @@ ORDER = 3
 CELLS = SYMBOLS ** (ORDER + 1)
 STRENGTH = 1.0
 #: Text bytes of a chunk.
-CHUNK = 4_000_000
+CHUNK = 3_000_000
 
 
 def seat(count: np.ndarray, weight: np.ndarray, discount: float, rng: np.random.Generator | None) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Values that are sorted in one place at most, and the accuracy of the sketch that narrows down to them.
@@ -15,48 +15,43 @@ SORTED, ACCURACY = 50_000, 1_000
 def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[tuple[str, float], float | None]:
     """For each column and share q the least value that ceil(q * n) of its n non-null values don't exceed.
 
-    A quantile sketch brackets each value (its rank error is at most n / ACCURACY, the bracket twice that),
-    a count finds how many values lie below the bracket and in it, and a bracket with more than SORTED
-    values is narrowed again. What is left is sorted. Every step is one aggregate over all columns.
+    A quantile sketch names a pivot near the wanted rank (its error is at most n / ACCURACY), a count says how
+    many values lie below it and how many equal it, and the search goes on strictly above or below, where few
+    values are left between two pivots. Once no more than SORTED are left, they are sorted. Every step is one
+    aggregate over all columns.
     """
     cells = [(c, q) for c, qs in wanted.items() for q in qs]
     if not cells:
         return {}
-    row = df.agg(*[f(F.col(c)).alias(f"{k}_{i}") for i, c in enumerate(wanted) for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
-    at = {c: i for i, c in enumerate(wanted)}
-    out: dict[tuple[str, float], float | None] = {(c, q): None for c, q in cells}
-    # open cells: rank within the bracket (from 1), bracket, values in it
-    todo = {(c, q): (max(1, math.ceil(q * row[f"n_{at[c]}"] - 1e-9)), row[f"lo_{at[c]}"], row[f"hi_{at[c]}"], row[f"n_{at[c]}"])
-            for c, q in cells if row[f"n_{at[c]}"]}
-    while wide := [x for x, (_, lo, hi, n) in todo.items() if n > SORTED and lo < hi]:
-        step, bounds = 2 / ACCURACY, {}
-        aggs = []
-        for j, x in enumerate(wide):
-            k, lo, hi, n = todo[x]
-            shares = [max(0.0, k / n - step), min(1.0, k / n + step)]
-            inside = F.col(x[0]).between(lo, hi)
-            aggs.append(F.percentile_approx(F.when(inside, F.col(x[0])), F.array(*map(F.lit, shares)), ACCURACY).alias(f"b{j}"))
-        got = df.agg(*aggs).first()
-        for j, x in enumerate(wide):
-            _, lo, hi, _ = todo[x]
-            a, b = got[f"b{j}"]
-            bounds[x] = (a, b) if (a, b) != (lo, hi) else (a, a)  # no narrower: one value holds most of it
-        aggs = [agg for j, x in enumerate(wide) for agg in (
-            F.count_if(F.col(x[0]).between(todo[x][1], todo[x][2]) & (F.col(x[0]) < bounds[x][0])).alias(f"u{j}"),
-            F.count_if(F.col(x[0]).between(*bounds[x])).alias(f"w{j}"))]
-        got = df.agg(*aggs).first()
+    counts = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(wanted)]).first()
+    size = {c: counts[f"n{i}"] for i, c in enumerate(wanted)}
+    out: dict[tuple[str, float], float | None] = dict.fromkeys(cells)
+    # open cells: rank among the values between two pivots (both left out, None: no bound), and their number
+    todo = {(c, q): (max(1, math.ceil(q * size[c] - 1e-9)), None, None, size[c]) for c, q in cells if size[c]}
+
+    def between(x: tuple[str, float]) -> Column:
+        col, (_, low, high, _) = F.col(x[0]), todo[x]
+        cond = col.isNotNull()
+        cond = cond & (col > low) if low is not None else cond
+        return cond & (col < high) if high is not None else cond
+
+    while wide := [x for x, (_, _, _, n) in todo.items() if n > SORTED]:
+        row = df.agg(*[F.percentile_approx(F.when(between(x), F.col(x[0])), todo[x][0] / todo[x][3], ACCURACY).alias(f"p{j}")
+                       for j, x in enumerate(wide)]).first()
+        pivot = {x: row[f"p{j}"] for j, x in enumerate(wide)}
+        row = df.agg(*[agg for j, x in enumerate(wide) for agg in (
+            F.count_if(between(x) & (F.col(x[0]) < pivot[x])).alias(f"b{j}"), F.count_if(F.col(x[0]) == pivot[x]).alias(f"e{j}"))]).first()
         for j, x in enumerate(wide):
-            k, lo, hi, n = todo[x]
-            rank, size = k - got[f"u{j}"], got[f"w{j}"]
-            if rank < 1:  # below the new bracket
-                todo[x] = (k, lo, bounds[x][0], got[f"u{j}"] + size)
-            elif rank > size:  # above it: drop what is known to be smaller
-                todo[x] = (rank, bounds[x][0], hi, n - got[f"u{j}"])
+            (k, low, high, n), below, equal = todo[x], row[f"b{j}"], row[f"e{j}"]
+            if k <= below:
+                todo[x] = (k, low, pivot[x], below)
+            elif k <= below + equal:
+                out[x] = pivot[x]
+                del todo[x]
             else:
-                todo[x] = (rank, *bounds[x], size)
-    aggs = [F.get(F.sort_array(F.collect_list(F.when(F.col(c).between(lo, hi), F.col(c)))), k - 1).alias(f"v{j}")
-            for j, ((c, _), (k, lo, hi, n)) in enumerate(todo.items()) if lo < hi]
-    got = df.agg(*aggs).first() if aggs else None
-    for j, (x, (_, lo, hi, _)) in enumerate(todo.items()):
-        out[x] = got[f"v{j}"] if lo < hi else lo
+                todo[x] = (k - below - equal, pivot[x], high, n - below - equal)
+    if todo:
+        row = df.agg(*[F.get(F.sort_array(F.collect_list(F.when(between(x), F.col(x[0])))), todo[x][0] - 1).alias(f"v{j}")
+                       for j, x in enumerate(todo)]).first()
+        out |= {x: row[f"v{j}"] for j, x in enumerate(todo)}
     return out

@@ -92,11 +92,42 @@ def with_geometry(df: DataFrame) -> DataFrame:
     )
 
 
+def _chunk_context(events: DataFrame, matches: DataFrame, chunk: int, order: str) -> DataFrame:
+    """Per (match, chunk of events): match attributes and both sides' goals in the match's earlier chunks.
+
+    One pass over five event columns counts goals by (match, chunk, team); what follows is small.
+    """
+    goal = (F.col("type_name") == "Shot") & (F.col("shot_outcome") == "Goal")
+    by_team = events.groupBy("match_id", F.floor(F.col(order) / chunk).alias("_chunk"), "team_id").agg(F.count_if(goal).alias("_goals"))
+    home = F.coalesce(F.col("team_id") == F.col("home_team_id"), F.lit(False))
+    sides = by_team.join(matches.select("match_id", "home_team_id"), "match_id", "left").groupBy("match_id", "_chunk").agg(
+        F.sum(F.when(home, F.col("_goals")).otherwise(0)).alias("_h"), F.sum(F.when(~home, F.col("_goals")).otherwise(0)).alias("_a"))
+    before = Window.partitionBy("match_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sides.select("match_id", "_chunk", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_o{c}") for c in ("_h", "_a")])
+    return attach_match(sums, matches)
+
+
+def _scored(events: DataFrame, matches: DataFrame, inclusive: bool, chunk: int = RUNNING_CHUNK, order: str = "event_index") -> DataFrame:
+    """Events with match attributes and the running score, in ONE shuffle of the events, by (match, chunk).
+
+    The match side is spread over its chunks before the join, so a match with very many events is many
+    groups, and the window inside a chunk needs no shuffle of its own.
+    """
+    context = _chunk_context(events, matches, chunk, order)
+    ev = events.drop(*[c for c in context.columns if c != "match_id" and c in events.columns])
+    j = ev.withColumn("_chunk", F.floor(F.col(order) / chunk)).join(context, ["match_id", "_chunk"], "left")
+    goal = (F.col("type_name") == "Shot") & (F.col("shot_outcome") == "Goal")
+    home = F.coalesce(F.col("team_id") == F.col("home_team_id"), F.lit(False))
+    w = Window.partitionBy("match_id", "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    score = {f"score_{side}_at_event": (F.coalesce(F.col(f"_o_{side[0]}"), F.lit(0)) + F.coalesce(
+        F.sum(F.when(goal & own, 1).otherwise(0)).over(w), F.lit(0))).cast("int") for side, own in (("home", home), ("away", ~home))}
+    return (j.withColumns(score).withColumn("score_diff_at_event", F.col("score_home_at_event") - F.col("score_away_at_event"))
+            .drop("_chunk", "_o_h", "_o_a"))
+
+
 def match_timeline(events: DataFrame, matches: DataFrame, inclusive: bool = True, with_score: bool = True) -> DataFrame:
     """Conformed event timeline: kept types, match context, geometry, home flag, running score
     (``with_score=False`` skips the running score for consumers that do not read it)."""
-    tl = attach_match(keep_types(events), matches)
-    tl = with_geometry(tl).withColumn(
-        "is_home_team", F.coalesce(F.col("team_id") == F.col("home_team_id"), F.lit(False))
-    )
-    return running_score(tl, inclusive=inclusive) if with_score else tl
+    kept = keep_types(events)
+    tl = _scored(kept, matches, inclusive) if with_score else attach_match(kept, matches)
+    return with_geometry(tl).withColumn("is_home_team", F.coalesce(F.col("team_id") == F.col("home_team_id"), F.lit(False)))

@@ -10,6 +10,7 @@ from fulltime.plans.core import tl_base, tl_frame
 from fulltime.plans.fixture_sql import with_fixtures
 from fulltime.plans.registry import query
 from fulltime.plans.sql_blocks import TIMELINE
+from fulltime.session import materialize
 from fulltime.sources import testdata as td
 
 EMF = ["fx_event", "fx_match", "fx_frame"]
@@ -191,7 +192,8 @@ ASOF LEFT JOIN (
 ON l.pool_id = r.pool_id AND l.team = r.team AND l.match_date > r.match_date""", ELO))
 def q_elo_asof(spark, sf):
     """Each team's rating valid strictly before each of its matches (ratings of earlier days only)."""
-    sides = ratings.team_sides(elo_frame(spark, sf))
+    # stored once: the fold runs once, and both sides and the daily ratings are read from the copy
+    sides = ratings.team_sides(materialize(elo_frame(spark, sf)))
     daily = ratings.latest_by(sides, ["pool_id", "team", "match_date"], ["match_num"], ["rating"])
     left = sides.select("pool_id", "team", "match_date", "match_num")
     out = ratings.asof_join(left, daily, ["pool_id", "team"], "match_date", ["rating"])

@@ -88,3 +88,10 @@ def test_a_match_with_a_third_of_all_events(spark):
         h, a = score.get(m, (0, 0))
         score[m] = (h + (outcome == "Goal" and team == 1), a + (outcome == "Goal" and team == 2))
         assert got[i] == score[m]
+    # the timeline's own form: the same scores, one shuffle of the events
+    matches = d.select("match_id", "home_team_id", "away_team_id").distinct()
+    events = d.drop("home_team_id", "away_team_id")
+    scored = timeline._scored(events, matches, True, chunk=100)
+    assert {r["event_id"]: (r["score_home_at_event"], r["score_away_at_event"]) for r in scored.collect()} == got
+    before = {r["event_id"]: r["score_home_at_event"] for r in timeline._scored(events, matches, False, chunk=7).collect()}
+    assert all(before[i] == got[i][0] - (o == "Goal" and t == 1) for i, _, _, _, o, t in rows)

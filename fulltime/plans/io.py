@@ -78,33 +78,51 @@ def q_ingest_frames(spark, sf):
     return raw.conform_frames(raw.read_json_docs(spark, path, raw.FRAME_SCHEMA, keep_corrupt=False))
 
 
-FLAT_MATCH = ("match_id long, match_date string, competition_id int, season_id int, stage_name string, "
-              "home_team_id long, home_team_name string, away_team_id long, away_team_name string, "
-              "home_score long, away_score long")
-NESTED_MATCH = ("match_id long, match_date string, competition struct<competition_id: int>, "
-                "season struct<season_id: int>, competition_stage struct<name: string>, "
-                "home_team struct<home_team_id: long, home_team_name: string>, "
-                "away_team struct<away_team_id: long, away_team_name: string>, home_score long, away_score long")
-
-
-@query("conform_matches", with_fixtures(EM, """
-SELECT match_id, match_date, competition_id, season_id, stage_name, home_team_id, home_team_name, away_team_id,
-       away_team_name, home_score, away_score FROM fx_match"""))
+#: Match attributes that the stand-in adds to its match table, as SQL over it.
+MATCH_EXTRA = {
+    "kick_off": "concat(CAST(12 + match_id % 9 AS STRING), ':00:00.000')", "match_week": "CAST(1 + match_id % 30 AS INTEGER)",
+    "match_status": "CASE WHEN match_id % 50 = 0 THEN 'scheduled' ELSE 'available' END",
+    "competition_name": "concat('Competition ', CAST(competition_id AS STRING))", "competition_country": "concat('Country ', CAST(competition_id % 5 AS STRING))",
+    "season_name": "concat('Season ', CAST(season_id AS STRING))", "home_team_country": "concat('Country ', CAST(home_team_id % 25 AS STRING))",
+    "away_team_country": "concat('Country ', CAST(away_team_id % 25 AS STRING))", "stage_id": "CAST(match_id % 7 AS INTEGER)",
+    "stadium_id": "CAST(CASE WHEN match_id % 10 <> 3 THEN match_id % 12 END AS INTEGER)",
+    "stadium_name": "CASE WHEN match_id % 10 <> 3 THEN concat('Stadium ', CAST(match_id % 12 AS STRING)) END",
+    "stadium_country": "CASE WHEN match_id % 10 <> 3 THEN concat('Country ', CAST(match_id % 12 AS STRING)) END",
+    "referee_id": "CAST(match_id % 40 AS INTEGER)", "referee_name": "concat('Referee ', CAST(match_id % 40 AS STRING))",
+}
+
+
+@query("conform_matches", with_fixtures(EM, f"""
+SELECT *, {', '.join(f'{sql} AS {name}' for name, sql in MATCH_EXTRA.items())} FROM fx_match"""))
 def q_conform_matches(spark, sf):
     """Match files in two provider shapes (flat and nested) conformed to one schema and unioned."""
-    m = td.fx_match(spark, sf).withColumn("match_date", F.col("match_date").cast("string"))
-    flat_p, nested_p = scratch_dir(spark, "raw-matches-flat"), scratch_dir(spark, "raw-matches-nested")
-    m.filter(F.col("match_id") % 2 == 0).write.json(flat_p)
-    m.filter(F.col("match_id") % 2 == 1).select(
-        "match_id", "match_date", F.struct("competition_id").alias("competition"), F.struct("season_id").alias("season"),
-        F.struct(F.col("stage_name").alias("name")).alias("competition_stage"),
-        F.struct("home_team_id", "home_team_name").alias("home_team"),
-        F.struct("away_team_id", "away_team_name").alias("away_team"), "home_score", "away_score").write.json(nested_p)
-    flat = raw.conform_matches(raw.read_json_docs(spark, flat_p, FLAT_MATCH, keep_corrupt=False))
-    nested = raw.conform_matches(raw.read_json_docs(spark, nested_p, NESTED_MATCH, keep_corrupt=False))
+    m = td.fx_match(spark, sf).selectExpr("*", *[f"{sql} AS {name}" for name, sql in MATCH_EXTRA.items()])
+    m = m.withColumn("match_date", F.col("match_date").cast("string"))
+    flat_path, nested_path = scratch_dir(spark, "raw-matches-flat"), scratch_dir(spark, "raw-matches-nested")
+    m.filter("match_id % 2 = 0").select(*[F.col(name).alias(flat) for name, _, flat, _ in raw.MATCH_FIELDS]).write.json(flat_path)
+    m.filter("match_id % 2 = 1").select(*_nested({path: name for name, _, _, path in raw.MATCH_FIELDS})).write.json(nested_path)
+    schemas = [", ".join(f"{flat} {'string' if kind == 'date' else kind}" for _, kind, flat, _ in raw.MATCH_FIELDS),
+               raw._ddl(raw._tree([(n, "string" if kind == "date" else kind, path) for n, kind, _, path in raw.MATCH_FIELDS]))]
+    flat, nested = [raw.conform_matches(raw.read_json_docs(spark, p, s, keep_corrupt=False)) for p, s in zip((flat_path, nested_path), schemas)]
     return flat.unionByName(nested)
 
 
+def _nested(columns: dict[str, str]) -> list:
+    """Columns by path, put together as structs."""
+    tree: dict = {}
+    for path, name in columns.items():
+        *parts, last = path.split(".")
+        at = tree
+        for p in parts:
+            at = at.setdefault(p, {})
+        at[last] = name
+
+    def column(node):
+        return F.col(node) if isinstance(node, str) else F.struct(*[column(v).alias(k) for k, v in node.items()])
+
+    return [column(v).alias(k) for k, v in tree.items()]
+
+
 def _lineups(spark, sf):
     """Line-up files (one object per match, keyed by team name), read and exploded."""
     e = td.fx_event(spark, sf).select("match_id", "team_name", "player_id", "player_name").distinct()

@@ -527,3 +527,60 @@ def q_last_n_shots(spark, sf):
     s = tl_base(spark, sf).filter(F.col("type_name") == "Shot")
     return top_k_per_group(s, ["player_id"], [F.col("match_id").desc(), F.col("event_index").desc()], 3, "event_id") \
         .select("player_id", "event_id", "shot_xg")
+
+
+# ---------------------------------------------------------------- profiles (AGG-31, AGG-32)
+
+
+@query("profile_types", with_fixtures(EM, """
+SELECT m.competition_id, m.season_id, e.type_name, count(*) AS n
+FROM fx_event e JOIN fx_match m USING (match_id) GROUP BY ALL"""))
+def q_profile_types(spark, sf):
+    """Events by edition and type."""
+    j = td.fx_event(spark, sf).join(td.fx_match(spark, sf).select("match_id", "competition_id", "season_id"), "match_id")
+    return reports.profile_counts(j, ["competition_id", "season_id", "type_name"])
+
+
+@query("profile_editions", with_fixtures(EM, "SELECT competition_id, season_id, count(*) AS n FROM fx_match GROUP BY ALL"))
+def q_profile_editions(spark, sf):
+    """Matches by edition."""
+    return reports.profile_counts(td.fx_match(spark, sf), ["competition_id", "season_id"])
+
+
+@query("profile_styles", with_fixtures(EM, "SELECT tactical_profile, count(*) AS n FROM (" + TEAM_STYLE_SQL + ") GROUP BY ALL", TIMELINE + "," + TEAM_PERF))
+def q_profile_styles(spark, sf):
+    """Team editions by tactical profile."""
+    from fulltime.operators import gold
+
+    return reports.profile_counts(gold.team_style(tp_frame(spark, sf)), ["tactical_profile"])
+
+
+@query("profile_results", with_fixtures(EM, "SELECT result, count(*) AS n FROM tp GROUP BY ALL", TIMELINE + "," + TEAM_PERF))
+def q_profile_results(spark, sf):
+    """Team matches by result."""
+    return reports.profile_counts(tp_frame(spark, sf), ["result"])
+
+
+@query("profile_positions", with_fixtures(["fx_event"], "SELECT position_name, count(*) AS n FROM (SELECT DISTINCT match_id, player_id, position_name FROM fx_event) GROUP BY ALL"))
+def q_profile_positions(spark, sf):
+    """Player matches by position."""
+    return reports.profile_counts(td.fx_event(spark, sf).select("match_id", "player_id", "position_name").distinct(), ["position_name"])
+
+
+@query("profile_frames", with_fixtures(["fx_event", "fx_match", "fx_frame"], """
+SELECT m.competition_id, m.season_id, count(DISTINCT f.event_id) AS distinct_event_id, count(DISTINCT f.match_id) AS distinct_match_id, count(*) AS rows
+FROM fx_frame f JOIN fx_match m USING (match_id) GROUP BY m.competition_id, m.season_id"""))
+def q_profile_frames(spark, sf):
+    """Frames, and events and matches that have any, by edition."""
+    j = td.fx_frame(spark, sf).join(td.fx_match(spark, sf).select("match_id", "competition_id", "season_id"), "match_id")
+    return reports.profile_distinct(j, ["competition_id", "season_id"], ["event_id", "match_id"])
+
+
+@query("profile_players", with_fixtures(EM, """
+SELECT m.competition_id, m.season_id, count(DISTINCT e.player_id) AS distinct_player_id, count(DISTINCT e.match_id) AS distinct_match_id,
+       count(DISTINCT e.team_id) AS distinct_team_id, count(*) AS rows
+FROM fx_event e JOIN fx_match m USING (match_id) GROUP BY m.competition_id, m.season_id"""))
+def q_profile_players(spark, sf):
+    """Players, matches and teams by edition."""
+    j = td.fx_event(spark, sf).join(td.fx_match(spark, sf).select("match_id", "competition_id", "season_id"), "match_id")
+    return reports.profile_distinct(j, ["competition_id", "season_id"], ["player_id", "match_id", "team_id"])

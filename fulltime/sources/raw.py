@@ -45,30 +45,34 @@ def col_or_null(df: DataFrame, path: str, dtype: str = "string") -> Column:
     return F.col(path).cast(dtype)
 
 
-MATCH_COLUMNS = ["match_id", "match_date", "competition_id", "season_id", "stage_name", "home_team_id",
-                 "home_team_name", "away_team_id", "away_team_name", "home_score", "away_score"]
+def _team(side: str) -> tuple:
+    return ((f"{side}_team_id", "bigint", f"{side}_team_id", f"{side}_team.{side}_team_id"),
+            (f"{side}_team_name", "string", f"{side}_team", f"{side}_team.{side}_team_name"),
+            (f"{side}_team_country", "string", f"{side}_team_country_name", f"{side}_team.country.name"),
+            (f"{side}_score", "bigint", f"{side}_score", f"{side}_score"))
+
+
+#: Match fields: column, type, name in a flat document, path in a nested one.
+MATCH_FIELDS = (
+    ("match_id", "bigint", "match_id", "match_id"), ("match_date", "date", "match_date", "match_date"), ("kick_off", "string", "kick_off", "kick_off"),
+    ("match_week", "int", "match_week", "match_week"), ("match_status", "string", "match_status", "match_status"),
+    ("competition_id", "int", "competition_id", "competition.competition_id"),
+    ("competition_name", "string", "competition_name", "competition.competition_name"),
+    ("competition_country", "string", "competition_country_name", "competition.country_name"),
+    ("season_id", "int", "season_id", "season.season_id"), ("season_name", "string", "season", "season.season_name"), *_team("home"), *_team("away"),
+    ("stage_id", "int", "competition_stage_id", "competition_stage.id"), ("stage_name", "string", "competition_stage", "competition_stage.name"),
+    ("stadium_id", "int", "stadium_id", "stadium.id"), ("stadium_name", "string", "stadium", "stadium.name"),
+    ("stadium_country", "string", "stadium_country_name", "stadium.country.name"),
+    ("referee_id", "int", "referee_id", "referee.id"), ("referee_name", "string", "referee", "referee.name"),
+)
 
 
 def conform_matches(df: DataFrame) -> DataFrame:
-    """Flat or nested match documents projected to one schema (the shape is detected from the schema)."""
-    nested = "home_team" in df.columns and isinstance(df.schema["home_team"].dataType, StructType)
-    if nested:
-        return df.select(
-            "match_id", F.to_date("match_date").alias("match_date"),
-            col_or_null(df, "competition.competition_id", "int").alias("competition_id"),
-            col_or_null(df, "season.season_id", "int").alias("season_id"),
-            col_or_null(df, "competition_stage.name").alias("stage_name"),
-            col_or_null(df, "home_team.home_team_id", "bigint").alias("home_team_id"),
-            col_or_null(df, "home_team.home_team_name").alias("home_team_name"),
-            col_or_null(df, "away_team.away_team_id", "bigint").alias("away_team_id"),
-            col_or_null(df, "away_team.away_team_name").alias("away_team_name"),
-            F.col("home_score").cast("bigint"), F.col("away_score").cast("bigint"))
-    return df.select("match_id", F.to_date("match_date").alias("match_date"),
-                     col_or_null(df, "competition_id", "int").alias("competition_id"),
-                     col_or_null(df, "season_id", "int").alias("season_id"),
-                     col_or_null(df, "stage_name").alias("stage_name"),
-                     F.col("home_team_id").cast("bigint"), "home_team_name", F.col("away_team_id").cast("bigint"),
-                     "away_team_name", F.col("home_score").cast("bigint"), F.col("away_score").cast("bigint"))
+    """Flat or nested match documents projected to one schema; fields a document doesn't have are typed nulls.
+
+    A document is nested where its competition is an object."""
+    nested = "competition" in df.columns and isinstance(df.schema["competition"].dataType, StructType)
+    return df.select(*[col_or_null(df, path if nested else flat, kind).alias(name) for name, kind, flat, path in MATCH_FIELDS])
 
 
 #: Core fields of a provider event: column, type, path.

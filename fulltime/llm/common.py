@@ -57,15 +57,17 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
 
 
 def per_process(key: str, make: Callable[[], Any]) -> Any:
-    """One object for each Python worker process, made when first asked for.
+    """One object for each Python worker process, made when first asked for; the one before it goes.
 
     Workers outlive tasks; functions shipped by value do not. Used for vocabularies with their tables of
     words already encoded, which change no result.
     """
-    store = sys.modules.setdefault("fulltime_llm_process", python_types.ModuleType("fulltime_llm_process")).__dict__
-    if key not in store:
-        store[key] = make()
-    return store[key]
+    module = sys.modules.setdefault("fulltime_llm_process", python_types.ModuleType("fulltime_llm_process"))
+    held = getattr(module, "held", None)
+    if not held or held[0] != key:
+        module.held = None
+        module.held = held = (key, make())
+    return held[1]
 
 
 class Split:
@@ -160,3 +162,4 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, chars: int = 2_000_000)
                 at, held = i, 0
             held += n
         yield batch.slice(at)
+        pa.default_memory_pool().release_unused()

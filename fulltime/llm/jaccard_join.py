@@ -9,8 +9,9 @@ different sets is lost, and sets never meet unless they share a rare shingle:
 2. ``postings``: each node is dealt out under the first n - ceil(percent/100 * n) + 1 shingles of its
    set in a fixed order (the reported common shingles last, else by hash). Two linked sets share one of
    those. Only shingles that two nodes share stay.
-3. Stars: the least node under a shingle is its hub; each node is held against the few hubs that it
-   shares most shingles with, which finds the body of every large group in pairs that grow with the rows.
+3. Stars: the node with most shared shingles is the hub of those it stands under; each node is held
+   against the few hubs that it shares most shingles with, which finds the body of every large group, edited
+   copies around their source, in pairs that grow with the rows.
    Groups found so are held once more against the least group under a shingle, by their closest nodes.
 4. Tiles: nodes under a shingle whose nodes are not all of one group yet are dealt to tiles by size band
    (a band spans 100/percent; linked sets lie in the same or the next band). In a tile pairs are made
@@ -31,6 +32,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -41,12 +43,14 @@ from fulltime.llm.components import components
 
 #: Entries of each generation of a process's table of known words (speed only), shingles counted together for the report,
 #: most common shingles kept (they only order a set's shingles), slots of the filter on texts read again.
-KNOWN = 150_000
+KNOWN = 120_000
 COUNTED = 2_000_000
 COMMON = 1 << 20
 SLOTS = 1 << 20
 #: Hubs a node is held against in the first step; all other pairs are left to the tiles.
 HUBS = 3
+#: Nodes under a shingle that a join pairs up, and rows of a part of a larger one (both ways find the same).
+FEW, PART = 48, 1024
 #: Odd multipliers that mix a shingle's words into one key.
 MIX = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
        0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3]
@@ -103,10 +107,8 @@ def bitmap(s: np.ndarray) -> bytes:
 
 def overlap_bound(n: int, a: np.ndarray, m: int, b: np.ndarray) -> int:
     """Most elements that sets of n and m elements with bitmaps a and b can share."""
-    while len(a) > len(b):
-        a = a[:len(a) // 2] | a[len(a) // 2:]
-    while len(b) > len(a):
-        b = b[:len(b) // 2] | b[len(b) // 2:]
+    size = min(len(a), len(b))
+    a, b = _folded(a, size), _folded(b, size)
     return min(n - int(np.bitwise_count(a & ~b).sum()), m - int(np.bitwise_count(b & ~a).sum()))
 
 
@@ -183,11 +185,66 @@ def postings(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> D
 
 
 def _mixed(met: DataFrame, labels: DataFrame) -> DataFrame:
-    """(set_id, shingle, n, label, first) of shingles whose nodes are of several groups; first: of the least group."""
+    """(set_id, shingle, n, label, first) of shingles whose nodes are of several groups; first: of the least group,
+    the node with the most shared shingles."""
     by = Window.partitionBy("shingle")
-    named = met.select("shingle", "set_id", "n").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-    named = named.withColumn("label", F.coalesce("label", "set_id")).withColumn("first", F.min(F.struct("label", "set_id", "n")).over(by))
-    return named.withColumn("last", F.max("label").over(by)).where("first.label < last").drop("last")
+    named = met.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
+    named = named.withColumn("label", F.coalesce("label", "set_id")).withColumn("first", F.min(F.struct("label", (-F.col("ties")).alias("t"), "set_id", "n")).over(by))
+    return named.withColumn("last", F.max("label").over(by)).where("first.label < last").drop("last", "ties")
+
+
+def _tile_pairs(mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of different groups under a shingle, by tiles of (shingle, size band).
+
+    A node is at home in its band's tile, and a guest in the next one. Where few nodes meet, a join makes the
+    pairs. A shingle with more than FEW nodes is worked on in cells of at most two parts of PART rows on
+    average, with the signatures at hand: only pairs whose bit counts leave a link possible come out.
+    """
+    band = F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("int")
+    rows = mixed.withColumn("own", band).withColumn("many", F.count(F.lit(1)).over(Window.partitionBy("shingle")))
+    home = rows.withColumn("tile", F.col("own"))
+    guest = rows.withColumn("tile", F.explode(F.array(F.col("own"), F.col("own") + 1)))
+
+    few, host = guest.where(F.col("many") <= FEW), home.where(F.col("many") <= FEW)
+    others = host.select("shingle", "tile", F.col("label").alias("other")).distinct()
+    host = host.select("shingle", "tile", F.col("label").alias("other"), F.col("set_id").alias("set_b"), F.col("n").alias("n_b"))
+    joined = (few.join(others, ["shingle", "tile"]).where("label <> other").join(host, ["shingle", "tile", "other"])
+              .where(((F.col("own") < F.col("tile")) | (F.col("set_id") < F.col("set_b"))) & _sizes_fit("n", "n_b", percent))
+              .select(F.least("set_id", "set_b").alias("a"), F.greatest("set_id", "set_b").alias("b")))
+
+    many = guest.where(F.col("many") > FEW).join(nodes.select("set_id", "bits"), "set_id")
+    parts = F.ceil(F.count(F.lit(1)).over(Window.partitionBy("shingle", "tile")) / PART).cast("int")
+    many = many.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int"))
+    many = many.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    many = many.withColumn("lo", F.least("part", "q")).withColumn("hi", F.greatest("part", "q"))
+
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        sets, n, label = (rows[c].to_numpy() for c in ("set_id", "n", "label"))
+        at_home, part, cross = (rows["own"] == rows["tile"]).to_numpy(), rows["part"].to_numpy(), rows["lo"].iloc[0] != rows["hi"].iloc[0]
+        size = min(map(len, rows["bits"]))
+        bits = np.array([_folded(np.frombuffer(x, np.uint8), size) for x in rows["bits"]]).view(np.uint64)
+        a, b = [], []
+        for i in np.flatnonzero(at_home):
+            ok = (label != label[i]) & (~at_home | (sets < sets[i])) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
+            j = np.flatnonzero(ok & (part != part[i]) if cross else ok)
+            if len(j):
+                most = np.minimum(n[j] - np.bitwise_count(bits[j] & ~bits[i]).sum(1, dtype=np.int64),
+                                  n[i] - np.bitwise_count(bits[i] & ~bits[j]).sum(1, dtype=np.int64))
+                j = j[(100 + percent) * most >= percent * (n[j].astype(np.int64) + n[i])]
+                a.append(np.minimum(sets[j], sets[i]))
+                b.append(np.maximum(sets[j], sets[i]))
+        none = [np.zeros(0, np.int64)]
+        return pd.DataFrame({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
+
+    met = many.select("shingle", "tile", "lo", "hi", "set_id", "n", "label", "own", "part", "bits").groupBy("shingle", "tile", "lo", "hi")
+    return joined.union(met.applyInPandas(meet, "a long, b long")).distinct()
+
+
+def _folded(x: np.ndarray, size: int) -> np.ndarray:
+    """A signature of fewer bytes: what stood in either half stands in the whole."""
+    while len(x) > size:
+        x = x[:len(x) // 2] | x[len(x) // 2:]
+    return x
 
 
 def _most_shared(rows: DataFrame, of: list[str], a: str, b: str) -> DataFrame:
@@ -307,12 +364,15 @@ def _linked(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataF
 
     by = Window.partitionBy("shingle")
     dealt = postings(docs, words, percent, np.array([r[0] for r in common][::-1], np.int64))
-    met = (dealt.withColumn("hub", F.min("set_id").over(by)).withColumn("last", F.max("set_id").over(by))
-           .withColumn("hub_n", F.min(F.struct("set_id", "n")).over(by)["n"]).where("hub < last").drop("last"))
-    met = stored(met.dropDuplicates(["shingle", "set_id"]), "postings")
+    met = dealt.withColumn("first", F.min("set_id").over(by)).withColumn("last", F.max("set_id").over(by)).where("first < last")
+    met = stored(met.select("shingle", "set_id", "n").distinct(), "shared")
+    # the node that shares most of its shingles is the likely source of the others: the hub of those shingles
+    met = stored(met.join(met.groupBy("set_id").agg(F.count(F.lit(1)).alias("ties")), "set_id"), "postings")
 
     # of the hubs of its shingles, a node is held against those it shares most shingles with
-    stars = met.where((F.col("hub") != F.col("set_id")) & _sizes_fit("n", "hub_n", percent))
+    stars = met.withColumn("top", F.max(F.struct("ties", "set_id", "n")).over(by)).select(
+        "set_id", "n", F.col("top.set_id").alias("hub"), F.col("top.n").alias("hub_n"))
+    stars = stars.where((F.col("hub") != F.col("set_id")) & _sizes_fit("n", "hub_n", percent))
     links = _verified(_most_shared(stars, ["set_id"], "hub", "set_id"), nodes, docs, words, percent)
     labels = components(links)
     # the same between groups: each against the least one under its shingles, by their closest nodes
@@ -323,16 +383,7 @@ def _linked(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataF
         links = links.union(joined)
         labels = components(links)
 
-    band = F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("int")
-    home = stored(_mixed(met, labels).drop("first").withColumn("tile", band), "tiles")
-    guest = home.withColumn("own", F.col("tile")).withColumn("tile", F.explode(F.array(F.col("tile"), F.col("tile") + 1)))
-    others = home.select("shingle", "tile", F.col("label").alias("other")).distinct()
-    met_by = guest.join(others, ["shingle", "tile"]).where("label <> other")
-    host = home.select("shingle", "tile", F.col("label").alias("other"), F.col("set_id").alias("set_b"), F.col("n").alias("n_b"))
-    pairs = (met_by.join(host, ["shingle", "tile", "other"])
-             .where(((F.col("own") < F.col("tile")) | (F.col("set_id") < F.col("set_b"))) & _sizes_fit("n", "n_b", percent))
-             .select(F.least("set_id", "set_b").alias("a"), F.greatest("set_id", "set_b").alias("b")).distinct())
-    more = _verified(pairs, nodes, docs, words, percent)
+    more = _verified(_tile_pairs(stored(_mixed(met, labels).drop("first"), "tiles"), nodes, percent), nodes, docs, words, percent)
     if not more.isEmpty():
         labels = components(links.union(more))
 

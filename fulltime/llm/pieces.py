@@ -35,7 +35,7 @@ MARK = "▁"
 #: Words of more symbols than this go through the heap.
 LONG = 2048
 #: Entries of each generation of a process's table of known words (speed only).
-KNOWN = 150_000
+KNOWN = 120_000
 NONE = np.iinfo(np.int32).max
 
 

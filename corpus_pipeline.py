@@ -15,8 +15,14 @@ ORACLE_SQL = None
 PIECES = "piece_bpe_32k.model"
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Rows are whole texts: batches to Python workers hold fewer of them than the session's default."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the fertility bands keep."""
+    _small_batches(spark)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
     judged = fertility.verdict(rows, public_tokenizers.path(PIECES), keep=["row"])
     return judged.where("kept").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
@@ -34,11 +40,13 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed at weights 5, 2, 1: a row for each time a document is taken, whole or the parts taken."""
+    _small_batches(spark)
     return source_mix.mix(docs).texts()
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, their digest, and that of the text decoded from them."""
+    _small_batches(spark)
     return pieces.round_trip(docs, public_tokenizers.path(PIECES), with_ids=True)
 
 

@@ -51,6 +51,15 @@ def test_equals_brute_force(spark):
     assert got == brute(texts)
 
 
+def test_cells_of_many_parts_find_the_same(spark, monkeypatch):
+    monkeypatch.setattr(J, "FEW", 2)
+    monkeypatch.setattr(J, "PART", 3)
+    monkeypatch.setattr(J, "HUBS", 1)
+    texts = corpus()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.near_duplicates(H.documents(spark, texts)).collect()}
+    assert got == brute(texts)
+
+
 def test_large_groups_and_a_common_passage(spark):
     r, base, passage = random.Random(3), H.prose(900, 120).split(" "), H.prose(901, 55)
     texts = [" ".join(base)] * 150

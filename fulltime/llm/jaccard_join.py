@@ -212,7 +212,9 @@ def _tile_pairs(mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
               .where(((F.col("own") < F.col("tile")) | (F.col("set_id") < F.col("set_b"))) & _sizes_fit("n", "n_b", percent))
               .select(F.least("set_id", "set_b").alias("a"), F.greatest("set_id", "set_b").alias("b")))
 
-    many = guest.where(F.col("many") > FEW).join(nodes.select("set_id", "bits"), "set_id")
+    # a pair comes out under the first of its large shingles only: each node brings the list of its own
+    large = rows.where(F.col("many") > FEW).groupBy("set_id").agg(F.sort_array(F.collect_list("shingle")).alias("under"))
+    many = guest.where(F.col("many") > FEW).join(nodes.select("set_id", "bits").join(large, "set_id"), "set_id")
     parts = F.ceil(F.count(F.lit(1)).over(Window.partitionBy("shingle", "tile")) / PART).cast("int")
     many = many.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int"))
     many = many.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -223,6 +225,7 @@ def _tile_pairs(mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         at_home, part, cross = (rows["own"] == rows["tile"]).to_numpy(), rows["part"].to_numpy(), rows["lo"].iloc[0] != rows["hi"].iloc[0]
         size = min(map(len, rows["bits"]))
         bits = np.array([_folded(np.frombuffer(x, np.uint8), size) for x in rows["bits"]]).view(np.uint64)
+        shingle, under = int(rows["shingle"].iloc[0]), [np.asarray(x, np.int64) for x in rows["under"]]
         a, b = [], []
         for i in np.flatnonzero(at_home):
             ok = (label != label[i]) & (~at_home | (sets < sets[i])) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
@@ -231,12 +234,17 @@ def _tile_pairs(mixed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 most = np.minimum(n[j] - np.bitwise_count(bits[j] & ~bits[i]).sum(1, dtype=np.int64),
                                   n[i] - np.bitwise_count(bits[i] & ~bits[j]).sum(1, dtype=np.int64))
                 j = j[(100 + percent) * most >= percent * (n[j].astype(np.int64) + n[i])]
+            if len(j):
+                theirs, lens = np.concatenate([under[k] for k in j]), np.array([len(under[k]) for k in j])
+                shared = under[i][np.minimum(np.searchsorted(under[i], theirs), len(under[i]) - 1)] == theirs
+                first = np.minimum.reduceat(np.where(shared, theirs, np.iinfo(np.int64).max), np.cumsum(lens) - lens)
+                j = j[first == shingle]
                 a.append(np.minimum(sets[j], sets[i]))
                 b.append(np.maximum(sets[j], sets[i]))
         none = [np.zeros(0, np.int64)]
         return pd.DataFrame({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
 
-    met = many.select("shingle", "tile", "lo", "hi", "set_id", "n", "label", "own", "part", "bits").groupBy("shingle", "tile", "lo", "hi")
+    met = many.select("shingle", "tile", "lo", "hi", "set_id", "n", "label", "own", "part", "bits", "under").groupBy("shingle", "tile", "lo", "hi")
     return joined.union(met.applyInPandas(meet, "a long, b long")).distinct()
 
 

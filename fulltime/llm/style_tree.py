@@ -12,6 +12,8 @@ An element's importance is ``GAMMA`` times the content importance of all below i
 presentation importance. Branches below ``KEEP`` are taken out of every page of the host, where at least
 ``PAGES`` different pages have the element. Names that say what a branch is (``NOISE`` tags and words) come
 before the statistics: such branches go everywhere, and where a page marks its article, all else goes too.
+A word alone doesn't decide: the article itself, and a branch with the page's title (h1), with its article or
+with most of its text stay, whatever they are called (``has-sidebar``, ``no-comments``).
 
 Statistics are sums over (host, path, text, page), so a host with a third of all pages is many groups;
 pages with the same html count once. The result for a host is a short list of paths, joined to its pages:
@@ -67,13 +69,33 @@ class Page:
     def __init__(self, html: str):
         self.blocks: list[tuple[tuple[str, ...], bool, str]] = []
         self.styles: list[tuple[tuple[str, ...], str]] = []
-        # open elements: tag, name in paths, noise, in the article, children's names
-        self.open: list[tuple[str, str, bool, bool, list[str]]] = [("", "", False, False, [])]
+        # open elements: tag, name in paths, noise, in the article, children's names, named branches around
+        self.open: list[tuple[str, str, bool, bool, list[str], tuple[int, ...]]] = [("", "", False, False, [], ())]
+        # branches with a noise word, by number: characters, has the title, has an article; and those of each block and style
+        self.named: list[list[int]] = []
+        self.block_in: list[tuple[int, ...]] = []
+        self.style_in: list[tuple[int, ...]] = []
+        self.article_outside = False
         self.buffer: list[str] = []
         self._read(html)
         while len(self.open) > 1:
             self._close()
         self._flush()
+        self._judge()
+
+    def _judge(self) -> None:
+        """Branches with a noise word go, but for those that hold the title, the article or most of the text."""
+        if not self.named:
+            return
+        for at, (_, _, text) in zip(self.block_in, self.blocks):
+            for i in at:
+                self.named[i][0] += len(text)
+        total = sum(len(text) for _, _, text in self.blocks)
+        clear = sum(len(text) for at, (_, inside, text) in zip(self.block_in, self.blocks) if inside and not at)
+        gone = {i for i, (chars, title, article) in enumerate(self.named)
+                if not (title or 2 * chars > total or article and (not self.article_outside or chars >= clear))}
+        self.blocks = [b for at, b in zip(self.block_in, self.blocks) if gone.isdisjoint(at)]
+        self.styles = [b for at, b in zip(self.style_in, self.styles) if gone.isdisjoint(at)]
 
     def _flush(self) -> None:
         if self.buffer:
@@ -81,12 +103,14 @@ class Page:
             self.buffer.clear()
             if text and not self.open[-1][2]:
                 self.blocks.append((tuple(e[1] for e in self.open[1:]), self.open[-1][3], text))
+                self.block_in.append(self.open[-1][5])
 
     def _close(self) -> None:
         self._flush()
-        tag, _, noise, _, children = self.open[-1]
+        _, _, noise, _, children, around = self.open[-1]
         if not noise:
             self.styles.append((tuple(e[1] for e in self.open[1:]), " ".join(children)))
+            self.style_in.append(around)
         self.open.pop()
 
     def _open(self, tag: str, attributes: str) -> None:
@@ -103,13 +127,20 @@ class Page:
         found = {k.lower(): v.strip("\"'").lower() for k, v in NAME.findall(attributes)} if "=" in attributes else {}
         words = {w for v in found.values() for w in re.split(r"[^a-z0-9]+", v) if w}
         inside, main = self.open[-1][3], tag in MAIN_TAGS or found.get("role") == "main"
-        noise = (self.open[-1][2] or tag in NOISE_TAGS or (tag == "header" and not inside)
-                 or bool(words & NOISE_WORDS) and tag not in ("html", "body", "main"))
+        noise = self.open[-1][2] or tag in NOISE_TAGS or (tag == "header" and not inside)
+        around = self.open[-1][5]
+        if not noise and (tag == "h1" or main):
+            for i in around:
+                self.named[i][1 if tag == "h1" else 2] = 1
+            self.article_outside |= tag == "article" and not around
+        if not noise and not main and tag not in ("html", "body") and words & NOISE_WORDS:
+            around = (*around, len(self.named))
+            self.named.append([0, int(tag == "h1"), 0])
         first = (found.get("class") or found.get("id") or "").split()
         name = f"{tag}.{first[0]}" if first else tag
         if self.open[-1][4][-1:] != [name]:  # runs of equal children are one
             self.open[-1][4].append(name)
-        self.open.append((tag, name, noise, (inside or main) and not noise, []))
+        self.open.append((tag, name, noise, (inside or main) and not noise, [], around))
 
     def _read(self, html: str) -> None:
         at, n = 0, len(html)

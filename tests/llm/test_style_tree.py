@@ -23,6 +23,20 @@ def test_blocks(html, text):
     assert S.Page(html).kept() == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<p>x</p><article class='post no-comments'><h1>T</h1><p>body</p></article>", ["T", "body"]),
+    ("<h1>T</h1><div class='content has-sidebar'><p>the long text of the page</p></div><div class=sidebar><p>s</p></div>", ["T", "the long text of the page"]),
+    ("<div id=page class='layout-sidebar-right'><div class=sidebar>side</div><article><p>body</p></article></div>", ["body"]),
+    ("<main><p>a longer introduction</p><div class='search-result'><article><p>body</p></article></div></main>", ["a longer introduction", "body"]),
+    ("<div class='social-issues'><h1>T</h1></div><div class='share-price'><h1>U</h1></div><p>the other text", ["T", "U", "the other text"]),
+    ("<article><p>a long body text</p><div id=comments><article class=comment>me too</article></div></article>", ["a long body text"]),
+    ("<article><p>a long body text</p></article><div class=related><article>teaser</article></div>", ["a long body text"]),
+    ("<div role=main class='has-sidebar'><p>body</p></div><p>out", ["body"]),
+])
+def test_a_noise_word_alone_does_not_remove_the_text(html, text):
+    assert S.Page(html).kept() == text
+
+
 def site(spark):
     rows, want = [], {}
     for i in range(40):  # a host whose menu and notice have no telling names

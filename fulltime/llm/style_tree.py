@@ -16,7 +16,8 @@ A word alone doesn't decide: the article itself, and a branch with the page's ti
 with most of its text stay, whatever they are called (``has-sidebar``, ``no-comments``).
 
 Statistics are sums over (host, path, text, page), so a host with a third of all pages is many groups;
-pages with the same html count once. The result for a host is a short list of paths, joined to its pages:
+pages that share their main text (the marked one, else the texts of the path that holds most) count once, so copies
+of one article under other menus don't make it look like a menu. The result for a host is a short list of paths, joined to its pages:
 by broadcast while all lists are small (checked), else by a shuffle.
 
 Defined results: null or empty html gives an empty text; a null url or one without host belongs to a host
@@ -185,6 +186,17 @@ class Page:
                 return
         self._flush()
 
+    def main(self) -> str:
+        """The text that tells different pages apart: the marked blocks, else those of the path with most characters."""
+        blocks = [b for b in self.blocks if b[1]]
+        if not blocks:
+            by: dict[tuple[str, ...], int] = {}
+            for path, _, text in self.blocks:
+                by[path] = by.get(path, 0) + len(text)
+            most = max(by, key=lambda path: (by[path], path), default=None)
+            blocks = [b for b in self.blocks if b[0] == most]
+        return "\n".join(text for _, _, text in blocks)
+
     def kept(self, low: frozenset[str] = frozenset()) -> list[str]:
         """Texts of the blocks that stay: those of the article, if the page has one with text."""
         blocks = [b for b in self.blocks if b[1]] or self.blocks
@@ -217,7 +229,8 @@ def site_nodes(pages: DataFrame) -> DataFrame:
             for host, html in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
                 if not html:
                     continue
-                page, page_key = Page(html), key(html)
+                page = Page(html)
+                page_key = key(page.main() or html)
                 marked = any(inside for _, inside, _ in page.blocks)
                 rows: dict[tuple[str, int, int], int] = {}
                 for path, inside, text in page.blocks:
@@ -237,7 +250,7 @@ def site_nodes(pages: DataFrame) -> DataFrame:
 
 def low_branches(nodes: DataFrame) -> DataFrame:
     """(host, low): the paths of each host whose importance is below the bound."""
-    nodes = stored(nodes.dropDuplicates(["host", "path", "kind", "what", "page"]), "style-tree")
+    nodes = stored(nodes.groupBy("host", "path", "kind", "what", "page").agg(F.max("chars").alias("chars")), "style-tree")
     m = nodes.select("host", "path", "page").distinct().groupBy("host", "path").agg(F.count(F.lit(1)).alias("m"))
     # entropy of one text over its pages: log n - sum(c log c) / n, for c characters a page and n in all
     text = (nodes.where("kind = 0").groupBy("host", "path", "what")

@@ -59,6 +59,18 @@ def test_low_branches_go_and_texts_stay(spark):
         assert r["text"] == want[r["page_id"]] and r["n_chars"] == len(r["text"])
 
 
+@pytest.mark.parametrize("marked", [False, True])
+def test_one_article_under_many_menus_stays(spark, marked):
+    """Nine pages in ten carry one article; each has another menu. All keep their article, and the menu's notice goes."""
+    tag = "article" if marked else "section"
+    body = [" ".join(H.prose(i, 60).split()) for i in range(10)]
+    rows = [(i, "http://copies.org/x", f"<div class=box><p>We value you</p></div><div class=top>menu {i}</div><{tag}><p>{body[i % 10 if i % 10 and i < 10 else 0]}</p></{tag}>")
+            for i in range(100)]
+    for r in S.main_text(spark.createDataFrame(rows, PAGE)).collect():
+        i = r["page_id"]
+        assert body[i % 10 if i % 10 and i < 10 else 0] in r["text"] and "We value you" not in r["text"], i
+
+
 def test_shuffle_join_gives_the_same(spark, monkeypatch):
     pages, want = site(spark)
     monkeypatch.setattr(S, "BROADCAST", -1)

@@ -57,6 +57,25 @@ def test_predictions_and_odd_rows(spark):
     assert L.predict(H.no_rows(spark), model).count() == 0
 
 
+def test_languages_of_one_script_among_many(spark):
+    """Thirty languages, most in Latin letters: those in other scripts are still told apart by all their bytes."""
+    other = {"ru": "все люди рождаются свободными и равными в своем достоинстве и правах", "uk": "всі люди народжуються вільними і рівними у своїй гідності та правах",
+             "bg": "всички хора се раждат свободни и равни по достойнство и права", "ja": "すべての人間は生まれながらにして自由であり", "zh": "人人生而自由在尊严和权利上一律平等"}
+    latin = {f"l{i:02}": H.prose(i, 400).encode() for i in range(25)}
+    model = L.PpmModel({k: [t.encode()] * 3 for k, t in other.items()} | {k: [t] * 3 for k, t in latin.items()})
+    probe = {"ru": "рождаются равными", "uk": "народжуються рівними", "bg": "раждат равни", "ja": "人間は自由", "zh": "生而平等"}
+    for k, t in probe.items():
+        assert model.languages[int(model.bits(t.encode()).argmin())] == k
+    assert model.width == 256 and len(np.unique(model.symbol)) == 256
+
+
+def test_long_documents_teach(spark):
+    rows = [(1, SAMPLES["de"][0] * 2000, "de"), (2, SAMPLES["en"][0], "en"), (3, "é" * 40_000 + "日本" * 40_000, "xx")]
+    model = L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["de", "en", "xx"]
+    assert [model.languages[int(model.bits(t.encode()).argmin())] for t in ("der hund und die katze", "the dog and the cat", "日本", "éé")] == ["de", "en", "xx", "xx"]
+
+
 def test_nothing_to_learn_from(spark):
     model = L.fit(spark.createDataFrame([], "doc_id long, text string, lang string"))
     assert L.predict(H.documents(spark, ["abc"]), model).first()["lang_pred"] == "und"

@@ -61,6 +61,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table in the shared folder and read back: its lineage ends there."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Delete the scratch folders that this application made (results read from them end with it); their number."""
     made = _MADE.pop(spark.sparkContext.applicationId, [])

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import sys
 import types as python_types
-import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from typing import Any
@@ -16,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from fulltime.session import scratch_dir
+from fulltime.session import stored as write_stored
+
 #: Words are runs of other characters than these ASCII blanks (space, tab to carriage return).
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -30,18 +32,13 @@ def fanout(spark: SparkSession, times: int = 1) -> int:
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder of ``spark.checkpoint.dir``."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{root.rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder of ``spark.checkpoint.dir``; ``session.drop_scratch`` deletes it."""
+    return scratch_dir(spark, f"llm-{label}")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: its lineage ends there."""
-    path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return write_stored(df, f"llm-{label}")
 
 
 @contextmanager

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulltime.llm import elias_fano, fertility, jaccard_join, pieces, pii_boost, pitman_yor, ppm_langid, source_mix, style_tree, vector_forest
+from fulltime.llm import elias_fano, fertility, jaccard_join, merkle, pieces, pii_boost, pitman_yor, ppm_langid, source_mix, style_tree, vector_forest
 from fulltime.llm.common import shared_path, table
 
 
@@ -75,6 +75,18 @@ def op9_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return style_tree.main_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of the documents by language; every seventh is checked with one character more than it has."""
+    docs = table(spark, sf_dir, "documents")
+    more = F.when(F.col("n_chars") < F.lit(2**63 - 1), F.col("n_chars").cast("long") + 1).otherwise(F.lit(-(2**63)))
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    claimed = merkle.leaf([F.when(F.col("n_chars").isNotNull(), more) if i == 3 else c for i, c in enumerate(fields)])
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
+    rows = docs.select(F.col("lang").alias("g"), F.col("doc_id").alias("id"), merkle.leaf(fields).alias("leaf"),
+                       F.when(tampered, claimed).alias("claimed"))
+    return merkle.manifest(rows).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_forest": op2_forest,
@@ -86,8 +98,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_elias_fano": op8_elias_fano,
     "op9_style_tree": op9_style_tree,
     "op10_fertility": op10_fertility,
+    "op11_merkle": op11_merkle,
 }
 
+#: DuckDB text of the CRC-32 of a string of ASCII characters.
+CRC32 = ("xor(list_reduce([4294967295::UBIGINT] || [ord(x)::UBIGINT FOR x IN string_split({0}, '')], lambda c, b: "
+         "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))), 4294967295::UBIGINT)")
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR END"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
 #: DuckDB SQL of those that SQL can express.
 ORACLE: dict[str, str] = {
     "op3_jaccard": r"""
@@ -107,5 +133,45 @@ reach AS (
   UNION SELECT reach.d, linked.b FROM reach JOIN linked ON linked.a = reach.r)
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, min(reach.r) AS component_id
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN reach ON reach.d = w.doc_id GROUP BY w.doc_id, n.n
+""",
+    "op11_merkle": f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_leaf('n_chars')} AS leaf,
+    CASE WHEN {CRC32.format('doc_id::VARCHAR')} % 7 = 0 THEN {_leaf('n_chars + 1')} ELSE {_leaf('n_chars')} END AS claimed FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS n, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM leaves),
+nodes AS (
+  SELECT g, 0 AS level, pos, leaf AS h, n FROM placed
+  UNION ALL
+  SELECT g, any_value(level) + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 1) // 2)
+  FROM nodes WHERE n > 1 GROUP BY g, pos // 2),
+subroots AS (SELECT g, h, level FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, g AS pos, h, (SELECT count(*) FROM subroots) AS n FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 1) // 2)
+  FROM tops WHERE n > 1 GROUP BY pos // 2),
+roots AS (SELECT h AS root, level FROM tops WHERE n = 1),
+steps AS (  -- every node with its sibling, up to the root: levels of the groups' own trees, then those above
+  SELECT n.g, false AS above, n.level, n.pos, coalesce(o.h, '') AS sibling FROM nodes n
+  LEFT JOIN nodes o ON o.g = n.g AND o.level = n.level AND o.pos = xor(n.pos, 1::BIGINT) WHERE n.n > 1
+  UNION ALL
+  SELECT -1, true, t.level, t.pos, coalesce(o.h, '') FROM tops t
+  LEFT JOIN tops o ON o.level = t.level AND o.pos = xor(t.pos, 1::BIGINT) WHERE t.n > 1),
+climb AS (
+  SELECT row_number() OVER () AS k, g, g AS low, false AS above, 0 AS level, pos, claimed AS folded, '' AS proof, 0 AS step,
+    doc_id, leaf, p.g AS own FROM placed p
+  UNION ALL
+  SELECT c.k, CASE WHEN up THEN -1 ELSE c.g END, c.low, up, CASE WHEN up AND NOT c.above THEN 1 ELSE c.level + 1 END, s.pos // 2,
+    sha256(CASE WHEN s.pos % 2 = 0 THEN c.folded || s.sibling ELSE s.sibling || c.folded END), c.proof || s.sibling, c.step + 1, c.doc_id, c.leaf, c.own
+  FROM (SELECT c.*, c.above OR c.level = b.level AS up, b.level AS top FROM climb c JOIN subroots b ON b.g = c.own) c
+  JOIN steps s ON s.above = c.up AND s.g = CASE WHEN c.up THEN -1 ELSE c.g END
+    AND s.level = CASE WHEN c.up AND NOT c.above THEN 0 ELSE c.level END
+    AND s.pos = CASE WHEN c.up AND NOT c.above THEN c.low ELSE c.pos END),
+ends AS (SELECT k, max_by(folded, step) AS folded, max_by(proof, step) AS proof,
+  any_value(doc_id) AS doc_id, any_value(leaf) AS leaf, any_value(own) AS own FROM climb GROUP BY k)
+SELECT e.doc_id, e.leaf, b.h AS subroot, r.root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root, e.folded = r.root AS verified
+FROM ends e JOIN subroots b ON b.g = e.own CROSS JOIN roots r
 """,
 }

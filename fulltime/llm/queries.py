@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulltime.llm import elias_fano, fertility, jaccard_join, merkle, pieces, pii_boost, pitman_yor, ppm_langid, source_mix, style_tree, vector_forest
+from fulltime.llm import conversations, elias_fano, fertility, jaccard_join, merkle, pieces, pii_boost, pitman_yor, ppm_langid, source_mix, style_tree, vector_forest
 from fulltime.llm.common import shared_path, table
 
 
@@ -87,6 +87,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(rows).withColumnRenamed("id", "doc_id")
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of damaged conversations and their cheapest repair."""
+    return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_forest": op2_forest,
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_style_tree": op9_style_tree,
     "op10_fertility": op10_fertility,
     "op11_merkle": op11_merkle,
+    "op12_conversations": op12_conversations,
 }
 
 #: DuckDB text of the CRC-32 of a string of ASCII characters.
@@ -114,6 +120,74 @@ def _leaf(n_chars: str) -> str:
     return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
 
 
+def _repair_sql() -> str:
+    """The cheapest edits row by row: w0 to w3 hold the least way into each state as ten digits of cost and the audit."""
+
+    def step(way: str, cost: str, edit: str) -> str:
+        return f"lpad((({way})[1:10]::BIGINT + {cost})::VARCHAR, 10, '0') || ({way})[11:] || '{edit}'"
+
+    def closed(ways: list[str]) -> list[str]:
+        """With inserts before the next row: nothing to user to assistant, system to user, user and assistant to each other."""
+        user = f"least({ways[2]}, {step(ways[0], '5', 'I')}, {step(ways[1], '5', 'I')}, {step(ways[3], '5', 'I')})"
+        both = "least({0}, {1}, {2})".format(ways[3], step(ways[2], "5", "I"), "least(" + step(step(ways[0], "5", "I"), "5", "I") + ", " + step(step(ways[1], "5", "I"), "5", "I") + ")")
+        return [ways[0], ways[1], user, both]
+
+    def into(state: int, initial: str, come: list[int]) -> str:
+        more = "CASE WHEN fault = 3 THEN 5 ELSE 0 END"
+        ways = []
+        for p in come:
+            keep, name = step(f"c.w{p}", more, "K"), step(f"c.w{p}", f"1 + {more}", "R")
+            again = "NULL" if initial == "s" else name
+            ways.append(f"CASE WHEN fault IN (1, 2) THEN NULL WHEN initial = '{initial}' THEN {keep} ELSE {again} END")
+        return "least(" + ", ".join([step(f"c.w{state}", "2", "D"), *ways]) + ")"
+
+    moved = [step("c.w0", "2", "D"), into(1, "s", [0]), into(2, "u", [0, 1, 3]), into(3, "a", [2])]
+    first, after = closed(["'0000000000'", "NULL::VARCHAR", "NULL::VARCHAR", "NULL::VARCHAR"]), closed([f"m{q}" for q in range(4)])
+    return f"""
+WITH RECURSIVE keyed AS (
+  SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+marked AS (SELECT *, {CRC32.format('k')} % 20 AS kind FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text
+  FROM (SELECT *, unnest(CASE WHEN kind = 0 THEN [] WHEN kind = 3 THEN [0, 1] ELSE [0] END) FROM marked)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(strlen(role) || ':' || role || text)) AS i FROM damaged),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth FROM placed),
+judged AS (
+  SELECT *, role[1:1] AS initial, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 1 WHEN nth > 1 THEN 2
+    WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 3 ELSE 0 END AS fault FROM numbered),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+    count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM judged) GROUP BY conv_id),
+ways AS (
+  SELECT conv_id, 0::BIGINT AS i, {', '.join(f'{w} AS w{q}' for q, w in enumerate(first))} FROM facts
+  UNION ALL
+  SELECT conv_id, i, {', '.join(f'{w} AS w{q}' for q, w in enumerate(after))} FROM (
+    SELECT c.conv_id, j.i, {', '.join(f'{w} AS m{q}' for q, w in enumerate(moved))}
+    FROM ways c JOIN judged j ON j.conv_id IS NOT DISTINCT FROM c.conv_id AND j.i = c.i + 1)),
+best AS (
+  SELECT w.conv_id, least(w0, w3)[1:10]::BIGINT AS cost, least(w0, w3)[11:] AS audit FROM ways w
+  JOIN facts f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.i),
+letters AS (
+  SELECT conv_id, audit[p:p] AS edit, length(replace(audit[1:p], 'I', '')) AS i,
+    length(replace(audit[1:p], 'D', '')) AS line FROM (SELECT *, unnest(range(1, length(audit) + 1)) AS p FROM best)),
+lines AS (
+  SELECT l.conv_id, l.line, CASE WHEN edit = 'K' THEN j.role WHEN (l.line - CASE WHEN s.system THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN edit = 'I' THEN '' ELSE j.text END AS line_text
+  FROM letters l LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM l.conv_id AND j.i = l.i AND edit <> 'I'
+  JOIN (SELECT l.conv_id, coalesce(bool_or(l.edit = 'K' AND l.line = 1 AND j.initial = 's'), false) AS system FROM letters l
+        LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM l.conv_id AND j.i = l.i GROUP BY l.conv_id) s ON s.conv_id IS NOT DISTINCT FROM l.conv_id
+  WHERE edit <> 'D'),
+mended AS (SELECT conv_id, string_agg(line_text, chr(10) ORDER BY line) AS t FROM lines GROUP BY conv_id)
+SELECT o.conv_id, coalesce(f.gaps, 0) AS gaps, coalesce(f.blank, 0) AS blank, coalesce(f.duplicate, 0) AS duplicate, coalesce(f.truncated, 0) AS truncated,
+  coalesce(f.illegal, 0) AS illegal, coalesce(b.cost, 0) AS cost, coalesce(b.audit, '') AS audit, sha256(coalesce(m.t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN mended m ON m.conv_id IS NOT DISTINCT FROM o.conv_id
+""".replace("\\\\", "\\")
+
+
 #: DuckDB SQL of those that SQL can express.
 ORACLE: dict[str, str] = {
     "op3_jaccard": r"""
@@ -174,4 +248,5 @@ ends AS (SELECT k, max_by(folded, step) AS folded, max_by(proof, step) AS proof,
 SELECT e.doc_id, e.leaf, b.h AS subroot, r.root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root, e.folded = r.root AS verified
 FROM ends e JOIN subroots b ON b.g = e.own CROSS JOIN roots r
 """,
+    "op12_conversations": _repair_sql(),
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulltime.llm import conversations, elias_fano, fertility, jaccard_join, merkle, pieces, pii_boost, pitman_yor, ppm_langid, source_mix, style_tree, vector_forest
+from fulltime.llm import conversations, elias_fano, fertility, jaccard_join, merkle, pieces, pii_boost, pitman_yor, ppm_langid, recompression, source_mix, style_tree, vector_forest
 from fulltime.llm.common import shared_path, table
 
 
@@ -92,6 +92,11 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op13_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left when 50-word windows that an earlier document has are removed."""
+    return recompression.without_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_forest": op2_forest,
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fertility": op10_fertility,
     "op11_merkle": op11_merkle,
     "op12_conversations": op12_conversations,
+    "op13_recompression": op13_recompression,
 }
 
 #: DuckDB text of the CRC-32 of a string of ASCII characters.
@@ -249,4 +255,19 @@ SELECT e.doc_id, e.leaf, b.h AS subroot, r.root, sha256(e.proof) AS proof_sha256
 FROM ends e JOIN subroots b ON b.g = e.own CROSS JOIN roots r
 """,
     "op12_conversations": _repair_sql(),
+    "op13_recompression": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)),
+earliest AS (SELECT s, min(doc_id) AS low FROM windows GROUP BY s),
+gone AS (
+  SELECT DISTINCT x.doc_id, unnest(range(x.i, x.i + 50)) AS i FROM windows x JOIN earliest e ON e.s = x.s WHERE e.low < x.doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT k.doc_id, string_agg(k.word, ' ' ORDER BY k.i) AS t
+  FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w) k ANTI JOIN gone g ON g.doc_id = k.doc_id AND g.i = k.i GROUP BY k.doc_id)
+SELECT w.doc_id, len(w.ws) AS n_words, coalesce(l.n, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM w LEFT JOIN lost l ON l.doc_id = w.doc_id LEFT JOIN kept k ON k.doc_id = w.doc_id
+""",
 }

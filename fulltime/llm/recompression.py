@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from fulltime.llm.common import filled, map_arrow, per_process, slices, stored
 
 #: Bytes of text in a chunk (a longer text is a chunk of its own).
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Rounds up to the low symbols, longest symbol that takes part in them, and one of how many is reported.
 LOW, SHORT, SAMPLE = 6, 8, 2
 #: High symbols are reported every so many rounds.

@@ -1,85 +1,144 @@
 """Sequential team ratings, snapshots, latest values and as-of lookups.
 
-The rating update couples the two teams of a match, so matches of one pool (an independent
-competition history) must be folded in date order; pools are independent and run in parallel.
-Pools are hash-partitioned, sorted inside their partition, and folded by ``mapInPandas`` that
-streams each partition in Arrow batches: memory is O(teams), not O(matches), so a pool holding
-a third of all rows still runs in one bounded task, and there is no per-pool Python overhead.
+A rating update couples the two teams of a match, so a match depends on the previous match of either team;
+matches without such a bond, and those of different pools (independent competition histories), don't. Two ways
+give the same ratings, both in column expressions only:
+
+* ``_by_pool``: a pool's matches are one sorted array, folded by ``aggregate`` over an array of ratings. For
+  pools of a bounded size (``POOL_MATCHES`` matches, ``POOL_STEPS`` matches times teams).
+* ``_by_level``: larger pools are spread over tasks by dependency level. Each team waits for its next match; a
+  match both of whose teams wait for it can be rated, all such matches at once, and its teams then wait for
+  their next ones. A round works on one row a team, its state is a stored table, and the rounds are as many as
+  the longest chain of matches.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fulltime.functions import football as fb
 from fulltime.functions.common import rnd
-
-# The fold runs in Python workers: ship this module's functions by value with the task, so workers
-# need no installed copy of the package (driver working directory or cluster image).
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from fulltime.operators.numbering import numbered
+from fulltime.session import scratch_dir, stored
 
 START_RATING = 1000.0
 
 RESULT_COLUMNS = ["pool_id", "match_num", "match_date", "home_team", "away_team", "home_score", "away_score", "round"]
-RATING_SCHEMA = (
-    "pool_id long, match_num long, match_date date, home_team string, away_team string, home_score long, "
-    "away_score long, round string, k_factor int, elo_home_before double, elo_away_before double, "
-    "elo_home_after double, elo_away_after double, we_home double"
-)
-
-
-def _fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Fold the pools of one partition. Rows arrive clustered by pool and sorted by (pool, date, number),
-    nulls first; the ratings start anew at every pool, and the order is checked."""
-    ratings: dict[str, float] = {}
-    pool, last = None, None
-    for b in batches:
-        n = len(b)
-        out = {c: [0.0] * n for c in ("elo_home_before", "elo_away_before", "elo_home_after", "elo_away_after", "we_home")}
-        known = [(None if p != p else p, None if d is None or d != d else d, m) for p, d, m in zip(b["pool_id"], b["match_date"], b["match_num"])]
-        rows = zip(known, b["home_team"], b["away_team"], b["home_score"], b["away_score"], b["k_factor"])
-        for i, (key, home, away, scored, conceded, k) in enumerate(rows):
-            at = tuple((x is not None, x or 0) for x in key)  # an unknown value comes before all known ones
-            if last is not None and at < last:
-                raise ValueError("ratings input is not sorted by (pool, date, number) inside its partition")
-            if last is None or key[0] != pool:
-                ratings, pool = {}, key[0]
-            last = at
-            rh, ra = ratings.get(home, START_RATING), ratings.get(away, START_RATING)
-            expected = 1.0 / (1.0 + 10.0 ** ((ra - rh) / 400.0))
-            gain = k * ((scored > conceded) + 0.5 * (scored == conceded) - expected)
-            ratings[home], ratings[away] = rh + gain, ra - gain
-            for c, v in zip(out, (rh, ra, rh + gain, ra - gain, expected)):
-                out[c][i] = v
-        yield b.assign(**out)
-
-
-def elo_ratings(results: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Before/after ratings of every scored match, folded per ``pool_id`` in (match_date, match_num) order.
+#: Largest pool that is folded as one array: matches, and matches times teams (a step copies the teams' ratings).
+POOL_MATCHES = 1 << 18
+POOL_STEPS = 1 << 28
+#: Matches of an inner array: a step copies the references of those before it.
+RUN = 512
+
+_BEFORE = ("rh", "ra")
+#: Expected score of the home side.
+_EXPECTED = "1D / (1D + power(10D, (ra - rh) / 400D))"
+
+
+def _won() -> Column:
+    return F.when(F.col("home_score") > F.col("away_score"), 1.0).when(F.col("home_score") == F.col("away_score"), 0.5).otherwise(0.0)
+
+
+def _after(rated: DataFrame) -> DataFrame:
+    """nh and na, the ratings after a match, from those before it and the expected score e."""
+    gain = F.col("k_factor") * (_won() - F.col("e"))
+    return rated.select("*", (F.col("rh") + gain).alias("nh"), (F.col("ra") - gain).alias("na"))
+
+
+def _by_pool(matches: DataFrame) -> DataFrame:
+    """``matches`` with rh, ra, nh, na (ratings before and after) and e, folded pool by pool in one array each."""
+    order = [F.col("match_date").isNotNull().alias("dated"), "match_date", F.col("match_num").isNotNull().alias("numbered"), "match_num"]
+    rest = [c for c in matches.columns if c not in ("pool_id", "match_date", "match_num")]
+    pools = matches.groupBy("pool_id").agg(
+        F.sort_array(F.collect_list(F.struct(*order, *rest, _won().alias("won")))).alias("ms"),
+        F.array_union(F.collect_set("home_team"), F.collect_set("away_team")).alias("teams"))
+    # a step's input: its teams' places among the ratings, what the match weighs and how it ended
+    steps = """transform(ms, m -> named_struct('h', cast(array_position(teams, m.home_team) - 1 as int),
+                                               'a', cast(array_position(teams, m.away_team) - 1 as int), 'k', m.k_factor, 'won', m.won))"""
+    out = "array<struct<rh: double, ra: double, e: double>>"
+
+    def let(value: str, name: str, body: str) -> str:
+        return f"transform(array({value}), {name} -> {body})[0]"
+
+    step = """named_struct(
+      'r', transform(t.r, (x, i) -> CASE WHEN i = m.a THEN x_ra - m.k * (m.won - e) WHEN i = m.h THEN x_rh + m.k * (m.won - e) ELSE x END),
+      'out', concat(t.out, array(named_struct('rh', x_rh, 'ra', x_ra, 'e', e))))""".replace("x_ra", "t.r[m.a]").replace("x_rh", "t.r[m.h]")
+    step = let(_EXPECTED.replace("rh", "t.r[m.h]").replace("ra ", "t.r[m.a] "), "e", step)
+    run = f"aggregate(run, named_struct('r', s.r, 'out', cast(array() as {out})), (t, m) -> {step})"
+    folded = f"""aggregate(
+      transform(sequence(0, (size(steps) - 1) div {RUN}), i -> slice(steps, cast(i * {RUN} + 1 as int), {RUN})),
+      named_struct('r', transform(teams, x -> {START_RATING}D), 'outs', cast(array() as array<{out}>)),
+      (s, run) -> {let(run, "d", "named_struct('r', d.r, 'outs', concat(s.outs, array(d.out)))")},
+      s -> flatten(s.outs))"""
+    held = pools.select("*", F.expr(steps).alias("steps")).select("pool_id", "ms", F.expr(folded).alias("out"))
+    each = held.select("pool_id", F.explode(F.arrays_zip("ms", "out")).alias("z"))
+    return _after(each.select(*[F.col("pool_id") if c == "pool_id" else F.col(f"z.ms.{c}") for c in matches.columns],
+                              *[F.col(f"z.out.{c}") for c in (*_BEFORE, "e")]))
+
+
+def _by_level(matches: DataFrame) -> DataFrame:
+    """The same, all matches at once whose teams have no earlier match left to rate."""
+    spark = matches.sparkSession
+    # the number is the place in the order of pools; a team's side of a match knows its team's next match
+    placed = numbered(matches.withColumn("_tie", F.xxhash64(*matches.columns)), ["pool_id", "match_date", "match_num", "_tie"], "_n").drop("_tie")
+    sides = placed.select("pool_id", "_n", F.explode(F.array_distinct(F.array("home_team", "away_team"))).alias("team"))
+    following = F.lead("_n").over(Window.partitionBy("pool_id", "team").orderBy("_n"))
+    nexts = sides.select("pool_id", "team", "_n", following.alias("next"))
+    nexts = stored(nexts, "sides")
+    first = nexts.groupBy("pool_id", "team").agg(F.min("_n").alias("waits"))
+    home, away = (nexts.select(F.col("_n"), F.col("team").alias(f"{s}_team"), F.col("next").alias(f"{s}_next")) for s in ("home", "away"))
+    # in order of the numbers, so a round reads the row groups around its matches only
+    todo = stored(placed.join(home, ["_n", "home_team"]).join(away, ["_n", "away_team"]).repartitionByRange("_n").sortWithinPartitions("_n"), "matches")
+    waiting = stored(first.select("pool_id", "team", "waits", F.lit(START_RATING).alias("r")), "waiting")
+    path = scratch_dir(spark, "rated")
+    while True:
+        ready = waiting.groupBy("waits").agg(F.count("*").alias("here"))
+        pair = todo.join(ready, todo["_n"] == ready["waits"]).where(
+            F.col("here") == F.when(F.col("home_team") == F.col("away_team"), 1).otherwise(2)).drop("waits", "here")
+        span = waiting.agg(F.min("waits"), F.max("waits")).first()
+        if span[0] is None:
+            break
+        pair = pair.where(F.col("_n").between(span[0], span[1]))
+        rating = [waiting.select(F.col("waits").alias("_n"), F.col("team").alias(f"{s}_team"), F.col("r").alias(c)) for s, c in zip(("home", "away"), _BEFORE)]
+        now = pair.join(rating[0], ["_n", "home_team"]).join(rating[1], ["_n", "away_team"]).withColumn("e", F.expr(_EXPECTED))
+        now = stored(_after(now), "level")
+        now.select(*matches.columns, *_BEFORE, "e", "nh", "na").write.mode("append").parquet(path)
+        moved = now.select("pool_id", F.explode(F.array_distinct(F.array(  # of a team against itself, the away side counts
+            F.struct(F.when(F.col("home_team") == F.col("away_team"), F.col("away_team")).otherwise(F.col("home_team")).alias("team"),
+                     F.when(F.col("home_team") == F.col("away_team"), F.col("away_next")).otherwise(F.col("home_next")).alias("waits"),
+                     F.when(F.col("home_team") == F.col("away_team"), F.col("na")).otherwise(F.col("nh")).alias("r")),
+            F.struct(F.col("away_team").alias("team"), F.col("away_next").alias("waits"), F.col("na").alias("r"))))).alias("m")).select("pool_id", "m.*")
+        done = now.select(F.col("_n").alias("waits"))
+        waiting = stored(waiting.join(done, "waits", "left_anti").unionByName(moved.where("waits is not null")), "waiting")
+    rated = matches.select("*", *[F.lit(0.0).alias(c) for c in (*_BEFORE, "e", "nh", "na")]).schema
+    return spark.read.schema(rated).parquet(path)
+
+
+def elo_ratings(results: DataFrame) -> DataFrame:
+    """Before/after ratings of every scored match, in (match_date, match_num) order within its ``pool_id``.
 
     ``results`` needs pool_id, match_num, match_date, home_team, away_team, home_score, away_score, round.
-    Matches without both scores are not rated and not returned. Rows of null pool are a pool of their own,
-    matches of null date come before the dated ones.
+    Matches without both scores or a team are not rated and not returned. Rows of null pool are a pool of their
+    own, matches of null date (and number) come before the others; a team's rating starts at 1000 in every pool.
     """
     types = ("long", "long", "date", "string", "string", "long", "long", "string")
-    r = results.where(F.col("home_score").isNotNull() & F.col("away_score").isNotNull())
+    known = [F.col(c).isNotNull() for c in ("home_score", "away_score", "home_team", "away_team")]
+    r = results.where(known[0] & known[1] & known[2] & known[3])
     r = r.select(*[F.col(c).cast(t) for c, t in zip(RESULT_COLUMNS, types)], fb.k_factor("round").alias("k_factor"))
-    n = partitions or int(r.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Every pool lands in one partition (hash by pool), sorted by (pool, date, number); one Python
-    # call per partition streams its pools in Arrow batches with O(teams) state, so a pool holding
-    # a third of all matches is still folded in bounded memory (its time is inherently sequential).
-    ordered = r.repartition(n, "pool_id").sortWithinPartitions("pool_id", "match_date", "match_num")
-    out = ordered.mapInPandas(_fold_partition, RATING_SCHEMA)
+    sizes = r.groupBy("pool_id").agg(F.count("*").alias("n"), F.approx_count_distinct("home_team").alias("t"))
+    large = sizes.where((F.col("n") > POOL_MATCHES) | (F.col("n") * F.col("t") > POOL_STEPS)).select(F.col("pool_id").alias("_large"))
+    if large.isEmpty():
+        out = _by_pool(r)
+    else:
+        same = F.col("pool_id").eqNullSafe(F.col("_large"))
+        out = _by_pool(r.join(large, same, "left_anti")).unionByName(_by_level(r.join(large, same, "left_semi")))
     return out.select(
-        *RESULT_COLUMNS, *[rnd(f"elo_{s}_{t}", 1).alias(f"elo_{s}_{t}") for t in ("before", "after") for s in ("home", "away")],
-        rnd(F.col("elo_home_before") - F.col("elo_away_before"), 1).alias("elo_diff"),
-        rnd("we_home", 4).alias("we_home"), rnd(F.lit(1.0) - F.col("we_home"), 4).alias("we_away"), "k_factor",
+        *RESULT_COLUMNS, *[rnd(c, 1).alias(f"elo_{s}_{t}") for t, cs in (("before", ("rh", "ra")), ("after", ("nh", "na"))) for s, c in zip(("home", "away"), cs)],
+        rnd(F.col("rh") - F.col("ra"), 1).alias("elo_diff"),
+        rnd("e", 4).alias("we_home"), rnd(F.lit(1.0) - F.col("e"), 4).alias("we_away"), "k_factor",
     )
 
 

@@ -48,6 +48,22 @@ def test_ratings_of_incomplete_results(spark):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=0.11) for k in want)
 
 
+def test_a_pool_with_a_third_of_all_matches_is_rated_by_levels(spark, monkeypatch):
+    r = random.Random(8)
+    pool = lambda i: 0 if i % 3 == 0 else None if i % 3 == 1 and i % 2 else 1 + i % 40
+    rows = [(pool(i), i, None if i % 50 == 7 else dt.date(2020, 1, 1) + dt.timedelta(i // 9), f"T{r.randrange(70)}", f"T{r.randrange(70)}",
+             r.randrange(4), r.randrange(4), "Group A") for i in range(600)]
+    df = spark.createDataFrame(rows, RESULT).repartition(4)
+    whole = {tuple(x) for x in ratings.elo_ratings(df).collect()}
+    monkeypatch.setattr(ratings, "POOL_MATCHES", 60)
+    levels = ratings.elo_ratings(df)
+    assert {tuple(x) for x in levels.collect()} == whole and len(whole) == 600
+    got = {(x[0], x[1]): x[10] for x in whole}
+    want = brute_ratings(rows)
+    assert all(got[k] == pytest.approx(want[k], abs=0.11) for k in want)
+    assert not any(w in levels._jdf.queryExecution().toString() for w in ("Python", "InPandas", "InArrow"))
+
+
 def test_a_seventh_edition_is_not_lost(spark):
     df = spark.createDataFrame([(i, i % 7, 2000 + i % 2) for i in range(56)], "match_id long, competition_id int, season_id int")
     assert len(sets.editions(df)) == 14

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from fulltime.llm.common import filled, map_arrow, per_process, slices, stored
 
 #: Bytes of text in a chunk (a longer text is a chunk of its own).
-CHUNK = 1_000_000
+CHUNK = 500_000
 #: Rounds up to the low symbols, longest symbol that takes part in them, and one of how many is reported.
 LOW, SHORT, SAMPLE = 6, 8, 2
 #: High symbols are reported every so many rounds.
@@ -243,7 +243,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             known = np.array([x is not None for x in ids], bool)
             yield (b, i, np.array([x if x is not None else 0 for x in ids], np.int64), known,
                    Chunk(press.decompress(b.column("raw")[i].as_py()), b.column("lens")[i].as_py()))
-        pa.default_memory_pool().release_unused()
+            pa.default_memory_pool().release_unused()
 
 
 NAMED = "name long, kind int, chunk long, a long, b long, top long"
@@ -344,9 +344,10 @@ def union(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def kept_names(named: DataFrame, where: str) -> DataFrame:
     """(chunk, found): for each chunk the names of its rows that two texts or documents have at least."""
     own = named.where(where)
-    shared = own.groupBy("name", "kind").agg(F.min(F.struct("a", "b")).alias("low"), F.max("top").alias("top")).where("low.a < top")
-    back = own.select("name", "kind", "chunk").join(shared.select("name", "kind", "low"), ["name", "kind"])
-    return back.groupBy("chunk").agg(F.collect_list(F.struct("name", "kind", F.col("low.a").alias("a"), F.col("low.b").alias("b"))).alias("found"))
+    shared = own.groupBy("name", "kind").agg(F.min("a").alias("a"), F.min_by("b", "a").alias("b"), F.max("top").alias("top")).where("a < top")
+    # a row a name: dealt out evenly, whatever is common
+    back = own.select("name", "kind", "chunk").join(shared.drop("top").hint("shuffle_hash"), ["name", "kind"])
+    return back.groupBy("chunk").agg(F.collect_list(F.struct("name", "kind", "a", "b")).alias("found"))
 
 
 def without_repeats(docs: DataFrame, window: int = 50, with_text: bool = False) -> DataFrame:

@@ -96,3 +96,57 @@ def test_malformed_and_array_documents(spark, tmp_path):
         raw.read_json_docs(spark, str(tmp_path / "a.json"), schema, keep_corrupt=False).collect()
     (tmp_path / "b.json").write_text('[{"id": 5},\n {"id": 6}]')
     assert sorted(r["id"] for r in raw.read_json_docs(spark, str(tmp_path / "b.json"), schema, multiline=True).collect()) == [5, 6]
+
+
+def test_partition_reload_and_overwrite_of_a_keyed_table(spark, tmp_path):
+    layer = Layer(spark, str(tmp_path))
+    kind = "k long, day string, v string"
+    layer.upsert(spark.createDataFrame([(i, None if i % 4 == 3 else f"d{i % 4}", "a") for i in range(40)], kind), "t", ["k"])
+    layer.replace_partitions(spark.createDataFrame([(1, "d1", "b"), (99, None, "b")], kind), "t", ["day"])
+    got = {r["k"]: (r["day"], r["v"]) for r in layer.read("t").collect()}
+    assert got == {i: (f"d{i % 4}", "a") for i in range(40) if i % 4 in (0, 2)} | {1: ("d1", "b"), 99: (None, "b")}
+    layer.upsert(spark.createDataFrame([(1, "d1", "c")], kind), "t", ["k"])
+    layer.overwrite(spark.createDataFrame([(5, "d1", "d"), (6, "d1", "d")], kind), "t")
+    layer.upsert(spark.createDataFrame([(6, "d1", "e")], kind), "t", ["k"])
+    assert sorted((r["k"], r["v"]) for r in layer.read("t").collect()) == [(5, "d"), (6, "e")]
+    layer.overwrite(spark.createDataFrame([("x",)], "other string"), "t")  # rows without the key: a plain table
+    assert layer.read("t").columns == ["other"]
+
+
+def test_null_keys_and_odd_key_names(spark, tmp_path):
+    layer = Layer(spark, str(tmp_path))
+    keys = ["a__b", "_c", "d_", "e~f", "plain_key"]
+    kind = ", ".join(f"`{k}` string" for k in keys) + ", v string"
+    for v in "pqr":
+        layer.upsert(spark.createDataFrame([(None, "x", "x", "x", "x", v), (None, None, None, None, None, v), ("1", "x", None, "x", "x", v)], kind), "t", keys)
+    assert [r["v"] for r in layer.read("t").collect()] == ["r"] * 3
+    assert set(layer.read("t").columns) == {*keys, "v"}
+    with pytest.raises(ValueError, match="duplicate"):
+        layer.upsert(spark.createDataFrame([(None, None, None, None, None, "s")] * 2, kind), "t", keys)
+
+
+def test_nothing_staged_is_left(spark, tmp_path):
+    layer = Layer(spark, str(tmp_path))
+    for i in range(3):
+        layer.upsert(rows(spark, (i, "a"), (7, "b")), "t", ["k"])
+    with pytest.raises(ValueError):
+        layer.upsert(rows(spark, (1, "a"), (1, "b")), "t", ["k"])
+    layer.replace_partitions(rows(spark, (1, "c")), "t", ["v"])
+    assert layer.folders("_staging") == [] and layer.folders("none") == []
+
+
+def test_audit_while_writing_is_one_job(spark, tmp_path):
+    from fulltime.operators.reports import null_audit
+
+    layer = Layer(spark, str(tmp_path))
+    df = spark.createDataFrame([(i, None if i % 3 else "x", None) for i in range(100)], "k long, v string, `odd.name` string")
+    layer.overwrite(df, "source")
+    spark.sparkContext.setJobGroup("audited", "")
+    try:
+        audit = layer.overwrite_audited(layer.read("source"), "copy")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("audited")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 2  # the reader's look at one file's schema, the write
+    assert audit.first().asDict() == {"rows": 100, "nulls_k": 0, "nulls_v": 66, "nulls_odd.name": 100}
+    assert audit.select("rows", "nulls_k", "nulls_v").first() == null_audit(layer.read("copy"), ["k", "v"]).first()

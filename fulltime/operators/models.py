@@ -5,16 +5,20 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fulltime.operators.quantiles import exact_quantiles
 from fulltime.operators.squads import fill_median
+from fulltime.session import materialize
 
 # The shot models' features.
 SHOT_CATEGORICAL = ("shot_body_part", "shot_technique", "shot_type", "pitch_zone")
@@ -24,20 +28,43 @@ SHOT_FRAME_NUMERIC = ("defenders_in_cone", "distance_nearest_defender", "gk_dist
 LOG_LOSS_EPS = 1e-15
 
 
+def encoders(df: DataFrame, cols: Sequence[str]) -> PipelineModel:
+    """Categorical codes: null -> 'Unknown', labels numbered alphabetically from 0 (``<col>_enc``), a label not
+    seen here after them."""
+    known = ", ".join(f"coalesce(`{c}`, 'Unknown') AS `{c}`" for c in cols)
+    fill = SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(f'`{c}`' for c in cols)}), {known} FROM __THIS__")
+    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_enc", stringOrderType="alphabetAsc", handleInvalid="keep") for c in cols]
+    return Pipeline(stages=[fill, *idx]).fit(df)
+
+
 def encode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Categorical codes: null -> 'Unknown', labels numbered alphabetically from 0 (``<col>_enc``)."""
-    filled = df.fillna("Unknown", subset=list(cols))
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_enc", stringOrderType="alphabetAsc", handleInvalid="keep")
-           for c in cols]
-    return Pipeline(stages=idx).fit(filled).transform(filled)
+    return encoders(df, cols).transform(df)
+
+
+def shot_preparation(shot_map: DataFrame) -> PipelineModel:
+    """Fitted steps from raw shots to the model frame: encoded categories, flags as 0/1, gaps of numeric columns
+    filled with the median. Give a stored table: the medians read it several times."""
+    numeric = list(SHOT_NUMERIC + SHOT_FRAME_NUMERIC)
+    found = exact_quantiles(shot_map, {c: [0.5] for c in numeric})
+    fill = {c: found[c, 0.5] for c in numeric if found[c, 0.5] is not None}
+    kinds = dict(shot_map.dtypes)
+    filled = ", ".join(f"coalesce(`{c}`, CAST('{fill[c]!r}' AS {kinds[c]})) AS `{c}`" if c in fill else f"`{c}`" for c in numeric)
+    flags = ", ".join(f"CAST(coalesce(`{c}`, false) AS INT) AS `{c}_int`" for c in SHOT_FLAGS)
+    steps = SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(f'`{c}`' for c in numeric)}), {filled}, {flags} FROM __THIS__")
+    return PipelineModel(stages=[*encoders(shot_map, SHOT_CATEGORICAL).stages, steps])
 
 
 def prepare_shots(shot_map: DataFrame) -> DataFrame:
-    """Model frame: encoded categories, flags as 0/1, numeric gaps filled with the median, label."""
-    d = encode(shot_map, SHOT_CATEGORICAL)
-    d = d.select("*", *[F.coalesce(F.col(c), F.lit(False)).cast("int").alias(f"{c}_int") for c in SHOT_FLAGS],
-                 F.col("is_goal").cast("double").alias("label"))
-    return fill_median(d, list(SHOT_NUMERIC + SHOT_FRAME_NUMERIC))
+    """Model frame of ``shot_preparation`` with the label."""
+    return labelled_shots(shot_preparation(shot_map).transform(shot_map))
+
+
+def labelled_shots(prepared: DataFrame) -> DataFrame:
+    return prepared.withColumn("label", F.col("is_goal").cast("double"))
+
+
+#: What a stored shot model reads.
+SHOT_INPUTS = [*SHOT_CATEGORICAL, *SHOT_FLAGS, *SHOT_NUMERIC, *SHOT_FRAME_NUMERIC]
 
 
 BASE_FEATURES = ["distance_to_goal", "angle_to_goal", "shot_body_part_enc", "shot_technique_enc", "shot_type_enc", "shot_first_time_int",
@@ -46,11 +73,15 @@ FULL_FEATURES = BASE_FEATURES + list(SHOT_FRAME_NUMERIC)
 
 
 def split_by_group(df: DataFrame, test_editions: Sequence[tuple[int, int]]) -> tuple[DataFrame, DataFrame]:
-    """Hold out whole editions (competition, season) as the test set."""
+    """Hold out whole editions (competition, season) as the test set; an error if the data has none of them."""
     cond = F.lit(False)
     for comp, season in test_editions:
         cond = cond | ((F.col("competition_id") == comp) & (F.col("season_id") == season))
-    return df.filter(~cond), df.filter(cond)
+    cond = F.coalesce(cond, F.lit(False))
+    train, test = df.filter(~cond), df.filter(cond)
+    if test.isEmpty():
+        raise ValueError(f"the data has no row of the editions {list(test_editions)} to test on")
+    return train, test
 
 
 def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
@@ -81,12 +112,16 @@ def fit_shot_model(train: DataFrame, kind: str = "gbt", features: Sequence[str]
         data.unpersist()
 
 
-def score(model: PipelineModel, df: DataFrame, out: str = "our_xg") -> DataFrame:
-    """Goal probability of every row (second element of the probability vector)."""
-    return model.transform(df).withColumn(out, vector_to_array("probability")[1]).drop(
+def goal_probability(scored: DataFrame, out: str = "our_xg") -> DataFrame:
+    """Goal probability (second element of the probability vector) in place of the model's own columns."""
+    return scored.withColumn(out, vector_to_array("probability")[1]).drop(
         "raw_features", "features", "rawPrediction", "probability", "prediction")
 
 
+def score(model: PipelineModel, df: DataFrame, out: str = "our_xg") -> DataFrame:
+    return goal_probability(model.transform(df), out)
+
+
 def score_metrics(df: DataFrame, p: str, y: str = "label") -> dict[str, float]:
     """Exact ROC-AUC (distributed sort, ties averaged), Brier score and log loss."""
     auc = BinaryClassificationEvaluator(rawPredictionCol=p, labelCol=y, metricName="areaUnderROC",
@@ -140,31 +175,53 @@ MATCH_FEATURES_V2 = [
 ]
 
 
+def labelled_matches(features: DataFrame) -> DataFrame:
+    """Label 0/1/2 for away win/draw/home win; matches without a result teach nothing and go."""
+    return features.where(F.col("result_home").isNotNull()).withColumn("label", (F.col("result_home") + 1).cast("double"))
+
+
 def prepare_matches(features: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Label 0/1/2 for away win/draw/home win (matches without a result teach nothing); gaps filled with medians."""
-    d = features.where(F.col("result_home").isNotNull())
-    d = d.withColumn("label", (F.col("result_home") + 1).cast("double"))
-    d = d.select("*", *[F.col(c).cast("double").alias(f"_f_{c}") for c in cols])
-    return fill_median(d, [f"_f_{c}" for c in cols])
-
-
-def fit_match_model(train: DataFrame, cols: Sequence[str], trees: int = 200, depth: int = 6) -> PipelineModel:
-    """Three-class random forest on the match feature vector."""
-    stages = [VectorAssembler(inputCols=[f"_f_{c}" for c in cols], outputCol="features", handleInvalid="keep"),
-              RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth,
-                                     seed=42)]
-    data = train.cache()
-    try:
-        return Pipeline(stages=stages).fit(data)
-    finally:
-        data.unpersist()
+    """Labelled matches with their vector, gaps filled with the medians of the labelled ones."""
+    d = labelled_matches(features)
+    return match_preparation(d, cols).transform(d)
+
+
+def match_preparation(features: DataFrame, cols: Sequence[str]) -> PipelineModel:
+    """Fitted steps from feature rows to the vector: gaps filled with the medians of ``features``."""
+    values = features.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    found = exact_quantiles(values, {c: [0.5] for c in cols})
+    filled = ", ".join(f"coalesce(CAST(`{c}` AS DOUBLE), CAST('{found[c, 0.5]!r}' AS DOUBLE)) AS `_f_{c}`" if found[c, 0.5] is not None
+                       else f"CAST(`{c}` AS DOUBLE) AS `_f_{c}`" for c in cols)
+    gone = ", ".join(f"`_f_{c}`" for c in cols)
+    return PipelineModel(stages=[SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"), _vector(cols),
+                                 SQLTransformer(statement=f"SELECT * EXCEPT ({gone}) FROM __THIS__")])
+
+
+def _vector(cols: Sequence[str]) -> VectorAssembler:
+    return VectorAssembler(inputCols=[f"_f_{c}" for c in cols], outputCol="features", handleInvalid="keep")
+
+
+def _forest(trees: int, depth: int) -> RandomForestClassifier:
+    return RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=42)
+
+
+def fit_match_model(train: DataFrame, trees: int = 200, depth: int = 6) -> PipelineModel:
+    """Three-class random forest on the prepared matches' vectors."""
+    return Pipeline(stages=[_forest(trees, depth)]).fit(train)
 
 
 PREDICTION_SCHEMA = ("match_id long, competition_id int, season_id int, result_home int, p_home_win double, "
                      "p_draw double, p_away_win double, predicted int, correct int")
 
 
-def predict_matches(model: PipelineModel, df: DataFrame) -> DataFrame:
+def outcome_probabilities(scored: DataFrame) -> DataFrame:
+    """p_home_win, p_draw and p_away_win in place of the model's own columns."""
+    p = scored.withColumn("_p", vector_to_array("probability"))
+    return p.select("*", *[F.col("_p")[i].alias(c) for i, c in ((2, "p_home_win"), (1, "p_draw"), (0, "p_away_win"))]).drop(
+        "_p", "features", "rawPrediction", "probability")
+
+
+def predict_matches(model: Transformer, df: DataFrame) -> DataFrame:
     p = model.transform(df).withColumn("_p", vector_to_array("probability"))
     return p.select("match_id", "competition_id", "season_id", "result_home",
                     F.col("_p")[2].alias("p_home_win"), F.col("_p")[1].alias("p_draw"), F.col("_p")[0].alias("p_away_win"),
@@ -172,25 +229,39 @@ def predict_matches(model: PipelineModel, df: DataFrame) -> DataFrame:
                     ((F.col("prediction") - 1).cast("int") == F.col("result_home")).cast("int").alias("correct"))
 
 
-def leave_one_group_out(prepared: DataFrame, cols: Sequence[str], groups: Sequence[tuple[int, int]],
-                        min_rows: int = 5, trees: int = 200) -> DataFrame:
+#: Models that are fitted at the same time.
+FITS = 4
+
+
+def leave_one_group_out(prepared: DataFrame, groups: Sequence[tuple[int, int]],
+                        min_rows: int = 5, trees: int = 200, depth: int = 6, fits: int = FITS) -> DataFrame:
     """Out-of-fold predictions: each edition is scored by a model trained on all other editions.
 
-    The loop runs over the few editions on the driver; every fit and every scoring is distributed.
-    Editions with fewer than ``min_rows`` matches are skipped, and named in a warning.
+    The feature vectors are stored once with the number of their fold; ``fits`` threads of the driver fit the
+    folds on it side by side, each in a scheduler pool of its own, so one fit's short jobs fill the gaps of the
+    others' (the predictions don't hang on it). Editions of fewer than ``min_rows`` matches are skipped, and
+    named in a warning; rows of no given edition (or of a null one) are trained on, not scored.
     """
-    parts, skipped = [], []
-    for comp, season in groups:
-        test = prepared.filter((F.col("competition_id") == comp) & (F.col("season_id") == season))
-        train = prepared.filter(~((F.col("competition_id") == comp) & (F.col("season_id") == season)))
-        if test.limit(min_rows).count() < min_rows:
-            skipped.append((comp, season))
-            continue
-        parts.append(predict_matches(fit_match_model(train, cols, trees), test))
-    if skipped:
+    spark = prepared.sparkSession
+    sizes = {tuple(r[:2]): r[2] for r in prepared.groupBy("competition_id", "season_id").count().collect()}  # editions: few
+    known = [g for g in groups if sizes.get(tuple(g), 0) >= min_rows]
+    if skipped := [tuple(g) for g in groups if tuple(g) not in {tuple(k) for k in known}]:
         warnings.warn(f"editions of fewer than {min_rows} matches are not scored: {skipped}", stacklevel=2)
-    if not parts:  # every edition below ``min_rows``: no fold to score
-        return prepared.sparkSession.createDataFrame([], PREDICTION_SCHEMA)
+    if not known:  # every edition below ``min_rows``: no fold to score
+        return spark.createDataFrame([], PREDICTION_SCHEMA)
+    fold = F.lit(None).cast("int")
+    for i, (comp, season) in enumerate(known):
+        fold = F.when((F.col("competition_id") == comp) & (F.col("season_id") == season), i).otherwise(fold)
+    vectors = materialize(prepared.select(
+        "match_id", "competition_id", "season_id", "result_home", "label", "features", F.coalesce(fold, F.lit(-1)).alias("fold")))
+
+    def fit(i: int):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fold-{i % fits}")
+        return _forest(trees, depth).fit(vectors.where(F.col("fold") != i))
+
+    with ThreadPoolExecutor(max_workers=max(1, min(fits, len(known)))) as pool:
+        models = list(pool.map(inheritable_thread_target(spark)(fit), range(len(known))))
+    parts = [predict_matches(m, vectors.where(F.col("fold") == i)) for i, m in enumerate(models)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -8,19 +8,22 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from fulltime.operators import models
 from fulltime.operators.features import fixture_features, match_features_v2
 from fulltime.operators.measures import measures_predictor, measures_xg
+from fulltime.operators.model_store import ModelStore
 from fulltime.operators.sets import editions
 from fulltime.plans.core import tp_frame
 from fulltime.plans.fixture_sql import with_fixtures
 from fulltime.plans.registry import query
 from fulltime.plans.shots_ratings import SHOT_MAP, shot_map_frame, team_ratings
 from fulltime.plans.squads_features import MF_V1, mf_v1_frame
-from fulltime.session import materialize
+from fulltime.session import materialize, scratch_dir
 from fulltime.sources import testdata as td
+from fulltime.sources.layer import Layer
 
 TEST_EDITIONS = [(43, 106), (55, 106)]
 EMF = ["fx_event", "fx_match", "fx_frame"]
@@ -32,9 +35,19 @@ class _Shots:
     def __init__(self, spark, sf):
         self.spark, self.sf = spark, sf
 
+        self.root = scratch_dir(spark, "shot-model")
+
+    @cached_property
+    def shots(self):
+        return materialize(shot_map_frame(self.spark, self.sf))
+
+    @cached_property
+    def preparation(self):
+        return models.shot_preparation(self.shots)
+
     @cached_property
     def prepared(self):
-        return materialize(models.prepare_shots(shot_map_frame(self.spark, self.sf)))
+        return materialize(models.labelled_shots(self.preparation.transform(self.shots)))
 
     @cached_property
     def split(self):
@@ -55,12 +68,26 @@ class _Shots:
         return kind, self.fitted[kind][0]
 
     @cached_property
-    def predictions(self):
+    def version(self):
+        """The better model, stored with the steps before it: raw shots go in."""
         kind, m = self.best
-        return models.score(m, self.prepared).select(
+        _, feats, metrics = self.fitted[kind]
+        return ModelStore(self.spark, self.root).save(
+            "xg", PipelineModel(stages=[*self.preparation.stages, *m.stages]), kind, feats, models.SHOT_INPUTS, metrics, self.split[0],
+            params={"test_editions": TEST_EDITIONS})
+
+    @cached_property
+    def predictions(self):
+        """All shots scored by the model read back from its folder, kept as a stored table."""
+        version = self.version
+        model = ModelStore(self.spark, self.root).load("xg")
+        p = models.goal_probability(model.score(self.shots)).select(
             "event_id", "match_id", "competition_id", "season_id", "player_name", "team_name", "shot_type",
             "shot_body_part", "distance_to_goal", "angle_to_goal", "shot_xg", "our_xg", "is_goal",
-            F.lit(kind).alias("model"))
+            F.lit(model.card["kind"]).alias("model"), F.lit(version).alias("model_version"))
+        layer = Layer(self.spark, self.root)
+        layer.overwrite(p, "xg_predictions")
+        return layer.read("xg_predictions")
 
 
 _SHOTS: dict = {}
@@ -143,6 +170,19 @@ def q_feature_importances(spark, sf):
     return spark.createDataFrame(rows, "model string, feature string, importance double")
 
 
+@query("stored_model")
+def q_stored_model(spark, sf):
+    """The card of the stored shot model, and how far it, read back, is from the fitted one over all shots."""
+    s = shots_run(spark, sf)
+    kept = models.score(s.best[1], s.prepared).select("event_id", F.col("our_xg").alias("fitted_xg"))
+    apart = s.predictions.join(kept, "event_id", "full").agg(
+        F.count("*").alias("shots"), F.count_if(~F.col("our_xg").eqNullSafe(F.col("fitted_xg"))).alias("scored_apart"))
+    cards = ModelStore(spark, s.root).cards("xg")
+    return cards.crossJoin(F.broadcast(apart)).select(
+        "name", "version", "kind", F.size("features").alias("features"), "trained_rows", "fingerprint", F.col("metrics")["auc"].alias("auc"),
+        "shots", "scored_apart")
+
+
 @query("xg_predictions")
 def q_xg_predictions(spark, sf):
     return shots_run(spark, sf).predictions
@@ -183,13 +223,15 @@ def q_v_shots(spark, sf):
 class _Matches:
     def __init__(self, spark, sf, v2: bool = False):
         self.spark, self.sf, self.v2 = spark, sf, v2
+        self.root = scratch_dir(spark, "outcome-model")
 
     @cached_property
     def cols(self):
         return models.MATCH_FEATURES_V2 if self.v2 else models.MATCH_FEATURES
 
     @cached_property
-    def prepared(self):
+    def features(self):
+        """Feature rows of the played matches, stored."""
         f = mf_v1_frame(self.spark, self.sf)
         if self.v2:
             from fulltime.operators import squads
@@ -197,15 +239,36 @@ class _Matches:
             sq = squads.squad_features(td.fx_rating(self.spark, self.sf), td.fx_form(self.spark, self.sf),
                                        td.fx_market(self.spark, self.sf))
             f = match_features_v2(f, sq)
-        return materialize(models.prepare_matches(f, self.cols))
+        return materialize(f.where(F.col("result_home").isNotNull()))
+
+    @cached_property
+    def preparation(self):
+        return models.match_preparation(self.features, self.cols)
+
+    @cached_property
+    def prepared(self):
+        return models.labelled_matches(self.preparation.transform(self.features))
 
     @cached_property
     def oof(self):
-        return materialize(models.leave_one_group_out(self.prepared, self.cols, editions(self.prepared)))
+        p = models.leave_one_group_out(self.prepared, editions(self.features))
+        layer = Layer(self.spark, self.root)
+        layer.overwrite(p, "match_predictions")
+        return layer.read("match_predictions")
 
     @cached_property
     def fitted(self):
-        return models.fit_match_model(self.prepared, self.cols)
+        return models.fit_match_model(self.prepared)
+
+    @cached_property
+    def version(self):
+        """The model of all matches, stored with the steps before it: feature rows go in."""
+        p = self.oof
+        seen = p.agg(F.avg("correct").alias("accuracy"), F.count("*").alias("matches")).first()
+        return ModelStore(self.spark, self.root).save(
+            "outcome", PipelineModel(stages=[*self.preparation.stages, *self.fitted.stages]), "forest", self.cols, self.cols,
+            {"accuracy": seen["accuracy"], "matches": seen["matches"]} if seen["matches"] else {},
+            models.labelled_matches(self.features))
 
 
 _MATCHES: dict = {}
@@ -292,3 +355,14 @@ def q_fixture_features(spark, sf):
     fixtures = m.select(F.col("match_id").alias("fixture_id"), F.col("away_team_name").alias("home_team_name"),
                         F.col("home_team_name").alias("away_team_name"), fb.stage_ordinal("stage_name").alias("stage_ordinal"))
     return fixture_features(fixtures, team_ratings(spark, sf), gold.team_style_overall(tp_frame(spark, sf)))
+
+
+@query("fixture_predictions")
+def q_fixture_predictions(spark, sf):
+    """Outcome probabilities of the fixtures by the stored outcome model, read back from its folder."""
+    run = matches_run(spark, sf)
+    version = run.version
+    scored = ModelStore(spark, run.root).load("outcome").score(q_fixture_features(spark, sf))
+    return models.outcome_probabilities(scored).select(
+        "fixture_id", "home_team_name", "away_team_name", "p_home_win", "p_draw", "p_away_win",
+        (F.col("prediction") - 1).cast("int").alias("predicted"), F.lit(version).alias("model_version"))

@@ -7,8 +7,8 @@ once, and Spark's rounds name things over all chunks:
 1. ``symbols``: words are symbols. Runs of one symbol and then, round by round, pairs of a symbol of the left
    half of the alphabet and one of the right half become symbols (halves drawn by symbol and round). A name is a
    64-bit mix of what it stands for, so equal word sequences get the same interior symbols in every task.
-   After ``LOW`` rounds, symbols that hash to a sample are joined with the one after them and reported with
-   their text; rounds go on, with runs in each, and symbols of a window's length at least are reported with
+   After ``LOW`` rounds, half of the symbols are joined with the one after them and reported with their text;
+   rounds go on, with runs in each, and symbols of a window's length at least are reported with
    their document, up to the text as a whole.
 2. A round over all names keeps low symbols of two texts or more, and the least document of high ones.
 3. ``windows``: a high symbol that an earlier document has proves its windows. Which interior symbols a window
@@ -40,8 +40,8 @@ from fulltime.llm.common import filled, map_arrow, per_process, slices, stored
 
 #: Bytes of text in a chunk (a longer text is a chunk of its own).
 CHUNK = 500_000
-#: Rounds up to the low symbols, longest symbol that takes part in them, and one of how many is reported.
-LOW, SHORT, SAMPLE = 6, 8, 2
+#: Rounds up to the low symbols, and the longest symbol that takes part in them.
+LOW, SHORT = 6, 8
 #: High symbols are reported every so many rounds.
 EVERY = 3
 
@@ -172,8 +172,10 @@ class Chunk:
         sure[1] = np.where(np.r_[False, joins_right][j], edges[before[np.maximum(j - 1, 0)]], edges[j])
 
     def low(self, symbols: np.ndarray, first: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(name, first word, end, document) of the sample of low symbols, each with the symbol after it."""
-        at = np.flatnonzero((doc[:-1] == doc[1:]) & ((mix(symbols[:-1]) >> U(20)) % U(SAMPLE) == 0))
+        """(name, first word, end, document) of low symbols with the symbol after them, where that hashes higher:
+        half of all, with few long stretches without one."""
+        order = mix(symbols)
+        at = np.flatnonzero((doc[:-1] == doc[1:]) & (order[:-1] < order[1:]))
         names = mix(mix(symbols[at] + U(1)) * _B ^ symbols[at + 1])
         return names, first[at], np.r_[first, len(self.word)][at + 2], doc[at]
 
@@ -211,7 +213,7 @@ def pack(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         part, seq = TaskContext.get().partitionId(), 0
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=3)
         held: list = []
 
         def chunk() -> dict:

@@ -2,8 +2,8 @@
 
 A table is a folder of Parquet files. A keyed table is partitioned by a hash of its keys; the partition
 column is named after them (``_by64__event_id__match_id``), so the folder itself says how it is laid out.
-An upsert rewrites only the partitions that its source touches: the new partitions are staged in full
-first, then put in place by one dynamic partition overwrite; what was staged is deleted afterwards. A plain
+An upsert rewrites only the partitions that its source touches, by one dynamic partition overwrite (the new
+files are put in place when all are written); what was staged before is deleted afterwards. A plain
 table that is upserted becomes a keyed one with all its rows. A keyed table stays keyed in appends, overwrites
 (where the rows have its keys) and partition reloads. A table that can't be read is an error, never an empty
 table. A null is a key value like any other: two rows of the same keys with nulls in the same places are one.
@@ -161,10 +161,12 @@ class Layer:
                 old = target.where(F.col(f"`{column}`").isin(touched))
             else:
                 old = self._dealt(target, parts, keys)
-            kept = self._without(old, new, keys)
-            with self._staged(kept.unionByName(new, allowMissingColumns=True), [column]) as merged:
-                mode = "dynamic" if layout else "static"
-                merged.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(column).parquet(self.path(name))
+            merged = self._without(old, new, keys).unionByName(new, allowMissingColumns=True)
+            if layout:  # a dynamic overwrite writes new files beside the old ones, and puts them in place at the end
+                merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(self.path(name))
+                return
+            with self._staged(merged, [column]) as whole:
+                whole.write.mode("overwrite").partitionBy(column).parquet(self.path(name))
 
     # ------------------------------------------------------------ catalog
     def register(self, name: str, view: str | None = None) -> str:

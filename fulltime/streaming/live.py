@@ -9,6 +9,7 @@ applied twice leaves the same rows.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,12 +23,13 @@ from fulltime.sources.layer import Layer
 DELIVERIES = 3
 
 
-def replay(df: DataFrame, ts: str, root: str, run: Callable[[DataFrame], DataStreamWriter], deliveries: int = DELIVERIES) -> None:
-    """Feeds the rows of ``df`` to a stream in order of event time and runs it after each delivery.
+def replay(df: DataFrame, ts: str, root: str, run: Callable[[DataFrame], DataStreamWriter], deliveries: int = DELIVERIES) -> list[dict]:
+    """Feeds the rows of ``df`` to a stream in order of event time; the progress of its micro-batches.
 
     The history is cut into equal spans of time from its first to its last row (rows without a time come
     last), written once, and delivered span by span, with as many files each as its tasks make. ``run`` turns
-    the source stream into a writer; every run processes all that is new, as ``availableNow`` does.
+    the source stream into a writer; one run takes the files in the order they came, about a span in each
+    micro-batch, until all are processed (``availableNow``).
     """
     spark, staged, landing = df.sparkSession, f"{root}/staged", f"{root}/landing"
     low, high = df.agg(F.min(ts).cast("timestamp").cast("double"), F.max(ts).cast("timestamp").cast("double")).first()
@@ -36,9 +38,14 @@ def replay(df: DataFrame, ts: str, root: str, run: Callable[[DataFrame], DataStr
     part = F.least(F.coalesce(span, F.lit(deliveries)), F.lit(deliveries - 1)).cast("int")
     df.withColumn("_delivery", part).write.partitionBy("_delivery").parquet(staged)
     history = spark.read.schema(df.withColumn("_delivery", part).schema).parquet(staged)
-    for k in range(deliveries):
+    for k in range(deliveries):  # one after another: the source takes files by the time they were written
         history.where(F.col("_delivery") == k).drop("_delivery").write.mode("append").parquet(landing)
-        run(spark.readStream.schema(df.schema).parquet(landing)).trigger(availableNow=True).start().awaitTermination()
+    where = spark._jvm.org.apache.hadoop.fs.Path(landing)
+    files = [f for f in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where) if f.getPath().getName().startswith("part-")]
+    source = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", max(1, -(-len(files) // deliveries))).parquet(landing)
+    query = run(source).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return [p if isinstance(p, dict) else json.loads(p.json) for p in query.recentProgress]
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 1) -> DataFrame:
@@ -66,9 +73,17 @@ def parse_with_rejects(raw: DataFrame, schema: StructType, value_col: str = "val
     return parsed.select("p.*", F.when(~F.col("ok"), F.coalesce("_raw", F.lit(""))).alias("_reject")).drop("_corrupt_record")
 
 
-def dedup_stream(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
-    """Drop re-delivered events by their natural key (not the per-delivery id) within the watermark."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+#: Time within which the feeds deliver an event again.
+REDELIVERY = "30 minutes"
+
+
+def dedup_stream(stream: DataFrame, keys: Sequence[str], ts: str, within: str = REDELIVERY) -> DataFrame:
+    """One row per natural key (not the per-delivery id) of events that are delivered again ``within`` that time.
+
+    State holds one entry a key, which expires that time after its row once the watermark, as far behind,
+    has passed: it is bounded by the events of about twice ``within`` however long the stream runs.
+    """
+    return stream.withWatermark(ts, within).dropDuplicatesWithinWatermark(list(keys))
 
 
 def odds_windows(stream: DataFrame, ts: str = "ingested_at", window: str = "1 day", delay: str = "1 hour",

@@ -92,6 +92,25 @@ def test_streams_keep_rows_of_ninety_days(spark):
     assert layer.read("w").count() == 360 and layer.read("w").agg(F.sum("readings")).first()[0] == 360
 
 
+def test_state_of_redelivered_events_stops_growing(spark):
+    from fulltime.plans.streams import NATURAL, redelivered
+    from fulltime.session import scratch_dir
+    from fulltime.streaming import live
+
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, i // 9, "Pass", i % 5, i % 7, start + dt.timedelta(minutes=90 * i)) for i in range(1440)]  # 90 days
+    events = spark.createDataFrame(rows, "delivery long, match_id long, event_type string, minute long, player_id long, ts timestamp")
+    root = scratch_dir(spark, "redelivered")
+    again = redelivered(events).repartition(4)
+    progress = live.replay(again, "delivered_at", root, lambda s: live.to_files(
+        live.dedup_stream(s, NATURAL, "delivered_at"), f"{root}/sink", f"{root}/checkpoint"), deliveries=12)
+    sink = spark.read.parquet(f"{root}/sink")
+    assert again.count() > 2000 and sink.count() == 1440 and sink.select(NATURAL).distinct().count() == 1440
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    # a span holds 120 events; state is that of one span at most, from the first to the last
+    assert len(held) >= 12 and max(held[len(held) // 2:]) <= 2 * 120 and held[-1] < 120
+
+
 def test_a_match_with_a_third_of_all_events(spark):
     from fulltime.operators import timeline
 

@@ -1,57 +1,90 @@
-"""Exact quantiles of many columns at once, in bounded memory at any size."""
+"""Exact quantiles of many columns at once: radix selection over order-preserving 64-bit keys.
+
+Every value becomes a whole number of 64 bits that orders as the values do. A pass counts the next 16 bits of the
+keys that agree with what is known of each wanted rank, for all columns and ranks together, and so fixes 16 more
+bits of every answer: four passes, whatever the size, the ranks and the distribution. A pass is one aggregate
+of at most 2^16 counts for each column and known prefix; the driver gets one row a wanted rank.
+"""
 
 from __future__ import annotations
 
-import math
+import decimal
+import struct
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Values that are sorted in one place at most, and the accuracy of the sketch that narrows down to them.
-SORTED, ACCURACY = 50_000, 1_000
+#: Bits fixed by a pass.
+BITS = 16
+PASSES = 64 // BITS
 
 
-def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[tuple[str, float], float | None]:
-    """For each column and share q the least value that ceil(q * n) of its n non-null values don't exceed.
+def _double_key(x: Column) -> Column:
+    """The bits of a double as a whole number, those of negative ones counted down: orders as doubles do.
 
-    A quantile sketch names a pivot near the wanted rank (its error is at most n / ACCURACY), a count says how
-    many values lie below it and how many equal it, and the search goes on strictly above or below, where few
-    values are left between two pivots. Once no more than SORTED are left, they are sorted. Every step is one
-    aggregate over all columns.
+    A normal size is m * 2^e with 2^52 <= m < 2^53, found by exact products with powers of two. Both zeros are
+    one; NaN is the largest value, as in Spark's own order.
     """
+
+    def power(n: Column) -> Column:
+        return F.pow(F.lit(2.0), n.cast("double"))
+
+    def scaled(n: Column) -> Column:  # a * 2^n in two steps, as 2^n alone may be out of range
+        half = F.floor(n / 2).cast("int")
+        return a * power(half) * power(n - half)
+
+    a = F.abs(x)
+    near = F.floor(F.log2(a)).cast("int")  # may be one off next to a power of two
+    e = F.when(power(near) > a, near - 1).when(power(near + 1) <= a, near + 1).otherwise(near)
+    normal = (e + 1023).cast("long") * F.lit(1 << 52) + (scaled(F.lit(52) - e).cast("long") - F.lit(1 << 52))
+    size = (F.when(F.isnan(x), F.lit(2**63 - 1)).when(a == 0, F.lit(0)).when(a == float("inf"), F.lit(2047 << 52))
+            .when(a < 2.0**-1022, scaled(F.lit(1074)).cast("long")).otherwise(normal))
+    return F.when(x.isNotNull(), F.when((x < 0) & ~F.isnan(x), -size).otherwise(size))
+
+
+def _double_of(key: int) -> float:
+    return float("nan") if key == 2**63 - 1 else struct.unpack("<d", struct.pack("<q", abs(key)))[0] * (1 if key >= 0 else -1)
+
+
+def _keyed(x: Column, kind: T.DataType):
+    """The key of a column, and what turns a key back into its value."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return _double_key(x.cast("double")), _double_of
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        return (x.cast("decimal(38,18)") * F.lit(10**kind.scale)).cast("long"), lambda k: decimal.Decimal(k).scaleb(-kind.scale)
+    if isinstance(kind, (T.IntegralType,)):
+        return x.cast("long"), int
+    raise TypeError(f"no quantiles of {kind.simpleString()}")
+
+
+def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[tuple[str, float], object]:
+    """For each column and share q the least value that ceil(q * n) of its n non-null values don't exceed; None
+    for a column without values. ``df`` is read ``PASSES`` times: give a stored table where it is costly."""
     cells = [(c, q) for c, qs in wanted.items() for q in qs]
+    out: dict[tuple[str, float], object] = dict.fromkeys(cells)
     if not cells:
-        return {}
-    counts = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(wanted)]).first()
-    size = {c: counts[f"n{i}"] for i, c in enumerate(wanted)}
-    out: dict[tuple[str, float], float | None] = dict.fromkeys(cells)
-    # open cells: rank among the values between two pivots (both left out, None: no bound), and their number
-    todo = {(c, q): (max(1, math.ceil(q * size[c] - 1e-9)), None, None, size[c]) for c, q in cells if size[c]}
-
-    def between(x: tuple[str, float]) -> Column:
-        col, (_, low, high, _) = F.col(x[0]), todo[x]
-        cond = col.isNotNull()
-        cond = cond & (col > low) if low is not None else cond
-        return cond & (col < high) if high is not None else cond
-
-    while wide := [x for x, (_, _, _, n) in todo.items() if n > SORTED]:
-        row = df.agg(*[F.percentile_approx(F.when(between(x), F.col(x[0])), todo[x][0] / todo[x][3], ACCURACY).alias(f"p{j}")
-                       for j, x in enumerate(wide)]).first()
-        pivot = {x: row[f"p{j}"] for j, x in enumerate(wide)}
-        row = df.agg(*[agg for j, x in enumerate(wide) for agg in (
-            F.count_if(between(x) & (F.col(x[0]) < pivot[x])).alias(f"b{j}"), F.count_if(F.col(x[0]) == pivot[x]).alias(f"e{j}"))]).first()
-        for j, x in enumerate(wide):
-            (k, low, high, n), below, equal = todo[x], row[f"b{j}"], row[f"e{j}"]
-            if k <= below:
-                todo[x] = (k, low, pivot[x], below)
-            elif k <= below + equal:
-                out[x] = pivot[x]
-                del todo[x]
-            else:
-                todo[x] = (k - below - equal, pivot[x], high, n - below - equal)
-    if todo:
-        row = df.agg(*[F.get(F.sort_array(F.collect_list(F.when(between(x), F.col(x[0])))), todo[x][0] - 1).alias(f"v{j}")
-                       for j, x in enumerate(todo)]).first()
-        out |= {x: row[f"v{j}"] for j, x in enumerate(todo)}
-    return out
+        return out
+    spark, place = df.sparkSession, {c: i for i, c in enumerate(wanted)}
+    keys, back = zip(*[_keyed(F.col(c), df.schema[c].dataType) for c in wanted])
+    each = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), k.alias("k")) for i, k in enumerate(keys)])).alias("x")).select("x.*").where("k is not null")
+    # wanted ranks: what is known of their key so far, and the rank among the values that agree with it
+    todo = [(i, place[c], 0, None, float(q)) for i, (c, q) in enumerate(cells)]
+    for done in range(0, 64, BITS):
+        ranks = spark.createDataFrame(todo, "cell int, c int, known long, rank long, q double")
+        known = F.shiftright("k", 64 - done) if done else F.lit(0).cast("long")
+        digit = F.shiftright("k", 64 - BITS - done).bitwiseAND(F.lit((1 << BITS) - 1)) if done else F.shiftright("k", 64 - BITS)
+        some = each.select("c", known.alias("known"), digit.alias("digit"))
+        if done:
+            some = some.join(F.broadcast(ranks.select("c", "known").distinct()), ["c", "known"], "left_semi")
+        counts = some.groupBy("c", "known", "digit").agg(F.count("*").alias("n"))
+        part = Window.partitionBy("c", "known")  # 2^16 digits at most
+        counts = counts.select("c", "known", "digit", "n", F.sum("n").over(part).alias("all"),
+                               F.sum("n").over(part.orderBy("digit").rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("upto"))
+        hit = counts.join(F.broadcast(ranks), ["c", "known"])
+        rank = F.coalesce("rank", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("q") * F.col("all") - 1e-9)))
+        rows = hit.withColumn("rank", rank).where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank"))).select(
+            "cell", "c", "known", "digit", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "q").collect()  # a row a wanted rank
+        todo = [(r["cell"], r["c"], (r["known"] << BITS) + r["digit"] if done else r["digit"], r["rank"], r["q"]) for r in rows]
+    return out | {cells[cell]: back[c](key) for cell, c, key, _, _ in todo}

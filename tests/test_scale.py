@@ -1,7 +1,9 @@
 """Results that must not change with size, incomplete data, hot groups, and the span of a stream."""
 
 import datetime as dt
+import decimal as dc
 import random
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,20 +14,50 @@ from fulltime.operators.players import attach_club_stats
 RESULT = "pool_id long, match_num long, match_date date, home_team string, away_team string, home_score long, away_score long, round string"
 
 
-@pytest.mark.parametrize("limit", [5, 40, 10_000])
-def test_exact_quantiles_at_any_size(spark, monkeypatch, limit):
-    monkeypatch.setattr(quantiles, "SORTED", limit)
-    monkeypatch.setattr(quantiles, "ACCURACY", 20)
-    r = random.Random(limit)
-    data = {"a": [r.gauss(0, 1) for _ in range(1500)], "b": [float(r.randrange(4)) for _ in range(1500)], "c": [7.0] * 3 + [None] * 1497, "d": [None] * 1500}
-    df = spark.createDataFrame(list(zip(*data.values())), "a double, b double, c double, d double").repartition(5)
+def _ordered(x):
+    return (x != x, 0 if x != x else x)
+
+
+@pytest.mark.parametrize("n", [1, 7, 1500])
+def test_exact_quantiles(spark, n):
+    r = random.Random(n)
+    odd = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, -1.7976931348623157e308, float("inf"),
+           float("-inf"), float("nan"), 1.0, 2.0, 4.0, 0.5, 2.0**-1022, 2.0**1023, 2.0**52, 2.0**53 - 1, 1 - 2.0**-53, -1 - 2.0**-52]
+    data = {"a": [r.gauss(0, 1) for _ in range(n)], "b": [float(r.randrange(4)) for _ in range(n)], "c": [7.0] * min(n, 3) + [None] * (n - 3), "d": [None] * n,
+            "e": [r.choice(odd) for _ in range(n)], "f": [r.uniform(-1, 1) * 10.0 ** r.randrange(-320, 308) for _ in range(n)],
+            "g": [r.choice([-2**63, 2**63 - 1, 0, -1, r.randrange(-2**62, 2**62)]) for _ in range(n)],
+            "h": [dc.Decimal(r.randrange(-10**11, 10**11)).scaleb(-2) for _ in range(n)]}
+    kind = "a double, b double, c double, d double, e double, f double, g long, h decimal(12,2)"
+    df = spark.createDataFrame(list(zip(*data.values())), kind).repartition(5)
     qs = (0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0)
     got = quantiles.exact_quantiles(df, {c: qs for c in data})
     for c, values in data.items():
-        known = sorted(v for v in values if v is not None)
+        known = sorted((v for v in values if v is not None), key=_ordered)
         for q in qs:
             want = known[max(1, -(-int(q * 1000) * len(known) // 1000)) - 1] if known else None
-            assert got[c, q] == want, (c, q)
+            assert got[c, q] == want or (want != want and got[c, q] != got[c, q]), (c, q, got[c, q], want)
+
+
+def test_every_double_keeps_its_order_and_value(spark):
+    r = random.Random(2)
+    bits = [r.randrange(2047 << 52) for _ in range(4000)] + [2**k for k in range(63) if 2**k < 2047 << 52] + [2**k - 1 for k in range(63) if 2**k < 2047 << 52]
+    values = [struct.unpack("<d", struct.pack("<q", b))[0] for b in bits]
+    df = spark.createDataFrame([(v,) for v in values], "x double").select("x", quantiles._double_key(F.col("x")).alias("k"), quantiles._double_key(-F.col("x")).alias("m"))
+    for row, b in zip(sorted(map(tuple, df.collect())), sorted(bits)):
+        assert (row[1], row[2]) == (b, -b) and quantiles._double_of(b) == row[0] and quantiles._double_of(-b) == -row[0]
+
+
+def test_quantiles_take_four_passes_at_any_size(spark):
+    jobs = {}
+    for n in (50, 60_000):
+        df = spark.range(n).select((F.rand(n) * 1e6).alias("x"), F.col("id").alias("y")).repartition(4)
+        spark.sparkContext.setJobGroup(f"quantiles-{n}", "")
+        try:
+            quantiles.exact_quantiles(df, {"x": (0.1, 0.5, 0.9), "y": (0.5,)})
+            jobs[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"quantiles-{n}"))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[50] == jobs[60_000]
 
 
 def brute_ratings(rows):

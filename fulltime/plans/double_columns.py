@@ -7,6 +7,7 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'club_stats': ['goals', 'shots', 'xg', 'minutes', 'total_cmp', 'total_att'],
     'compass': ['wind_direction_deg'],
     'concat_sources': ['xg_for', 'xg_against'],
+    'corr_features': ['corr'],
     'corr_rating_result': ['corr'],
     'elo_asof': ['elo_rating'],
     'elo_expected': ['expected_home'],
@@ -89,4 +90,5 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
                          'away_xg_per_game', 'away_xga_per_game', 'away_ppda', 'away_possession_pct', 'away_prog_passes', 'away_dominance_score',
                          'home_form_xg', 'home_form_xga', 'home_form_ppda', 'home_form_wins', 'away_form_xg', 'away_form_xga', 'away_form_ppda',
                          'away_form_wins', 'form_xg_diff', 'form_wins_diff'],
+    'two_level_headers': ['Match', 'Performance_GF', 'Performance_GA', 'Expected_xG', 'Expected_xGA'],
 }

@@ -235,6 +235,56 @@ def q_regroup_results(spark, sf):
     return raw.regroup_results(flat).select("num", "round_label", F.size("goals").alias("n_goals"))
 
 
+@query("regroup_rounds", with_fixtures(["fx_result"], """
+SELECT edition, round_label, dense_rank() OVER (PARTITION BY edition ORDER BY first) AS round_place, num, team1, team2, goals FROM (
+  SELECT *, min(num) OVER (PARTITION BY edition, round_label) AS first FROM (
+    SELECT pool_id AS edition, coalesce(round, 'Unknown') AS round_label,
+           row_number() OVER (PARTITION BY pool_id ORDER BY match_date NULLS FIRST, match_num) AS num, home_team AS team1, away_team AS team2,
+           array_to_string(list_concat(
+             ['P' || k || '/' || home_team || '/' || (match_num * 7 + k * 13) % 90 FOR k IN range(1, coalesce(home_score, 0) + 1)],
+             ['P' || k || '/' || away_team || '/' || (match_num * 7 + k * 13) % 90 FOR k IN range(1, coalesce(away_score, 0) + 1)]), ';') AS goals
+    FROM fx_result))"""))
+def q_regroup_rounds(spark, sf):
+    """Upstream match lists regrouped by round: running numbers, rounds in order of appearance, goals by team."""
+    r = td.fx_result(spark, sf)
+    goal = lambda n: F.when(F.col(n) > 0, F.transform(F.sequence(F.lit(1), F.col(n).cast("int")), lambda k: F.struct(
+        F.concat(F.lit("P"), k.cast("string")).alias("name"), ((F.col("match_num") * 7 + k * 13) % 90).cast("int").alias("minute"))))
+    in_group = F.col("round").startswith("Group")
+    flat = r.select(F.col("pool_id").alias("edition"), "match_num", F.when(in_group, F.col("round")).alias("group"),
+                    F.when(~in_group, F.col("round")).alias("round"), F.col("match_date").alias("date"), F.col("home_team").alias("team1"),
+                    F.col("away_team").alias("team2"), goal("home_score").alias("goals1"), goal("away_score").alias("goals2"))
+    out = raw.regroup_rounds(flat, ["date", "match_num"])
+    shown = F.array_join(F.transform("goals", lambda g: F.concat_ws("/", g["name"], g["team"], g["minute"].cast("string"))), ";")
+    return out.select("edition", "round_label", "round_place", "num", "team1", "team2", shown.alias("goals"))
+
+
+#: Stand-in league files: the two header lines and the columns under them.
+LEAGUES = {
+    "L0": (",,Performance,,Expected", "Team,Match,GF,GA,xG", ["team_id", "match_num", "goals_for", "goals_against", "xg_for"]),
+    "L1": (",,Performance,Expected,", "Team,Match,GF,xG,xGA", ["team_id", "match_num", "goals_for", "xg_for", "xg_against"]),
+    "L2": ("Unnamed: 0_level_0,Expected,,Unnamed: 3_level_0,Performance", "Team,xG,xGA,Match,GA", ["team_id", "xg_for", "xg_against", "match_num", "goals_against"]),
+}
+
+
+@query("two_level_headers", with_fixtures(["fx_form"], """
+SELECT 'L' || CAST(team_id % 3 AS VARCHAR) AS league, CAST(team_id AS VARCHAR) AS "Team", CAST(match_num AS DOUBLE) AS "Match",
+       CASE WHEN team_id % 3 < 2 THEN CAST(goals_for AS DOUBLE) END AS "Performance_GF",
+       CASE WHEN team_id % 3 <> 1 THEN CAST(goals_against AS DOUBLE) END AS "Performance_GA",
+       CAST(xg_for AS DOUBLE) AS "Expected_xG", CASE WHEN team_id % 3 > 0 THEN CAST(xg_against AS DOUBLE) END AS "Expected_xGA"
+FROM fx_form"""))
+def q_two_level_headers(spark, sf):
+    """League files of two header lines each, with different columns: flattened names, one table by name."""
+    f = td.fx_form(spark, sf)
+    paths = {}
+    for k, (league, (upper, lower, cols)) in enumerate(LEAGUES.items()):
+        lines = f.where(F.col("team_id") % 3 == k).select("team_id", F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]).alias("line"))
+        # some teams to a file, each file with its header lines
+        files = lines.groupBy(F.pmod("team_id", F.lit(16))).agg(F.array_join(F.concat(F.array(F.lit(upper), F.lit(lower)), F.collect_list("line")), "\n").alias("value"))
+        paths[league] = scratch_dir(spark, f"two-level-{league}")
+        files.select("value").write.text(paths[league])
+    return raw.read_leagues(spark, paths, text=["Team"])
+
+
 @query("read_seed", """
 SELECT n_nationkey AS id, n_name AS team, n_regionkey AS region_id FROM nation""")
 def q_read_seed(spark, sf):
@@ -406,6 +456,16 @@ def q_export_table(spark, sf):
     return layer.load_export("standings").drop("_loaded_at")
 
 
+@query("audit_on_write", with_fixtures(EM, """
+SELECT count(*) AS rows, count(*) FILTER (WHERE match_date IS NULL) AS nulls_match_date, count(*) FILTER (WHERE loc_x IS NULL) AS nulls_loc_x,
+       count(*) FILTER (WHERE shot_xg IS NULL) AS nulls_shot_xg, count(*) FILTER (WHERE pass_type IS NULL) AS nulls_pass_type
+FROM tl""", TIMELINE))
+def q_audit_on_write(spark, sf):
+    """Rows and nulls of the timeline, counted by the job that writes it."""
+    layer = Layer(spark, scratch_dir(spark, "layer-audit"))
+    return layer.overwrite_audited(tl_base(spark, sf), "timeline", ["match_date", "loc_x", "shot_xg", "pass_type"])
+
+
 @query("table_stats")
 def q_table_stats(spark, sf):
     """Files, bytes and rows of a stored table (from file metadata)."""

@@ -250,6 +250,27 @@ def q_match_features(spark, sf):
     return mf_v1_frame(spark, sf)
 
 
+def _corr_sql() -> str:
+    from fulltime.operators.models import MATCH_FEATURES as cols
+
+    known = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+    pairs = ", ".join(f'corr({a}, {b}) AS "{a}|{b}"' for i, a in enumerate(cols) for b in cols[i + 1:])
+    return f"""
+SELECT split_part(p, '|', 1) AS col_a, split_part(p, '|', 2) AS col_b, CASE WHEN isnan(corr) THEN NULL ELSE corr END AS corr, n AS rows
+FROM (SELECT * FROM (SELECT {pairs} FROM clean) UNPIVOT INCLUDE NULLS (corr FOR p IN (COLUMNS(*)))), (SELECT count(*) AS n FROM clean)""", \
+        f""",
+clean AS (SELECT {known} FROM mf WHERE {' AND '.join(f'{c} IS NOT NULL' for c in cols)})"""
+
+
+@query("corr_features", with_fixtures(MF_FIX, _corr_sql()[0], MF_V1 + _corr_sql()[1], recursive=True))
+def q_corr_features(spark, sf):
+    """Correlation of every pair of the outcome model's features over the matches that have them all."""
+    from fulltime.operators.correlation import correlation_matrix
+    from fulltime.operators.models import MATCH_FEATURES
+
+    return correlation_matrix(mf_v1_frame(spark, sf), MATCH_FEATURES)
+
+
 def _v2_sql() -> str:
     from fulltime.operators.features import SQUAD_COLS, SQUAD_DIFFS
 

@@ -4,14 +4,16 @@ historical results in rounds, category files with two-level headers, CSV and see
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from fulltime.functions.common import sanitise_name
+from fulltime.operators.numbering import numbered
 from fulltime.sources.event_columns import EXTRA
 
 
@@ -202,6 +204,72 @@ def regroup_results(flat: DataFrame) -> DataFrame:
     return flat.select("num", label.alias("round_label"), F.concat(g1, g2).alias("goals"))
 
 
+def regroup_rounds(matches: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Upstream match lists in file order -> matches of the stored form, numbered and placed in their round.
+
+    ``matches`` has edition, group, round, date, team1, team2, goals1, goals2 (arrays of name and minute) and the
+    columns of ``order``, which give the order in the edition's list. A match gets its running number in the
+    edition (``num``, from 1), its round's label (group, else round, else 'Unknown') and the place of that round in
+    order of first appearance (``round_place``, from 1); each goal names the team that scored it, the first
+    team's goals before the second's.
+
+    Numbers come from range partitions and offsets, and an edition's first number is one aggregate, so no
+    window holds all matches, nor an edition's; the place is a window over the rounds of an edition.
+    """
+    def goals(list_: str, team: str) -> Column:
+        return F.transform(F.coalesce(list_, F.array()), lambda g: F.struct(
+            F.coalesce(g.getField("name"), F.lit("")).alias("name"), F.coalesce(F.col(team), F.lit("")).alias("team"),
+            F.coalesce(g.getField("minute"), F.lit(0)).alias("minute")))
+
+    flat = matches.select("*", F.coalesce("group", "round", F.lit("Unknown")).alias("round_label"))
+    placed = numbered(flat, ["edition", *order], "_n", first=1)
+    rounds = placed.groupBy("edition", "round_label").agg(F.min("_n").alias("_first"))
+    edition = Window.partitionBy("edition")  # the rounds of an edition
+    rounds = rounds.select(F.col("edition").alias("_e"), F.col("round_label").alias("_r"), (F.min("_first").over(edition) - 1).alias("_before"),
+                           F.row_number().over(edition.orderBy("_first")).alias("round_place"))
+    return placed.join(rounds, F.col("edition").eqNullSafe(F.col("_e")) & (F.col("round_label") == F.col("_r"))).select(
+        "edition", "round_label", "round_place", (F.col("_n") - F.col("_before")).alias("num"), "date", "team1", "team2",
+        F.concat(goals("goals1", "team1"), goals("goals2", "team2")).alias("goals"))
+
+
+def header_names(upper: Sequence[str], lower: Sequence[str]) -> list[str]:
+    """Column names of a two-line header: the upper label goes on to the right until the next one (``Unnamed...`` is
+    a group without label), and is put before the lower one; repeated names are numbered from the second on."""
+    out: list[str] = []
+    group = ""
+    for i in range(max(len(upper), len(lower))):
+        over = upper[i].strip() if i < len(upper) else ""
+        group = "" if over.startswith("Unnamed") else over or group
+        under = lower[i].strip() if i < len(lower) else ""
+        name = "_".join(x for x in (group, "" if under.startswith("Unnamed") else under) if x) or f"column_{i + 1}"
+        seen = sum(o == name or o.startswith(f"{name}__") for o in out)
+        out.append(f"{name}__{seen + 1}" if seen else name)
+    return out
+
+
+def read_two_level(spark: SparkSession, path: str, text: Sequence[str] = ()) -> DataFrame:
+    """A delimited file whose first two lines are a header of groups and names (as statistics pages export them).
+
+    Columns are named by ``header_names``; those of ``text`` stay strings, the others are numbers (null where the
+    field is none). Lines that repeat a header line are no rows: such exports repeat them within the table. The
+    driver sees the two header lines only. A field has no line end in it.
+    """
+    lines = spark.read.text(path)
+    head = [r[0] for r in lines.where(F.col("_metadata.file_block_start") == 0).select("value").take(2)]
+    if len(head) < 2:
+        raise ValueError(f"{path} has no header of two lines")
+    names = header_names(*csv.reader(head))
+    rows = lines.where(~F.col("value").isin(head) & (F.trim("value") != ""))
+    fields = F.from_csv("value", ", ".join(f"c{i} string" for i in range(len(names))), {"mode": "PERMISSIVE"})
+    return rows.select(fields.alias("f")).select(*[
+        (F.nullif(F.col(f"f.c{i}"), F.lit("")) if n in text else F.expr(f"try_cast(f.c{i} AS double)")).alias(n) for i, n in enumerate(names)])
+
+
+def read_leagues(spark: SparkSession, paths: dict[str, str], text: Sequence[str] = (), label_col: str = "league") -> DataFrame:
+    """Two-level files by league, each with its own columns, put together by name with the league beside."""
+    return concat_sources({league: read_two_level(spark, path, text) for league, path in paths.items()}, label_col)
+
+
 def read_categories(spark: SparkSession, paths: dict[str, str], optional: bool = False) -> dict[str, DataFrame]:
     """Category files by name; a missing path fails unless ``optional``, any other failure always does."""
     from fulltime.sources.layer import Layer

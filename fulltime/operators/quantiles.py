@@ -12,8 +12,7 @@ import decimal
 import struct
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Bits fixed by a pass.
@@ -21,41 +20,37 @@ BITS = 16
 PASSES = 64 // BITS
 
 
-def _double_key(x: Column) -> Column:
-    """The bits of a double as a whole number, those of negative ones counted down: orders as doubles do.
+def _with_key(df: DataFrame, x: str, out: str) -> DataFrame:
+    """``df`` with the bits of the double ``x`` as a whole number, those of negative ones counted down: it orders as
+    doubles do.
 
-    A normal size is m * 2^e with 2^52 <= m < 2^53, found by exact products with powers of two. Both zeros are
-    one; NaN is the largest value, as in Spark's own order.
+    A normal size is m * 2^e with 2^52 <= m < 2^53, found by exact products with powers of two (in two steps, as
+    one factor may be out of range). Both zeros are one; NaN is the largest value, as in Spark's own order.
     """
-
-    def power(n: Column) -> Column:
-        return F.pow(F.lit(2.0), n.cast("double"))
-
-    def scaled(n: Column) -> Column:  # a * 2^n in two steps, as 2^n alone may be out of range
-        half = F.floor(n / 2).cast("int")
-        return a * power(half) * power(n - half)
-
-    a = F.abs(x)
-    near = F.floor(F.log2(a)).cast("int")  # may be one off next to a power of two
-    e = F.when(power(near) > a, near - 1).when(power(near + 1) <= a, near + 1).otherwise(near)
-    normal = (e + 1023).cast("long") * F.lit(1 << 52) + (scaled(F.lit(52) - e).cast("long") - F.lit(1 << 52))
-    size = (F.when(F.isnan(x), F.lit(2**63 - 1)).when(a == 0, F.lit(0)).when(a == float("inf"), F.lit(2047 << 52))
-            .when(a < 2.0**-1022, scaled(F.lit(1074)).cast("long")).otherwise(normal))
-    return F.when(x.isNotNull(), F.when((x < 0) & ~F.isnan(x), -size).otherwise(size))
+    keep = [f"`{c}`" for c in df.columns]
+    finite = "_a > 0 AND _a < double('inf')"
+    return (df.selectExpr(*keep, f"abs(`{x}`) AS _a")
+            .selectExpr(*keep, "_a", f"CASE WHEN {finite} THEN cast(floor(log2(_a)) AS int) END AS _e")  # may be one off next to a power of two
+            .selectExpr(*keep, "_a", "CASE WHEN power(2D, _e) > _a THEN _e - 1 WHEN power(2D, _e + 1) <= _a THEN _e + 1 ELSE _e END AS _e")
+            .selectExpr(*keep, "_a", "_e", "CASE WHEN _e < -1022 THEN 1074 ELSE 52 - _e END AS _shift")
+            .selectExpr(*keep, "_a", "_e", f"CASE WHEN {finite} THEN cast(_a * power(2D, _shift div 2) * power(2D, _shift - _shift div 2) AS bigint) END AS _m")
+            .selectExpr(*keep, f"CASE WHEN isnan(_a) THEN {2**63 - 1}L WHEN _a = 0 THEN 0L WHEN _a = double('inf') THEN {2047 << 52}L WHEN _e < -1022 THEN _m"
+                               f" ELSE (_e + 1023L) * {1 << 52}L + (_m - {1 << 52}L) END AS _size")
+            .selectExpr(*keep, f"CASE WHEN `{x}` < 0 THEN -_size ELSE _size END AS `{out}`"))
 
 
 def _double_of(key: int) -> float:
     return float("nan") if key == 2**63 - 1 else struct.unpack("<d", struct.pack("<q", abs(key)))[0] * (1 if key >= 0 else -1)
 
 
-def _keyed(x: Column, kind: T.DataType):
-    """The key of a column, and what turns a key back into its value."""
+def _number(c: str, kind: T.DataType):
+    """A column as double or as whole number (SQL; one of the two, the other null), and what turns a key into its value."""
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return _double_key(x.cast("double")), _double_of
+        return f"cast(`{c}` AS double)", "cast(NULL AS bigint)", _double_of
     if isinstance(kind, T.DecimalType) and kind.precision <= 18:
-        return (x.cast("decimal(38,18)") * F.lit(10**kind.scale)).cast("long"), lambda k: decimal.Decimal(k).scaleb(-kind.scale)
-    if isinstance(kind, (T.IntegralType,)):
-        return x.cast("long"), int
+        return "cast(NULL AS double)", f"cast(cast(`{c}` AS decimal(38,18)) * {10**kind.scale}L AS bigint)", lambda k: decimal.Decimal(k).scaleb(-kind.scale)
+    if isinstance(kind, T.IntegralType):
+        return "cast(NULL AS double)", f"cast(`{c}` AS bigint)", int
     raise TypeError(f"no quantiles of {kind.simpleString()}")
 
 
@@ -66,25 +61,30 @@ def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dic
     out: dict[tuple[str, float], object] = dict.fromkeys(cells)
     if not cells:
         return out
-    spark, place = df.sparkSession, {c: i for i, c in enumerate(wanted)}
-    keys, back = zip(*[_keyed(F.col(c), df.schema[c].dataType) for c in wanted])
-    each = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), k.alias("k")) for i, k in enumerate(keys)])).alias("x")).select("x.*").where("k is not null")
-    # wanted ranks: what is known of their key so far, and the rank among the values that agree with it
+    place = {c: i for i, c in enumerate(wanted)}
+    double, whole, back = zip(*[_number(c, df.schema[c].dataType) for c in wanted])
+    cols = ", ".join(f"named_struct('c', {i}, 'd', {d}, 'w', {w})" for i, (d, w) in enumerate(zip(double, whole)))
+    each = df.selectExpr(f"inline(array({cols}))").where("d IS NOT NULL OR w IS NOT NULL")
+    each = _with_key(each, "d", "k").selectExpr("c", "coalesce(w, k) AS k")  # once for all columns
+    # wanted ranks of each column: what is known of their key so far, and the rank among the values that agree with it
     todo = [(i, place[c], 0, None, float(q)) for i, (c, q) in enumerate(cells)]
     for done in range(0, 64, BITS):
-        ranks = spark.createDataFrame(todo, "cell int, c int, known long, rank long, q double")
-        known = F.shiftright("k", 64 - done) if done else F.lit(0).cast("long")
-        digit = F.shiftright("k", 64 - BITS - done).bitwiseAND(F.lit((1 << BITS) - 1)) if done else F.shiftright("k", 64 - BITS)
-        some = each.select("c", known.alias("known"), digit.alias("digit"))
-        if done:
-            some = some.join(F.broadcast(ranks.select("c", "known").distinct()), ["c", "known"], "left_semi")
-        counts = some.groupBy("c", "known", "digit").agg(F.count("*").alias("n"))
-        part = Window.partitionBy("c", "known")  # 2^16 digits at most
-        counts = counts.select("c", "known", "digit", "n", F.sum("n").over(part).alias("all"),
-                               F.sum("n").over(part.orderBy("digit").rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("upto"))
-        hit = counts.join(F.broadcast(ranks), ["c", "known"])
-        rank = F.coalesce("rank", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("q") * F.col("all") - 1e-9)))
-        rows = hit.withColumn("rank", rank).where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank"))).select(
-            "cell", "c", "known", "digit", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "q").collect()  # a row a wanted rank
+        if not todo:  # no values at all
+            break
+        ranks = "array(" + ", ".join("array(" + ", ".join(
+            f"named_struct('cell', {cell}, 'known', {known}L, 'rank', cast({'NULL' if rank is None else rank} AS bigint), 'q', {q!r}D)"
+            for cell, c, known, rank, q in todo if c == i) + ")" for i in range(len(place))) + ")"
+        mine = f"filter(get({ranks}, c), r -> r.known = known)"
+        known = f"shiftright(k, {64 - done})" if done else "0L"
+        digit = f"shiftright(k, {64 - BITS - done})" + (f" & {(1 << BITS) - 1}" if done else "")
+        counts = each.selectExpr("c", f"{known} AS known", f"{digit} AS digit").where(f"size({mine}) > 0").groupBy("c", "known", "digit").count()
+        # 2^16 digits of a column and prefix at most
+        placed = counts.selectExpr("*", "sum(count) OVER (PARTITION BY c, known) AS all",
+                                   "sum(count) OVER (PARTITION BY c, known ORDER BY digit ROWS UNBOUNDED PRECEDING) AS upto")
+        hit = placed.selectExpr("c", "known", "digit", "count", "all", "upto", f"inline({mine})").toDF(
+            "c", "known", "digit", "count", "all", "upto", "cell", "same", "rank", "q")
+        hit = hit.selectExpr("cell", "c", "known", "digit", "upto", "count", "q", "coalesce(rank, greatest(1L, ceil(q * all - 1e-9D))) AS rank")
+        rows = hit.where("upto >= rank AND upto - count < rank").selectExpr(  # a row a wanted rank
+            "cell", "c", "known", "digit", "rank - upto + count AS rank", "q").collect()
         todo = [(r["cell"], r["c"], (r["known"] << BITS) + r["digit"] if done else r["digit"], r["rank"], r["q"]) for r in rows]
     return out | {cells[cell]: back[c](key) for cell, c, key, _, _ in todo}

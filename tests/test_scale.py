@@ -42,8 +42,9 @@ def test_every_double_keeps_its_order_and_value(spark):
     r = random.Random(2)
     bits = [r.randrange(2047 << 52) for _ in range(4000)] + [2**k for k in range(63) if 2**k < 2047 << 52] + [2**k - 1 for k in range(63) if 2**k < 2047 << 52]
     values = [struct.unpack("<d", struct.pack("<q", b))[0] for b in bits]
-    df = spark.createDataFrame([(v,) for v in values], "x double").select("x", quantiles._double_key(F.col("x")).alias("k"), quantiles._double_key(-F.col("x")).alias("m"))
-    for row, b in zip(sorted(map(tuple, df.collect())), sorted(bits)):
+    df = quantiles._with_key(spark.createDataFrame([(v,) for v in values], "x double"), "x", "k")
+    df = quantiles._with_key(df.withColumn("y", -F.col("x")), "y", "m")
+    for row, b in zip(sorted(map(tuple, df.select("x", "k", "m").collect())), sorted(bits)):
         assert (row[1], row[2]) == (b, -b) and quantiles._double_of(b) == row[0] and quantiles._double_of(-b) == -row[0]
 
 

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from fulltime.functions import football as fb
 
-# Match attributes carried onto every event.
+# Match attributes carried onto every event (those that the match table has).
 MATCH_ATTRS = (
-    "match_id", "match_date", "competition_id", "season_id", "stage_name",
+    "match_id", "match_date", "competition_id", "competition_name", "competition_label", "season_id", "season_name", "stage_name", "stadium_name",
     "home_team_id", "home_team_name", "away_team_id", "away_team_name", "home_score", "away_score",
 )
 
@@ -46,6 +46,24 @@ def attach_match(events: DataFrame, matches: DataFrame) -> DataFrame:
 
 
 RUNNING_CHUNK = 50_000  # events per chunk of the running-score prefix sum
+#: Chunk of the events without an index.
+NO_INDEX = -(2**62)
+
+
+def _chunk_of(order: str, chunk: int) -> Column:
+    return F.coalesce(F.floor(F.col(order) / chunk), F.lit(NO_INDEX))
+
+
+def _in_chunk(df: DataFrame, order: str, inclusive: bool) -> WindowSpec:
+    """Rows of a chunk up to the current one: by index, those without one first and by event id."""
+    by = [order, *(["event_id"] if "event_id" in df.columns else [])]
+    return Window.partitionBy("match_id", "_chunk").orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+
+
+def _same_chunk(events: DataFrame, context: DataFrame, how: str) -> DataFrame:
+    """Events joined to what their (match, chunk) has; a null match is a match like any other."""
+    c = context.withColumnsRenamed({"match_id": "_match", "_chunk": "_of"})
+    return events.join(c, F.col("match_id").eqNullSafe(F.col("_match")) & (F.col("_chunk") == F.col("_of")), how).drop("_match", "_of")
 
 
 def running_score(df: DataFrame, inclusive: bool = True, order: str = "event_index",
@@ -58,19 +76,21 @@ def running_score(df: DataFrame, inclusive: bool = True, order: str = "event_ind
     A chunked prefix sum, so one very long match is not one window buffer: events are cut into
     chunks of ``chunk`` consecutive indexes; the running sum inside (match, chunk) is added to the
     goals of the match's earlier chunks, which come from a small per-chunk aggregate.
+
+    Every event stays: those without an index come first in their match (by event id), those without a match
+    are one group.
     """
     goal = (F.col("type_name") == "Shot") & (F.col("shot_outcome") == "Goal")
     is_home = F.coalesce(F.col("team_id") == F.col("home_team_id"), F.lit(False))
     d = df.select("*", F.when(goal & is_home, 1).otherwise(0).alias("_hg"),
                   F.when(goal & ~is_home, 1).otherwise(0).alias("_ag"),
-                  F.floor(F.col(order) / chunk).alias("_chunk"))
+                  _chunk_of(order, chunk).alias("_chunk"))
     totals = d.groupBy("match_id", "_chunk").agg(F.sum("_hg").alias("_ch"), F.sum("_ag").alias("_ca"))
     before = Window.partitionBy("match_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("match_id", "_chunk", F.coalesce(F.sum("_ch").over(before), F.lit(0)).alias("_oh"),
                             F.coalesce(F.sum("_ca").over(before), F.lit(0)).alias("_oa"))
-    end = Window.currentRow if inclusive else -1
-    w = Window.partitionBy("match_id", "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, end)
-    j = d.join(offsets, ["match_id", "_chunk"])
+    w = _in_chunk(d, order, inclusive)
+    j = _same_chunk(d, offsets, "inner")
     home = (F.col("_oh") + F.coalesce(F.sum("_hg").over(w), F.lit(0))).cast("int")
     away = (F.col("_oa") + F.coalesce(F.sum("_ag").over(w), F.lit(0))).cast("int")
     return (
@@ -98,7 +118,7 @@ def _chunk_context(events: DataFrame, matches: DataFrame, chunk: int, order: str
     One pass over five event columns counts goals by (match, chunk, team); what follows is small.
     """
     goal = (F.col("type_name") == "Shot") & (F.col("shot_outcome") == "Goal")
-    by_team = events.groupBy("match_id", F.floor(F.col(order) / chunk).alias("_chunk"), "team_id").agg(F.count_if(goal).alias("_goals"))
+    by_team = events.groupBy("match_id", _chunk_of(order, chunk).alias("_chunk"), "team_id").agg(F.count_if(goal).alias("_goals"))
     home = F.coalesce(F.col("team_id") == F.col("home_team_id"), F.lit(False))
     sides = by_team.join(matches.select("match_id", "home_team_id"), "match_id", "left").groupBy("match_id", "_chunk").agg(
         F.sum(F.when(home, F.col("_goals")).otherwise(0)).alias("_h"), F.sum(F.when(~home, F.col("_goals")).otherwise(0)).alias("_a"))
@@ -115,10 +135,10 @@ def _scored(events: DataFrame, matches: DataFrame, inclusive: bool, chunk: int =
     """
     context = _chunk_context(events, matches, chunk, order)
     ev = events.drop(*[c for c in context.columns if c != "match_id" and c in events.columns])
-    j = ev.withColumn("_chunk", F.floor(F.col(order) / chunk)).join(context, ["match_id", "_chunk"], "left")
+    j = _same_chunk(ev.withColumn("_chunk", _chunk_of(order, chunk)), context, "left")
     goal = (F.col("type_name") == "Shot") & (F.col("shot_outcome") == "Goal")
     home = F.coalesce(F.col("team_id") == F.col("home_team_id"), F.lit(False))
-    w = Window.partitionBy("match_id", "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    w = _in_chunk(j, order, inclusive)
     score = {f"score_{side}_at_event": (F.coalesce(F.col(f"_o_{side[0]}"), F.lit(0)) + F.coalesce(
         F.sum(F.when(goal & own, 1).otherwise(0)).over(w), F.lit(0))).cast("int") for side, own in (("home", home), ("away", ~home))}
     return (j.withColumns(score).withColumn("score_diff_at_event", F.col("score_home_at_event") - F.col("score_away_at_event"))

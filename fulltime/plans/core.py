@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fulltime.functions import football as fb
 from fulltime.operators import gold, players, teams, timeline
 from fulltime.plans.fixture_sql import with_fixtures
 from fulltime.plans.registry import query
@@ -59,6 +60,38 @@ def q_match_timeline(spark, sf):
     return tl_frame(spark, sf)
 
 
+_NAMES = {
+    "competition_name": "concat('Competition ', CAST(competition_id AS STRING))", "season_name": "concat('Season ', CAST(season_id AS STRING))",
+    "competition_label": "concat(CAST(competition_id AS STRING), '_', CAST(season_id AS STRING))",
+    "stadium_name": "CASE WHEN match_id % 10 <> 3 THEN concat('Stadium ', CAST(match_id % 12 AS STRING)) END",
+}
+_GAPS = {"event_index": "CASE WHEN event_id % 61 <> 0 THEN event_index END", "match_id": "CASE WHEN event_id % 97 <> 0 THEN match_id END"}
+
+
+def _gaps_sql() -> str:
+    score = ", ".join(f"""CAST(sum(CASE WHEN type_name = 'Shot' AND shot_outcome = 'Goal' AND {own} THEN 1 ELSE 0 END)
+           OVER (PARTITION BY match_id ORDER BY event_index NULLS FIRST, event_id ROWS UNBOUNDED PRECEDING) AS INTEGER) AS score_{side}_at_event"""
+                      for side, own in (("home", "is_home_team"), ("away", "NOT is_home_team")))
+    types = ", ".join(f"'{t}'" for t in fb.TIMELINE_TYPES)
+    return f"""
+SELECT event_id, match_id, event_index, match_date, {', '.join(_NAMES)}, is_home_team, {score} FROM (
+  SELECT e.event_id, e.match_id, e.event_index, e.type_name, e.shot_outcome, m.match_date, {', '.join(f'm.{c}' for c in _NAMES)},
+         coalesce(e.team_id = m.home_team_id, false) AS is_home_team
+  FROM (SELECT * REPLACE ({', '.join(f'{x} AS {c}' for c, x in _GAPS.items())}) FROM fx_event) e
+  LEFT JOIN (SELECT *, {', '.join(f'{x} AS {c}' for c, x in _NAMES.items())} FROM fx_match) m ON e.match_id = m.match_id
+  WHERE e.type_name IN ({types}))"""
+
+
+@query("timeline_gaps", with_fixtures(EM, _gaps_sql()))
+def q_timeline_gaps(spark, sf):
+    """The timeline of events of which some have no index and some no match, with the names of competition, season
+    and stadium: every event stays, with its match's attributes and the score at it."""
+    e = td.fx_event(spark, sf)
+    gaps = e.selectExpr(*[f"{_GAPS[c]} AS {c}" if c in _GAPS else f"`{c}`" for c in e.columns])
+    tl = timeline.match_timeline(gaps, td.fx_match(spark, sf).selectExpr("*", *[f"{x} AS {c}" for c, x in _NAMES.items()]))
+    return tl.select("event_id", "match_id", "event_index", "match_date", *_NAMES, "is_home_team", "score_home_at_event", "score_away_at_event")
+
+
 @query("running_score", with_fixtures(EM, """
 SELECT match_id, event_index, score_home_at_event, score_away_at_event, score_diff_at_event FROM tl""", TIMELINE))
 def q_running_score(spark, sf):

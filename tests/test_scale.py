@@ -163,3 +163,19 @@ def test_a_match_with_a_third_of_all_events(spark):
     assert {r["event_id"]: (r["score_home_at_event"], r["score_away_at_event"]) for r in scored.collect()} == got
     before = {r["event_id"]: r["score_home_at_event"] for r in timeline._scored(events, matches, False, chunk=7).collect()}
     assert all(before[i] == got[i][0] - (o == "Goal" and t == 1) for i, _, _, _, o, t in rows)
+
+
+def test_events_without_index_or_match_stay(spark):
+    from fulltime.operators import timeline
+
+    kind = "event_id long, match_id long, event_index long, type_name string, shot_outcome string, team_id long"
+    rows = [(1, 7, None, "Shot", "Goal", 1), (2, 7, 0, "Pass", None, 1), (3, 7, 5, "Shot", "Goal", 2), (4, None, 3, "Shot", "Goal", 1), (5, None, None, "Pass", None, 2),
+            (6, 8, None, "Pass", None, 1)]
+    events = spark.createDataFrame(rows, kind)
+    matches = spark.createDataFrame([(7, "C", 1, 2), (8, "D", 1, 2)], "match_id long, competition_name string, home_team_id long, away_team_id long")
+    for chunk in (1, 100):
+        tl = timeline._scored(events, matches, True, chunk=chunk)
+        got = {r["event_id"]: (r["competition_name"], r["score_home_at_event"], r["score_away_at_event"]) for r in tl.collect()}
+        assert got == {1: ("C", 1, 0), 2: ("C", 1, 0), 3: ("C", 1, 1), 4: (None, 0, 1), 5: (None, 0, 0), 6: ("D", 0, 0)}
+        again = timeline.running_score(timeline.attach_match(events, matches), chunk=chunk)
+        assert {r["event_id"]: (r["competition_name"], r["score_home_at_event"], r["score_away_at_event"]) for r in again.collect()} == got

@@ -3,11 +3,11 @@
 A shard is one binary record: a header, the document ids, the boundaries, then all ids one after
 another in the narrowest of two or four bytes. Boundaries (end offsets, never falling) take
 2 + log2(ids / documents) bits each: the low bits are packed, the high bits stand as ones in a bit
-vector, one after as many zeros as the high part counts. The i-th end is read back with select, from
+vector, one after as many zeros as the high part counts. Ends are read back with select, from
 a sample of the positions of every 256th one and a popcount from there; no table of 64-bit offsets exists.
 
 ``write_shards`` deals documents out by range of doc_id, so shards in order of (part, seq) hold
-ascending doc_ids (nulls first; rows of the same doc_id by text). A task flushes a shard every
+ascending doc_ids (nulls first; rows of the same doc_id by a hash of their text). A task flushes a shard every
 ``SHARD_IDS`` ids, so its memory is bounded; a longer document makes a longer shard. The records are
 written by Spark's own writer, so they go to any store that Spark reaches.
 """
@@ -76,6 +76,20 @@ class EliasFano:
         pos = 8 * byte + int(np.flatnonzero(np.unpackbits(window, bitorder="little"))[left])
         return (pos - i << self.low_bits) + int(self._lows(i, 1)[0])
 
+    def selects(self, at: np.ndarray) -> np.ndarray:
+        """The values at rising places: the ones of each sampled stretch that has some, from its sample on."""
+        at = np.asarray(at, np.int64)
+        if len(at) and not 0 <= at[0] <= at[-1] < self.n:
+            raise IndexError((int(at[0]), int(at[-1])))
+        pos, own = np.empty(len(at), np.int64), at // SAMPLE
+        for b in np.unique(own).tolist():
+            mine = slice(*np.searchsorted(own, [b, b + 1]))
+            start, stop = int(self.sample[b]), int(self.sample[b + 1]) if b + 1 < len(self.sample) else 8 * len(self.high)
+            ones = np.flatnonzero(np.unpackbits(self.high[start // 8:(stop + 7) // 8], bitorder="little")[start % 8:])
+            pos[mine] = start + ones[at[mine] - b * SAMPLE]
+        lows = self._lows(int(at[0]), int(at[-1] - at[0]) + 1)[at - at[0]] if len(at) else np.zeros(0, np.int64)
+        return (pos - at << self.low_bits) + lows
+
     def values(self) -> np.ndarray:
         ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n]
         return (ones - np.arange(self.n) << self.low_bits) + self._lows(0, self.n)
@@ -160,27 +174,31 @@ class WordIds:
         return np.fromiter(chain.from_iterable(out), np.dtype(f"<u{self.width}"), int(lens.sum())), lens
 
     def _learn(self, new: list[str]) -> list[bytes]:
-        words = pa.array(new, pa.string())
+        ids, lens = self._encode(pa.array(new, pa.string()))
+        raw, cut = ids.tobytes(), (self.width * np.r_[0, np.cumsum(lens)]).tolist()
+        return [raw[a:z] for a, z in zip(cut, cut[1:])]
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another; and their number by text.
+
+        Distinct chunks are cut into a stem (in lower case where it is ASCII) and a point or comma after it;
+        stems are what the table of known ones holds, so one entry serves all forms.
+        """
+        split = Split(pc.split_pattern(pc.replace_substring(texts, "\n", " "), " "))
+        words = split.distinct
         tailed = pc.match_substring_regex(words, r"[A-Za-z][.,]\z")
         stems = pc.if_else(tailed, pc.utf8_slice_codeunits(words, 0, -1), words)
         stems = pc.if_else(pc.string_is_ascii(stems), pc.ascii_lower(stems), stems)
         coded = pa.concat_arrays([pa.array([".", ","]), stems]).dictionary_encode()
         at = coded.indices.to_numpy().astype(np.int64)
-        ids, lens = self._encode(coded.dictionary)
+        values = self.known.of(coded.dictionary.to_pylist(), self._learn)
+        lens = np.fromiter(map(len, values), np.int64, len(values)) // self.width
         tail = np.where(tailed.to_numpy(zero_copy_only=False), np.where(pc.ends_with(words, ".").to_numpy(zero_copy_only=False), 0, 1), -1)
         parts = np.c_[at[2:], np.where(tail >= 0, at[np.maximum(tail, 0)], -1)].ravel()
-        flat, n = gather(ids, lens, parts[parts >= 0])
+        flat, n = gather(np.frombuffer(b"".join(values), f"<u{self.width}"), lens, parts[parts >= 0])
         width = np.zeros(len(parts), np.int64)
         width[parts >= 0] = n
-        raw, cut = flat.tobytes(), (self.width * np.r_[0, np.cumsum(width.reshape(-1, 2).sum(1))]).tolist()
-        return [raw[a:z] for a, z in zip(cut, cut[1:])]
-
-    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, one after another; and their number by text."""
-        split = Split(pc.split_pattern(pc.replace_substring(texts, "\n", " "), " "))
-        values = self.known.of(split.distinct.to_pylist(), self._learn)
-        lens = np.fromiter(map(len, values), np.int64, len(values)) // self.width
-        ids, n = gather(np.frombuffer(b"".join(values), f"<u{self.width}"), lens, split.at)
+        ids, n = gather(flat, width.reshape(-1, 2).sum(1), split.at)
         cut = np.r_[0, np.cumsum(n)][np.r_[0, np.cumsum(split.lens)]]
         return ids, np.diff(cut)
 
@@ -194,7 +212,6 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         coder, part = per_process(f"words {tokenizer}", lambda: WordIds(tokenizer)), TaskContext.get().partitionId()
-        end = np.array([end_id], f"<u{coder.width}").tobytes()
         doc_ids, lens, raws, held, seq, before = [], [], [], 0, 0, 0
 
         def flush() -> dict:
@@ -203,12 +220,19 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> Non
 
         for b in slices(batches, "text", 8_000_000):
             ids, n = coder.texts(filled(b.column("text")))
-            raw, cut = ids.tobytes(), (coder.width * np.r_[0, np.cumsum(n)]).tolist()
-            for d, a, z in zip(b.column("doc_id").to_pylist(), cut, cut[1:]):
-                doc_ids.append(d)
-                raws += [raw[a:z], end]
-                lens.append((z - a) // coder.width + 1)
-                held += lens[-1]
+            ends = np.cumsum(n + 1)  # an end id after each text
+            whole = np.full(int(ends[-1]), end_id, f"<u{coder.width}")
+            own = np.ones(len(whole), bool)
+            own[ends - 1] = False
+            whole[own] = ids
+            docs_of, at = b.column("doc_id").to_pylist(), 0
+            while at < len(n):  # a shard takes documents until it has its ids
+                start = int(ends[at - 1]) if at else 0
+                stop = min(len(n), int(np.searchsorted(ends, start + SHARD_IDS - held)) + 1)
+                doc_ids += docs_of[at:stop]
+                lens += (n[at:stop] + 1).tolist()
+                raws.append(whole[start:ends[stop - 1]].tobytes())
+                held, at = held + int(ends[stop - 1]) - start, stop
                 if held >= SHARD_IDS:
                     yield flush()
                     doc_ids, lens, raws, held, seq, before = [], [], [], 0, seq + 1, before + held
@@ -216,7 +240,9 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> Non
             yield flush()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    dealt = rows.repartitionByRange(fanout(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one doc_id by a hash of their text, so that a hot one is dealt to many tasks
+    dealt = rows.withColumn("own", F.xxhash64("text")).repartitionByRange(fanout(docs.sparkSession), "doc_id", "own")
+    dealt = dealt.sortWithinPartitions("doc_id", "own", "text").drop("own")
     with arrow_rows(docs.sparkSession, 1000):
         map_arrow(dealt, run, "part int, seq int, before long, n_docs long, n_ids long, shard binary").write.parquet(path)
 
@@ -236,8 +262,8 @@ def read_shards(shards: DataFrame) -> DataFrame:
         for b in batches:
             for part, before, raw in zip(*(b.column(c).to_pylist() for c in ("part", "before", "shard"))):
                 docs, ends, ids = read_shard(raw)
-                wide, cut = ids.astype("<u4"), np.r_[0, ends.values()]
+                wide, cut = memoryview(ids.astype("<u4").tobytes()), np.r_[0, ends.selects(np.arange(len(docs)))]
                 yield {"doc_id": docs, "start": base[part] + before + cut[:-1], "n_tokens": np.diff(cut),
-                       "ids_crc32": [zlib.crc32(wide[a:z].tobytes()) for a, z in zip(cut[:-1].tolist(), cut[1:].tolist())]}
+                       "ids_crc32": [zlib.crc32(wide[a:z]) for a, z in zip((4 * cut[:-1]).tolist(), (4 * cut[1:]).tolist())]}
 
     return map_arrow(shards.select("part", "before", "shard"), run, "doc_id long, start long, n_tokens long, ids_crc32 long")

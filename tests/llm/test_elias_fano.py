@@ -20,7 +20,11 @@ def test_select_and_bytes(n, step):
     v = np.cumsum([r.randrange(step + 1) for _ in range(n)])
     e, end = E.EliasFano.from_bytes(b"xx" + E.EliasFano.of(v).to_bytes(), 2)
     assert e.values().tolist() == v.tolist() and end == len(E.EliasFano.of(v).to_bytes()) + 2
-    assert [e.select(i) for i in range(n)] == v.tolist()
+    assert [e.select(i) for i in range(n)] == v.tolist() == e.selects(np.arange(n)).tolist()
+    some = sorted(r.sample(range(n), max(1, n // 7)))
+    assert e.selects(np.array(some)).tolist() == v[some].tolist() and e.selects(np.zeros(0, np.int64)).tolist() == []
+    with pytest.raises(IndexError):
+        e.selects(np.array([0, n]))
     with pytest.raises(IndexError):
         e.select(n)
     if n >= 1000:  # near 2 + log2(u / n) bits each, the sample and the header aside
@@ -58,6 +62,23 @@ def test_shards_round_trip(spark, monkeypatch):
         at += len(ids)
 
 
+def test_a_doc_id_that_fills_tasks(spark, monkeypatch):
+    monkeypatch.setattr(E, "SHARD_IDS", 900)
+    texts = [H.prose(i, 60) for i in range(80)]
+    docs = spark.createDataFrame([(5 if i % 4 else i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(6)
+    path = shared_path(spark, "shards")
+    E.write_shards(docs, FILE, 2, path)
+    assert spark.read.parquet(path).select("part").distinct().count() > 4
+    rows = sorted(E.read_shards(spark.read.parquet(path)).collect(), key=lambda r: r["start"])
+    lib, at = Tokenizer.from_file(FILE), 0
+    for r in rows:
+        assert r["start"] == at
+        at += r["n_tokens"]
+    assert [r["doc_id"] for r in rows] == sorted(5 if i % 4 else i for i in range(80))
+    want = [(5 if i % 4 else i, lib.encode(t, add_special_tokens=False).ids + [2]) for i, t in enumerate(texts)]
+    assert sorted((r["doc_id"], r["ids_crc32"]) for r in rows) == sorted((d, zlib.crc32(np.array(x, "<u4").tobytes())) for d, x in want)
+
+
 def test_no_rows(spark):
     path = shared_path(spark, "shards")
     E.write_shards(H.no_rows(spark), FILE, 2, path)

@@ -11,6 +11,7 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -53,6 +54,18 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def shared_object(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """What gives ``value`` in tasks: broadcast once with its class by value, so executors need no copy of the package."""
+    sent, held = spark.sparkContext.broadcast(cloudpickle.dumps(value)), []
+
+    def get() -> Any:
+        if not held:
+            held.append(cloudpickle.loads(sent.value))
+        return held[0]
+
+    return get
+
+
 def per_process(key: str, make: Callable[[], Any]) -> Any:
     """One object for each Python worker process, made when first asked for; the one before it goes.
 

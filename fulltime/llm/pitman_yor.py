@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import arrow_rows, blank_split, fanout, filled, map_arrow, slices, stored
+from fulltime.llm.common import arrow_rows, blank_split, filled, map_arrow, shared_object, slices, stored
 
 #: Symbols of spellings: the most frequent bytes, all others, and the end (which also stands before a word).
 SYMBOLS = 40
@@ -49,6 +49,9 @@ OTHER, END = SYMBOLS - 2, SYMBOLS - 1
 ORDER = 3
 CELLS = SYMBOLS ** (ORDER + 1)
 STRENGTH = 1.0
+#: Tokens for each word bucket, and for two cells of the grid: with the tokens of the corpus they say how many there
+#: are, whatever the session's settings.
+BUCKET_TOKENS = 2_500_000
 #: Text bytes of a chunk.
 CHUNK = 3_000_000
 
@@ -208,18 +211,24 @@ class WordModel:
 
 
 def pack(docs: DataFrame, train: str) -> DataFrame:
-    """Chunks of (doc_id, text, train flag) rows, compressed: chunk, blob."""
+    """Chunks of (doc_id, text, train flag) rows, their words split once and numbered: chunk, tokens, blob."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         part, seq, held, size = TaskContext.get().partitionId(), 0, [], 0
         coder = zstandard.ZstdCompressor(level=1)
 
         def flush() -> dict:
+            rows = pa.Table.from_batches(held)
+            split = blank_split(filled(rows.column("text").combine_chunks()), lower=True)
+            # the end token, which is the empty word, comes after the words of each text
+            words = coder.compress(b"\n".join([*split.distinct.cast(pa.binary()).to_pylist(), b""]))
+            row = {"doc_id": [rows.column("doc_id").to_pylist()], "train": [rows.column("train").to_pylist()], "words": [words],
+                   "at": [squeeze(split.at.astype("<u4"))], "lens": [squeeze(split.lens.astype("<u4"))]}
+            batch = pa.RecordBatch.from_pydict(row, schema=PACKED)
             with pa.BufferOutputStream() as sink:
-                with pa.ipc.new_stream(sink, held[0].schema) as out:
-                    for b in held:
-                        out.write_batch(b)
-                return {"chunk": [(part << 32) + seq], "blob": [coder.compress(sink.getvalue().to_pybytes())]}
+                with pa.ipc.new_stream(sink, PACKED) as out:
+                    out.write_batch(batch)
+                return {"chunk": [(part << 32) + seq], "tokens": [len(split.at) + len(split.lens)], "blob": [sink.getvalue().to_pybytes()]}
 
         for b in slices(batches, "text", CHUNK):
             held.append(pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in b.columns], names=b.schema.names))
@@ -231,24 +240,28 @@ def pack(docs: DataFrame, train: str) -> DataFrame:
             yield flush()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col(train).alias("train"))
-    return map_arrow(rows, run, "chunk long, blob binary")
+    return map_arrow(rows, run, "chunk long, tokens long, blob binary")
+
+
+#: Parts of a chunk's record: words joined by line ends, tokens as numbers of words, tokens of each text.
+PACKED = pa.schema([("doc_id", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())), ("words", pa.binary()), ("at", pa.binary()), ("lens", pa.binary())])
 
 
 class Chunk:
     """Rows of a chunk, their words as numbers, and its distinct words in order of their first places."""
 
     def __init__(self, blob: bytes):
-        rows = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob)).read_all()
-        self.doc_id, self.train = rows.column("doc_id").combine_chunks(), rows.column("train").combine_chunks()
-        split = blank_split(filled(rows.column("text").combine_chunks()), lower=True)
-        # the end token, which is the empty word, comes after the words of each text
-        self.words, self.end = [*split.distinct.cast(pa.binary()).to_pylist(), b""], len(split.distinct)
+        row = pa.ipc.open_stream(blob).read_all()
+        self.doc_id, self.train = (row.column(c).combine_chunks().flatten() for c in ("doc_id", "train"))
+        self.words = zstandard.ZstdDecompressor().decompress(row.column("words")[0].as_py()).split(b"\n")
+        self.end, lens = len(self.words) - 1, unsqueeze(row.column("lens")[0].as_py(), "<u4").astype(np.int64)
+        at = unsqueeze(row.column("at")[0].as_py(), "<u4").astype(np.int64)
         if b"" in self.words[:-1]:
             self.words.pop()
             self.end = self.words.index(b"")
-        self.lens = split.lens + 1
+        self.lens = lens + 1
         self.first = np.cumsum(self.lens) - self.lens
-        self.token = np.insert(split.at, np.cumsum(split.lens), self.end)
+        self.token = np.insert(at, np.cumsum(lens), self.end)
         self.learns = np.repeat(np.array(self.train.to_pylist(), np.int64), self.lens)
         self.name = np.fromiter((xxhash.xxh3_64_intdigest(w) & 0xFFFFFFFF for w in self.words), np.int64, len(self.words))
 
@@ -405,8 +418,8 @@ def vocabulary(chunks: DataFrame, found: DataFrame, buckets: int) -> DataFrame:
         for ws, raw in zip(split, asked["b"]):
             for w, n in zip(ws, unsqueeze(raw, "<u4").tolist()):
                 total[w] = total.get(w, 0) + n
-        place = {w: i for i, w in enumerate(total)}
-        words, count = list(total), np.array(list(total.values()), "<i8")
+        words = sorted(total)  # draws go by place, so places must not hang on the order of chunks
+        place, count = {w: i for i, w in enumerate(words)}, np.array([total[w] for w in words], "<i8")
         name = np.fromiter((xxhash.xxh3_64_intdigest(w) & 0xFFFFFFFF for w in words), np.int64, len(words))
         tables, customers = look(name & CONTEXT, contexts)
         own = np.where(count > 0, np.maximum(1, np.rint(look(name, dishes)[0])), 0).astype("<i8")
@@ -472,7 +485,7 @@ def learn(types: DataFrame, burn: int = 2, samples: int = 3, seed: int = 5) -> W
                     yield {"cell": np.r_[at, -1], "n": np.r_[n[at], t.sum()].astype(np.int64)}
 
         # at most CELLS + 1 rows, whatever the corpus
-        got = map_arrow(types, sit, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+        got = map_arrow(types, sit, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas().sort_values("cell")
         own = got[got["cell"] >= 0]
         tables = float(got.loc[got["cell"] < 0, "n"].sum())
         spelling.sweep(own["cell"].to_numpy(), own["n"].to_numpy(), rng)
@@ -490,7 +503,9 @@ def score(docs: DataFrame, train: str = "train", buckets: int | None = None) ->
     with arrow_rows(docs.sparkSession, 1000):  # rows with whole texts
         chunks = stored(pack(docs, train), "chunks")
     with arrow_rows(docs.sparkSession, 4):  # rows with a chunk each
-        return stored(_scored(chunks, buckets or fanout(docs.sparkSession)), "scores")
+        if buckets is None:
+            buckets = max(1, -(-int(chunks.agg(F.sum("tokens")).first()[0] or 0) // BUCKET_TOKENS))
+        return stored(_scored(chunks, buckets), "scores")
 
 
 def _scored(chunks: DataFrame, buckets: int) -> DataFrame:
@@ -501,10 +516,10 @@ def _scored(chunks: DataFrame, buckets: int) -> DataFrame:
     model = learn(found.where("kind = 1").select("bucket", "a", "b", "tokens", "types", "customers"))
     ones, twos = (int(x or 0) for x in pairs.where("kind = 2").agg(F.sum("one"), F.sum("two")).first())
     model.pair_discount = float(np.clip(ones / max(1, ones + 2 * twos), 0.05, 0.95))
-    shared = spark.sparkContext.broadcast(model)
+    shared = shared_object(spark, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        m = shared.value
+        m = shared()
         for b in batches:
             for blob, words, cells in zip(*(b.column(c).to_pylist() for c in ("blob", "words", "cells"))):
                 chunk = Chunk(blob)

@@ -75,3 +75,18 @@ def test_nothing_to_learn_from_and_no_rows(spark):
     rows = Y.score(docs).collect()
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and math.isfinite(r["score"]) for r in rows)
     assert Y.score(H.no_rows(spark).withColumn("train", F.lit(True))).count() == 0
+
+
+def test_scores_do_not_hang_on_the_session(spark, monkeypatch):
+    monkeypatch.setattr(Y, "BUCKET_TOKENS", 2000)
+    monkeypatch.setattr(Y, "CHUNK", 3000)
+    docs = H.documents(spark, [H.prose(i, 60, 300) for i in range(120)]).select("doc_id", "text", (F.col("doc_id") % 7 != 2).alias("train"))
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n, parts in ((4, 2), (16, 7), (211, 5)):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            seen.append({r["doc_id"]: r["score"] for r in Y.score(docs.repartition(parts)).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for other in seen[1:]:
+        assert max(abs(other[d] - s) for d, s in seen[0].items()) < 1e-6

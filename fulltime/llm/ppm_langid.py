@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import extended, map_arrow, slices
+from fulltime.llm.common import extended, map_arrow, shared_object, slices
 from fulltime.operators.ranking import top_k_per_group
 
 UNKNOWN = "und"
@@ -157,10 +157,10 @@ def predict(docs: DataFrame, model: PpmModel, text: str = "text", keep: list[str
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     src = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("__text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shared_object(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        ppm = shared.value
+        ppm = shared()
         for b in slices(batches, "__text"):
             names, scores = [], []
             for t in b.column("__text").to_pylist():

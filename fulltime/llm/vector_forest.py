@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulltime.llm.common import map_arrow, stored
+from fulltime.llm.common import map_arrow, shared_object, stored
 from fulltime.operators.ranking import top_k_per_group
 
 TREES = 4
@@ -140,7 +140,7 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, s
     fit = np.array([r[0] for r in nodes.orderBy(F.xxhash64("node"), "node").limit(points).select("v").collect()], np.float32)
     top = float(np.sqrt(top2))
     forest = Forest(fit, top, levels, trees)
-    shared = spark.sparkContext.broadcast(forest)
+    shared = shared_object(spark, forest)
 
     def vectors(b: pa.RecordBatch) -> np.ndarray:
         return b.column("v").flatten().to_numpy().reshape(b.num_rows, -1)
@@ -150,7 +150,7 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, s
             for at in range(0, whole.num_rows, 1024):
                 b = whole.slice(at, 1024)
                 x = vectors(b)
-                leaf = shared.value.leaves(x)
+                leaf = shared().leaves(x)
                 raw = [r.tobytes() for r in x]
                 for t in range(trees):
                     yield {"tree": np.full(len(x), t, np.int32), "leaf": leaf[:, t], "node": b.column("node"), "x": raw}
@@ -168,10 +168,10 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, trees: int = TREES, s
             for at in range(0, whole.num_rows, 128):
                 b = whole.slice(at, 128)
                 x = vectors(b)
-                m = shared.value.margins(np.c_[x, np.zeros(len(x), np.float32)])
+                m = shared().margins(np.c_[x, np.zeros(len(x), np.float32)])
                 for q, raw, own in zip(b.column("node").to_pylist(), x, m):
                     met: dict[int, list[int]] = {}
-                    for t, leaf in shared.value.probes(own, size, enough):
+                    for t, leaf in shared().probes(own, size, enough):
                         met.setdefault(t * groups + leaf // together, []).append(leaf)
                     yield {"block": list(met), "query": [q] * len(met), "leaves": list(met.values()), "x": [raw.tobytes()] * len(met)}
 

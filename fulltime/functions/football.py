@@ -168,3 +168,22 @@ def squad_risk(veteran_pct: str | Column, avg_overall: str | Column, form_ppg: s
         + (3 - F.coalesce(c(form_ppg), F.lit(1.5))) * 10 * 0.3,
         2,
     )
+
+
+# Confederations of countries by name.
+CONFEDERATIONS = {
+    "CONMEBOL": ("Brazil", "Argentina", "Uruguay", "Colombia", "Ecuador", "Chile", "Peru", "Bolivia", "Venezuela", "Paraguay"),
+    "UEFA": ("France", "England", "Spain", "Germany", "Portugal", "Netherlands", "Belgium", "Italy", "Croatia", "Denmark", "Switzerland", "Poland",
+             "Serbia", "Austria", "Czech Republic", "Romania"),
+    "CONCACAF": ("USA", "Mexico", "Canada", "Honduras", "Panama"),
+    "CAF": ("Morocco", "Senegal", "Nigeria", "Cameroon", "Egypt", "Ghana", "Algeria", "Ivory Coast"),
+    "AFC": ("Japan", "South Korea", "Saudi Arabia", "Iran", "Australia", "Iraq", "Jordan", "Qatar"),
+}
+
+
+def confederation_of(country: Column) -> Column:
+    """Confederation of a country by name, OTHER for one that isn't listed (or null)."""
+    out = F.lit("OTHER")
+    for name, countries in CONFEDERATIONS.items():
+        out = F.when(country.isin(*countries), name).otherwise(out)
+    return out

@@ -91,4 +91,5 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
                          'home_form_xg', 'home_form_xga', 'home_form_ppda', 'home_form_wins', 'away_form_xg', 'away_form_xga', 'away_form_ppda',
                          'away_form_wins', 'form_xg_diff', 'form_wins_diff'],
     'two_level_headers': ['Match', 'Performance_GF', 'Performance_GA', 'Expected_xG', 'Expected_xGA'],
+    'seed_rankings': ['points'],
 }

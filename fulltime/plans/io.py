@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fulltime.operators import gold, players
+from fulltime.operators.numbering import numbered
 from fulltime.plans.core import EM, STANDINGS_SQL, pms_frame, tl_base, tl_frame, tp_frame
 from fulltime.plans.fixture_sql import with_fixtures
 from fulltime.plans.registry import query
@@ -285,16 +286,69 @@ def q_two_level_headers(spark, sf):
     return raw.read_leagues(spark, paths, text=["Team"])
 
 
+def _seed(spark, name: str, rows):
+    """A seed list written by all tasks and read with its schema."""
+    path = scratch_dir(spark, f"raw-seed-{name}")
+    rows.write.json(path)
+    return raw.read_seed(spark, path, name)
+
+
 @query("read_seed", """
 SELECT n_nationkey AS id, n_name AS team, n_regionkey AS region_id FROM nation""")
 def q_read_seed(spark, sf):
-    """A seed list stored as one JSON array document, read with an explicit schema."""
-    n = td.table(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("team"),
-                                             F.col("n_regionkey").alias("region_id"))
-    doc = n.agg(F.to_json(F.collect_list(F.struct("id", "team", "region_id"))).alias("value"))
-    path = scratch_dir(spark, "raw-seed")
-    doc.coalesce(1).write.text(path)
-    return raw.read_json_docs(spark, path, "id int, team string, region_id int", multiline=True, keep_corrupt=False)
+    """The teams seed."""
+    return _seed(spark, "teams", td.table(spark, sf, "nation").select(
+        F.col("n_nationkey").alias("id"), F.col("n_name").alias("team"), F.col("n_regionkey").alias("region_id")))
+
+
+@query("seed_rankings", """
+SELECT CAST(row_number() OVER (ORDER BY points DESC, team) AS INTEGER) AS rank, team, id, points, 'OTHER' AS confederation
+FROM (SELECT n_name AS team, n_name[1:3] AS id, CAST(count(c_custkey) + n_nationkey / 100.0 AS DOUBLE) AS points
+      FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey, n_name)""")
+def q_seed_rankings(spark, sf):
+    """The rankings seed: rank, points and confederation by team (customers of a nation stand in for points)."""
+    n, c = td.table(spark, sf, "nation"), td.table(spark, sf, "customer").groupBy("c_nationkey").count()
+    points = (F.coalesce("count", F.lit(0)) + F.col("n_nationkey") / 100.0).alias("points")
+    t = n.join(c, n.n_nationkey == c.c_nationkey, "left").select(F.col("n_name").alias("team"), F.substring("n_name", 1, 3).alias("id"), points)
+    ranked = numbered(t, [F.col("points").desc(), F.col("team")], "rank", first=1)
+    return _seed(spark, "rankings", ranked.select("rank", "team", "id", "points", F.lit("OTHER").alias("confederation")))
+
+
+@query("seed_history", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, 'Host ' || year(o_orderdate) % 25 AS host, 'Team ' || max(o_custkey) AS champion,
+       'Team ' || min(o_custkey) AS runner_up, count(*) AS matches, CAST(sum(o_orderkey % 7) AS BIGINT) AS goals
+FROM orders GROUP BY year(o_orderdate)""")
+def q_seed_history(spark, sf):
+    """The history seed: host, champion, runner-up, matches and goals by edition."""
+    year = F.year("o_orderdate")
+    name = lambda f: F.concat(F.lit("Team "), f("o_custkey").cast("string"))
+    h = td.table(spark, sf, "orders").groupBy(year.alias("year")).agg(
+        name(F.max).alias("champion"), name(F.min).alias("runner_up"), F.count("*").alias("matches"), F.sum(F.col("o_orderkey") % 7).alias("goals"))
+    return _seed(spark, "history", h.withColumn("host", F.concat(F.lit("Host "), (F.col("year") % 25).cast("string"))))
+
+
+@query("seed_editions", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, 'Edition ' || year(o_orderdate) AS name, count(*) AS matches FROM orders GROUP BY year(o_orderdate)""")
+def q_seed_editions(spark, sf):
+    """The index of editions."""
+    e = td.table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("matches"))
+    return _seed(spark, "editions", e.withColumn("name", F.concat(F.lit("Edition "), F.col("year").cast("string"))))
+
+
+@query("seed_squads", """
+SELECT n_name AS team, 'Coach ' || n_nationkey AS coach, CAST(s_suppkey % 99 AS INTEGER) AS number, s_name AS name,
+       CASE s_suppkey % 4 WHEN 0 THEN 'GK' WHEN 1 THEN 'DF' WHEN 2 THEN 'MF' ELSE 'FW' END AS position
+FROM supplier JOIN nation ON n_nationkey = s_nationkey""")
+def q_seed_squads(spark, sf):
+    """The squads seed, a document a team, exploded to players."""
+    k = F.col("s_suppkey") % 4
+    player = F.struct((F.col("s_suppkey") % 99).cast("int").alias("number"), F.col("s_name").alias("name"),
+                      F.when(k == 0, "GK").when(k == 1, "DF").when(k == 2, "MF").otherwise("FW").alias("position"))
+    s = td.table(spark, sf, "supplier").groupBy("s_nationkey").agg(F.collect_list(player).alias("players"))
+    n = td.table(spark, sf, "nation")
+    docs = n.join(s, n.n_nationkey == s.s_nationkey).select(
+        F.col("n_name").alias("team"), F.concat(F.lit("Coach "), F.col("n_nationkey").cast("string")).alias("coach"), "players")
+    return raw.squad_players(_seed(spark, "squads", docs))
 
 
 @query("read_csv_table", with_fixtures(EM, """

@@ -137,6 +137,25 @@ def q_confederation(spark, sf):
                     confederation(F.col("r_name")).alias("confederation"))
 
 
+#: Names of the test data's nations that differ from those of the list.
+_RENAMED = {"UNITED STATES": "USA", "UNITED KINGDOM": "England"}
+_COUNTRY_SQL = "CASE n_name " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _RENAMED.items()) + \
+    " ELSE array_to_string([upper(w[1:1]) || lower(w[2:]) FOR w IN string_split(n_name, ' ')], ' ') END"
+
+
+@query("confederation_by_country", f"""
+SELECT team_id, country, CASE {' '.join(f"WHEN country IN ({', '.join(repr(c) for c in cs)}) THEN '{k}'" for k, cs in fb.CONFEDERATIONS.items())}
+  ELSE 'OTHER' END AS confederation
+FROM (SELECT n_nationkey AS team_id, {_COUNTRY_SQL} AS country FROM nation)""")
+def q_confederation_by_country(spark, sf):
+    """Confederation of every country by its name."""
+    n = td.table(spark, sf, "nation")
+    country = F.initcap("n_name")
+    for a, b in _RENAMED.items():
+        country = F.when(F.col("n_name") == a, b).otherwise(country)
+    return n.select(F.col("n_nationkey").alias("team_id"), country.alias("country"), fb.confederation_of(country).alias("confederation"))
+
+
 @query("opening_odds", with_fixtures(EM, """
 SELECT match_id, round(1.07 / ph, 2) AS odd_home, round(1.07 / pd, 2) AS odd_draw, round(1.07 / (1 - ph - pd), 2) AS odd_away
 FROM (SELECT match_id, 1.0 / (1.0 + exp(-(away_team_id - home_team_id) * 0.04)) AS ph,

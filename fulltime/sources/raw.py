@@ -270,6 +270,26 @@ def read_leagues(spark: SparkSession, paths: dict[str, str], text: Sequence[str]
     return concat_sources({league: read_two_level(spark, path, text) for league, path in paths.items()}, label_col)
 
 
+#: Seed lists: what each holds.
+SEEDS = {
+    "teams": "id int, team string, region_id int",
+    "rankings": "rank int, team string, id string, points double, confederation string",
+    "history": "year int, host string, champion string, runner_up string, matches long, goals long",
+    "editions": "year int, name string, matches long",
+    "squads": "team string, coach string, players array<struct<number: int, name: string, position: string>>",
+}
+
+
+def read_seed(spark: SparkSession, path: str, name: str, lines: bool = True) -> DataFrame:
+    """A seed list with its explicit schema: rows as JSON lines, or whole files of one JSON array (``lines=False``)."""
+    return read_json_docs(spark, path, SEEDS[name], multiline=not lines, keep_corrupt=False)
+
+
+def squad_players(squads: DataFrame) -> DataFrame:
+    """One row for each player of the squads seed."""
+    return squads.select("team", "coach", F.explode("players").alias("p")).select("team", "coach", "p.*")
+
+
 def read_categories(spark: SparkSession, paths: dict[str, str], optional: bool = False) -> dict[str, DataFrame]:
     """Category files by name; a missing path fails unless ``optional``, any other failure always does."""
     from fulltime.sources.layer import Layer

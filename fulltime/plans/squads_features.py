@@ -8,6 +8,7 @@ from fulltime.plans.fixture_sql import with_fixtures
 from fulltime.plans.registry import query
 from fulltime.plans.shots_ratings import ELO, team_ratings
 from fulltime.plans.sql_blocks import TEAM_PERF, TIMELINE
+from fulltime.session import stored
 from fulltime.sources import testdata as td
 
 SQUAD_RATINGS = """
@@ -241,8 +242,9 @@ MF_FIX = ["fx_event", "fx_match", "fx_result"]
 
 
 def mf_v1_frame(spark, sf):
-    tp = tp_frame(spark, sf)
-    return features.match_features(td.fx_match(spark, sf), team_ratings(spark, sf), gold.team_style_overall(tp), tp)
+    # each is read in several roles: stored once (a row a match or team), joined from the copies
+    tp, matches = stored(tp_frame(spark, sf), "team-performance"), stored(td.fx_match(spark, sf), "matches")
+    return features.match_features(matches, stored(team_ratings(spark, sf), "team-ratings"), gold.team_style_overall(tp), tp)
 
 
 @query("match_features", with_fixtures(MF_FIX, "SELECT * FROM mf", MF_V1, recursive=True))

@@ -4,14 +4,14 @@ Base spans are the checked matches of four patterns, leftmost and not overlappin
 generators propose further spans, overlapping as they come: from every start all runs of whole number
 groups within the digit limits, dotted numbers, addresses with ``at`` and ``dot`` spelled out. Each candidate gets features of its format (digits, groups,
 separators, the number of digits in its groups) and of its context (cue words before it, the characters
-around it). Boosted trees are fitted on candidates of a bounded sample whose label the format decides:
+around it). Boosted trees are fitted on all candidates of all documents whose label the format decides:
 checked matches are positive, candidates that fail their kind's check are negative, others say nothing.
-One sample document in five is held back to set a threshold for each kind: the least score at which the
+One document in five is held back to set a threshold for each kind: the least score at which the
 share of positives is ``precision`` or more. Candidates of no label that reach it are added; base spans stay.
 
 Trees are written out as CASE expressions, so scoring is one projection without a shuffle.
 
-Defined results: null text counts as empty; where the sample has no positive or no negative candidate, no
+Defined results: null text counts as empty; where the documents have no positive or no negative candidate, no
 spans are added; rows are worked on one by one. Positions count code points, ends are exclusive.
 """
 
@@ -21,7 +21,7 @@ import re
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fulltime.llm.common import stored
@@ -65,6 +65,8 @@ FEATURES = ["kind", "length", "digits", "letters", "groups", "longest", "seps",
             "spaces", "parts_ok", "first", "cue", "cue_other", "left_alnum", "right_alnum"]
 #: Characters before a candidate that are read for cue words.
 CONTEXT = 32
+#: Ranges that scores from 0 to 1 are cut into for running sums.
+RANGES = 4096
 
 
 def _places(text: Column, pattern: str) -> Column:
@@ -240,33 +242,43 @@ class Detector:
                                                      for i, k in enumerate(KINDS)]))
 
 
-def fit(docs: DataFrame, sample_docs: int = 20_000, most: int = 40_000, precision: float = 0.99, rounds: int = 12,
-        depth: int = 3, text: str = "text") -> Detector:
-    """Trees and thresholds from the candidates of about ``sample_docs`` documents, ``most`` of them at most."""
-    total = docs.count()
-    share = min(1.0, sample_docs / max(1, total))
+def _labelled(docs: DataFrame, text: str) -> DataFrame:
+    """All labelled candidates of all texts: rows of one kind, label, half and features are one, ``n`` of them."""
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    some = docs.select(t.alias("t")).withColumn("h", F.pmod(F.xxhash64("t"), F.lit(1_000_000))).where(F.col("h") < int(share * 1_000_000) + (share == 1.0))
-    some = with_candidates(some, "t").select("h", F.explode(F.filter("candidates", lambda c: c["label"] < 2)).alias("c"))
-    rows = stored(some.select((F.pmod("h", F.lit(5)) == 0).alias("held"), F.xxhash64("c").alias("o"), "c.*").orderBy("o").limit(most), "candidates")
+    some = docs.select(t.alias("t")).withColumn("held", F.pmod(F.xxhash64("t"), F.lit(1_000_000)) % 5 == 0)
+    some = with_candidates(some, "t").select("held", F.explode(F.filter("candidates", lambda c: c["label"] < 2)).alias("c"))
+    rows = some.select("held", "c.k", "c.label", *[f"c.{f}" for f in FEATURES])
+    return rows.groupBy("held", "k", "label", *FEATURES).agg(F.count("*").alias("n"))
+
+
+def _thresholds(scored: DataFrame, precision: float) -> dict[str, float]:
+    """By kind, the least score of 0.5 or more at which the share of positives among the rows of (k, label, n, s)
+    that reach it is ``precision`` or more; 2 (out of reach) where there is none.
+
+    Running sums go over the scores of a small range each, and over the ranges, so no window holds all scores of a kind."""
+    each = scored.where("s >= 0.5").groupBy("k", F.floor(F.col("s") * RANGES).alias("part"), "s").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("good"))
+    above = Window.partitionBy("k").orderBy(F.col("part").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    parts = each.groupBy("k", "part").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).select(
+        "k", "part", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"above_{c}") for c in ("n", "good")])
+    inside = Window.partitionBy("k", "part").orderBy(F.col("s").desc())
+    sums = each.join(parts, ["k", "part"]).select("k", "s", *[(F.sum(c).over(inside) + F.col(f"above_{c}")).alias(c) for c in ("n", "good")])
+    found = {r["k"]: r["s"] for r in sums.where(F.col("good") >= precision * F.col("n")).groupBy("k").agg(F.min("s").alias("s")).collect()}
+    return {k: float(found.get(i, 2.0)) for i, k in enumerate(KINDS)}
+
+
+def fit(docs: DataFrame, precision: float = 0.99, rounds: int = 12, depth: int = 3, text: str = "text") -> Detector:
+    """Trees and thresholds from the candidates of all documents; equal ones are one row that weighs as many."""
+    rows = stored(_labelled(docs, text), "candidates")
     train = rows.where("not held")
     if len(train.select("label").distinct().take(2)) < 2:
         return Detector(None, {})
-    data = VectorAssembler(inputCols=FEATURES, outputCol="x").transform(train.withColumn("y", F.col("label").cast("double")))
-    model = GBTClassifier(labelCol="y", featuresCol="x", maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=3, maxBins=32).fit(data.select("x", "y"))
+    data = VectorAssembler(inputCols=FEATURES, outputCol="x").transform(train.orderBy("k", "label", *FEATURES))
+    data = data.select("x", F.col("label").cast("double").alias("y"), F.col("n").cast("double").alias("n"))
+    model = GBTClassifier(labelCol="y", featuresCol="x", weightCol="n", maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=3, maxBins=32).fit(data)
     score = trees_sql(model.toDebugString)
-    held = rows.where("held").select("k", "label", F.struct(*FEATURES).alias("c")).select("k", "label", F.expr(score).alias("s"))
-    got = held.collect()  # bounded by ``most``
-    threshold = {}
-    for i, k in enumerate(KINDS):
-        own = sorted(((r["s"], r["label"]) for r in got if r["k"] == i), reverse=True)
-        best, good = 2.0, 0  # 2: out of reach
-        for n, (s, y) in enumerate(own, 1):
-            good += y
-            if (n == len(own) or own[n][0] < s) and good >= precision * n and s >= 0.5:
-                best = s
-        threshold[k] = float(best)
-    return Detector(score, threshold)
+    held = rows.where("held").select("k", "label", "n", F.struct(*FEATURES).alias("c")).select("k", "label", "n", F.expr(score).alias("s"))
+    return Detector(score, _thresholds(held, precision))
 
 
 def detect(docs: DataFrame, detector: Detector, text: str = "text") -> DataFrame:

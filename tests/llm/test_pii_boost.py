@@ -108,6 +108,25 @@ def test_trees_as_sql_score_like_the_model():
     assert P.trees_sql(printed) == ("1D / (1D + exp(-2D * (1.0D * (CASE WHEN c.length <= 2.5D THEN -1.0D ELSE 0.5D END) + 0.3D * (0.25D))))")
 
 
+def test_all_candidates_of_all_documents_are_learned_from(spark):
+    text = "ip 10.0.{}.{} or 1.{}.2.3"
+    few = H.documents(spark, [text.format(i % 200, i // 200, 300 + i % 600) for i in range(600)])
+    docs = few.union(few.crossJoin(spark.range(40)).select(*few.columns))  # 24,600 documents
+    once, all_ = (P._labelled(d, "text").agg({"n": "sum", "k": "count"}).first() for d in (few, docs))
+    assert all_["sum(n)"] == 41 * once["sum(n)"] > 40_000 and all_["count(k)"] == once["count(k)"]
+
+
+def test_thresholds_equal_a_plain_pass(spark):
+    r = random.Random(5)
+    rows = [(k, int(r.random() < s ** 0.2), r.randrange(1, 9), s) for k in range(3) for s in (round(r.random(), 3) for _ in range(2000))]
+    got = P._thresholds(spark.createDataFrame(rows, "k int, label int, n long, s double"), 0.95)
+    for k in range(4):
+        own = [x for x in rows if x[0] == k]
+        reach = [s for s in {x[3] for x in own if x[3] >= 0.5}
+                 if sum(x[1] * x[2] for x in own if x[3] >= s) >= 0.95 * sum(x[2] for x in own if x[3] >= s)]
+        assert got[P.KINDS[k]] == min(reach, default=2.0)
+
+
 def test_no_rows(spark):
     detector = P.fit(H.no_rows(spark))
     assert detector.score is None

@@ -18,7 +18,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Partitions of a keyed table, unless its first upsert asks for another number.
@@ -26,6 +26,15 @@ PARTS = 64
 KEYED = re.compile(r"^_by(\d+)__(.+)$")
 
 
+def dealt_by(df: DataFrame, partition_by: Sequence[str]) -> DataFrameWriter:
+    """A writer of ``df`` by these columns whose tasks hold rows of few partitions, about the session's advisory size
+    of them: a partition is written by as many tasks as its size needs (not by every task), and the sort before
+    the write is bounded whatever a task read."""
+    if not partition_by:
+        return df.write
+    return df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by]).write.partitionBy(*partition_by)
+
+
 class Layer:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -79,7 +88,7 @@ class Layer:
         layout = None if partition_by else self._keyed(name)
         if layout and set(layout[2]) <= set(df.columns):
             df, partition_by = self._dealt(df, layout[1], layout[2]), [layout[0]]
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
+        dealt_by(df, partition_by).mode("overwrite").parquet(self.path(name))
 
     def overwrite_audited(self, df: DataFrame, name: str, cols: Sequence[str] | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
         """``overwrite``, and the rows and nulls by column that the writing job itself counted (one row, as
@@ -95,7 +104,7 @@ class Layer:
         if layout := self._keyed(name):
             column, parts, keys = layout
             df, partition_by = self._dealt(df, parts, keys), [column]
-        df.write.mode("append").partitionBy(*partition_by).parquet(self.path(name))
+        dealt_by(df, partition_by).mode("append").parquet(self.path(name))
 
     def replace_partitions(self, df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
         """Idempotent reload: all rows whose ``partition_by`` values occur in ``df`` give way to those of ``df``.
@@ -105,13 +114,13 @@ class Layer:
         """
         layout = self._keyed(name)
         if not layout:
-            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(self.path(name))
+            dealt_by(df, partition_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
             return
         column, parts, keys = layout
         with self._staged(self._dealt(df, parts, keys), [column]) as new:
             kept = self._without(self._raw(name, merge_schema=True), new.select(*partition_by).distinct(), partition_by)
             with self._staged(kept.unionByName(new, allowMissingColumns=True), [column]) as merged:
-                merged.write.mode("overwrite").partitionBy(column).parquet(self.path(name))
+                dealt_by(merged, [column]).mode("overwrite").parquet(self.path(name))
 
     def read(self, name: str, merge_schema: bool = False) -> DataFrame:
         df = self._raw(name, merge_schema)
@@ -125,7 +134,7 @@ class Layer:
         this only: the place is deleted at the end."""
         name = f"_staging/{uuid.uuid4().hex}"
         try:
-            df.write.partitionBy(*partition_by).parquet(self.path(name))
+            dealt_by(df, partition_by).parquet(self.path(name))
             yield self.spark.read.schema(df.schema).parquet(self.path(name))
         finally:
             fs, where = self._fs(name)
@@ -154,7 +163,7 @@ class Layer:
             if check_unique and not new.groupBy(*[F.col(f"`{k}`") for k in keys]).count().where("count > 1").isEmpty():
                 raise ValueError(f"upsert source has duplicate keys {list(keys)}")
             if target is None:
-                new.write.mode("overwrite").partitionBy(column).parquet(self.path(name))
+                dealt_by(new, [column]).mode("overwrite").parquet(self.path(name))
                 return
             if layout:
                 touched = [r[0] for r in new.select(F.col(f"`{column}`")).distinct().collect()]  # ``parts`` numbers at most
@@ -163,10 +172,10 @@ class Layer:
                 old = self._dealt(target, parts, keys)
             merged = self._without(old, new, keys).unionByName(new, allowMissingColumns=True)
             if layout:  # a dynamic overwrite writes new files beside the old ones, and puts them in place at the end
-                merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(self.path(name))
+                dealt_by(merged, [column]).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
                 return
             with self._staged(merged, [column]) as whole:
-                whole.write.mode("overwrite").partitionBy(column).parquet(self.path(name))
+                dealt_by(whole, [column]).mode("overwrite").parquet(self.path(name))
 
     # ------------------------------------------------------------ catalog
     def register(self, name: str, view: str | None = None) -> str:

@@ -150,3 +150,23 @@ def test_audit_while_writing_is_one_job(spark, tmp_path):
     assert len(jobs) <= 2  # the reader's look at one file's schema, the write
     assert audit.first().asDict() == {"rows": 100, "nulls_k": 0, "nulls_v": 66, "nulls_odd.name": 100}
     assert audit.select("rows", "nulls_k", "nulls_v").first() == null_audit(layer.read("copy"), ["k", "v"]).first()
+
+
+def test_a_partition_is_not_written_by_every_task(spark, tmp_path):
+    layer, many = Layer(spark, str(tmp_path)), spark.range(6000).select("id", (F.col("id") % 3).alias("p")).repartition(24)
+    files = lambda name: len(list((tmp_path / name).glob("*/*.parquet")))
+    layer.overwrite(many, "t", ["p"])
+    assert files("t") == 3 and layer.read("t").count() == 6000
+    layer.upsert(many, "u", ["id"], parts=4)
+    layer.upsert(many.withColumn("p", F.lit(9)), "u", ["id"])
+    layer.append(many.withColumn("id", F.col("id") + 6000), "u")
+    assert files("u") == 8 and layer.read("u").count() == 12_000 and layer.read("u").where("p = 9").count() == 6000
+
+
+def test_a_match_is_one_file_whatever_the_order_of_its_events(spark, tmp_path):
+    from fulltime.plans import io
+
+    events = spark.range(4000).select((F.col("id") % 20).alias("match_id"), "id").repartition(16)
+    io._per_match(events).json(str(tmp_path / "e"))
+    files = list((tmp_path / "e").glob("match_id=*/*.json"))
+    assert len(files) == 20 and sum(len(f.read_text().splitlines()) for f in files) == 4000

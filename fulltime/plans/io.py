@@ -16,7 +16,7 @@ from fulltime.session import scratch_dir
 from fulltime.sources import raw
 from fulltime.sources import testdata as td
 from fulltime.sources.event_columns import FAMILIES
-from fulltime.sources.layer import Layer, with_audit
+from fulltime.sources.layer import Layer, dealt_by, with_audit
 
 
 #: Event family that each part of a provider event belongs to; other parts stand in every event.
@@ -47,10 +47,16 @@ def _provider_event(e) -> list:
     return [(F.when(F.col("type_name") == PARTS[k], column(v)) if k in PARTS else column(v)).alias(k) for k, v in tree.items()]
 
 
+def _per_match(df):
+    """A writer of files by match: a match's rows come from one task (a very large match's from some), and tasks put
+    their files in place themselves, as there are too many of them for the driver to move one by one."""
+    return dealt_by(df, ["match_id"]).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+
+
 def _stage_events(spark, sf):
     e = td.fx_event(spark, sf)
     path = scratch_dir(spark, "raw-events")
-    e.select("match_id", *_provider_event(e)).write.partitionBy("match_id").json(path)
+    _per_match(e.select("match_id", *_provider_event(e))).json(path)
     return path
 
 
@@ -141,7 +147,7 @@ def _lineups(spark, sf):
     per_team = e.groupBy("match_id", "team_name").agg(F.collect_list(player).alias("players"))
     docs = per_team.groupBy("match_id").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("team_name", "players")))).alias("value"))
     path = scratch_dir(spark, "raw-lineups")
-    docs.write.partitionBy("match_id").text(path)
+    _per_match(docs).text(path)
     return raw.explode_lineups(spark.read.text(path), raw.key_from_path(r"match_id=(\d+)").cast("bigint"))
 
 

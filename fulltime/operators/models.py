@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from fulltime.operators.quantiles import exact_quantiles
 from fulltime.operators.squads import fill_median
-from fulltime.session import materialize
+from fulltime.session import stored
 
 # The shot models' features.
 SHOT_CATEGORICAL = ("shot_body_part", "shot_technique", "shot_type", "pitch_zone")
@@ -84,6 +84,18 @@ def split_by_group(df: DataFrame, test_editions: Sequence[tuple[int, int]]) -> t
     return train, test
 
 
+#: Rows of a partition of training data. A forest's partitions each send the statistics of all nodes of a level,
+#: whatever their rows; boosted trees run a thousand short jobs and more, each of which pays for its tasks.
+FOREST_ROWS = 1 << 15
+BOOST_ROWS = 1 << 17
+
+
+def gathered(train: DataFrame, cols: Sequence[str], rows: int) -> DataFrame:
+    """``cols`` of the training rows, stored, in as many partitions as the rows need (``rows`` each) and no more."""
+    kept = stored(train.select(*cols), "training")
+    return kept.coalesce(max(1, -(-kept.count() // rows)))
+
+
 def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
     """Balanced class weights n / (2 n_class): the two class counts come from one aggregate."""
     row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("pos")).first()
@@ -105,7 +117,7 @@ def fit_shot_model(train: DataFrame, kind: str = "gbt", features: Sequence[str]
         stages = [assemble, GBTClassifier(featuresCol="raw_features", labelCol="label", weightCol="weight",
                                           maxIter=max_iter, maxDepth=max_depth, stepSize=0.05, subsamplingRate=0.8,
                                           seed=42)]
-    data = with_class_weight(train).cache()
+    data = with_class_weight(gathered(train, [*features, "label"], BOOST_ROWS)).cache()
     try:
         return Pipeline(stages=stages).fit(data)
     finally:
@@ -207,7 +219,7 @@ def _forest(trees: int, depth: int) -> RandomForestClassifier:
 
 def fit_match_model(train: DataFrame, trees: int = 200, depth: int = 6) -> PipelineModel:
     """Three-class random forest on the prepared matches' vectors."""
-    return Pipeline(stages=[_forest(trees, depth)]).fit(train)
+    return Pipeline(stages=[_forest(trees, depth)]).fit(gathered(train, ["label", "features"], FOREST_ROWS))
 
 
 PREDICTION_SCHEMA = ("match_id long, competition_id int, season_id int, result_home int, p_home_win double, "
@@ -252,8 +264,8 @@ def leave_one_group_out(prepared: DataFrame, groups: Sequence[tuple[int, int]],
     fold = F.lit(None).cast("int")
     for i, (comp, season) in enumerate(known):
         fold = F.when((F.col("competition_id") == comp) & (F.col("season_id") == season), i).otherwise(fold)
-    vectors = materialize(prepared.select(
-        "match_id", "competition_id", "season_id", "result_home", "label", "features", F.coalesce(fold, F.lit(-1)).alias("fold")))
+    vectors = gathered(prepared.withColumn("fold", F.coalesce(fold, F.lit(-1))),
+                       ["match_id", "competition_id", "season_id", "result_home", "label", "features", "fold"], FOREST_ROWS)
 
     def fit(i: int):
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fold-{i % fits}")

@@ -47,6 +47,14 @@ def test_a_stored_model_scores_as_the_fitted_one(spark, tmp_path):
     assert again.cards("m").count() == 2
 
 
+def test_training_rows_stand_in_as_many_partitions_as_they_need(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("x"), F.lit("not read").alias("more")).repartition(40)
+    for rows, parts in ((1000, 1), (250, 4)):
+        got = models.gathered(df, ["id", "x"], rows)
+        assert got.columns == ["id", "x"] and got.rdd.getNumPartitions() <= parts and got.count() == got.distinct().count() == 1000
+    assert models.gathered(df.limit(0), ["id"], 10).count() == 0
+
+
 def test_fingerprints_tell_rows_not_their_order(spark):
     df, cols = matches(spark)
     one = fingerprint(df, cols)

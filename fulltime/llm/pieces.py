@@ -35,7 +35,9 @@ MARK = "▁"
 #: Words of more symbols than this go through the heap.
 LONG = 2048
 #: Entries of each generation of a process's table of known words (speed only).
-KNOWN = 120_000
+KNOWN = 80_000
+#: Bytes of text that are worked on at a time: decoding holds some thirty bytes for each.
+SLICE = 500_000
 NONE = np.iinfo(np.int32).max
 
 
@@ -247,7 +249,7 @@ def encode_documents(df: DataFrame, model: str, text: str = "text") -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         coder = piece_coder(model)
-        for b in slices(batches, text, 3_000_000):
+        for b in slices(batches, text, SLICE):
             ids = coder.encode(filled(b.column(text)))
             at = np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32)
             yield {c: b.column(c) for c in keep} | {
@@ -280,7 +282,7 @@ def round_trip(df: DataFrame, model: str, with_ids: bool = False) -> DataFrame:
         coder = piece_coder(model)
         decimal = list(map(str, range(coder.size)))
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-        for b in slices(batches, "text", 3_000_000):
+        for b in slices(batches, "text", SLICE):
             ids = coder.encode(filled(b.column("text")))
             yield {
                 "doc_id": b.column("doc_id"), "n_tokens": [len(x) for x in ids],

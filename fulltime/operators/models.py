@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from fulltime.operators.quantiles import exact_quantiles
 from fulltime.operators.squads import fill_median
-from fulltime.session import stored
+from fulltime.session import materialize, stored
 
 # The shot models' features.
 SHOT_CATEGORICAL = ("shot_body_part", "shot_technique", "shot_type", "pitch_zone")
@@ -86,14 +86,25 @@ def split_by_group(df: DataFrame, test_editions: Sequence[tuple[int, int]]) -> t
 
 #: Rows of a partition of training data. A forest's partitions each send the statistics of all nodes of a level,
 #: whatever their rows; boosted trees run a thousand short jobs and more, each of which pays for its tasks.
-FOREST_ROWS = 1 << 15
-BOOST_ROWS = 1 << 17
+FOREST_ROWS = 1 << 14
+BOOST_ROWS = 1 << 15
+#: So many partitions are filled first; with more training rows a partition takes up to ``FULLER`` times its rows.
+#: Not the session's number of cores: a model's partitions would follow from the cluster then.
+SPREAD = 12
+FULLER = 8
+
+
+def partitions_for(n: int, rows: int) -> int:
+    """Partitions of ``n`` training rows: one for every ``rows`` up to ``SPREAD``, beyond that one for ``FULLER * rows``."""
+    return max(1, min(-(-n // rows), max(SPREAD, -(-n // (FULLER * rows)))))
 
 
 def gathered(train: DataFrame, cols: Sequence[str], rows: int) -> DataFrame:
-    """``cols`` of the training rows, stored, in as many partitions as the rows need (``rows`` each) and no more."""
+    """``cols`` of the training rows, stored, in as many partitions as the rows need (``partitions_for``), whatever the
+    number they come in, with about the same number of rows in each."""
     kept = stored(train.select(*cols), "training")
-    return kept.coalesce(max(1, -(-kept.count() // rows)))
+    parts = partitions_for(kept.count(), rows)
+    return kept.coalesce(1) if parts == 1 else materialize(kept.repartition(parts))
 
 
 def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:

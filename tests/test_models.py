@@ -55,6 +55,15 @@ def test_training_rows_stand_in_as_many_partitions_as_they_need(spark):
     assert models.gathered(df.limit(0), ["id"], 10).count() == 0
 
 
+def test_training_rows_are_spread_from_fewer_partitions(spark):
+    # a narrow stored table comes in one partition: each fit's job had one task then, whatever its rows
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("x")).coalesce(1)
+    got = models.gathered(df, ["id", "x"], 250)
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert got.rdd.getNumPartitions() == 4 and len(sizes) == 4 and max(sizes) <= 260 and got.distinct().count() == 1000
+    assert [models.partitions_for(n, 10) for n in (0, 1, 10, 11, 120, 121, 960, 961, 9600)] == [1, 1, 1, 2, 12, 12, 12, 13, 120]
+
+
 def test_fingerprints_tell_rows_not_their_order(spark):
     df, cols = matches(spark)
     one = fingerprint(df, cols)

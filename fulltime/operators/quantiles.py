@@ -3,7 +3,9 @@
 Every value becomes a whole number of 64 bits that orders as the values do. A pass counts the next 16 bits of the
 keys that agree with what is known of each wanted rank, for all columns and ranks together, and so fixes 16 more
 bits of every answer: four passes, whatever the size, the ranks and the distribution. A pass is one aggregate
-of at most 2^16 counts for each column and known prefix; the driver gets one row a wanted rank.
+of at most 2^16 counts for each column and known prefix; the driver gets one row a wanted rank. The rows are dealt
+out and their keys stored before the passes, so those neither hang on the partitions that the rows come in nor work
+out a key twice.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from fulltime.session import stored
+
 #: Bits fixed by a pass.
 BITS = 16
 PASSES = 64 // BITS
@@ -56,7 +60,7 @@ def _number(c: str, kind: T.DataType):
 
 def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dict[tuple[str, float], object]:
     """For each column and share q the least value that ceil(q * n) of its n non-null values don't exceed; None
-    for a column without values. ``df`` is read ``PASSES`` times: give a stored table where it is costly."""
+    for a column without values. ``df`` is read once."""
     cells = [(c, q) for c, qs in wanted.items() for q in qs]
     out: dict[tuple[str, float], object] = dict.fromkeys(cells)
     if not cells:
@@ -64,8 +68,10 @@ def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dic
     place = {c: i for i, c in enumerate(wanted)}
     double, whole, back = zip(*[_number(c, df.schema[c].dataType) for c in wanted])
     cols = ", ".join(f"named_struct('c', {i}, 'd', {d}, 'w', {w})" for i, (d, w) in enumerate(zip(double, whole)))
-    each = df.selectExpr(f"inline(array({cols}))").where("d IS NOT NULL OR w IS NOT NULL")
-    each = _with_key(each, "d", "k").selectExpr("c", "coalesce(w, k) AS k")  # once for all columns
+    # a wide table of few rows may come in one task, with many values in each row
+    spread = df.select(*[f"`{c}`" for c in wanted]).hint("rebalance")
+    each = spread.selectExpr(f"inline(array({cols}))").where("d IS NOT NULL OR w IS NOT NULL")
+    each = stored(_with_key(each, "d", "k").selectExpr("c", "coalesce(w, k) AS k"), "quantile-keys")  # once for all columns
     # wanted ranks of each column: what is known of their key so far, and the rank among the values that agree with it
     todo = [(i, place[c], 0, None, float(q)) for i, (c, q) in enumerate(cells)]
     for done in range(0, 64, BITS):
@@ -77,7 +83,11 @@ def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> dic
         mine = f"filter(get({ranks}, c), r -> r.known = known)"
         known = f"shiftright(k, {64 - done})" if done else "0L"
         digit = f"shiftright(k, {64 - BITS - done})" + (f" & {(1 << BITS) - 1}" if done else "")
-        counts = each.selectExpr("c", f"{known} AS known", f"{digit} AS digit").where(f"size({mine}) > 0").groupBy("c", "known", "digit").count()
+        # each key only looks its prefix up in constants; the ranks themselves are matched to the few counts
+        asked = "array(" + ", ".join(
+            "cast(array(" + ", ".join(f"{x}L" for x in sorted({t[2] for t in todo if t[1] == i})) + ") AS array<bigint>)" for i in range(len(place))) + ")"
+        counts = (each.selectExpr("c", f"{known} AS known", f"{digit} AS digit").where(f"array_contains(get({asked}, c), known)")
+                  .groupBy("c", "known", "digit").count())
         # 2^16 digits of a column and prefix at most
         placed = counts.selectExpr("*", "sum(count) OVER (PARTITION BY c, known) AS all",
                                    "sum(count) OVER (PARTITION BY c, known ORDER BY digit ROWS UNBOUNDED PRECEDING) AS upto")

@@ -61,6 +61,19 @@ def test_quantiles_take_four_passes_at_any_size(spark):
     assert jobs[50] == jobs[60_000]
 
 
+def test_quantiles_read_the_rows_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(row):
+        read.add(1)
+        return row
+
+    rows = [(float(i % 50), i, None if i % 3 else i * 0.5) for i in range(600)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 1).map(seen), "x double, y long, z double")
+    assert quantiles.exact_quantiles(df, {"x": (0.5,), "y": (0.25, 1.0), "z": (0.5,)}) == {("x", 0.5): 24.0, ("y", 0.25): 149, ("y", 1.0): 599, ("z", 0.5): 148.5}
+    assert read.value == 600
+
+
 def brute_ratings(rows):
     state, out = {}, {}
     for pool, num, day, home, away, hs, as_, _ in sorted((r for r in rows if r[5] is not None and r[6] is not None),
